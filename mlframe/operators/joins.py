@@ -126,16 +126,21 @@ def enrich(df: DataFrame, dim: DataFrame, on, cols=None) -> DataFrame:
     return df.join(dim.select(*on, *cols).dropDuplicates(on), on=on, how="left")
 
 
-def match_intervals(points: DataFrame, windows: DataFrame, key: str, ts: str,
+def match_intervals(windows: DataFrame, points: DataFrame, key: str, ts: str,
                     start: str = "start_ts", end: str = "end_ts", closed: str = "both") -> DataFrame:
-    """Equi key + ``start <= ts <= end`` (closed both ends by default).
+    """Each window left-joined to the points with the same key and
+    ``start <= ts <= end`` (closed both ends by default; ``closed="left"``
+    gives the half-open form used when labels are injected).
 
-    The equality on ``key`` makes this a hash/sort-merge join with a range
-    post-filter, never a cartesian product.
+    The equality on ``key`` makes this a hash / sort-merge join with a range
+    post-filter, never a cartesian product. Columns come back qualified as
+    ``w.*`` and ``p.*``.
     """
-    lo = F.col(f"w.{start}") <= F.col(f"p.{ts}") if closed in ("both", "left") else F.col(f"w.{start}") < F.col(f"p.{ts}")
-    hi = F.col(f"p.{ts}") <= F.col(f"w.{end}") if closed in ("both", "right") else F.col(f"p.{ts}") < F.col(f"w.{end}")
-    return points.alias("p").join(windows.alias("w"), (F.col(f"p.{key}") == F.col(f"w.{key}")) & lo & hi, "left")
+    w, p = F.col(f"w.{start}"), F.col(f"w.{end}")
+    t = F.col(f"p.{ts}")
+    lo = (w <= t) if closed in ("both", "left") else (w < t)
+    hi = (t <= p) if closed in ("both", "right") else (t < p)
+    return windows.alias("w").join(points.alias("p"), (F.col(f"w.{key}") == F.col(f"p.{key}")) & lo & hi, "left")
 
 
 def full_universe(keys: DataFrame, agg: DataFrame, on) -> DataFrame:
