@@ -228,7 +228,8 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 
 def wide_sensors(spark: SparkSession, d: str) -> DataFrame:
     li = read(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
-                                      "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"])
+                                      "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                                      "l_shipdate"])
     fail = (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 45)
     return li.select(
         F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"),
@@ -236,6 +237,8 @@ def wide_sensors(spark: SparkSession, d: str) -> DataFrame:
         F.col("l_quantity").alias("s_qty"), F.col("l_extendedprice").alias("s_price"),
         F.col("l_discount").alias("s_disc"), F.col("l_tax").alias("s_tax"),
         fail.cast("int").alias("is_failure"),
+        F.when(fail, F.concat(F.lit("mode_"), F.col("l_linestatus"))).otherwise("none").alias("failure_mode"),
+        (fail & (hash_uniform("l_orderkey", "l_linenumber", "l_partkey", lane="label") < 0.002)).cast("int").alias("is_labeled"),
         hash_uniform("l_orderkey", "l_linenumber", "l_partkey", lane="holdout").alias("u_split"),
     )
 
@@ -244,10 +247,41 @@ WIDE_SENSORS_SQL = f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate AS event_time,
        l_quantity AS s_qty, l_extendedprice AS s_price, l_discount AS s_disc, l_tax AS s_tax,
        CAST(l_returnflag = 'R' AND l_quantity >= 45 AS INTEGER) AS is_failure,
+       CASE WHEN l_returnflag = 'R' AND l_quantity >= 45 THEN 'mode_' || l_linestatus ELSE 'none' END AS failure_mode,
+       CAST(l_returnflag = 'R' AND l_quantity >= 45
+            AND {hash_uniform_sql('l_orderkey, l_linenumber, l_partkey', 'label')} < 0.002 AS INTEGER) AS is_labeled,
        {hash_uniform_sql('l_orderkey, l_linenumber, l_partkey', 'holdout')} AS u_split
 FROM lineitem
 """
 
+SENSOR_COLS = ["s_qty", "s_price", "s_disc", "s_tax"]
+
+
+def sensor_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Wide sensors standardised on unlabeled rows (population std); score A
+    = mean squared z (distance from the normal centre), score B = a one-column
+    rule score. Rounded to 9 decimals so thresholds compare identical values."""
+    from mlframe.operators.models import apply_scaler, fit_scaler
+    ws = wide_sensors(spark, d)
+    sc = fit_scaler(ws, SENSOR_COLS, where="is_labeled = 0")
+    z = apply_scaler(ws, sc, SENSOR_COLS)
+    score = sum(F.col("z_" + c) * F.col("z_" + c) for c in SENSOR_COLS) / len(SENSOR_COLS)
+    return z.select("l_orderkey", "l_linenumber", "l_partkey", "is_failure", "failure_mode", "is_labeled",
+                    (F.col("u_split") >= 0.8).cast("int").alias("holdout"),
+                    F.round(score, 9).alias("score"), F.round(F.col("s_qty") / 50.0, 9).alias("score_b"))
+
+
+SENSOR_SCORES_SQL = """
+SELECT l_orderkey, l_linenumber, l_partkey, is_failure, failure_mode, is_labeled,
+       CAST(u_split >= 0.8 AS INTEGER) AS holdout,
+       round((pow((s_qty - m_qty) / d_qty, 2) + pow((s_price - m_price) / d_price, 2)
+            + pow((s_disc - m_disc) / d_disc, 2) + pow((s_tax - m_tax) / d_tax, 2)) / 4, 9) AS score,
+       round(s_qty / 50.0, 9) AS score_b
+FROM ws, (SELECT avg(s_qty) m_qty, stddev_pop(s_qty) d_qty, avg(s_price) m_price, stddev_pop(s_price) d_price,
+                 avg(s_disc) m_disc, stddev_pop(s_disc) d_disc, avg(s_tax) m_tax, stddev_pop(s_tax) d_tax
+          FROM ws WHERE is_labeled = 0) sc
+"""
+
 # ---------------------------------------------------------------- lifetimes
 
 

@@ -10,3 +10,24 @@ def stamp(df: DataFrame, model_name: str, version: str, run_id: str) -> DataFram
     """P20: provenance on every prediction row."""
     return df.select("*", F.lit(model_name).alias("model_name"), F.lit(version).alias("model_version"),
                      F.lit(run_id).alias("run_id"), F.current_timestamp().alias("scored_at"))
+
+
+def fit_scaler(df: DataFrame, cols, where: str | None = None) -> DataFrame:
+    """M1: mean and population stddev per column (one aggregate), fitted on
+    the rows matching ``where`` (e.g. unlabeled rows only)."""
+    d = df.where(where) if where else df
+    agg = d.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols])
+    stack = ", ".join(f"'{c}', m_{c}, s_{c}" for c in cols)
+    return agg.selectExpr(f"stack({len(cols)}, {stack}) AS (column, mean, std)")
+
+
+def apply_scaler(df: DataFrame, scaler: DataFrame, cols, prefix: str = "z_") -> DataFrame:
+    """Standardise with a fitted scaler; its values enter the plan as scalar
+    subqueries over the one-row-per-column scaler table."""
+    out = df
+    for c in cols:
+        one = scaler.where(F.col("column") == c)
+        m = one.select("mean").scalar()
+        s = one.select("std").scalar()
+        out = out.withColumn(prefix + c, (F.col(c) - m) / s)
+    return out
