@@ -61,9 +61,9 @@ def curve_points(df: DataFrame, label: str, score: str, by=(), buckets: int = 40
     distinct-score table's own min/max) so no single task orders all scores."""
     by = [by] if isinstance(by, str) else list(by)
     sc = score_counts(df, label, score, by)
-    lo = sc.agg(F.min("s")).scalar()
-    hi = sc.agg(F.max("s")).scalar()
-    width = F.greatest(hi - lo, F.lit(1e-300))
+    lo, hi = sc.agg(F.min("s"), F.max("s")).first()  # fitted range: two numbers
+    lo, hi = (lo or 0.0), (hi or 0.0)
+    width = F.lit(max(hi - lo, 1e-300))
     bucket = F.least(F.floor((F.col("s") - lo) / width * buckets), F.lit(buckets - 1)).cast("int")
     return running_sums(sc, "s", ["pos", "neg"], bucket, partition=by, descending=True)
 
@@ -78,8 +78,9 @@ def ranking_metrics(df: DataFrame, label: str, score: str, by=(), digits: int =
     tot = cp.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     if by:
         cp = cp.join(tot, by)
-    else:  # one-row totals become scalar subqueries
-        cp = cp.withColumn("P", tot.select("P").scalar()).withColumn("N", tot.select("N").scalar())
+    else:  # one-row totals come back as two numbers
+        P, N = tot.first()
+        cp = cp.withColumn("P", F.lit(P)).withColumn("N", F.lit(N))
     tp_above = F.col("pos_cum") - F.col("pos")
     auc_term = F.col("neg") * (tp_above + F.col("pos") / 2.0)
     prec = F.col("pos_cum") / (F.col("pos_cum") + F.col("neg_cum"))

@@ -22,12 +22,9 @@ def fit_scaler(df: DataFrame, cols, where: str | None = None) -> DataFrame:
 
 
 def apply_scaler(df: DataFrame, scaler: DataFrame, cols, prefix: str = "z_") -> DataFrame:
-    """Standardise with a fitted scaler; its values enter the plan as scalar
-    subqueries over the one-row-per-column scaler table."""
-    out = df
-    for c in cols:
-        one = scaler.where(F.col("column") == c)
-        m = one.select("mean").scalar()
-        s = one.select("std").scalar()
-        out = out.withColumn(prefix + c, (F.col(c) - m) / s)
-    return out
+    """Standardise with a fitted scaler. Like any ``pyspark.ml`` fit, the
+    fitted parameters (two numbers per column, never data rows) come back to
+    the driver once and enter the plan as literals, so the transform is a
+    plain projection inside whole-stage codegen."""
+    p = {r["column"]: (r["mean"], r["std"]) for r in scaler.collect()}
+    return df.select("*", *[((F.col(c) - F.lit(p[c][0])) / F.lit(p[c][1])).alias(prefix + c) for c in cols])

@@ -74,7 +74,7 @@ def _grid_pass(cnt: DataFrame, by, start, step, points: int, alpha_max: float |
 
 
 def weibull_mle(df: DataFrame, by, t: str = "t", failed: str = "failed", alpha_max: float | None = None,
-                min_failures: int = 2) -> DataFrame:
+                min_failures: int = 1) -> DataFrame:
     """Per group beta, alpha, median life (alpha * ln2^(1/beta)),
     n and failures; null estimates when failures < ``min_failures``.
     With ``alpha_max`` the scale is capped (for a fixed beta the likelihood is
@@ -146,4 +146,4 @@ def censor_sweep(df: DataFrame, by, times, t: str = "t", failed: str = "failed")
                   F.explode(F.array(*[F.lit(float(v)) for v in times])).alias("inspect_t"))
     x = x.select(*by, "inspect_t", F.least("_t", "inspect_t").alias("t"),
                  (F.col("_f").cast("boolean") & (F.col("_t") <= F.col("inspect_t"))).cast("int").alias("failed"))
-    return weibull_mle(x, [*by, "inspect_t"])
+    return weibull_mle(x, [*by, "inspect_t"], min_failures=2)

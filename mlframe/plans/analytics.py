@@ -32,9 +32,10 @@ def standardize(spark, d):
 
 
 def _thresholds(sc):
-    few = sc.where("is_labeled = 1").agg(F.min("score")).scalar() * 0.9
-    base = sc.where("is_labeled = 0").agg(F.percentile("score", 0.99)).scalar()
-    return few, base
+    """Fitted thresholds (two numbers) from one aggregate pass."""
+    lo_lab, p99 = sc.agg(F.min(F.when(F.col("is_labeled") == 1, F.col("score"))),
+                         F.percentile(F.when(F.col("is_labeled") == 0, F.col("score")), 0.99)).first()
+    return (lo_lab * 0.9 if lo_lab is not None else None), p99
 
 
 THRESH_SQL = """,
@@ -52,7 +53,8 @@ def fewshot_threshold(spark, d):
     unlabeled scores."""
     sc = B.sensor_scores(spark, d)
     few, base = _thresholds(sc)
-    return sc.agg(F.round(F.lit(1.0) * few, 6).alias("fewshot_threshold"), F.round(F.lit(1.0) * base, 6).alias("baseline_p99"),
+    return sc.agg(F.round(F.lit(few).cast("double"), 6).alias("fewshot_threshold"),
+                  F.round(F.lit(base).cast("double"), 6).alias("baseline_p99"),
                   F.count_if(F.col("is_labeled") == 1).alias("n_labeled"))
 
 
@@ -119,8 +121,8 @@ def pr_curve(spark, d):
     """M6: precision / recall / FPR at every distinct score (descending)."""
     sc = B.sensor_scores(spark, d).where("holdout = 1")
     cp = MT.curve_points(sc, "is_failure", "score")
-    P = sc.agg(F.count_if(F.col("is_failure") == 1).cast("double")).scalar()
-    N = sc.agg(F.count_if(F.col("is_failure") != 1).cast("double")).scalar()
+    P, N = sc.agg(F.count_if(F.col("is_failure") == 1).cast("double"),
+                  F.count_if(F.col("is_failure") != 1).cast("double")).first()
     return cp.select(F.col("s").alias("threshold"), F.col("pos_cum").alias("tp"), F.col("neg_cum").alias("fp"),
                      F.round(F.col("pos_cum") / (F.col("pos_cum") + F.col("neg_cum")), 6).alias("precision"),
                      F.round(F.col("pos_cum") / P, 6).alias("recall"), F.round(F.col("neg_cum") / N, 6).alias("fpr"))
@@ -154,7 +156,7 @@ def model_leaderboard(spark, d):
     a = MT.ranking_metrics(sc, "is_failure", "score").withColumn("model", F.lit("distance"))
     b = MT.ranking_metrics(sc, "is_failure", "score_b").withColumn("model", F.lit("qty_rule"))
     m = a.unionByName(b)
-    champ = m.agg(F.max_by("model", "avg_precision")).scalar()
+    champ = m.agg(F.max_by("model", "avg_precision")).first()[0]
     return m.select("model", "roc_auc", "avg_precision", (F.col("model") == champ).alias("is_champion"))
 
 
@@ -190,8 +192,8 @@ res AS (SELECT {by}, arg_max(beta, ll) AS beta, arg_max({alpha}, ll) AS alpha, a
 """
 
 
-def _mle_select(by="grp", cap=None):
-    ok = "nf >= 2"
+def _mle_select(by="grp", cap=None, min_failures=1):
+    ok = f"nf >= {min_failures}"
     cols = (f"{by}, CASE WHEN {ok} THEN round(beta, 4) END AS beta, CASE WHEN {ok} THEN {R('alpha', 2)} END AS alpha, "
             f"CASE WHEN {ok} THEN {R(f'alpha * pow({math.log(2)!r}, 1.0 / beta)', 2)} END AS median_life, "
             f"CAST(n AS BIGINT) AS n, CAST(nf AS BIGINT) AS n_failed")
@@ -254,7 +256,7 @@ x AS (SELECT grp, inspect_t, least(CAST(t AS DOUBLE), inspect_t) AS t,
              CAST(failed = 1 AND t <= inspect_t AS INTEGER) AS failed
       FROM lt, (SELECT unnest([""" + ", ".join(f"{v!r}" for v in SWEEP_TIMES) + """]) AS inspect_t)),
 cnt AS (SELECT grp, inspect_t, t, failed AS f, CAST(count(*) AS DOUBLE) AS w FROM x GROUP BY ALL)"""
-       + _mle_sql(by="grp, inspect_t") + _mle_select(by="grp, inspect_t"))
+       + _mle_sql(by="grp, inspect_t") + _mle_select(by="grp, inspect_t", min_failures=2))
 def censor_sweep(spark, d):
     """Refit at each inspection time with the lifetimes censored there."""
     return SV.censor_sweep(B.lifetimes(spark, d), "grp", SWEEP_TIMES)
