@@ -26,3 +26,61 @@ def sentences(text) -> Column:
 SENTENCE_SQL = r"""(CASE WHEN len(list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?])\s+', '\1' || chr(31), 'g'), chr(31)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: length(x) > 0)) > 0
   THEN list_transform(list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?])\s+', '\1' || chr(31), 'g'), chr(31)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: length(x) > 0), lambda x: substr(x, 1, 1000))
   ELSE [''] END)"""
+
+
+# ---- lexicon model (our stand-in for per-sentence entity + sentiment models) --
+# Positive / negative cue words across the four corpus languages (our own list).
+POSITIVE_WORDS = ["good", "great", "excellent", "happy", "bon", "bonne", "super", "gut", "toll", "bueno", "buena"]
+NEGATIVE_WORDS = ["bad", "poor", "terrible", "sad", "mauvais", "mauvaise", "schlecht", "malo", "mala"]
+STRIP_CHARS = ".,;:!?()\"'"
+ENTITY_RULES = [("ORG", r"[A-Z]{2,}"), ("NUM", r"[0-9]{3,}")]  # full-token matches; '@' in a token -> EMAIL
+
+
+def lexicon_model():
+    """Per-sentence model as a plain Python object, built once per partition
+    by the iterator map (the analogue of loading a model once per worker)."""
+    import re
+
+    pos, neg = set(POSITIVE_WORDS), set(NEGATIVE_WORDS)
+    rules = [(t, re.compile(p)) for t, p in ENTITY_RULES]
+
+    def entity_type(tok):
+        if "@" in tok:
+            return "EMAIL"
+        for t, rx in rules:
+            if rx.fullmatch(tok):
+                return t
+        return None
+
+    def run(sentence: str):
+        toks = [t.strip(STRIP_CHARS) for t in sentence.split()]
+        ents = [{"text": t, "type": ty} for t in toks if (ty := entity_type(t))]
+        low = [t.lower() for t in toks]
+        d = sum(t in pos for t in low) - sum(t in neg for t in low)
+        label = "POSITIVE" if d > 0 else "NEGATIVE"
+        score = min(0.99, max(0.01, 0.5 + 0.1 * d))
+        return ents, label, score
+
+    return run
+
+
+def _tokens(s):
+    return F.transform(F.split(s, r"\s+"), lambda w: F.trim(w, F.lit(STRIP_CHARS)))
+
+
+def _entity_type(w):
+    return (F.when(F.instr(w, "@") > 0, F.lit("EMAIL"))
+            .when(w.rlike("^[A-Z]{2,}$"), F.lit("ORG"))
+            .when(w.rlike("^[0-9]{3,}$"), F.lit("NUM")))
+
+
+def lexicon_arrays(sents) -> tuple[Column, Column]:
+    """The lexicon model as pure array expressions (no Python): entity types
+    of every sentence flattened, and the per-sentence cue balance."""
+    s = F.col(sents) if isinstance(sents, str) else sents
+    pos = F.array(*[F.lit(w) for w in POSITIVE_WORDS])
+    neg = F.array(*[F.lit(w) for w in NEGATIVE_WORDS])
+    types = F.flatten(F.transform(s, lambda x: F.filter(F.transform(_tokens(x), _entity_type), lambda t: t.isNotNull())))
+    bal = F.transform(s, lambda x: F.size(F.filter(_tokens(x), lambda w: F.array_contains(pos, F.lower(w))))
+                      - F.size(F.filter(_tokens(x), lambda w: F.array_contains(neg, F.lower(w)))))
+    return types, bal
