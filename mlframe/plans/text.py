@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from mlframe import bindings as B
@@ -62,7 +63,7 @@ def iterator_map(spark, d):
     return TX.infer_sentences(docs)
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def _risk(amount: pd.Series, hour: pd.Series) -> pd.Series:
     import numpy as np
     return 1.0 / (1.0 + np.exp(-(0.02 * amount.fillna(0.0) + 0.1 * hour.fillna(0) - 2.0)))
