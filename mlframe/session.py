@@ -25,7 +25,7 @@ LOCAL_CONF = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "mlframe") -> SparkSession:
+              app: str = "mlframe", extra: dict | None = None) -> SparkSession:
     master = master or os.environ.get("MLFRAME_MASTER", "local[8]")
     b = SparkSession.builder.master(master).appName(app)
     for k, v in LOCAL_CONF.items():
@@ -33,6 +33,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     b = b.config("spark.driver.memory", os.environ.get("MLFRAME_DRIVER_MEM", "16g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra or {}).items():
+        b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
