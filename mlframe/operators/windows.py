@@ -17,17 +17,20 @@ from mlframe.operators.ranking import positions
 
 def halo_blocks(df: DataFrame, key, order: list, halo: int, block_rows: int, bucket: Column) -> DataFrame:
     """Number rows within ``key`` (by ``order``), cut into blocks of
-    ``block_rows`` and copy the last ``halo`` rows of each block into the next
-    one (``_halo`` = 1 on the copies). Window over (key, ``_blk``) and drop
-    the halo rows afterwards."""
+    ``block_rows`` and copy every row into the following blocks whose frame
+    reaches back to it (the ``halo`` rows before each block's first row);
+    ``_halo`` = 1 on the copies. Window over (key, ``_blk``) and drop the
+    halo rows afterwards."""
     key = [key] if isinstance(key, str) else list(key)
     d = positions(df, order, bucket, partition=key, name="_pos")
-    blk = F.floor((F.col("_pos") - 1) / block_rows)
-    off = (F.col("_pos") - 1) % block_rows
-    copies = F.when(off >= block_rows - halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return (d.withColumn("_c", F.explode(copies))
+    p0 = F.col("_pos") - 1
+    blk = F.floor(p0 / block_rows)
+    reach = -(-halo // block_rows)  # how many later blocks one row can serve
+    ks = F.filter(F.sequence(F.lit(0), F.lit(reach)),
+                  lambda k: (k == 0) | (p0 >= (blk + k) * block_rows - halo))
+    return (d.withColumn("_c", F.explode(ks))
             .withColumn("_blk", (blk + F.col("_c")).cast("long"))
-            .withColumn("_halo", F.col("_c")).drop("_c"))
+            .withColumn("_halo", (F.col("_c") > 0).cast("int")).drop("_c"))
 
 
 def rolling_z(df: DataFrame, key: str, ts: str, col: str, n: int = 12, decimals: int = 2,
@@ -41,7 +44,7 @@ def rolling_z(df: DataFrame, key: str, ts: str, col: str, n: int = 12, decimals:
     part = [key]
     base = df
     if block_rows:
-        base = halo_blocks(df, key, [F.col(ts)], n, block_rows, F.date_trunc("day", ts))
+        base = halo_blocks(df, key, [F.col(ts)], n, block_rows, F.date_trunc("hour", ts))
         part = [key, "_blk"]
     w = Window.partitionBy(*part).orderBy(ts).rowsBetween(-n, -1)
     x = F.col(col)

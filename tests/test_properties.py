@@ -23,11 +23,11 @@ def test_asof_matches_brute_force_range_join(spark, sf_dir):
     got = asof_join(p.select("event_id", "account_id", "event_ts"),
                     [AsOfLookup(daily, ["account_id"], "feature_ts")], "event_ts", bucket="week")
     # brute force: all earlier feature rows, keep the newest
-    cand = p.select("event_id", "account_id", "event_ts").join(daily, "account_id", "left") \
-        .where(F.col("feature_ts").isNull() | (F.col("feature_ts") <= F.col("event_ts")))
-    w = Window.partitionBy("event_id").orderBy(F.col("feature_ts").desc_nulls_last())
-    brute = cand.withColumn("r", F.row_number().over(w)).where("r = 1") \
-        .select("event_id", F.when(F.col("feature_ts") <= F.col("event_ts"), F.col("acct_daily_cnt")).alias("acct_daily_cnt"))
+    s = p.select("event_id", "account_id", "event_ts").alias("s")
+    f = daily.alias("f")
+    cand = s.join(f, (F.col("s.account_id") == F.col("f.account_id")) & (F.col("f.feature_ts") <= F.col("s.event_ts")), "left")
+    w = Window.partitionBy("event_id").orderBy(F.col("f.feature_ts").desc_nulls_last())
+    brute = cand.withColumn("r", F.row_number().over(w)).where("r = 1").select("event_id", "acct_daily_cnt")
     a = {r[0]: r[1] for r in got.select("event_id", "acct_daily_cnt").collect()}
     b = {r[0]: r[1] for r in brute.collect()}
     assert len(a) == p.count()
