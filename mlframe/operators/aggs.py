@@ -97,10 +97,15 @@ def latency_summary(df: DataFrame, col: str, ts: str | None = None, by=(), metho
                     digits: int = 4) -> DataFrame:
     """P10/P50/P90/P99, mean, max (and rows/second over the time
     span). ``linear`` interpolates (``percentile``); ``nearest`` is the
-    nearest-rank definition (``percentile_disc``)."""
+    nearest-rank definition (``percentile_disc``). Both exact forms keep a
+    per-group value histogram; ``approx`` is the bounded-memory sketch
+    (``percentile_approx``) to use when a group holds very many distinct
+    values."""
     by = [by] if isinstance(by, str) else list(by)
     qs = [0.1, 0.5, 0.9, 0.99]
-    if method == "linear":
+    if method == "approx":
+        pct = [F.percentile_approx(col, q, 10000).alias(f"p{int(q * 100)}") for q in qs]
+    elif method == "linear":
         pct = [F.percentile(col, q).alias(f"p{int(q * 100)}") for q in qs]
     else:
         pct = [F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY {col})").alias(f"p{int(q * 100)}") for q in qs]

@@ -52,15 +52,28 @@ def rolling_counters(df: DataFrame, key: str = "instrument_id", ts: str = "event
 
 
 def pit_counters(df: DataFrame, key: str = "instrument_id", ts: str = "event_ts",
-                 seconds: int = 3600) -> DataFrame:
+                 seconds: int = 3600, bucket: str | None = "day") -> DataFrame:
     """Counters over the ``seconds`` before each event, the event itself
-    excluded (leak-free form of A1). Range frame on epoch microseconds."""
+    excluded (leak-free form of A1). Range frame on epoch microseconds.
+
+    With ``bucket`` the window partitions by (key, time bucket) and every row
+    from the last ``seconds`` of a bucket is also copied into the next bucket
+    as a halo, so a hot key is split by time and the answer stays exact (the
+    frame is never longer than a bucket)."""
     t = F.unix_micros(F.col(ts).cast("timestamp"))
-    w = Window.partitionBy(key).orderBy(t).rangeBetween(-seconds * 1_000_000, -1)
-    return df.select("*",
-                     F.count(F.lit(1)).over(w).alias("pit_txn_cnt"),
-                     F.coalesce(F.sum((F.col("outcome") == "hard_fail").cast("int")).over(w), F.lit(0)).alias("pit_fail_cnt"),
-                     F.round(F.avg("amount").over(w), 4).alias("pit_avg_amount"))
+    span = seconds * 1_000_000
+    aggs = lambda w: [F.count(F.lit(1)).over(w).alias("pit_txn_cnt"),
+                      F.coalesce(F.sum((F.col("outcome") == "hard_fail").cast("int")).over(w), F.lit(0)).alias("pit_fail_cnt"),
+                      F.round(F.avg("amount").over(w), 4).alias("pit_avg_amount")]
+    if not bucket:
+        w = Window.partitionBy(key).orderBy(t).rangeBetween(-span, -1)
+        return df.select("*", *aggs(w))
+    start = F.date_trunc(bucket, ts)
+    nxt = F.date_trunc(bucket, F.col(ts) + F.expr(f"INTERVAL {seconds} SECONDS"))
+    copies = F.when(nxt > start, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    d = df.withColumn("_c", F.explode(copies)).withColumn("_b", F.when(F.col("_c") == 0, start).otherwise(nxt))
+    w = Window.partitionBy(key, "_b").orderBy(t).rangeBetween(-span, -1)
+    return d.select("*", *aggs(w)).where("_c = 0").drop("_c", "_b")
 
 
 def create_training_set(spine: DataFrame, *, instrument_counters: DataFrame, daily: DataFrame,

@@ -78,11 +78,9 @@ def profile(df: DataFrame, cols, slice_col: str | None, ts: str, window: str = "
     aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("v").isNull()).alias("nulls"),
             F.round(F.avg(F.col("v").isNull().cast("double")) * 100, 4).alias("pct_null"),
             exact_avg("v", decimals).alias("mean"), F.count_distinct("v").alias("distinct")]
-    per = long.groupBy("window_start", "slice", "column").agg(*aggs)
-    if not slice_col:
-        return per
-    allv = long.groupBy("window_start", "column").agg(*aggs).withColumn("slice", F.lit("*"))
-    return per.unionByName(allv)
+    if slice_col:  # each value counts for its slice and for "*": one aggregate, one shuffle
+        long = long.withColumn("slice", F.explode(F.array(F.col("slice"), F.lit("*"))))
+    return long.groupBy("window_start", "slice", "column").agg(*aggs)
 
 
 def js_drift(df: DataFrame, col: str, ts: str, lo: float, hi: float, bins: int = 20,

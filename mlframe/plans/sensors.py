@@ -23,7 +23,10 @@ z AS (SELECT *, CASE WHEN roll_std IS NULL OR roll_std = 0 THEN 0.0 ELSE (value
 """
 
 
-def scored(spark, d, block_rows=None):
+BLOCK_ROWS = 100_000  # rows per (tag, block) task; a hot tag is spread over many blocks
+
+
+def scored(spark, d, block_rows=BLOCK_ROWS):
     r = B.readings(spark, d)
     return W.rolling_z(r, "tag_id", "reading_ts", "value", 12, block_rows=block_rows)
 
@@ -107,19 +110,17 @@ UNION ALL SELECT 'reason', reason, count(*) FROM gold GROUP BY 2
 UNION ALL SELECT 'tag', tag_id, count(*) FROM gold GROUP BY 2
 """)
 def monitor_slices(spark, d):
-    """Dashboard slices over the anomaly table (per hour, area, reason, tag)."""
+    """Dashboard slices over the anomaly table (per hour, area, reason,
+    tag) in ONE aggregate: every anomaly emits its four (slice, key) pairs."""
     g = gold(spark, d)
     area = F.concat(F.lit("area_"), (F.regexp_extract("tag_id", r"(\d+)$", 1).cast("int") % 3).cast("string"))
-    parts = [
-        g.groupBy(F.date_format(F.date_trunc("hour", "reading_ts"), "yyyy-MM-dd HH:00").alias("k")).count().select(F.lit("hour").alias("slice"), "k", F.col("count").alias("n")),
-        g.groupBy(area.alias("k")).count().select(F.lit("area").alias("slice"), "k", F.col("count").alias("n")),
-        g.groupBy(F.col("reason").alias("k")).count().select(F.lit("reason").alias("slice"), "k", F.col("count").alias("n")),
-        g.groupBy(F.col("tag_id").alias("k")).count().select(F.lit("tag").alias("slice"), "k", F.col("count").alias("n")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    pairs = F.array(
+        F.struct(F.lit("hour").alias("slice"), F.date_format(F.date_trunc("hour", "reading_ts"), "yyyy-MM-dd HH:00").alias("k")),
+        F.struct(F.lit("area").alias("slice"), area.alias("k")),
+        F.struct(F.lit("reason").alias("slice"), F.col("reason").alias("k")),
+        F.struct(F.lit("tag").alias("slice"), F.col("tag_id").alias("k")))
+    return (g.select(F.explode(pairs).alias("p")).groupBy("p.slice", "p.k")
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 @query("monitor_newest", sql=GOLD_SQL.format(low_reason="", low_cond="") + " ORDER BY reading_ts DESC, reading_id LIMIT 20")
