@@ -146,3 +146,12 @@ def test_knn_matches_brute_force(spark, sf_dir):
         qv = np.array(qv, dtype=float)
         best = min(T, key=lambda t: (float(((t[1] - qv) ** 2).sum()), t[0]))[0]
         assert got[qid] == best
+
+
+def test_arrow_lexicon_equals_python_model(spark, sf_dir):
+    from mlframe.functions.text import sentences
+    from mlframe.operators.text import doc_summary, infer_sentences, infer_sentences_arrow
+    docs = read(spark, sf_dir, "documents", ["doc_id", "text"]).select("doc_id", sentences("text").alias("sentences"))
+    a = doc_summary(infer_sentences_arrow(docs)).collect()
+    b = doc_summary(infer_sentences(docs)).collect()
+    assert sorted(a) == sorted(b) and len(a) == docs.count()
