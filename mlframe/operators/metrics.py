@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from mlframe.operators.joins import match_intervals
 from mlframe.operators.ranking import running_sums
+from mlframe.session import ensure_checkpoint_dir
 
 
 def window_recall(intervals: DataFrame, detections: DataFrame, key: str, ts: str, kind: str,
@@ -60,7 +61,10 @@ def curve_points(df: DataFrame, label: str, score: str, by=(), buckets: int = 40
     Running sums use range buckets of the score (by its rank among the
     distinct-score table's own min/max) so no single task orders all scores."""
     by = [by] if isinstance(by, str) else list(by)
-    sc = score_counts(df, label, score, by)
+    # the distinct-score table feeds three passes (range, running sums,
+    # totals): materialise it once in the shared checkpoint folder
+    ensure_checkpoint_dir(df.sparkSession)
+    sc = score_counts(df, label, score, by).checkpoint(eager=True)
     lo, hi = sc.agg(F.min("s"), F.max("s")).first()  # fitted range: two numbers
     lo, hi = (lo or 0.0), (hi or 0.0)
     width = F.lit(max(hi - lo, 1e-300))
