@@ -71,7 +71,7 @@ def profile(df: DataFrame, cols, slice_col: str | None, ts: str, window: str = "
     """Q3: per time window, slice ("*" = all rows) and column: count, nulls,
     % null, mean and distinct count. Columns are unpivoted once so a single
     aggregate (with a grouping set for the all-slices row) does the work."""
-    long = df.select(F.date_trunc(window, ts).alias("window_start"),
+    long = df.select(F.date_trunc(window, ts).cast("timestamp_ntz").alias("window_start"),
                      (F.col(slice_col) if slice_col else F.lit("*")).alias("slice"),
                      *[F.col(c).cast("double").alias(c) for c in cols]) \
         .unpivot(["window_start", "slice"], list(cols), "column", "v")
@@ -105,7 +105,8 @@ def js_drift(df: DataFrame, col: str, ts: str, lo: float, hi: float, bins: int =
     m = (F.col("p") + F.col("q")) / 2
     kl = lambda a: F.when(F.col(a) > 0, F.col(a) * F.log2(F.col(a) / m)).otherwise(0.0)
     js = j.groupBy("w", "pw").agg((0.5 * F.sum(kl("p")) + 0.5 * F.sum(kl("q"))).alias("jsd"))
-    return js.select(F.col("w").alias("window_start"), F.col("pw").alias("prev_window"),
+    return js.select(F.col("w").cast("timestamp_ntz").alias("window_start"),
+                     F.col("pw").cast("timestamp_ntz").alias("prev_window"),
                      F.round(F.sqrt(F.greatest(F.col("jsd"), F.lit(0.0))), digits).alias("js_distance"))
 
 

@@ -254,7 +254,7 @@ SWEEP_TIMES = [10.0, 20.0, 30.0, 40.0]
 @query("censor_sweep", sql=B.cte(lt=B.LIFETIMES_SQL) + """,
 x AS (SELECT grp, inspect_t, least(CAST(t AS DOUBLE), inspect_t) AS t,
              CAST(failed = 1 AND t <= inspect_t AS INTEGER) AS failed
-      FROM lt, (SELECT unnest([""" + ", ".join(f"{v!r}" for v in SWEEP_TIMES) + """]) AS inspect_t)),
+      FROM lt, (SELECT unnest([""" + ", ".join(f"{v!r}::DOUBLE" for v in SWEEP_TIMES) + """]) AS inspect_t)),
 cnt AS (SELECT grp, inspect_t, t, failed AS f, CAST(count(*) AS DOUBLE) AS w FROM x GROUP BY ALL)"""
        + _mle_sql(by="grp, inspect_t") + _mle_select(by="grp, inspect_t", min_failures=2))
 def censor_sweep(spark, d):

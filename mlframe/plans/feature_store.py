@@ -195,7 +195,7 @@ def profile_encode(spark, d):
 @query("pit_counters", sql=PAY + f"""
 SELECT event_id, instrument_id,
   count(*) OVER w AS pit_txn_cnt,
-  coalesce(sum(CAST(outcome = 'hard_fail' AS INTEGER)) OVER w, 0) AS pit_fail_cnt,
+  CAST(coalesce(sum(CAST(outcome = 'hard_fail' AS INTEGER)) OVER w, 0) AS BIGINT) AS pit_fail_cnt,
   {R('avg(amount) OVER w', 4)} AS pit_avg_amount
 FROM payments
 WINDOW w AS (PARTITION BY instrument_id ORDER BY epoch_us(event_ts)

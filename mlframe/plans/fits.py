@@ -144,8 +144,10 @@ def _rating_features(spark, d):
 COUNT_FEATURES_SQL = ENTITY_SQL.replace("FROM ratings r JOIN u USING (user_id) JOIN i USING (item_id)", """
 FROM ratings r JOIN u USING (user_id) JOIN i USING (item_id) LEFT JOIN part ON p_partkey = r.item_id""").replace(
     "SELECT r.user_id,", "SELECT " + ", ".join(f"CAST(contains(p_name, '{t}') AS INTEGER) AS g_{t}" for t in GENRE_TERMS)
-    + ", hour(make_timestamp(r.ts_micros)) AS hour, dayofweek(make_timestamp(r.ts_micros)) + 1 AS dow,"
-      " month(make_timestamp(r.ts_micros)) AS month, year(make_timestamp(r.ts_micros)) AS year, r.user_id,", 1)
+    + ", CAST(hour(make_timestamp(r.ts_micros)) AS INTEGER) AS hour,"
+      " CAST(dayofweek(make_timestamp(r.ts_micros)) + 1 AS INTEGER) AS dow,"
+      " CAST(month(make_timestamp(r.ts_micros)) AS INTEGER) AS month,"
+      " CAST(year(make_timestamp(r.ts_micros)) AS INTEGER) AS year, r.user_id,", 1)
 
 
 @query("count_entity_features", sql=COUNT_FEATURES_SQL)

@@ -122,9 +122,10 @@ def log_features(spark, d):
 
 
 @query("calendar_parts", sql="""
-SELECT o_orderkey, hour(o_orderdate) AS hour, dayofweek(o_orderdate) + 1 AS dow, month(o_orderdate) AS month,
-       year(o_orderdate) AS year, dayofyear(o_orderdate) AS doy, weekofyear(o_orderdate) AS iso_week,
-       quarter(o_orderdate) AS quarter,
+SELECT o_orderkey, CAST(hour(o_orderdate) AS INTEGER) AS hour, CAST(dayofweek(o_orderdate) + 1 AS INTEGER) AS dow,
+       CAST(month(o_orderdate) AS INTEGER) AS month, CAST(year(o_orderdate) AS INTEGER) AS year,
+       CAST(dayofyear(o_orderdate) AS INTEGER) AS doy, CAST(weekofyear(o_orderdate) AS INTEGER) AS iso_week,
+       CAST(quarter(o_orderdate) AS INTEGER) AS quarter,
        epoch_ms(CAST(epoch_ms(o_orderdate) AS BIGINT)) AS from_ms
 FROM orders
 """)
@@ -160,7 +161,7 @@ def multi_hot(spark, d):
 
 @query("json_roundtrip", sql="""
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-       to_json({'event_id': event_id, 'k': CAST(json_extract_string(props, '$.k') AS INTEGER)}) AS payload
+       CAST(to_json({'event_id': event_id, 'k': CAST(json_extract_string(props, '$.k') AS INTEGER)}) AS VARCHAR) AS payload
 FROM events
 """)
 def json_roundtrip(spark, d):
@@ -349,7 +350,7 @@ def interval_join(spark, d):
 
 @query("expr_key_join", sql=f"""
 WITH mo AS (SELECT month(o_orderdate) AS mo, avg(o_totalprice) AS avg_price FROM orders GROUP BY 1)
-SELECT month(l_shipdate) AS ship_month, count(*) AS n_lines, {R('max(mo.avg_price)', 2)} AS month_avg_price
+SELECT CAST(month(l_shipdate) AS INTEGER) AS ship_month, count(*) AS n_lines, {R('max(mo.avg_price)', 2)} AS month_avg_price
 FROM lineitem JOIN mo ON month(l_shipdate) = mo.mo
 GROUP BY 1
 """)

@@ -92,7 +92,7 @@ g AS (SELECT *, row_number() OVER (PARTITION BY tag_id ORDER BY reading_ts)
               - row_number() OVER (PARTITION BY tag_id, flag ORDER BY reading_ts) AS grp FROM f),
 runs AS (SELECT tag_id, min(reading_ts) AS start_ts, max(reading_ts) AS end_ts, count(*) AS n_rows
          FROM g WHERE flag = 1 GROUP BY tag_id, grp)
-SELECT *, row_number() OVER (PARTITION BY tag_id ORDER BY start_ts) AS episode_no FROM runs
+SELECT *, CAST(row_number() OVER (PARTITION BY tag_id ORDER BY start_ts) AS INTEGER) AS episode_no FROM runs
 """)
 def episodes(spark, d):
     r = B.readings(spark, d)

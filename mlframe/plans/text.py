@@ -28,7 +28,8 @@ a AS (SELECT doc_id,
   list_transform(toks, lambda ts: len(list_filter(ts, lambda w: list_contains({_POS}, lower(w))))
                                  - len(list_filter(ts, lambda w: list_contains({_NEG}, lower(w))))) AS d
   FROM t)
-SELECT doc_id, len(types) AS n_entities, len(d) AS n_sentences, len(list_filter(d, lambda v: v > 0)) AS n_positive,
+SELECT doc_id, CAST(len(types) AS INTEGER) AS n_entities, CAST(len(d) AS INTEGER) AS n_sentences,
+  CAST(len(list_filter(d, lambda v: v > 0)) AS INTEGER) AS n_positive,
   {R("CASE WHEN len(d) > 0 THEN list_sum(list_transform(d, lambda v: least(0.99, greatest(0.01, 0.5 + 0.1 * v)))) / len(d) ELSE 0.0 END")} AS mean_score,
   coalesce(list_sort(list_transform(list_distinct(types), lambda ty: {{'n': -len(list_filter(types, lambda q: q = ty)), 't': ty}}))[1].t, '') AS top_entity_type
 FROM a

@@ -19,7 +19,7 @@ DEMAND = SALES + ", demand AS (" + MONTHLY_DEMAND_SQL.replace(
 @query("lag_features", sql=DEMAND + """
 SELECT * FROM (
   SELECT brand, region, ds, y, lag(y, 1) OVER w AS lag1, lag(y, 2) OVER w AS lag2, lag(y, 3) OVER w AS lag3,
-         lag(y, 12) OVER w AS lag12, month(ds) AS month
+         lag(y, 12) OVER w AS lag12, CAST(month(ds) AS INTEGER) AS month
   FROM demand WINDOW w AS (PARTITION BY brand, region ORDER BY ds))
 WHERE lag1 IS NOT NULL AND lag2 IS NOT NULL AND lag3 IS NOT NULL AND lag12 IS NOT NULL
 """)
@@ -65,7 +65,7 @@ def row_position(spark, d):
 
 @query("top_n_per_group", sql=SALES + """,
 rev AS (SELECT account_id, sku_id, round(sum(net_revenue), 4) AS revenue FROM sales GROUP BY ALL)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY revenue DESC, sku_id) AS rank FROM rev)
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY account_id ORDER BY revenue DESC, sku_id) AS INTEGER) AS rank FROM rev)
 WHERE rank <= 5
 """)
 def top_n_per_group(spark, d):
