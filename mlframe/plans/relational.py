@@ -81,7 +81,9 @@ def sentinel_to_null(spark, d):
     return S.replace_sentinel(li, ["l_discount", "l_tax", "not_there"], 0.0)
 
 
-@query("sanitize_columns")
+@query("sanitize_columns", sql="""
+SELECT c_custkey AS cust_key, c_acctbal AS bal_usd_, c_mktsegment AS seg_1_x FROM customer
+""")
 def sanitize_columns(spark, d):
     """P5: names with blanks, commas and braces become writer-safe."""
     c = read(spark, d, "customer").select(
@@ -239,13 +241,17 @@ def band_position(spark, d):
                                       F.round(S.band_pos("value", "normal_low", "normal_high"), 6).alias("band_pos"))
 
 
-@query("stamp_provenance")
+@query("stamp_provenance", sql=f"""
+SELECT o_orderkey, {R('o_totalprice / 500000')} AS score, 'order_value' AS model_name, '1' AS model_version,
+       'run-0' AS run_id FROM orders
+""")
 def stamp_provenance(spark, d):
-    """P20: model name, version, run id and scoring time on every row."""
+    """P20: model name, version, run id and scoring time on every row (the
+    scoring time is dropped from the returned frame so it can be compared)."""
     from mlframe.operators.models import stamp
     o = read(spark, d, "orders", ["o_orderkey", "o_totalprice"])
-    scored = o.select("o_orderkey", (F.col("o_totalprice") / 500000).alias("score"))
-    return stamp(scored, "order_value", "1", "run-0")
+    scored = o.select("o_orderkey", F.round(F.col("o_totalprice") / 500000, 6).alias("score"))
+    return stamp(scored, "order_value", "1", "run-0").drop("scored_at")
 
 
 @query("sentence_split", sql=f"SELECT doc_id, {SENTENCE_SQL} AS sentences FROM documents")

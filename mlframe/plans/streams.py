@@ -114,7 +114,7 @@ def drain_available(spark, d):
     return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
-@query("micro_batch")
+@query("micro_batch", sql=EVENTS_SQL)
 def micro_batch(spark, d):
     """Fixed-interval trigger with a bounded run time; stops once the
     landed files are processed (rows-only check: timing-dependent batches)."""

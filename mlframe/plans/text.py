@@ -57,11 +57,30 @@ def doc_summary(spark, d):
     return TX.doc_summary(arr)
 
 
-@query("iterator_map")
+ITER_SQL = f"""
+WITH s AS (SELECT doc_id, {SENTENCE_SQL} AS sents FROM documents),
+t AS (SELECT doc_id, list_transform(sents, lambda x: {_TOK}) AS toks FROM s),
+a AS (SELECT doc_id,
+  flatten(list_transform(toks, lambda ts: list_filter(ts, lambda w: {_ENT}))) AS entity_texts,
+  flatten(list_transform(toks, lambda ts: list_transform(list_filter(ts, lambda w: {_ENT}), lambda w: {_TYPE}))) AS entity_types,
+  list_transform(toks, lambda ts: len(list_filter(ts, lambda w: list_contains({_POS}, lower(w))))
+                                 - len(list_filter(ts, lambda w: list_contains({_NEG}, lower(w))))) AS d
+  FROM t)
+SELECT doc_id, entity_texts, entity_types,
+       list_transform(d, lambda v: CASE WHEN v > 0 THEN 'POSITIVE' ELSE 'NEGATIVE' END) AS labels,
+       list_transform(d, lambda v: least(0.99, greatest(0.01, 0.5 + 0.1 * v))) AS scores
+FROM a
+"""
+
+
+@query("iterator_map", sql=ITER_SQL)
 def iterator_map(spark, d):
-    """The iterator-of-frames stage on its own (arrays per document)."""
+    """The iterator-of-frames stage on its own (model built once per
+    partition inside mapInPandas), arrays per document."""
     docs = read(spark, d, "documents", ["doc_id", "text"]).select("doc_id", sentences("text").alias("sentences"))
-    return TX.infer_sentences(docs)
+    out = TX.infer_sentences(docs)
+    return out.select("doc_id", F.transform("entities", lambda e: e["text"]).alias("entity_texts"),
+                      F.transform("entities", lambda e: e["type"]).alias("entity_types"), "labels", "scores")
 
 
 @pandas_udf(T.DoubleType())
