@@ -102,12 +102,18 @@ def lagged_rolling(df: DataFrame, keys, ts: str, y: str, lags=(1, 2, 3, 7, 14, 3
                      F.avg(y).over(r30).alias("rolling_mean_lag30_window_size14"))
 
 
-def episodes(df: DataFrame, key: str, ts: str, flag: str) -> DataFrame:
+def episodes(df: DataFrame, key: str, ts: str, flag: str, bucket: str = "hour") -> DataFrame:
     """Contiguous runs of flagged rows per key (gaps and islands):
-    start, end, length and run number."""
-    w_all = Window.partitionBy(key).orderBy(ts)
-    w_flag = Window.partitionBy(key, flag).orderBy(ts)
-    g = df.select(key, ts, flag, (F.row_number().over(w_all) - F.row_number().over(w_flag)).alias("_grp"))
+    start, end, length and run number.
+
+    The two row numbers (within the key, and within key + flag) come from
+    :func:`positions` with time buckets, so a key holding most of the rows is
+    still numbered by many tasks; only the (much smaller) run table is
+    windowed per key at the end."""
+    b = F.date_trunc(bucket, ts)
+    d = positions(df.select(key, ts, flag), [F.col(ts)], b, partition=[key], name="_ra")
+    d = positions(d, [F.col(ts)], b, partition=[key, flag], name="_rf")
+    g = d.withColumn("_grp", F.col("_ra") - F.col("_rf"))
     runs = (g.where(F.col(flag) == 1).groupBy(key, "_grp")
             .agg(F.min(ts).alias("start_ts"), F.max(ts).alias("end_ts"), F.count(F.lit(1)).alias("n_rows")))
     w_run = Window.partitionBy(key).orderBy("start_ts")
