@@ -132,7 +132,12 @@ def score_iforest(df: DataFrame, cols, forest: DataFrame, name: str = "anomaly_s
 
 def flag_top(df: DataFrame, score: str = "anomaly_score", contamination: float = 0.02,
              name: str = "is_anomaly") -> DataFrame:
-    """Anomaly = score in the top ``contamination`` share. The cut is a
-    quantile sketch (rank error 1e-5), so no task holds every score."""
-    thr = df.agg(F.percentile_approx(score, 1 - contamination, 100000)).first()[0]
-    return df.withColumn(name, (F.col(score) >= thr).cast("int"))
+    """Anomaly = score at or above the exact (1 - contamination) quantile.
+    The scored frame is checkpointed once (scoring is the costly part) and
+    the quantile comes from bucketed order statistics, not a global sort."""
+    from mlframe.operators.ranking import exact_quantile
+    from mlframe.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
+    thr = exact_quantile(df, score, 1 - contamination)
+    return df.withColumn(name, (F.col(score) >= F.lit(thr)).cast("int"))

@@ -54,3 +54,26 @@ def unit_bucket(u, n: int = 1024) -> Column:
     """Bucket for a value in [0, 1) (hash draws, probabilities)."""
     col = F.col(u) if isinstance(u, str) else u
     return F.least(F.floor(col * n), F.lit(n - 1)).cast("int")
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, buckets: int = 4096):
+    """Exact linear-interpolation quantile (the ``percentile`` /
+    ``quantile_cont`` definition) without a per-group value histogram: the two
+    order statistics around ``q * (n - 1)`` are found with :func:`positions`
+    over value-range buckets, so no task sorts or holds the whole column.
+    Returns a Python float (None for an empty column)."""
+    import math
+
+    d = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    n, lo, hi = d.agg(F.count(F.lit(1)), F.min("_v"), F.max("_v")).first()
+    if not n:
+        return None
+    h = q * (n - 1)
+    r0 = int(math.floor(h)) + 1
+    r1 = min(r0 + 1, n)
+    width = max(hi - lo, 1e-300)
+    bucket = F.least(F.floor((F.col("_v") - lo) / width * buckets), F.lit(buckets - 1)).cast("int")
+    got = {r["pos"]: r["_v"] for r in positions(d, [F.col("_v")], bucket).where(F.col("pos").isin(r0, r1)).collect()}
+    x0, x1 = got[r0], got[r1]
+    frac = h - math.floor(h)
+    return x0 if frac == 0 else (math.ceil(h) - h) * x0 + (h - math.floor(h)) * x1

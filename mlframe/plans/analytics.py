@@ -32,9 +32,11 @@ def standardize(spark, d):
 
 
 def _thresholds(sc):
-    """Fitted thresholds (two numbers) from one aggregate pass."""
-    lo_lab, p99 = sc.agg(F.min(F.when(F.col("is_labeled") == 1, F.col("score"))),
-                         F.percentile(F.when(F.col("is_labeled") == 0, F.col("score")), 0.99)).first()
+    """Fitted thresholds (two numbers): 0.9 x the lowest labelled score, and
+    the exact P99 of unlabeled scores found by bucketed order statistics."""
+    from mlframe.operators.ranking import exact_quantile
+    lo_lab = sc.agg(F.min(F.when(F.col("is_labeled") == 1, F.col("score")))).first()[0]
+    p99 = exact_quantile(sc.where("is_labeled = 0"), "score", 0.99)
     return (lo_lab * 0.9 if lo_lab is not None else None), p99
 
 

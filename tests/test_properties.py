@@ -155,3 +155,11 @@ def test_arrow_lexicon_equals_python_model(spark, sf_dir):
     a = doc_summary(infer_sentences_arrow(docs)).collect()
     b = doc_summary(infer_sentences(docs)).collect()
     assert sorted(a) == sorted(b) and len(a) == docs.count()
+
+
+@pytest.mark.parametrize("q", [0.0, 0.1, 0.5, 0.98, 0.99, 1.0])
+def test_exact_quantile_equals_percentile(spark, sf_dir, q):
+    from mlframe.operators.ranking import exact_quantile
+    li = read(spark, sf_dir, "lineitem", ["l_extendedprice"])
+    ref = li.agg(F.percentile("l_extendedprice", q)).first()[0]
+    assert exact_quantile(li, "l_extendedprice", q, buckets=64) == pytest.approx(ref, rel=1e-12)
