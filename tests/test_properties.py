@@ -163,3 +163,26 @@ def test_exact_quantile_equals_percentile(spark, sf_dir, q):
     li = read(spark, sf_dir, "lineitem", ["l_extendedprice"])
     ref = li.agg(F.percentile("l_extendedprice", q)).first()[0]
     assert exact_quantile(li, "l_extendedprice", q, buckets=64) == pytest.approx(ref, rel=1e-12)
+
+
+@pytest.mark.parametrize("bucket", ["hour", "day"])
+def test_pit_counters_time_halo_equals_plain(spark, sf_dir, bucket):
+    from mlframe.operators.features import pit_counters
+    p = B.payments(spark, sf_dir)
+    cols = ["event_id", "pit_txn_cnt", "pit_fail_cnt", "pit_avg_amount"]
+    plain = pit_counters(p, bucket=None).select(*cols)
+    halo = pit_counters(p, bucket=bucket).select(*cols)
+    assert sorted(plain.collect()) == sorted(halo.collect())
+
+
+def test_episodes_match_plain_gaps_and_islands(spark, sf_dir):
+    r = B.readings(spark, sf_dir).withColumn("flag", (F.col("value") > 60).cast("int"))
+    got = W.episodes(r, "tag_id", "reading_ts", "flag", bucket="hour")
+    wa = Window.partitionBy("tag_id").orderBy("reading_ts")
+    wf = Window.partitionBy("tag_id", "flag").orderBy("reading_ts")
+    g = r.select("tag_id", "reading_ts", "flag", (F.row_number().over(wa) - F.row_number().over(wf)).alias("g"))
+    ref = g.where("flag = 1").groupBy("tag_id", "g").agg(F.min("reading_ts").alias("start_ts"),
+                                                         F.max("reading_ts").alias("end_ts"), F.count("*").alias("n_rows"))
+    a = sorted((x["tag_id"], x["start_ts"], x["end_ts"], x["n_rows"]) for x in got.collect())
+    b = sorted((x["tag_id"], x["start_ts"], x["end_ts"], x["n_rows"]) for x in ref.collect())
+    assert a == b
