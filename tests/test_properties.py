@@ -186,3 +186,16 @@ def test_episodes_match_plain_gaps_and_islands(spark, sf_dir):
     a = sorted((x["tag_id"], x["start_ts"], x["end_ts"], x["n_rows"]) for x in got.collect())
     b = sorted((x["tag_id"], x["start_ts"], x["end_ts"], x["n_rows"]) for x in ref.collect())
     assert a == b
+
+
+def test_approx_distinct_within_bound(spark, sf_dir):
+    import __spark_entry__ as E
+    got = E.queries()["daily_event_summary"](spark, sf_dir)
+    e = read(spark, sf_dir, "events", ["ts", "event_type", "user_id"])
+    exact = e.groupBy(F.to_date("ts").alias("event_date"), "event_type", (F.col("user_id") % 4).alias("region")) \
+        .agg(F.count_distinct("user_id").alias("exact"), F.count(F.lit(1)).alias("n"))
+    j = got.join(exact, ["event_date", "event_type", "region"])
+    assert j.count() == exact.count() == got.count()
+    assert j.where("n_events <> n").count() == 0
+    # HyperLogLog++ at 5% relative standard deviation: every group within 4 sigma
+    assert j.where("abs(approx_users - exact) > 0.2 * exact + 1").count() == 0
