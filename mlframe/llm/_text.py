@@ -64,6 +64,25 @@ def words(buf: np.ndarray, off: np.ndarray, separator: np.ndarray):
     return start, end, np.searchsorted(start, off)
 
 
+def squeezed(column: pa.Array, separator: np.ndarray):
+    """Texts with A-Z lowered, one space after each word and nothing else between words.
+
+    Returns the bytes, start and end of every word, and the number of words
+    before each text (n + 1). ``separator`` must hold the space and no
+    lower-case letter.
+    """
+    buf, off = padded(column)
+    low = LOWER[buf]
+    sep = separator[low]
+    before = np.empty_like(sep)
+    before[0], before[1:] = True, sep[:-1]
+    starts = np.flatnonzero(before & ~sep)
+    text = np.where(sep, np.uint8(SPACE), low)[~sep | ~before]
+    end = np.flatnonzero(text == SPACE)
+    start = np.concatenate([[0], end[:-1] + 1]).astype(np.int64) if len(end) else end
+    return text, start, end, np.searchsorted(starts, off)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """splitmix64's finaliser."""
     h = (h ^ (h >> np.uint64(30))) * _M1

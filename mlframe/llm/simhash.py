@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mlframe.llm._text import LOWER, SPACE, WHITE, padded, slices, words, xxh64
+from mlframe.llm._text import WHITE, slices, squeezed, xxh64
 from mlframe.llm.components import connected_components
 from mlframe.llm.tables import materialize
 
@@ -47,15 +47,7 @@ def bit_majority(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def fingerprints_of(column: pa.Array, shingle: int) -> np.ndarray:
     """uint64 SimHash of each text: A-Z lowered, words between white space, XXH64 (seed 42) of space-joined shingles."""
-    buf, off = padded(column)
-    white = WHITE[buf]
-    after_word = np.empty_like(white)
-    after_word[0], after_word[1:] = False, ~white[:-1]
-    # one space after each word, nothing else between words
-    text = np.where(white, np.uint8(SPACE), LOWER[buf])[~white | after_word]
-    _, _, first = words(buf, off, WHITE)
-    end = np.flatnonzero(text == SPACE)
-    start = np.concatenate([[0], end[:-1] + 1]).astype(np.int64) if len(end) else end
+    text, start, end, first = squeezed(column, WHITE)
     n_words = np.diff(first)
     n = np.where(n_words > 0, np.maximum(n_words - shingle + 1, 1), 0)
     before = np.concatenate([[0], np.cumsum(n)])
