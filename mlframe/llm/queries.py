@@ -10,6 +10,7 @@ from mlframe.llm.packing import pack_documents
 from mlframe.llm.quality import BASE, FULL, ledger
 from mlframe.llm.sharding import shard_records
 from mlframe.llm.simhash import simhash_components
+from mlframe.llm.suffix_dedup import remove_repeats
 
 SEQUENCE = 1024
 SHARDS = 16
@@ -39,6 +40,12 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of any 100-byte string that also starts earlier."""
+    cut = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), length=100)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents: 3-word shingles, at most 2 differing bits."""
     found = simhash_components(_table(spark, sf_dir, "documents"), shingle=3, radius=2)
@@ -122,6 +129,7 @@ FROM b
 QUERIES = {
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
