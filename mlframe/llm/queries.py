@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mlframe.llm import language, toxicity
 from mlframe.llm.decontamination import contamination, is_contaminated
 from mlframe.llm.packing import pack_documents
 from mlframe.llm.quality import BASE, FULL, ledger
@@ -27,6 +28,26 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the folds that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(language.fold("doc_id", 5) == 0, F.lit(False))
+    model = language.fit(docs.filter(language.fold("doc_id", 5) != 0))
+    return language.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from the folds that are not held out."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    learn = language.fold("doc_id", 4) != 2
+    known = labels.filter(learn & F.col("toxic").isNotNull())
+    prior = known.agg(F.avg("toxic")).first()[0] or 0.0
+    model = toxicity.fit(docs.filter(learn).select("doc_id", "text"), known.filter("toxic = 1"), prior)
+    held_out = F.coalesce(language.fold("doc_id", 4) == 2, F.lit(False))
+    found = toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path(), SEQUENCE)
@@ -127,6 +148,8 @@ FROM b
 """
 
 QUERIES = {
+    "op1_language": op1_language,
+    "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
     "op7_suffix_dedup": op7_suffix_dedup,
