@@ -43,6 +43,8 @@ _HIGH = np.uint64(0xFFFFFFFF00000000)
 _LOW = np.uint64(0xFFFFFFFF)
 #: Parts of a trigger with very many surroundings.
 _PARTS = 64
+#: Bytes of text parsed at once: the arrays of a slice take about a hundred times that.
+_SLICE = 1 << 20
 
 
 def phrases(buf: np.ndarray, off: np.ndarray, length: int, trigger: int):
@@ -106,7 +108,7 @@ class _Parser:
         """All phrases of a task: group, phrase, doc, packed place."""
         out = [[np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)] * 2]
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", _SLICE):
                 buf, off = plain(part.column("_text"))
                 t, p, text, lo, back, windows = phrases(buf, off, self.length, self.trigger)
                 doc = part.column("_doc").to_numpy()
@@ -206,7 +208,7 @@ def _bytes_of(docs: DataFrame, reps: DataFrame, parser: _Parser) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", _SLICE):
                 buf, off = plain(part.column("_text"))
                 want = part.column("want")
                 text = pc.list_parent_indices(want).to_numpy()
@@ -342,7 +344,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", _SLICE):
                 buf, off = plain(part.column("_text"))
                 keep, removed, n_spans, merged = np.ones(len(buf), bool), [], [], []
                 for i, found in enumerate(part.column("spans")):
