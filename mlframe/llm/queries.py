@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mlframe.llm import language, toxicity
+from mlframe.llm import html_content, language, toxicity
 from mlframe.llm.decontamination import contamination, is_contaminated
 from mlframe.llm.packing import pack_documents
+from mlframe.llm.paragraph_dedup import paragraph_classes
 from mlframe.llm.quality import BASE, FULL, ledger
 from mlframe.llm.sharding import shard_records
 from mlframe.llm.simhash import simhash_components
@@ -61,6 +62,17 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = _table(spark, sf_dir, "pages")
+    return html_content.main_text(pages.select("page_id", "url", "html"), html_content.fit(pages.select("page_id", "html")))
+
+
+def op6_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all paragraphs: five-word shingles, Jaccard of 0.8 or more."""
+    return paragraph_classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of any 100-byte string that also starts earlier."""
     cut = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), length=100)
@@ -152,6 +164,8 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
+    "op5_html": op5_html,
+    "op6_paragraph_dedup": op6_paragraph_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
