@@ -165,8 +165,8 @@ def _match(docs: DataFrame, block: _Block, text_col: str) -> DataFrame:
 
 def contamination(docs: DataFrame, items: DataFrame, n: int = 13, shingle: int = 5, block_windows: int = 200_000,
                   id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
-                  item_text: str = "text") -> DataFrame:
-    """``docs`` without their text, with what of them lies in benchmark windows.
+                  item_text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs`` without their text (or with it), with what of them lies in benchmark windows.
 
     Added: n_words, n_hit (words inside any occurrence of a window), n_items
     and item_ids (items with an occurring window, ids as sorted strings),
@@ -201,7 +201,8 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 13, shingle: int =
     hit = F.aggregate(F.array_sort("_spans"), start, lambda s, x: F.struct(
         (s["n"] + F.greatest(F.lit(0), x["b"] - F.greatest(x["a"], s["reach"]))).alias("n"), F.greatest(s["reach"], x["b"]).alias("reach")),
         lambda s: s["n"].cast("long"))
-    return work.select(*[F.col(f"`{c}`") for c in keep], F.col("_n_words").alias("n_words"), hit.alias("n_hit"),
+    text = [F.col("_text").alias(text_col)] if keep_text else []
+    return work.select(*[F.col(f"`{c}`") for c in keep], *text, F.col("_n_words").alias("n_words"), hit.alias("n_hit"),
                        F.size("_items").cast("long").alias("n_items"), F.col("_items").alias("item_ids"), F.col("_spans").alias("spans"))
 
 

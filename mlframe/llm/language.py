@@ -167,8 +167,8 @@ def infer(model: LanguageModel, code: np.ndarray, before: np.ndarray) -> tuple[n
     return share, sure
 
 
-def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """``docs`` without the text, with lang_pred, score (leading share times its certainty, 0 to 1) and lang_shares.
+def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs`` without the text (or with it), with lang_pred, score (leading share times its certainty, 0 to 1) and lang_shares.
 
     ``und`` with score 0 if the text is null or has no letter; otherwise the
     language with the largest share (of equal ones the first by name).
@@ -180,6 +180,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     own = [c for c in docs.columns if c not in (text_col, *new)]
     work = docs.select(*[F.col(f"`{c}`") for c in own], F.col(f"`{text_col}`").alias("_text"),
                        F.coalesce(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
+    passed = [text_col] if keep_text else []
     shared = docs.sparkSession.sparkContext.broadcast(model)
     limit = max(1 << 16, (16 << 20) // max(1, len(model.languages)))
 
@@ -195,11 +196,12 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
                 score = np.where(known, share[np.arange(len(top)), top] * sure if len(m.languages) else 0.0, 0.0)
                 pred = names[np.where(known, top, len(m.languages))]
                 shares = [[(m.languages[j], float(row[j])) for j in np.flatnonzero(row)] if k else [] for row, k in zip(share, known)]
+                text = [part.column("_text")] if keep_text else []
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in own), pa.array(pred, pa.string()), pa.array(np.clip(score, 0.0, 1.0)),
-                     pa.array(shares, pa.map_(pa.string(), pa.float64()))], names=[*own, *new])
+                    [*(part.column(c) for c in own), *text, pa.array(pred, pa.string()), pa.array(np.clip(score, 0.0, 1.0)),
+                     pa.array(shares, pa.map_(pa.string(), pa.float64()))], names=[*own, *passed, *new])
 
-    schema = docs.select(*[F.col(f"`{c}`") for c in own], F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"),
+    schema = docs.select(*[F.col(f"`{c}`") for c in (*own, *passed)], F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"),
                          F.create_map(F.lit(""), F.lit(0.0)).alias("lang_shares")).schema
     return work.mapInArrow(run, schema)
 

@@ -76,7 +76,7 @@ def op6_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of any 100-byte string that also starts earlier."""
     cut = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), length=100)
-    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.coalesce("kept", F.lit(b"")), 256).alias("kept_sha256"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,10 +32,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from mlframe.llm._text import SpanHash, mix, plain, slices
-from mlframe.llm.tables import materialize
+from mlframe.llm.tables import in_corpus_order, materialize
 
 _TRIGGER, _PHRASE, _SUFFIX, _SUFFIX2 = (SpanHash(s) for s in (71, 72, 73, 74))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -284,17 +283,6 @@ def _suffix_order(cells: DataFrame, parser: _Parser, chunk: int = 20_000) -> Dat
             .mapInArrow(run, "kind int, doc long, a long, b long, c long"))
 
 
-def _numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
-    """``docs`` with a unique long _doc in corpus order: the id itself (True), or a number written with the table (False)."""
-    if isinstance(docs.schema[id_col].dataType, (T.LongType, T.IntegerType)):
-        repeated = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col(id_col).isNull())
-        if repeated.isEmpty():
-            return docs.withColumn("_doc", F.col(f"`{id_col}`").cast("long")), True
-    order = [F.col(f"`{id_col}`").asc_nulls_last(), F.col(f"`{text_col}`").asc_nulls_last()]
-    ordered = docs.repartitionByRange(*order).sortWithinPartitions(*order)
-    return materialize(ordered.withColumn("_doc", F.monotonically_increasing_id()), "numbered"), False
-
-
 def repeated_spans(docs: DataFrame, length: int = 100, hot_contexts: int = 100_000, hot_in_task: int = 32) -> DataFrame:
     """(doc, spans array<struct<a long, b long>>) of all byte ranges to remove; ``docs`` has unique long _doc and _text.
 
@@ -328,7 +316,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
                    hot_contexts: int = 100_000, hot_in_task: int = 32) -> DataFrame:
     """``docs`` without the text, with kept (binary), n_bytes, n_removed, n_spans (long) and spans (merged, sorted byte ranges).
 
-    Null and empty texts have no bytes; texts shorter than ``length`` lose
+    Null and empty texts have no bytes (kept is null or empty); texts shorter than ``length`` lose
     none. Corpus order is id order; rows with equal or null ids come in the
     order of their texts, null ids last, so a repeated row is a later copy.
     Columns with the result's names are replaced. ``kept`` may begin or end
@@ -336,7 +324,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     """
     new = ("kept", "n_bytes", "n_removed", "n_spans", "spans")
     own = [c for c in docs.columns if c not in (text_col, *new)]
-    numbered, by_id = _numbered(docs.select(*[F.col(f"`{c}`") for c in own], F.col(f"`{text_col}`").alias("_text")), id_col, "_text")
+    numbered, by_id = in_corpus_order(docs.select(*[F.col(f"`{c}`") for c in own], F.col(f"`{text_col}`").alias("_text")), id_col, "_text")
     base = numbered.select("_doc", "_text")
     spans = repeated_spans(base, length, hot_contexts, hot_in_task)
     cut_in = base.join(spans, base["_doc"] == spans["doc"], "left").select("_doc", "_text", "spans")
@@ -362,6 +350,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
                 sizes = np.diff(off)
                 ends = np.concatenate([[0], np.cumsum(sizes - np.array(removed, np.int64))]).astype(np.int32)
                 kept = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(buf[keep])])
+                kept = pc.if_else(pc.is_null(part.column("_text")), pa.scalar(None, pa.binary()), kept)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("_doc"), kept, pa.array(sizes), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(merged, kind)],
                     names=["_doc", *new])

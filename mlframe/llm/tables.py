@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mlframe.session import scratch_dir
 
@@ -16,3 +18,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_dir(df.sparkSession, name)}/t"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def in_corpus_order(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
+    """``docs`` with a unique long _doc in corpus order: the id itself (True), or a number written with the table (False)."""
+    if isinstance(docs.schema[id_col].dataType, (T.LongType, T.IntegerType)):
+        repeated = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col(id_col).isNull())
+        if repeated.isEmpty():
+            return docs.withColumn("_doc", F.col(f"`{id_col}`").cast("long")), True
+    order = [F.col(f"`{id_col}`").asc_nulls_last(), F.col(f"`{text_col}`").asc_nulls_last()]
+    ordered = docs.repartitionByRange(*order).sortWithinPartitions(*order)
+    return materialize(ordered.withColumn("_doc", F.monotonically_increasing_id()), "numbered"), False
