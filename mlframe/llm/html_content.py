@@ -4,8 +4,8 @@ A page is a sequence of words and tags. Words score positive and tags
 negative; one linear scan finds the contiguous region with the highest sum.
 How much a tag costs and a word is worth inside a tag is learned from pages
 that label their own content (exactly one ``article`` or ``main`` element),
-whose container is hidden while prices are tuned. Boilerplate elements score
-nothing for their words and are left out of the region's text.
+whose container is hidden while the price is tuned. Boilerplate elements are neutral
+and left out of the region's text.
 """
 
 from __future__ import annotations
@@ -41,8 +41,8 @@ DROPPED_HINTS = frozenset(
     "breadcrumb breadcrumbs footer masthead topbar comment comments disqus respond reply replies cookie cookies consent notice notices "
     "newsletter subscribe subscription signup login popup modal overlay share sharing social related recommended widget widgets toolbar "
     "complementary contentinfo search pagination pager skip".split())
-#: Prices: of the tags of a container, and of a dropped element as a whole (its text is left out in any case).
-CONTAINER_PRICES, DROPPED_PRICE = 8.0, 0.25
+#: So many prices for a tag that opens or closes a container.
+CONTAINER_PRICES = 8.0
 
 
 @dataclass
@@ -54,21 +54,19 @@ class ContentModel:
     price: float = 16.0
 
     def share(self, name: str) -> float:
-        return self.tag_inside.get(name, 0.2 if name.endswith("~") else 0.9)
+        return self.tag_inside.get(name, 0.9 if name.strip("/") == "a" else 0.99)
 
     def word(self, context: str) -> float:
         return max(0.05, self.word_inside.get(context, 0.8))
 
     def score(self, token: tuple) -> float:
-        """Words: positive, 0 in dropped elements. Tags: negative, 0 inside dropped elements."""
+        """Words: positive. Tags: negative. Dropped elements are neutral, as their text is left out in any case."""
         kind, what, where, flag = token
         if kind == "w":
             return 0.0 if flag else n_words(what) * self.word(where)
         if flag:
             return -self.price * CONTAINER_PRICES
-        if what.startswith("~"):
-            return 0.0
-        return -self.price * (1.0 - self.share(what)) * (DROPPED_PRICE if what.endswith("~") else 1.0)
+        return 0.0 if "~" in what else -self.price * (1.0 - self.share(what))
 
 
 def _dropped(name: str, attributes: str) -> bool:
@@ -84,8 +82,8 @@ def _dropped(name: str, attributes: str) -> bool:
 def parse(page: str) -> list[tuple]:
     """Tokens in page order: ('w', text, innermost element, inside a dropped element) or ('t', feature, is a block, container).
 
-    A tag's feature is its name, with '/' in front if it closes, '~' behind if
-    it opens a dropped element, and '~' in front inside one. ``container`` is
+    A tag's feature is its name, with '/' in front if it closes and '~' if it
+    belongs to a dropped element. ``container`` is
     +1 / -1 for the tags that open and close an article or main element. End
     tags close the nearest open element of their name; a block closes an open
     paragraph.
@@ -219,7 +217,7 @@ def fit(pages: DataFrame, sample: int = 2_000, tune: int = 200, id_col: str = "p
                     continue
                 for i, t in enumerate(tokens):
                     n = n_words(t[1]) if t[0] == "w" else 1
-                    if n and not t[3] and not t[1].startswith("~"):
+                    if n and not t[3] and not (t[0] == "t" and "~" in t[1]):
                         c = seen.setdefault((t[0], t[2] if t[0] == "w" else t[1]), [0.0, 0.0])
                         c[span[0] <= i < span[1]] += n
         keys = sorted(seen)
