@@ -62,7 +62,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
             texts = [None if b is None else b.decode("utf-8", "ignore") for b in batch.column("kept").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(texts, pa.string())], names=[*others, "text"])
 
-    left = cut.select(*others, "kept").mapInArrow(decode, cut.select(*others, F.lit("").alias("text")).schema)
+    left = cut.select(*others, "kept").mapInArrow(decode, cut.select(*others, F.lit(None).cast("string").alias("text")).schema)
     changed = F.col("n_removed") > 0
     n_chars = F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
     return left.filter(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "text", "lang", "source", n_chars)
