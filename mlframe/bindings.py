@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mlframe.functions.hashing import hash_uniform, hash_uniform_sql
+from mlframe.operators.ranking import group_quantiles
 from mlframe.sources.tables import read
 
 # ---------------------------------------------------------------- payments
@@ -92,14 +93,11 @@ FROM events
 
 def dim_tag(spark: SparkSession, d: str) -> DataFrame:
     """Per tag normal band (P05, P95), warn (P97), crit (P99), exact, rounded 4."""
-    r = readings(spark, d)
-    return r.groupBy("tag_id").agg(
-        F.first("asset_id").alias("asset_id"),
-        F.round(F.percentile("value", 0.05), 4).alias("normal_low"),
-        F.round(F.percentile("value", 0.95), 4).alias("normal_high"),
-        F.round(F.percentile("value", 0.97), 4).alias("warn_threshold"),
-        F.round(F.percentile("value", 0.99), 4).alias("crit_threshold"),
-    )
+    r = readings(spark, d).select("tag_id", "asset_id", "value")
+    q = group_quantiles(r, "tag_id", "value", [0.05, 0.95, 0.97, 0.99])
+    bands = ("normal_low", "normal_high", "warn_threshold", "crit_threshold")
+    return r.groupBy("tag_id").agg(F.min("asset_id").alias("asset_id")).join(q, "tag_id").select(
+        "tag_id", "asset_id", *[F.round(F.col("q")[i], 4).alias(b) for i, b in enumerate(bands)])
 
 
 DIM_TAG_SQL = """

@@ -6,14 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ---- fixed values that must equal the reference's --------------------------
-# Sentence boundary: whitespace after . ! or ?; sentences cut to 1000 chars.
+# Sentence boundary: whitespace after . ! or ?
 SENTENCE_BOUNDARY = r"(?<=[.!?])\s+"
-MAX_SENTENCE_CHARS = 1000
 # -----------------------------------------------------------------------------
 
 
 def sentences(text) -> Column:
-    """Split, strip, drop empties, cut; an empty or null text gives [""].
+    """Split, strip, drop empties; an empty or null text gives [""]. Whole
+    sentences: the sentence models here take any length.
 
     Each split point consumes the whole whitespace run after the punctuation,
     so only the first and the last piece can carry edge whitespace: stripping
@@ -21,14 +21,12 @@ def sentences(text) -> Column:
     t = F.col(text) if isinstance(text, str) else text
     body = F.regexp_replace(F.coalesce(t, F.lit("")), r"^\s+|\s+$", "")
     parts = F.filter(F.split(body, SENTENCE_BOUNDARY), lambda s: F.length(s) > 0)
-    cut = F.transform(parts, lambda s: F.substring(s, 1, MAX_SENTENCE_CHARS))
-    return F.when(F.size(cut) > 0, cut).otherwise(F.array(F.lit("")))
+    return F.when(F.size(parts) > 0, parts).otherwise(F.array(F.lit("")))
 
 
 # DuckDB twin (RE2 has no look-behind: mark the boundary, then split on the mark).
-SENTENCE_SQL = r"""(CASE WHEN len(list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?])\s+', '\1' || chr(31), 'g'), chr(31)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: length(x) > 0)) > 0
-  THEN list_transform(list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?])\s+', '\1' || chr(31), 'g'), chr(31)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: length(x) > 0), lambda x: substr(x, 1, 1000))
-  ELSE [''] END)"""
+_SENTENCES = r"""list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?])\s+', '\1' || chr(31), 'g'), chr(31)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: length(x) > 0)"""
+SENTENCE_SQL = f"(CASE WHEN len({_SENTENCES}) > 0 THEN {_SENTENCES} ELSE [''] END)"
 
 
 # ---- lexicon model (our stand-in for per-sentence entity + sentiment models) --

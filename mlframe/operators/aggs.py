@@ -7,6 +7,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mlframe.operators.ranking import _left, exact_quantile, group_quantiles
+
 
 def exact_avg(col, decimals: int) -> Column:
     """Mean of a column holding values with ``decimals`` exact decimals.
@@ -20,27 +22,29 @@ def exact_avg(col, decimals: int) -> Column:
 
 def entity_stats(df: DataFrame, keys, col: str, leave_one_out: bool = False, digits: int = 6) -> DataFrame:
     """Per-key mean, count and sample stddev of ``col`` joined back to
-    every row (null stddev -> 0). ``leave_one_out`` removes the row's own
-    value from its key's statistics (sums minus own value), so the target
-    does not leak into its features.
+    every row (null stddev -> 0); rows with a null key form a group of their
+    own. ``leave_one_out`` removes the row's own value from its key's
+    statistics, so the target does not leak into its features.
 
-    Each key's statistics are one partial aggregation + shuffle; joined back
-    by key (broadcast by AQE when the key table is small)."""
+    Moments are central (count, mean, sum of squared deviations), so values
+    far from zero lose nothing. Each key is one partial aggregation and one
+    null-safe join (broadcast by AQE when the key table is small)."""
     out = df
     for k in ([keys] if isinstance(keys, str) else keys):
-        st = df.groupBy(k).agg(F.count(col).alias("_n"), F.sum(col).alias("_s"),
-                               F.sum(F.col(col) * F.col(col)).alias("_ss"))
-        out = out.join(st, k)
-        n, s, ss, x = F.col("_n"), F.col("_s"), F.col("_ss"), F.col(col)
+        st = df.groupBy(k).agg(F.count(col).alias("_n"), F.sum(col).alias("_s"), F.avg(col).alias("_m"),
+                               (F.var_pop(col) * F.count(col)).alias("_d2"))
+        out = _left(out, st, [k])
+        n, m, d2, x = F.col("_n"), F.col("_m"), F.coalesce("_d2", F.lit(0.0)), F.col(col)
         if leave_one_out:
-            n1, s1, ss1 = n - 1, s - x, ss - x * x
+            own = x.isNotNull()
+            n1 = F.when(own, n - 1).otherwise(n)
+            m1 = F.when(own, F.when(n > 1, (F.col("_s") - x) / (n - 1))).otherwise(m)
+            d1 = F.when(own & (n > 1), F.greatest(d2 - (x - m) * (x - m) * n / (n - 1), F.lit(0.0))).otherwise(d2)
         else:
-            n1, s1, ss1 = n, s, ss
-        mean = F.when(n1 > 0, s1 / n1)
-        var = F.when(n1 > 1, (ss1 - s1 * s1 / n1) / (n1 - 1))
-        std = F.coalesce(F.sqrt(F.greatest(var, F.lit(0.0))), F.lit(0.0))
-        out = out.select("*", F.round(mean, digits).alias(f"{k}_avg"), n1.alias(f"{k}_cnt"),
-                         F.round(std, digits).alias(f"{k}_std")).drop("_n", "_s", "_ss")
+            n1, m1, d1 = n, m, d2
+        std = F.when(n1 > 1, F.sqrt(d1 / (n1 - 1))).otherwise(F.lit(0.0))
+        out = out.select("*", F.round(F.when(n1 > 0, m1), digits).alias(f"{k}_avg"), n1.alias(f"{k}_cnt"),
+                         F.round(std, digits).alias(f"{k}_std")).drop("_n", "_s", "_m", "_d2")
     return out
 
 
@@ -54,9 +58,8 @@ def dominant(df: DataFrame, by, col: str, name: str = "dominant") -> DataFrame:
 
 
 def pivot_counts(df: DataFrame, row: str, col: str, values, total: str = "total") -> DataFrame:
-    """Row x fixed column values, 0 fill, plus a total column."""
-    p = df.groupBy(row).pivot(col, list(values)).count().na.fill(0)
-    return p.withColumn(total, sum(F.col(str(v)) for v in values))
+    """Row x fixed column values, 0 fill, plus the total of all values, listed or not (one aggregate)."""
+    return df.groupBy(row).agg(*[F.count_if(F.col(col) == v).alias(str(v)) for v in values], F.count(F.lit(1)).alias(total))
 
 
 def null_rate(df: DataFrame, by, cols, digits: int = 3) -> DataFrame:
@@ -96,39 +99,37 @@ def histogram(df: DataFrame, col, lo: float, hi: float, n: int, by=()) -> DataFr
 def latency_summary(df: DataFrame, col: str, ts: str | None = None, by=(), method: str = "linear",
                     digits: int = 4) -> DataFrame:
     """P10/P50/P90/P99, mean, max (and rows/second over the time
-    span). ``linear`` interpolates (``percentile``); ``nearest`` is the
-    nearest-rank definition (``percentile_disc``). Both exact forms keep a
-    per-group value histogram; ``approx`` is the bounded-memory sketch
-    (``percentile_approx``) to use when a group holds very many distinct
-    values."""
+    span; null if all rows have one time). ``linear`` interpolates,
+    ``nearest`` is the nearest-rank definition; both are exact and come from
+    order statistics over value buckets, so a group of any size is never held
+    by one task. ``approx`` is the sketch (``percentile_approx``)."""
     by = [by] if isinstance(by, str) else list(by)
     qs = [0.1, 0.5, 0.9, 0.99]
-    if method == "approx":
-        pct = [F.percentile_approx(col, q, 10000).alias(f"p{int(q * 100)}") for q in qs]
-    elif method == "linear":
-        pct = [F.percentile(col, q).alias(f"p{int(q * 100)}") for q in qs]
-    else:
-        pct = [F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY {col})").alias(f"p{int(q * 100)}") for q in qs]
-    aggs = pct + [F.avg(col).alias("mean"), F.max(col).alias("max"), F.count(F.lit(1)).alias("n")]
+    names = [f"p{int(q * 100)}" for q in qs]
+    aggs = [F.avg(col).alias("mean"), F.max(col).alias("max"), F.count(F.lit(1)).alias("n")]
     if ts:
         span = (F.unix_micros(F.max(ts).cast("timestamp")) - F.unix_micros(F.min(ts).cast("timestamp"))) / 1e6
-        aggs.append((F.count(F.lit(1)) / span).alias("per_sec"))
-    out = df.groupBy(*by).agg(*aggs)
+        aggs.append(F.try_divide(F.count(F.lit(1)), span).alias("per_sec"))
+    if method == "approx":
+        out = df.groupBy(*by).agg(*[F.percentile_approx(col, q, 10000).alias(n) for q, n in zip(qs, names)], *aggs)
+    else:
+        # without a group both sides are one row, joined on a constant
+        keys = by or ["_one"]
+        d = df if by else df.withColumn("_one", F.lit(1))
+        found = group_quantiles(d, keys, col, qs, method)
+        out = _left(d.groupBy(*keys).agg(*aggs), found, keys)
+        out = out.select(*by, *[F.col("q")[i].alias(n) for i, n in enumerate(names)], *[c for c in out.columns if c not in (*keys, "q")])
     return out.select(*by, *[F.round(F.col(c), digits).alias(c) if c not in ("n",) else F.col(c)
                              for c in out.columns if c not in by])
 
 
 def impute_median(df: DataFrame, cols) -> DataFrame:
-    """Nulls replaced by the exact column median (one aggregate, used as
-    a scalar subquery; no driver round trip)."""
-    med = df.agg(*[F.median(c).alias(c) for c in cols])
-    out = df
-    for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c), med.select(c).scalar()))
-    return out
+    """Nulls replaced by the exact column median, from the two middle
+    order statistics (no task holds the column)."""
+    return df.select(*[F.coalesce(F.col(c), F.lit(exact_quantile(df, c, 0.5))).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def pos_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Negatives / positives ratio as the positive-class weight."""
-    ratio = df.agg((F.count_if(F.col(label) == 0) / F.count_if(F.col(label) == 1)).alias("r")).scalar()
+    """Negatives / positives ratio as the positive-class weight (no row needs it without positives)."""
+    ratio = df.agg(F.try_divide(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1)).alias("r")).scalar()
     return df.withColumn(name, F.when(F.col(label) == 1, ratio).otherwise(F.lit(1.0)))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mlframe.operators.joins import match_intervals
-from mlframe.operators.ranking import running_sums
+from mlframe.operators.ranking import ROWS_EACH, running_sums, value_buckets
 from mlframe.session import ensure_checkpoint_dir
 
 
@@ -55,41 +55,32 @@ def score_counts(df: DataFrame, label: str, score: str, by=()) -> DataFrame:
         F.count_if(F.col(label) != 1).cast("double").alias("neg"))
 
 
-def curve_points(df: DataFrame, label: str, score: str, by=(), buckets: int = 4096) -> DataFrame:
+def curve_points(df: DataFrame, label: str, score: str, by=(), rows_each: int = ROWS_EACH) -> DataFrame:
     """M6: at each distinct score threshold (descending), cumulative TP and FP.
 
-    Running sums use range buckets of the score (by its rank among the
-    distinct-score table's own min/max) so no single task orders all scores."""
+    Running sums go by buckets of about equal numbers of distinct scores, so
+    no single task orders all scores, however they pile up."""
     by = [by] if isinstance(by, str) else list(by)
-    # the distinct-score table feeds three passes (range, running sums,
+    # the distinct-score table feeds three passes (bounds, running sums,
     # totals): materialise it once in the shared checkpoint folder
     ensure_checkpoint_dir(df.sparkSession)
     sc = score_counts(df, label, score, by).checkpoint(eager=True)
-    lo, hi = sc.agg(F.min("s"), F.max("s")).first()  # fitted range: two numbers
-    lo, hi = (lo or 0.0), (hi or 0.0)
-    width = F.lit(max(hi - lo, 1e-300))
-    bucket = F.least(F.floor((F.col("s") - lo) / width * buckets), F.lit(buckets - 1)).cast("int")
-    return running_sums(sc, "s", ["pos", "neg"], bucket, partition=by, descending=True)
+    return running_sums(sc, "s", ["pos", "neg"], value_buckets(sc, "s", rows_each), partition=by, descending=True)
 
 
 def ranking_metrics(df: DataFrame, label: str, score: str, by=(), digits: int = 6) -> DataFrame:
     """M5: exact ROC-AUC (ties count one half) and average precision.
 
     AUC = sum over distinct scores of neg * (positives ranked above + pos/2),
-    divided by P*N; AP = sum over thresholds of precision * delta recall."""
+    divided by P*N; AP = sum over thresholds of precision * delta recall.
+    Null where it is not defined: AUC without positives or negatives, AP
+    without positives."""
     by = [by] if isinstance(by, str) else list(by)
     cp = curve_points(df, label, score, by)
-    tot = cp.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    if by:
-        cp = cp.join(tot, by)
-    else:  # one-row totals come back as two numbers
-        P, N = tot.first()
-        cp = cp.withColumn("P", F.lit(P)).withColumn("N", F.lit(N))
     tp_above = F.col("pos_cum") - F.col("pos")
     auc_term = F.col("neg") * (tp_above + F.col("pos") / 2.0)
     prec = F.col("pos_cum") / (F.col("pos_cum") + F.col("neg_cum"))
-    ap_term = F.when(F.col("pos") > 0, prec * F.col("pos"))
-    agg = cp.groupBy(*by).agg(F.sum(auc_term).alias("_auc"), F.sum(ap_term).alias("_ap"),
-                              F.first("P").alias("P"), F.first("N").alias("N"))
-    return agg.select(*by, F.round(F.col("_auc") / (F.col("P") * F.col("N")), digits).alias("roc_auc"),
-                      F.round(F.col("_ap") / F.col("P"), digits).alias("avg_precision"))
+    agg = cp.groupBy(*by).agg(F.sum(auc_term).alias("_auc"), F.sum(F.when(F.col("pos") > 0, prec * F.col("pos"))).alias("_ap"),
+                              F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    return agg.select(*by, F.round(F.try_divide(F.col("_auc"), F.col("P") * F.col("N")), digits).alias("roc_auc"),
+                      F.round(F.try_divide(F.col("_ap"), F.col("P")), digits).alias("avg_precision"))

@@ -25,6 +25,13 @@ def apply_scaler(df: DataFrame, scaler: DataFrame, cols, prefix: str = "z_") ->
     """Standardise with a fitted scaler. Like any ``pyspark.ml`` fit, the
     fitted parameters (two numbers per column, never data rows) come back to
     the driver once and enter the plan as literals, so the transform is a
-    plain projection inside whole-stage codegen."""
+    plain projection inside whole-stage codegen. A constant column becomes 0;
+    a column without values becomes null."""
     p = {r["column"]: (r["mean"], r["std"]) for r in scaler.collect()}
-    return df.select("*", *[((F.col(c) - F.lit(p[c][0])) / F.lit(p[c][1])).alias(prefix + c) for c in cols])
+    def z(c):
+        mean, std = p[c]
+        if mean is None:
+            return F.lit(None).cast("double")
+        return (F.col(c) - F.lit(mean)) / F.lit(std) if std else F.when(F.col(c).isNotNull(), F.lit(0.0))
+
+    return df.select("*", *[z(c).alias(prefix + c) for c in cols])

@@ -2,10 +2,12 @@
 window (used by W7, W12, L3, M5, M6).
 
 Spark runs ``row_number() OVER (ORDER BY x)`` with no PARTITION BY in one
-task. Here the order is split into ranges by a caller-supplied bucket
-expression that is monotone in the order (hash range, time unit, score
-range): per-bucket counts (a tiny aggregate) give running offsets, and each
-bucket is numbered by its own task.
+task. Here the order is split into ranges by a bucket expression that is
+monotone in the order: a hash range, a time unit, or :func:`value_buckets`,
+whose bounds are quantiles of the data, so that outliers and piled-up values
+do not fill one bucket. Per-bucket counts (a tiny aggregate) give running
+offsets, and each bucket is numbered by its own task. Null partitions and
+null buckets are values like any other: all joins here are null-safe.
 """
 
 from __future__ import annotations
@@ -14,6 +16,55 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+ROWS_EACH = 200_000  # rows that a bucket of values should hold
+MOST_BUCKETS = 4096
+
+
+def _same(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Null-safe inner join on ``keys``; the left side's key columns stay."""
+    names = {k: f"_j{i}" for i, k in enumerate(keys)}
+    right = right.select(*[F.col(k).alias(v) for k, v in names.items()], *[c for c in right.columns if c not in names])
+    cond = F.lit(True)
+    for k, v in names.items():
+        cond = cond & left[k].eqNullSafe(right[v])
+    return left.join(right, cond).drop(*names.values())
+
+
+def value_bounds(df: DataFrame, col: str, rows_each: int = ROWS_EACH) -> list:
+    """Upper bounds of buckets of about ``rows_each`` rows: approximate quantiles from one bounded sketch per task.
+
+    At most MOST_BUCKETS numbers reach the driver. Only the buckets' sizes
+    depend on the sketch's error, never a result.
+    """
+    c = F.col(col)
+    c = F.unix_micros(c.cast("timestamp")) if dict(df.dtypes)[col].startswith("timestamp") else c.cast("double")
+    n = df.agg(F.count(col)).first()[0]
+    k = min(MOST_BUCKETS, n // rows_each + 1)
+    if k < 2:
+        return []
+    cuts = df.agg(F.percentile_approx(c, [i / k for i in range(1, k)], 4 * k)).first()[0]
+    return sorted(set(cuts or []))
+
+
+def value_buckets(df: DataFrame, col: str, rows_each: int = ROWS_EACH) -> Column:
+    """Bucket number of ``col`` (a number or a time), non-decreasing in it; null goes to -1 (nulls first).
+
+    Rows of one value share a bucket.
+    """
+    bounds = value_bounds(df, col, rows_each)
+    c = F.col(col)
+    c = F.unix_micros(c.cast("timestamp")) if dict(df.dtypes)[col].startswith("timestamp") else c.cast("double")
+    return F.when(c.isNull(), -1).otherwise(_search(c, bounds, 0, len(bounds))).cast("int")
+
+
+def _search(c: Column, bounds: list, lo: int, hi: int) -> Column:
+    """How many of the sorted bounds are below ``c``, as nested comparisons (binary search, whole-stage codegen)."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(c <= F.lit(bounds[mid]), _search(c, bounds, lo, mid)).otherwise(_search(c, bounds, mid + 1, hi))
+
+
 def positions(df: DataFrame, order: list, bucket: Column, partition=(), name: str = "pos") -> DataFrame:
     """1-based position of each row in ``order`` within ``partition``.
 
@@ -26,8 +77,7 @@ def positions(df: DataFrame, order: list, bucket: Column, partition=(), name: st
     w = Window.partitionBy(*partition).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(*partition, "_bk", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     wr = Window.partitionBy(*partition, "_bk").orderBy(*order)
-    return (d.withColumn("_rn", F.row_number().over(wr))
-            .join(offs, on=[*partition, "_bk"])
+    return (_same(d.withColumn("_rn", F.row_number().over(wr)), offs, [*partition, "_bk"])
             .withColumn(name, F.col("_rn") + F.col("_off"))
             .drop("_bk", "_rn", "_off"))
 
@@ -44,7 +94,7 @@ def running_sums(df: DataFrame, order: str, values: list[str], bucket: Column, p
     offs = tot.select(*partition, "_bk", *[F.coalesce(F.sum(f"_t_{v}").over(w), F.lit(0)).alias(f"_o_{v}") for v in values])
     oc = F.col(order).desc() if descending else F.col(order).asc()
     wr = Window.partitionBy(*partition, "_bk").orderBy(oc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = d.select("*", *[F.sum(v).over(wr).alias(f"_r_{v}") for v in values]).join(offs, on=[*partition, "_bk"])
+    out = _same(d.select("*", *[F.sum(v).over(wr).alias(f"_r_{v}") for v in values]), offs, [*partition, "_bk"])
     for v in values:
         out = out.withColumn(v + suffix, F.col(f"_r_{v}") + F.col(f"_o_{v}"))
     return out.drop("_bk", *[f"_r_{v}" for v in values], *[f"_o_{v}" for v in values])
@@ -56,24 +106,57 @@ def unit_bucket(u, n: int = 1024) -> Column:
     return F.least(F.floor(col * n), F.lit(n - 1)).cast("int")
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, buckets: int = 4096):
-    """Exact linear-interpolation quantile (the ``percentile`` /
-    ``quantile_cont`` definition) without a per-group value histogram: the two
-    order statistics around ``q * (n - 1)`` are found with :func:`positions`
-    over value-range buckets, so no task sorts or holds the whole column.
-    Returns a Python float (None for an empty column)."""
-    import math
-
-    d = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    n, lo, hi = d.agg(F.count(F.lit(1)), F.min("_v"), F.max("_v")).first()
-    if not n:
-        return None
-    h = q * (n - 1)
-    r0 = int(math.floor(h)) + 1
-    r1 = min(r0 + 1, n)
-    width = max(hi - lo, 1e-300)
-    bucket = F.least(F.floor((F.col("_v") - lo) / width * buckets), F.lit(buckets - 1)).cast("int")
-    got = {r["pos"]: r["_v"] for r in positions(d, [F.col("_v")], bucket).where(F.col("pos").isin(r0, r1)).collect()}
-    x0, x1 = got[r0], got[r1]
-    frac = h - math.floor(h)
-    return x0 if frac == 0 else (math.ceil(h) - h) * x0 + (h - math.floor(h)) * x1
+def group_quantiles(df: DataFrame, by, col: str, qs: list[float], kind: str = "linear", rows_each: int = ROWS_EACH) -> DataFrame:
+    """Exact quantiles per group, one array<double> column ``q`` in the order of ``qs``; nulls of ``col`` do not count.
+
+    ``linear`` interpolates (``percentile`` / ``quantile_cont``), ``nearest``
+    takes the first value whose cumulative share reaches q
+    (``percentile_disc``). Counts per (group, value bucket) tell which buckets
+    hold the wanted order statistics; only their rows are numbered, each
+    bucket in a task of its own. No task holds or sorts a whole group. A group
+    without a value has nulls.
+    """
+    by = [by] if isinstance(by, str) else list(by)
+    d = df.select(*by, F.col(col).cast("double").alias("_v"))
+    d = d.withColumn("_bk", value_buckets(d, "_v", rows_each))
+    counts = d.where("_v IS NOT NULL").groupBy(*by, "_bk").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    counts = (counts.withColumn("_off", F.sum("_n").over(w.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)))
+              .withColumn("_all", F.sum("_n").over(w)).withColumn("_off", F.coalesce("_off", F.lit(0))))
+    wanted = []
+    for i, q in enumerate(qs):
+        if kind == "linear":
+            h = (F.col("_all") - 1) * F.lit(q)
+            wanted += [F.struct(F.lit(i).alias("i"), (F.floor(h) + 1).alias("r"), (F.ceil(h) - h).alias("w"), (F.floor(h) == F.ceil(h)).alias("whole")),
+                       F.struct(F.lit(i).alias("i"), (F.ceil(h) + 1).alias("r"), (h - F.floor(h)).alias("w"), F.lit(False).alias("whole"))]
+        else:
+            r = F.greatest(F.ceil(F.col("_all") * F.lit(q) - F.lit(1e-12)), F.lit(1))
+            wanted.append(F.struct(F.lit(i).alias("i"), r.alias("r"), F.lit(1.0).alias("w"), F.lit(True).alias("whole")))
+    ranks = counts.select(*by, "_bk", "_off", "_n", F.explode(F.array(*wanted)).alias("_s")).where(
+        (F.col("_s.r") > F.col("_off")) & (F.col("_s.r") <= F.col("_off") + F.col("_n")))
+    need = ranks.groupBy(*by, "_bk").agg(F.first("_off").alias("_off"), F.collect_list("_s").alias("_wanted"))
+    wr = Window.partitionBy(*by, "_bk").orderBy("_v")
+    rows = _same(d.where("_v IS NOT NULL"), need, [*by, "_bk"]).withColumn("_r", F.row_number().over(wr) + F.col("_off"))
+    hit = rows.select(*by, "_v", F.explode(F.filter("_wanted", lambda s: s["r"] == F.col("_r"))).alias("_s"))
+    value = F.when(F.col("_s.whole"), F.col("_v")).when(F.col("_s.w") > 0, F.col("_s.w") * F.col("_v"))
+    parts = hit.groupBy(*by).agg(*[F.sum(F.when(F.col("_s.i") == i, value)).alias(f"_q{i}") for i in range(len(qs))])
+    found = parts.select(*by, F.array(*[F.col(f"_q{i}") for i in range(len(qs))]).alias("q"))
+    if not by:
+        return found
+    empty = df.select(*by).distinct()
+    return _left(empty, found, by).select(*by, F.coalesce("q", F.array(*[F.lit(None).cast("double")] * len(qs))).alias("q"))
+
+
+def _left(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Null-safe left join on ``keys``; the left side's key columns stay."""
+    names = {k: f"_j{i}" for i, k in enumerate(keys)}
+    right = right.select(*[F.col(k).alias(v) for k, v in names.items()], *[c for c in right.columns if c not in names])
+    cond = F.lit(True)
+    for k, v in names.items():
+        cond = cond & left[k].eqNullSafe(right[v])
+    return left.join(right, cond, "left").drop(*names.values())
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, rows_each: int = ROWS_EACH):
+    """Exact linear-interpolation quantile of a column as a Python float (None for an empty column)."""
+    return group_quantiles(df, [], col, [q], rows_each=rows_each).first()["q"][0]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mlframe.functions.hashing import hash_uniform
-from mlframe.operators.ranking import positions, unit_bucket
+from mlframe.operators.ranking import _left, positions, unit_bucket, value_buckets
 
 
 def top_k(df: DataFrame, order: list, k: int) -> DataFrame:
@@ -37,26 +37,26 @@ def stratified_split(df: DataFrame, keys, label: str, frac: float = 0.8, salt: s
 
     Rows are ranked by a hash draw inside their label. The rank comes from
     per-(label, hash-bucket) counts and running offsets, so a label holding
-    most of the rows is still numbered by many tasks.
+    most of the rows is still numbered by many tasks. A null label is a label.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     d = df.withColumn("_u", hash_uniform(*keys, lane=salt))
     ranked = positions(d, [F.col("_u"), *[F.col(k) for k in keys]], unit_bucket("_u", buckets),
                        partition=[label], name="_pos")
     n = d.groupBy(label).agg(F.count(F.lit(1)).alias("_nl"))
-    return (ranked.join(n, label)
+    return (_left(ranked, n, [label])
             .withColumn(name, F.when(F.col("_pos") <= F.round(F.col("_nl") * frac), "train").otherwise("test"))
             .drop("_u", "_pos", "_nl"))
 
 
-def time_split(df: DataFrame, ts: str, keys, frac: float = 0.8, name: str = "split",
-               unit: str = "day") -> DataFrame:
+def time_split(df: DataFrame, ts: str, keys, frac: float = 0.8, name: str = "split") -> DataFrame:
     """The oldest ``round(frac * n)`` rows (ties broken by key) train,
-    the rest validate. Positions come from per-``unit`` counts, so no task
-    sorts the whole table and no exact-percentile buffer holds every value."""
+    the rest validate; rows without a time count as oldest. Positions come
+    from counts per time range of about equal rows, so no task sorts the whole
+    table, however long its time span or however uneven its days are."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     n = df.agg(F.count(F.lit(1))).scalar()
-    ranked = positions(df, [F.col(ts), *[F.col(k) for k in keys]], F.date_trunc(unit, ts), name="_pos")
+    ranked = positions(df, [F.col(ts).asc_nulls_first(), *[F.col(k) for k in keys]], value_buckets(df, ts), name="_pos")
     return ranked.withColumn(name, F.when(F.col("_pos") <= F.round(n * frac), "train").otherwise("valid")).drop("_pos")
 
 

@@ -33,14 +33,15 @@ def halo_blocks(df: DataFrame, key, order: list, halo: int, block_rows: int, buc
             .withColumn("_halo", (F.col("_c") > 0).cast("int")).drop("_c"))
 
 
-def rolling_z(df: DataFrame, key: str, ts: str, col: str, n: int = 12, decimals: int = 2,
+def rolling_z(df: DataFrame, key: str, ts: str, col: str, n: int = 12,
               block_rows: int | None = None) -> DataFrame:
     """Mean and sample stddev of the ``n`` preceding rows (current row
-    excluded) per ``key``; z = 0 when the stddev is null or 0.
+    excluded) per ``key``; z = 0 when the stddev is null or 0. Nothing is
+    rounded here. Rows with a null key are a series like any other.
 
-    Moments are taken from window sums of ``x`` and ``x*x`` rounded to the
-    data's decimals, so the result does not depend on summation order.
-    ``block_rows`` enables the skew-safe block + halo plan."""
+    ``block_rows`` enables the skew-safe block + halo plan. The frame's
+    moments are central (``avg``, ``stddev_samp``), so an offset of the values
+    costs no precision; equal values have a stddev of exactly 0."""
     part = [key]
     base = df
     if block_rows:
@@ -48,27 +49,23 @@ def rolling_z(df: DataFrame, key: str, ts: str, col: str, n: int = 12, decimals:
         part = [key, "_blk"]
     w = Window.partitionBy(*part).orderBy(ts).rowsBetween(-n, -1)
     x = F.col(col)
-    cnt = F.count(x).over(w)
-    s = F.round(F.sum(x).over(w), decimals)
-    ss = F.round(F.sum(x * x).over(w), 2 * decimals)
-    out = base.select("*", cnt.alias("_n"), s.alias("_s"), ss.alias("_ss"))
-    mean = F.when(F.col("_n") > 0, F.col("_s") / F.col("_n"))
-    var = F.when(F.col("_n") > 1, (F.col("_ss") - F.col("_s") * F.col("_s") / F.col("_n")) / (F.col("_n") - 1))
-    std = F.when(var.isNotNull(), F.sqrt(F.greatest(var, F.lit(0.0))))
-    z = F.when(std.isNull() | (std == 0), F.lit(0.0)).otherwise((x - mean) / std)
-    out = out.select("*", mean.alias("roll_mean"), std.alias("roll_std"), z.alias("z")).drop("_n", "_s", "_ss")
+    flat = F.min(x).over(w) == F.max(x).over(w)
+    out = base.select("*", F.avg(x).over(w).alias("roll_mean"),
+                      F.when(flat & (F.count(x).over(w) > 1), F.lit(0.0)).otherwise(F.stddev_samp(x).over(w)).alias("roll_std"))
+    z = F.when(F.col("roll_std").isNull() | (F.col("roll_std") == 0), F.lit(0.0)).otherwise((x - F.col("roll_mean")) / F.col("roll_std"))
+    out = out.withColumn("z", z)
     if block_rows:
         out = out.where("_halo = 0").drop("_halo", "_blk", "_pos")
     return out
 
 
 def detect(df: DataFrame, low_side: bool = False, z_limit: float = 3.0, skip_bad: bool = False) -> DataFrame:
-    """Keep rows over the critical threshold or with |z| > limit;
-    the reason is ``crit_threshold`` first, then ``zscore>3``; with
+    """Keep rows over the critical threshold or with |z| > limit (the
+    unrounded z; only the reported one has 2 decimals); the reason is ``crit_threshold`` first, then ``zscore>3``; with
     ``low_side`` also rows under the normal band (``below_band``). A null
     threshold never breaches."""
     d = df.where(F.col("quality_code") != "Bad") if skip_bad else df
-    z = F.round(F.col("z"), 2)
+    z = F.col("z")
     crit = F.coalesce(F.col("value") > F.col("crit_threshold"), F.lit(False))
     zs = F.abs(z) > z_limit
     low = F.coalesce(F.col("value") < F.col("normal_low"), F.lit(False))
@@ -77,7 +74,7 @@ def detect(df: DataFrame, low_side: bool = False, z_limit: float = 3.0, skip_bad
     if low_side:
         reason = reason.when(low, "below_band")
         cond = cond | low
-    return d.where(cond).select("*", z.alias("z_score"), reason.alias("reason"))
+    return d.where(cond).select("*", F.round(z, 2).alias("z_score"), reason.alias("reason"))
 
 
 def lag_features(df: DataFrame, keys, ts: str, y: str, lags=(1, 2, 3, 12), drop_incomplete: bool = True) -> DataFrame:
@@ -102,22 +99,27 @@ def lagged_rolling(df: DataFrame, keys, ts: str, y: str, lags=(1, 2, 3, 7, 14, 3
                      F.avg(y).over(r30).alias("rolling_mean_lag30_window_size14"))
 
 
-def episodes(df: DataFrame, key: str, ts: str, flag: str, bucket: str = "hour") -> DataFrame:
+def episodes(df: DataFrame, key: str, ts: str, flag: str, block_rows: int = 100_000) -> DataFrame:
     """Contiguous runs of flagged rows per key (gaps and islands):
-    start, end, length and run number.
-
-    The two row numbers (within the key, and within key + flag) come from
-    :func:`positions` with time buckets, so a key holding most of the rows is
-    still numbered by many tasks; only the (much smaller) run table is
-    windowed per key at the end."""
-    b = F.date_trunc(bucket, ts)
-    d = positions(df.select(key, ts, flag), [F.col(ts)], b, partition=[key], name="_ra")
-    d = positions(d, [F.col(ts)], b, partition=[key, flag], name="_rf")
-    g = d.withColumn("_grp", F.col("_ra") - F.col("_rf"))
-    runs = (g.where(F.col(flag) == 1).groupBy(key, "_grp")
-            .agg(F.min(ts).alias("start_ts"), F.max(ts).alias("end_ts"), F.count(F.lit(1)).alias("n_rows")))
-    w_run = Window.partitionBy(key).orderBy("start_ts")
-    return runs.select(key, "start_ts", "end_ts", "n_rows", F.row_number().over(w_run).alias("episode_no"))
+    start, end, length and run number. Rows with a null key are a series of
+    their own; a null flag is not flagged.
+
+    A run starts where a flagged row's predecessor is not flagged. Rows are
+    numbered once, in blocks of consecutive rows, so a key holding most of the
+    rows is spread over many tasks; runs that go on across a block's border
+    are joined in the (much smaller) run table."""
+    f = F.coalesce(F.col(flag).cast("int"), F.lit(0))
+    d = positions(df.select(key, ts, f.alias("_f")), [F.col(ts)], F.date_trunc("hour", ts), partition=[key])
+    d = d.withColumn("_blk", F.floor((F.col("pos") - 1) / block_rows))
+    w = Window.partitionBy(key, "_blk").orderBy("pos")
+    hit = d.withColumn("_run", F.when(F.col("_f") == 1, F.col("pos") - F.sum("_f").over(w))).where("_f = 1")
+    pieces = hit.groupBy(key, "_blk", "_run").agg(F.min(ts).alias("start_ts"), F.max(ts).alias("end_ts"), F.count(F.lit(1)).alias("n_rows"),
+                                                  F.min("pos").alias("_a"), F.max("pos").alias("_z"))
+    wk = Window.partitionBy(key).orderBy("_a")
+    first = F.coalesce(F.lag("_z").over(wk) + 1 < F.col("_a"), F.lit(True)).cast("int")
+    runs = (pieces.withColumn("_first", first).withColumn("episode_no", F.sum("_first").over(wk).cast("int"))
+            .groupBy(key, "episode_no").agg(F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts"), F.sum("n_rows").alias("n_rows")))
+    return runs.select(key, "start_ts", "end_ts", "n_rows", "episode_no")
 
 
 def top_n(df: DataFrame, by, order: list, n: int, name: str = "rank") -> DataFrame:

@@ -485,4 +485,4 @@ SELECT o_orderkey, CASE WHEN pos <= round(n * 0.8) THEN 'train' ELSE 'valid' END
 """)
 def time_split(spark, d):
     o = read(spark, d, "orders", ["o_orderkey", "o_orderdate"])
-    return L.time_split(o, "o_orderdate", "o_orderkey", 0.8, unit="month").select("o_orderkey", "split")
+    return L.time_split(o, "o_orderdate", "o_orderkey", 0.8).select("o_orderkey", "split")

@@ -14,11 +14,10 @@ from mlframe.plans.sql import R
 SENSOR_CTE = B.cte(readings=B.READINGS_SQL) + ", dim_tag AS (" + B.DIM_TAG_SQL + ")"
 
 ROLLING_SQL = """,
-w AS (SELECT r.*, count(value) OVER w AS n, round(sum(value) OVER w, 2) AS s, round(sum(value * value) OVER w, 4) AS ss
+m AS (SELECT r.*, avg(value) OVER w AS roll_mean,
+             CASE WHEN count(value) OVER w > 1 AND min(value) OVER w = max(value) OVER w THEN 0.0 ELSE stddev_samp(value) OVER w END AS roll_std
       FROM readings r
       WINDOW w AS (PARTITION BY tag_id ORDER BY reading_ts ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)),
-m AS (SELECT *, CASE WHEN n > 0 THEN s / n END AS roll_mean,
-             CASE WHEN n > 1 THEN sqrt(greatest((ss - s * s / n) / (n - 1), 0)) END AS roll_std FROM w),
 z AS (SELECT *, CASE WHEN roll_std IS NULL OR roll_std = 0 THEN 0.0 ELSE (value - roll_mean) / roll_std END AS z FROM m)
 """
 
@@ -45,8 +44,8 @@ GOLD_SQL = SENSOR_CTE + ROLLING_SQL + """,
 j AS (SELECT z.*, t.crit_threshold, t.normal_low FROM z JOIN dim_tag t USING (tag_id))
 SELECT reading_id, tag_id, reading_ts, value, round(z, 2) AS z_score,
   CASE WHEN coalesce(value > crit_threshold, false) THEN 'crit_threshold'
-       WHEN abs(round(z, 2)) > 3 THEN 'zscore>3' {low_reason} END AS reason
-FROM j WHERE coalesce(value > crit_threshold, false) OR abs(round(z, 2)) > 3 {low_cond}
+       WHEN abs(z) > 3 THEN 'zscore>3' {low_reason} END AS reason
+FROM j WHERE coalesce(value > crit_threshold, false) OR abs(z) > 3 {low_cond}
 """
 
 
@@ -76,13 +75,16 @@ FROM readings
 WINDOW w AS (PARTITION BY tag_id ORDER BY reading_ts ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)
 """)
 def named_window(spark, d):
-    """One named window reused by four functions (one Window node)."""
-    B.readings(spark, d).createOrReplaceTempView("readings_v")
+    """One named window reused by four functions (one Window node), over
+    blocks of consecutive readings with a halo, so a hot tag is spread."""
+    blocks = W.halo_blocks(B.readings(spark, d), "tag_id", [F.col("reading_ts")], 5, BLOCK_ROWS, F.date_trunc("hour", "reading_ts"))
     return spark.sql("""
-        SELECT reading_id, tag_id, round(sum(value) OVER w, 2) / count(value) OVER w AS roll_avg,
-               min(value) OVER w AS roll_min, max(value) OVER w AS roll_max, count(value) OVER w AS roll_n
-        FROM readings_v
-        WINDOW w AS (PARTITION BY tag_id ORDER BY reading_ts ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)""")
+        SELECT reading_id, tag_id, roll_avg, roll_min, roll_max, roll_n FROM (
+          SELECT reading_id, tag_id, _halo, round(sum(value) OVER w, 2) / count(value) OVER w AS roll_avg,
+                 min(value) OVER w AS roll_min, max(value) OVER w AS roll_max, count(value) OVER w AS roll_n
+          FROM {blocks}
+          WINDOW w AS (PARTITION BY tag_id, _blk ORDER BY reading_ts ROWS BETWEEN 5 PRECEDING AND CURRENT ROW))
+        WHERE _halo = 0""", blocks=blocks)
 
 
 @query("episodes", sql=SENSOR_CTE + """,

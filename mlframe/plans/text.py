@@ -68,17 +68,17 @@ a AS (SELECT doc_id,
   FROM t)
 SELECT doc_id, entity_texts, entity_types,
        list_transform(d, lambda v: CASE WHEN v > 0 THEN 'POSITIVE' ELSE 'NEGATIVE' END) AS labels,
-       list_transform(d, lambda v: least(0.99, greatest(0.01, 0.5 + 0.1 * v))) AS scores
+       list_transform(d, lambda v: CAST(least(0.99, greatest(0.01, 0.5 + 0.1 * v)) AS DOUBLE)) AS scores
 FROM a
 """
 
 
 @query("iterator_map", sql=ITER_SQL)
 def iterator_map(spark, d):
-    """The iterator-of-frames stage on its own (model built once per
-    partition inside mapInPandas), arrays per document."""
+    """The iterator-of-batches stage on its own (model built once per
+    partition inside mapInArrow), arrays per document."""
     docs = read(spark, d, "documents", ["doc_id", "text"]).select("doc_id", sentences("text").alias("sentences"))
-    out = TX.infer_sentences(docs)
+    out = TX.infer_sentences_arrow(docs)
     return out.select("doc_id", F.transform("entities", lambda e: e["text"]).alias("entity_texts"),
                       F.transform("entities", lambda e: e["type"]).alias("entity_types"), "labels", "scores")
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mlframe import bindings as B
 from mlframe.operators import windows as W
-from mlframe.operators.ranking import positions
+from mlframe.operators.ranking import positions, value_buckets
 from mlframe.plans import query
 from mlframe.plans.aggregates import MONTHLY_DEMAND_SQL, SALES, monthly_demand_df
 from mlframe.plans.sql import R
@@ -56,10 +56,10 @@ SELECT * FROM (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_to
 WHERE pos IN (1, 10, 100, 1000, 5000)
 """)
 def row_position(spark, d):
-    """Global positions without a single-partition window (price-range buckets)."""
+    """Global positions without a single-partition window (buckets of about equal rows)."""
     o = read(spark, d, "orders", ["o_orderkey", "o_totalprice"])
     ranked = positions(o, [F.col("o_totalprice").desc(), F.col("o_orderkey")],
-                       (-F.floor(F.col("o_totalprice") / 10000)).cast("long"))
+                       -value_buckets(o, "o_totalprice"))
     return ranked.where(F.col("pos").isin(1, 10, 100, 1000, 5000))
 
 
