@@ -157,13 +157,13 @@ def slots(patterns: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]:
 
 
 def ranked(pieces: DataFrame, id_col: str, rows_each: int = 50_000) -> DataFrame:
-    """``pieces`` with rank (long): gapless from 0 within each length, by salted groups of about ``rows_each`` rows.
+    """``pieces`` with rank (long): gapless from 0 within each length, by salted groups of at most about ``rows_each`` rows.
 
     A group is a hash bucket of one length; small per-group counts give each
     group its first rank, so no task holds all pieces of a common length.
     """
-    total = pieces.count()
-    salt = F.pmod(F.xxhash64(id_col, "start"), F.lit(max(1, total // rows_each))).cast("int")
+    least = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64(id_col, "start"), F.lit(max(least, pieces.count() // rows_each))).cast("int")
     salted = pieces.withColumn("_salt", salt)
     first = (salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
              .withColumn("_first", F.sum("_n").over(Window.partitionBy("length").orderBy("_salt")) - F.col("_n")).drop("_n"))
