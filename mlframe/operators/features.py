@@ -57,9 +57,9 @@ def pit_counters(df: DataFrame, key: str = "instrument_id", ts: str = "event_ts"
     excluded (leak-free form of A1). Range frame on epoch microseconds.
 
     With ``bucket`` the window partitions by (key, time bucket) and every row
-    from the last ``seconds`` of a bucket is also copied into the next bucket
-    as a halo, so a hot key is split by time and the answer stays exact (the
-    frame is never longer than a bucket)."""
+    is also copied, as a halo, into each later bucket that its ``seconds``
+    reach, so a hot key is split by time and the answer is exact for a span
+    of any length."""
     t = F.unix_micros(F.col(ts).cast("timestamp"))
     span = seconds * 1_000_000
     aggs = lambda w: [F.count(F.lit(1)).over(w).alias("pit_txn_cnt"),
@@ -69,19 +69,25 @@ def pit_counters(df: DataFrame, key: str = "instrument_id", ts: str = "event_ts"
         w = Window.partitionBy(key).orderBy(t).rangeBetween(-span, -1)
         return df.select("*", *aggs(w))
     start = F.date_trunc(bucket, ts)
-    nxt = F.date_trunc(bucket, F.col(ts) + F.expr(f"INTERVAL {seconds} SECONDS"))
-    copies = F.when(nxt > start, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    d = df.withColumn("_c", F.explode(copies)).withColumn("_b", F.when(F.col("_c") == 0, start).otherwise(nxt))
+    last = F.date_trunc(bucket, F.col(ts) + F.expr(f"INTERVAL {seconds} SECONDS"))
+    reached = F.when(F.col(ts).isNull(), F.array(start)).otherwise(F.sequence(start, last, F.expr(f"INTERVAL 1 {bucket}")))
+    d = df.withColumn("_b", F.explode(reached)).withColumn("_halo", F.coalesce(F.col("_b") > start, F.lit(False)))
     w = Window.partitionBy(key, "_b").orderBy(t).rangeBetween(-span, -1)
-    return d.select("*", *aggs(w)).where("_c = 0").drop("_c", "_b")
+    return d.select("*", *aggs(w)).where("NOT _halo").drop("_halo", "_b")
 
 
 def create_training_set(spine: DataFrame, *, instrument_counters: DataFrame, daily: DataFrame,
                         monthly: DataFrame, profile: DataFrame, label: str = "label",
                         exclude=("instrument_id", "account_id", "event_ts", "category_code"),
-                        bucket: str = "month") -> DataFrame:
+                        bucket: str = "month", leak_free: bool = False) -> DataFrame:
     """Every lookup and on-demand function over a spine.
 
+    ``instrument_counters`` is a snapshot over all events, as the reference
+    takes it, so its fail counts hold each row's own outcome and later ones.
+    ``leak_free`` takes the instrument's counters of the hour before each
+    event instead (:func:`pit_counters` over the spine, which then needs
+    outcome and amount): pit_txn_cnt, pit_fail_cnt and pit_avg_amount.
+
     The two as-of lookups share the account key and are answered by a single
     window (one shuffle); the latest-value lookups are left joins that AQE
     turns into broadcasts when the feature tables are measured small.
@@ -90,9 +96,12 @@ def create_training_set(spine: DataFrame, *, instrument_counters: DataFrame, dai
         AsOfLookup(daily, ["account_id"], "feature_ts"),
         AsOfLookup(monthly, ["account_id"], "feature_ts"),
     ], spine_ts="event_ts", bucket=bucket)
-    out = lookup(out, instrument_counters, "instrument_id",
-                 ["inst_txn_cnt", "inst_fail_cnt", "inst_fail_ratio", "inst_distinct_accounts",
-                  "inst_avg_amount", "inst_max_amount"])
+    if leak_free:
+        out = pit_counters(out)
+    else:
+        out = lookup(out, instrument_counters, "instrument_id",
+                     ["inst_txn_cnt", "inst_fail_cnt", "inst_fail_ratio", "inst_distinct_accounts",
+                      "inst_avg_amount", "inst_max_amount"])
     out = lookup(out, profile, "account_id", ["is_premium", "home_region_code", "acct_balance"])
     out = on_demand(out)
     return out.drop(*[c for c in exclude if c != label])

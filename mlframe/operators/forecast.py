@@ -8,6 +8,8 @@ aggregates. Nothing is collected to the driver.
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,95 +24,123 @@ def seasonal_naive(df: DataFrame, keys, ts: str = "ds", y: str = "y", horizon: i
                    start=None) -> DataFrame:
     """Forecast month m = mean of the same calendar month over the last
     12 months before ``start`` (default: the month after the newest data),
-    band x0.8 / x1.2, for ``horizon`` months. The horizon month matching each
-    last-year month is computed, not joined."""
+    band x0.8 / x1.2, for ``horizon`` months of any number: months beyond a
+    year repeat the season. Each last-year month generates its own horizon
+    months; nothing is joined."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     start_c = F.add_months(F.trunc(df.agg(F.max(ts)).scalar(), "month"), 1) if start is None else F.lit(start).cast("date")
     ly = (df.where((F.col(ts) >= F.add_months(start_c, -12)) & (F.col(ts) < start_c))
           .groupBy(*keys, F.month(ts).alias("mo")).agg(F.avg(y).alias("y_ly")))
-    k = (F.col("mo") - F.month(start_c) + 12) % 12
-    out = ly.where(k < horizon).select(*keys, F.add_months(start_c, k).alias("forecast_month"),
-                                       F.col("y_ly").alias("forecast_cases"))
+    first = (F.col("mo") - F.month(start_c) + 12) % 12
+    steps = F.when(first < horizon, F.sequence(first, F.lit(horizon - 1), F.lit(12)))
+    out = ly.select(*keys, "y_ly", F.explode(steps).alias("_k")).select(
+        *keys, F.add_months(start_c, F.col("_k")).alias("forecast_month"), F.col("y_ly").alias("forecast_cases"))
     return out.select("*", (F.col("forecast_cases") * BAND_LO).alias("forecast_p10"),
                       (F.col("forecast_cases") * BAND_HI).alias("forecast_p90"),
                       F.lit("seasonal_naive").alias("method"))
 
 
-def _holt_winters(y: np.ndarray, season: int, horizon: int, a=0.3, b=0.05, g=0.2):
-    """Additive Holt-Winters with fixed smoothing; returns forecast and residual sd."""
-    n = len(y)
-    level = y[:season].mean()
-    trend = (y[season:2 * season].mean() - y[:season].mean()) / season
-    seas = list(y[:season] - level)
-    fitted = []
-    for t in range(n):
-        s = seas[t % season] if t >= season else seas[t]
-        fitted.append(level + trend + s)
+SMOOTHING = tuple((a, b, g) for a in (0.1, 0.3, 0.5, 0.8) for b in (0.0, 0.05, 0.2) for g in (0.05, 0.2, 0.5))
+
+
+def _holt_winters(y: np.ndarray, season: int, horizon: int, smoothing=None):
+    """Additive Holt-Winters; returns forecast, residual sd and the smoothing.
+
+    ``smoothing`` (level, trend, season) is fitted to the series if it is not
+    given: the triple with the smallest squared one-step errors after the
+    first season, all triples run together as one array."""
+    abc = np.array([smoothing] if smoothing is not None else SMOOTHING, dtype=float).T
+    a, b, g = abc
+    m = abc.shape[1]
+    level = np.full(m, y[:season].mean())
+    trend = np.full(m, (y[season:2 * season].mean() - y[:season].mean()) / season)
+    seas = np.repeat((y[:season] - y[:season].mean())[:, None], m, axis=1)
+    err = np.zeros((len(y), m))
+    for t, now in enumerate(y):
+        s = seas[t % season].copy()
+        err[t] = now - (level + trend + s)
         prev = level
-        level = a * (y[t] - s) + (1 - a) * (level + trend)
+        level = a * (now - s) + (1 - a) * (level + trend)
         trend = b * (level - prev) + (1 - b) * trend
-        seas[t % season] = g * (y[t] - level) + (1 - g) * s
-    resid = y - np.array(fitted)
-    sd = float(np.std(resid[season:], ddof=1)) if n > season + 1 else 0.0
-    fc = np.array([level + (h + 1) * trend + seas[(n + h) % season] for h in range(horizon)])
-    return fc, sd
+        seas[t % season] = g * (now - level) + (1 - g) * s
+    best = int((err[season:] ** 2).sum(axis=0).argmin())
+    sd = float(np.std(err[season:, best], ddof=1)) if len(y) > season + 1 else 0.0
+    fc = np.array([level[best] + (h + 1) * trend[best] + seas[(len(y) + h) % season, best] for h in range(horizon)])
+    return fc, sd, tuple(abc[:, best])
+
+
+def _seasonal_repeat(y: np.ndarray, season: int, horizon: int, smoothing=None):
+    """Last season's values again; the sd is that of the season-on-season changes."""
+    change = y[season:] - y[:-season]
+    sd = float(np.std(change, ddof=1)) if len(change) > 1 else 0.0
+    return np.array([y[len(y) - season + h % season] for h in range(horizon)]), sd, None
+
 
+METHODS = {"holt_winters": (_holt_winters, 2), "seasonal_repeat": (_seasonal_repeat, 1)}
 
-FORECAST_SCHEMA = "brand string, region string, forecast_month date, forecast_cases double, " \
-                  "forecast_lo double, forecast_hi double, method string"
 
+def _key_fields(df: DataFrame, keys) -> list[T.StructField]:
+    return [T.StructField(k, df.schema[k].dataType) for k in keys]
 
-def group_forecast(df: DataFrame, keys=("brand", "region"), ts: str = "ds", y: str = "y",
-                   horizon: int = 9, season: int = 12, z: float = 1.96) -> DataFrame:
-    """A forecast with interval for every series in one call. Series with
-    at least two seasons use additive Holt-Winters; shorter ones repeat the
-    last season's value (seasonal naive). Output schema fixed for
-    ``(brand, region)`` keys."""
+
+def group_forecast(df: DataFrame, keys=("brand", "region"), ts: str = "ds", y: str = "y", horizon: int = 9, season: int = 12,
+                   level: float = 0.95, method: str = "holt_winters", smoothing=None) -> DataFrame:
+    """A forecast with interval for every series in one call, for any keys.
+
+    ``method`` is the same for all series; one that is too short for it (two
+    seasons for Holt-Winters, one for ``seasonal_repeat``) comes back as one
+    row with null forecasts and a reason. Series must be regular: fill gaps
+    first (:func:`mlframe.operators.windows.densify`). The interval is the
+    normal one of ``level`` from the one-step errors, widening with the root
+    of the horizon."""
     keys = list(keys)
+    run, seasons = METHODS[method]
+    z = NormalDist().inv_cdf(0.5 + level / 2)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(ts)
         vals = pdf[y].to_numpy(dtype=float)
+        own = {k: pdf[k].iloc[0] for k in keys}
+        if len(vals) < seasons * season:
+            return pd.DataFrame([{**own, "forecast_month": None, "forecast_cases": None, "forecast_lo": None, "forecast_hi": None,
+                                  "method": method, "reason": f"{len(vals)} periods, {seasons * season} needed"}])
         last = pd.Timestamp(pdf[ts].iloc[-1])
-        months = [(last + pd.DateOffset(months=h + 1)).date() for h in range(horizon)]
-        if len(vals) >= 2 * season:
-            fc, sd = _holt_winters(vals, season, horizon)
-            width = z * sd * np.sqrt(np.arange(1, horizon + 1))
-            method = "holt_winters"
-        else:
-            tail = vals[-season:] if len(vals) >= season else np.resize(vals, season)
-            fc = np.array([tail[h % len(tail)] for h in range(horizon)])
-            width = np.abs(fc) * 0.2
-            method = "seasonal_naive"
-        return pd.DataFrame({keys[0]: pdf[keys[0]].iloc[0], keys[1]: pdf[keys[1]].iloc[0],
-                             "forecast_month": months, "forecast_cases": fc,
-                             "forecast_lo": fc - width, "forecast_hi": fc + width, "method": method})
-
-    return df.select(*keys, ts, y).groupBy(*keys).applyInPandas(fit, FORECAST_SCHEMA)
-
-
-def backtest(df: DataFrame, keys=("brand", "region"), ts: str = "ds", y: str = "y", holdout: int = 6,
-             season: int = 12) -> DataFrame:
-    """Hold out the last ``holdout`` periods of each series, forecast
-    them from the rest with Holt-Winters, MAPE per series."""
+        fc, sd, _ = run(vals, season, horizon, smoothing)
+        width = z * sd * np.sqrt(np.arange(1, horizon + 1))
+        return pd.DataFrame({**own, "forecast_month": [(last + pd.DateOffset(months=h + 1)).date() for h in range(horizon)],
+                             "forecast_cases": fc, "forecast_lo": fc - width, "forecast_hi": fc + width, "method": method, "reason": None})
+
+    schema = T.StructType([*_key_fields(df, keys), T.StructField("forecast_month", T.DateType()),
+                           *[T.StructField(c, T.DoubleType()) for c in ("forecast_cases", "forecast_lo", "forecast_hi")],
+                           T.StructField("method", T.StringType()), T.StructField("reason", T.StringType())])
+    return df.select(*keys, ts, y).groupBy(*keys).applyInPandas(fit, schema)
+
+
+def backtest(df: DataFrame, keys=("brand", "region"), ts: str = "ds", y: str = "y", holdout: int = 6, season: int = 12,
+             method: str = "holt_winters", smoothing=None) -> DataFrame:
+    """Hold out the last ``holdout`` periods of each (regular) series, fit
+    the rest, MAPE per series over the held-out periods that are not 0. A
+    series that is too short has a null MAPE and a reason."""
     keys = list(keys)
+    run, seasons = METHODS[method]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def test(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(ts)
         vals = pdf[y].to_numpy(dtype=float)
-        if len(vals) < 2 * season + holdout:
-            mape = None
+        mape, reason = None, None
+        if len(vals) < seasons * season + holdout:
+            reason = f"{len(vals)} periods, {seasons * season + holdout} needed"
         else:
-            fc, _ = _holt_winters(vals[:-holdout], season, holdout)
+            fc, _, _ = run(vals[:-holdout], season, holdout, smoothing)
             act = vals[-holdout:]
             ok = act != 0
             mape = float(np.mean(np.abs((act[ok] - fc[ok]) / act[ok]))) if ok.any() else None
-        return pd.DataFrame({keys[0]: [pdf[keys[0]].iloc[0]], keys[1]: [pdf[keys[1]].iloc[0]],
-                             "n_points": [len(vals)], "mape": [mape]})
+            reason = None if ok.any() else "all held-out periods are 0"
+        return pd.DataFrame([{**{k: pdf[k].iloc[0] for k in keys}, "n_points": len(vals), "mape": mape, "reason": reason}])
 
-    schema = T.StructType([T.StructField(keys[0], T.StringType()), T.StructField(keys[1], T.StringType()),
-                           T.StructField("n_points", T.LongType()), T.StructField("mape", T.DoubleType())])
-    return df.select(*keys, ts, y).groupBy(*keys).applyInPandas(run, schema)
+    schema = T.StructType([*_key_fields(df, keys), T.StructField("n_points", T.LongType()), T.StructField("mape", T.DoubleType()),
+                           T.StructField("reason", T.StringType())])
+    return df.select(*keys, ts, y).groupBy(*keys).applyInPandas(test, schema)
 
 
 def leaderboard(preds: DataFrame, actual: str = "y", models=("naive_last", "train_mean"),
@@ -121,6 +151,6 @@ def leaderboard(preds: DataFrame, actual: str = "y", models=("naive_last", "trai
     a, p = F.col(actual), F.col("pred")
     agg = long.groupBy("model").agg(
         F.avg(F.when(a != 0, F.abs(a - p) / F.abs(a))).alias("mape"),
-        (F.sum(F.abs(a - p)) / F.sum(F.abs(a))).alias("wmape"),
+        F.try_divide(F.sum(F.abs(a - p)), F.sum(F.abs(a))).alias("wmape"),
         F.count(F.lit(1)).alias("n"))
     return agg.select("model", F.round("mape", digits).alias("mape"), F.round("wmape", digits).alias("wmape"), "n")

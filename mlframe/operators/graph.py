@@ -1,8 +1,7 @@
 """Hierarchy roll-up (M29): push readings from children to every ancestor.
 
 Each round sends the last round's increments one edge up (a join on the
-edge list plus a grouped sum) until nothing moves or ``max_iter`` rounds
-ran. Lineage is cut every round with ``checkpoint()`` into the cluster's
+edge list plus a grouped sum) until nothing moves. Lineage is cut every round with ``checkpoint()`` into the cluster's
 shared checkpoint folder, so a lost executor recomputes at most one round.
 """
 
@@ -14,27 +13,26 @@ from pyspark.sql import functions as F
 from mlframe.session import ensure_checkpoint_dir
 
 
-def rollup(vertices: DataFrame, edges: DataFrame, max_iter: int = 10, id_col: str = "id",
-           reading: str = "reading", checkpoint_every: int = 1) -> DataFrame:
+def rollup(vertices: DataFrame, edges: DataFrame, id_col: str = "id", reading: str = "reading") -> DataFrame:
     """Totals per vertex: own reading (null = 0) plus the readings of every
-    descendant, once per path, for paths of at most ``max_iter`` edges.
+    descendant, once per path, however long the paths are.
 
-    Every non-zero increment is carried (negative readings included)."""
+    Every non-zero increment is carried (negative readings included). A path
+    of a hierarchy has fewer edges than there are vertices; if increments
+    still move after that many rounds, the edges hold a cycle and a
+    ``ValueError`` is raised."""
     ensure_checkpoint_dir(vertices.sparkSession)
     e = edges.select(F.col("src"), F.col("dst"))
+    most = e.select("src").unionByName(e.select(F.col("dst").alias("src"))).distinct().count()
     total = vertices.select(F.col(id_col).alias("id"), F.coalesce(F.col(reading).cast("double"), F.lit(0.0)).alias("total"))
     inc = total.where(F.col("total") != 0).select("id", F.col("total").alias("inc"))
-    parts = [total]
-    for i in range(max_iter):
-        nxt = (inc.join(e, inc.id == e.src).groupBy(F.col("dst").alias("id"))
-               .agg(F.sum("inc").alias("inc")).where(F.col("inc") != 0))
-        if (i + 1) % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)
-        if nxt.isEmpty():
-            break
-        parts.append(nxt.select("id", F.col("inc").alias("total")))
-        inc = nxt
-    acc = parts[0]
-    for p in parts[1:]:
-        acc = acc.unionByName(p)
+    acc = total
+    for _ in range(most):
+        inc = (inc.join(e, inc.id == e.src).groupBy(F.col("dst").alias("id"))
+               .agg(F.sum("inc").alias("inc")).where(F.col("inc") != 0)).checkpoint(eager=True)
+        if inc.isEmpty():
+            return acc.groupBy("id").agg(F.sum("total").alias("total"))
+        acc = acc.unionByName(inc.select("id", F.col("inc").alias("total")))
+    if most:
+        raise ValueError("the edges of the hierarchy hold a cycle")
     return acc.groupBy("id").agg(F.sum("total").alias("total"))

@@ -19,8 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mlframe.functions.hashing import hash_uniform
-
 TREE_SCHEMA = T.StructType([
     T.StructField("tree", T.IntegerType()),
     T.StructField("feature", T.ArrayType(T.IntegerType())),
@@ -65,17 +63,24 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int):
     return feat, split, left, right, size
 
 
-def fit_iforest(df: DataFrame, cols, trees: int = 150, sample_size: int = 256, seed: int = 42) -> DataFrame:
-    """Returns the forest as a DataFrame (one row per tree)."""
-    n = df.count()
+def fit_iforest(df: DataFrame, cols, trees: int = 150, sample_size: int = 256, seed: int = 42, row_key=None) -> DataFrame:
+    """Returns the forest as a DataFrame (one row per tree).
+
+    Rows with a null feature do not train. Each tree draws rows by a hash of
+    ``row_key`` (the columns that identify a row; by default all columns), so
+    equal feature values do not enter a tree together. One draw per row and
+    tree decides, and its value orders the tree's sample."""
+    own = df.dropna(subset=list(cols))
+    n = own.count()
     rate = min(1.0, 1.5 * sample_size / max(n, 1))
     max_depth = int(math.ceil(math.log2(max(sample_size, 2))))
     feats = F.array(*[F.col(c).cast("double") for c in cols])
-    key = F.xxhash64(*[F.col(c) for c in cols])
-    picks = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)),
-                     lambda t: hash_uniform(key, t, lane="iforest") < rate)
-    cand = df.select(feats.alias("x"), key.alias("_k"), F.explode(picks).alias("tree"))
-    cand = cand.withColumn("_u", hash_uniform(F.col("_k"), F.col("tree"), lane="iforest"))
+    row_key = [row_key] if isinstance(row_key, str) else list(row_key or df.columns)
+    key = F.xxhash64(*[F.col(c) for c in row_key])
+    draw = lambda t: F.pmod(F.xxhash64(key, t, F.lit("iforest")), F.lit(1 << 52)) / float(1 << 52)
+    picks = F.filter(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), draw(t).alias("u"))),
+                     lambda s: s["u"] < rate)
+    cand = own.select(feats.alias("x"), key.alias("_k"), F.explode(picks).alias("p")).select("x", "_k", "p.tree", F.col("p.u").alias("_u"))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_u", "_k"]).head(sample_size)
@@ -88,7 +93,7 @@ def fit_iforest(df: DataFrame, cols, trees: int = 150, sample_size: int = 256, s
 
 
 def score_iforest(df: DataFrame, cols, forest: DataFrame, name: str = "anomaly_score") -> DataFrame:
-    """Anomaly score 2^(-E[h(x)]/c(psi)) per row (higher = more anomalous)."""
+    """Anomaly score 2^(-E[h(x)]/c(psi)) per row (higher = more anomalous); null for a row with a null feature."""
     rows = forest.orderBy("tree").collect()  # the fitted model: bounded by trees x nodes
     psi = rows[0]["sample_size"] if rows else 256
     model = [(np.array(r["feature"]), np.array(r["split"]), np.array(r["left"]), np.array(r["right"]),
@@ -122,12 +127,12 @@ def score_iforest(df: DataFrame, cols, forest: DataFrame, name: str = "anomaly_s
             x = pdf[cols].to_numpy(dtype=float)
             if len(x) and forest_m:
                 h = np.mean([depths(x, t) for t in forest_m], axis=0)
-                pdf[name] = np.power(2.0, -h / cpsi) if cpsi > 0 else 0.0
+                pdf[name] = np.where(np.isnan(x).any(axis=1), np.nan, np.power(2.0, -h / cpsi) if cpsi > 0 else 0.0)
             else:
                 pdf[name] = 0.0
             yield pdf
 
-    return df.mapInPandas(run, out_schema)
+    return df.mapInPandas(run, out_schema).withColumn(name, F.nanvl(F.col(name), F.lit(None).cast("double")))
 
 
 def flag_top(df: DataFrame, score: str = "anomaly_score", contamination: float = 0.02,

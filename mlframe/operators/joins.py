@@ -32,9 +32,13 @@ class AsOfLookup:
         return self.cols or [c for c in self.feats.columns if c not in skip]
 
 
-def asof_join(spine: DataFrame, lookups, spine_ts: str, bucket: str = "month") -> DataFrame:
+def asof_join(spine: DataFrame, lookups, spine_ts: str, bucket: str = "month", check_unique: bool = False) -> DataFrame:
     """Add the features of every lookup to each spine row, as of ``spine_ts``.
 
+    A null key or a null time matches nothing. Feature rows should be unique
+    per key and time: ``check_unique`` raises if they are not; of equal ones
+    the greatest row (as a struct) counts.
+
     Inclusive (a feature effective at t serves an event at t). The whole latest
     row is carried as one struct, so a null inside the latest row never falls
     back to an older value. All lookups must share the same key columns; call
@@ -52,7 +56,9 @@ def asof_join(spine: DataFrame, lookups, spine_ts: str, bucket: str = "month") -
     parts = [spine.withColumn("_t", F.col(spine_ts)).withColumn("_side", F.lit(1))]
     for i, lk in enumerate(lookups):
         fc = lk.feature_cols()
-        f = lk.feats.select(
+        if check_unique:
+            assert_unique(lk.feats, [*on, lk.ts])
+        f = lk.feats.dropna(subset=[*on, lk.ts]).select(
             *[F.col(k) for k in on],
             F.col(lk.ts).cast(ts_type).alias("_t"),
             F.lit(0).alias("_side"),
@@ -64,7 +70,7 @@ def asof_join(spine: DataFrame, lookups, spine_ts: str, bucket: str = "month") -
         u = u.unionByName(p, allowMissingColumns=True)
     u = u.withColumn("_b", F.date_trunc(bucket, "_t"))
 
-    w = (Window.partitionBy(*on, "_b").orderBy("_t", "_side")
+    w = (Window.partitionBy(*on, "_b").orderBy("_t", "_side", *[f"_f{i}" for i in range(len(lookups))])
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     keep = list(dict.fromkeys(spine_cols + on + ["_b", "_side"]))
     found = u.select(*keep,
@@ -76,7 +82,7 @@ def asof_join(spine: DataFrame, lookups, spine_ts: str, bucket: str = "month") -
     for i, lk in enumerate(lookups):
         p = parts[i + 1]
         last_in_bucket = (p.withColumn("_b", F.date_trunc(bucket, "_t"))
-                          .groupBy(*on, "_b").agg(F.max_by(f"_f{i}", "_t").alias(f"_l{i}")))
+                          .groupBy(*on, "_b").agg(F.max_by(f"_f{i}", F.struct("_t", f"_f{i}")).alias(f"_l{i}")))
         marks = marks.unionByName(last_in_bucket, allowMissingColumns=True)
     marks = marks.groupBy(*on, "_b").agg(
         *[F.first(f"_l{i}", ignorenulls=True).alias(f"_l{i}") for i in range(len(lookups))])
@@ -127,20 +133,28 @@ def enrich(df: DataFrame, dim: DataFrame, on, cols=None) -> DataFrame:
 
 
 def match_intervals(windows: DataFrame, points: DataFrame, key: str, ts: str,
-                    start: str = "start_ts", end: str = "end_ts", closed: str = "both") -> DataFrame:
+                    start: str = "start_ts", end: str = "end_ts", closed: str = "both", bucket: str = "day") -> DataFrame:
     """Each window left-joined to the points with the same key and
     ``start <= ts <= end`` (closed both ends by default; ``closed="left"``
     gives the half-open form used when labels are injected).
 
-    The equality on ``key`` makes this a hash / sort-merge join with a range
-    post-filter, never a cartesian product. Columns come back qualified as
-    ``w.*`` and ``p.*``.
+    Windows are copied to every time ``bucket`` they touch, points lie in one,
+    so the equi-join on (key, bucket) spreads a hot key over its buckets and
+    pairs only what is near in time; never a cartesian product. A window
+    without points (or with a null key or bound) comes back once, with a null p. Columns come back as the structs ``w`` and ``p``.
     """
-    w, p = F.col(f"w.{start}"), F.col(f"w.{end}")
-    t = F.col(f"p.{ts}")
-    lo = (w <= t) if closed in ("both", "left") else (w < t)
-    hi = (t <= p) if closed in ("both", "right") else (t < p)
-    return windows.alias("w").join(points.alias("p"), (F.col(f"w.{key}") == F.col(f"p.{key}")) & lo & hi, "left")
+    touched = F.sequence(F.date_trunc(bucket, start), F.date_trunc(bucket, end), F.expr(f"INTERVAL 1 {bucket}"))
+    sane = windows.where((F.col(start) <= F.col(end)) & F.col(key).isNotNull())
+    copies = sane.select(F.struct("*").alias("w"), F.col(key).alias("_k"), F.explode(touched).alias("_bk"))
+    near = points.select(F.struct("*").alias("p"), F.col(key).alias("_pk"), F.date_trunc(bucket, ts).alias("_pb"))
+    a, b, t = F.col(f"w.{start}"), F.col(f"w.{end}"), F.col(f"p.{ts}")
+    lo = (a <= t) if closed in ("both", "left") else (a < t)
+    hi = (t <= b) if closed in ("both", "right") else (t < b)
+    pairs = copies.join(near, (F.col("_k") == F.col("_pk")) & (F.col("_bk") == F.col("_pb")) & lo & hi).select("w", "p")
+    # equal windows match the same points, so their key and bounds tell which had none
+    had = pairs.select(F.col(f"w.{key}").alias("_hk"), a.alias("_ha"), b.alias("_hb")).distinct()
+    none = windows.join(had, (F.col(key) == F.col("_hk")) & (F.col(start) == F.col("_ha")) & (F.col(end) == F.col("_hb")), "left_anti")
+    return pairs.unionByName(none.select(F.struct("*").alias("w"), F.lit(None).cast(pairs.schema["p"].dataType).alias("p")))
 
 
 def full_universe(keys: DataFrame, agg: DataFrame, on) -> DataFrame:

@@ -23,8 +23,16 @@ from pyspark.sql import types as T
 from mlframe.operators.metrics import ranking_metrics
 
 
-def assemble(df: DataFrame, cols, out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
+def assemble(df: DataFrame, cols, out: str = "features", keep_invalid: bool = False) -> DataFrame:
+    """The columns as one vector. For fits rows with a null feature are left
+    out; ``keep_invalid`` keeps them, with a null vector, for scoring."""
+    whole = F.lit(True)
+    for c in cols:
+        whole = whole & F.col(c).isNotNull()
+    if not keep_invalid:
+        return VectorAssembler(inputCols=list(cols), outputCol=out).transform(df.where(whole))
+    vec = array_to_vector(F.array(*[F.col(c).cast("double") for c in cols]))
+    return df.withColumn(out, F.when(whole, vec))
 
 
 # ---- M2 ----------------------------------------------------------------------------
@@ -51,49 +59,58 @@ def kmeans_sweep(df: DataFrame, features: str = "features", ks=range(2, 11), see
     centroid numbers are combined on the driver."""
     spark = df.sparkSession
     d = df.select(features).cache()
-    rows = []
+    try:
+        rows = [_sweep_point(d, features, k, seed) for k in ks]
+    finally:
+        d.unpersist()
+    return spark.createDataFrame(rows, "k int, inertia double, silhouette double, calinski_harabasz double, davies_bouldin double")
+
+
+def _sweep_point(d: DataFrame, features: str, k: int, seed: int) -> tuple:
     total_n = d.count()
     xs = vector_to_array(features)
-    for k in ks:
-        model = KMeans(k=k, seed=seed, featuresCol=features).fit(d)
-        pred = model.transform(d)
-        sil = ClusteringEvaluator(featuresCol=features).evaluate(pred)
-        cents = np.array([c for c in model.clusterCenters()])
-        cent_col = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in cents])
-        mine = F.element_at(cent_col, F.col("prediction") + 1)
-        dist = F.sqrt(F.aggregate(F.zip_with(xs, mine, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
-        st = pred.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"), F.avg(dist).alias("s"),
-                                            F.sum(dist * dist).alias("ssw")).collect()
-        n_c = np.zeros(k)
-        s_c = np.zeros(k)
-        ssw = 0.0
-        for r in st:
-            n_c[r["prediction"]], s_c[r["prediction"]] = r["n"], r["s"]
-            ssw += r["ssw"]
-        g = (cents * n_c[:, None]).sum(axis=0) / max(n_c.sum(), 1)
-        ssb = float((n_c * ((cents - g) ** 2).sum(axis=1)).sum())
-        ch = (ssb / (k - 1)) / (ssw / (total_n - k)) if ssw > 0 and total_n > k else None
-        dm = np.sqrt(((cents[:, None, :] - cents[None, :, :]) ** 2).sum(axis=2))
-        np.fill_diagonal(dm, np.inf)
-        db = float(np.mean(np.max((s_c[:, None] + s_c[None, :]) / dm, axis=1)))
-        rows.append((k, float(model.summary.trainingCost), float(sil), ch, db))
-    d.unpersist()
-    return spark.createDataFrame(rows, "k int, inertia double, silhouette double, calinski_harabasz double, davies_bouldin double")
+    model = KMeans(k=k, seed=seed, featuresCol=features).fit(d)
+    pred = model.transform(d)
+    sil = ClusteringEvaluator(featuresCol=features).evaluate(pred)
+    cents = np.array([c for c in model.clusterCenters()])
+    cent_col = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in cents])
+    mine = F.element_at(cent_col, F.col("prediction") + 1)
+    dist = F.sqrt(F.aggregate(F.zip_with(xs, mine, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
+    st = pred.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"), F.avg(dist).alias("s"),
+                                        F.sum(dist * dist).alias("ssw")).collect()
+    n_c = np.zeros(k)
+    s_c = np.zeros(k)
+    ssw = 0.0
+    for r in st:
+        n_c[r["prediction"]], s_c[r["prediction"]] = r["n"], r["s"]
+        ssw += r["ssw"]
+    g = (cents * n_c[:, None]).sum(axis=0) / max(n_c.sum(), 1)
+    ssb = float((n_c * ((cents - g) ** 2).sum(axis=1)).sum())
+    ch = (ssb / (k - 1)) / (ssw / (total_n - k)) if ssw > 0 and total_n > k else None
+    dm = np.sqrt(((cents[:, None, :] - cents[None, :, :]) ** 2).sum(axis=2))
+    np.fill_diagonal(dm, np.inf)
+    db = float(np.mean(np.max((s_c[:, None] + s_c[None, :]) / dm, axis=1)))
+    return (k, float(model.summary.trainingCost), float(sil), ch, db)
 
 
 def cluster_table(df: DataFrame, cols, k: int = 4, seed: int = 42, log_cols=None):
-    """Labels and two principal coordinates per row; centroids back in
-    original units (``expm1`` of log features, rounded)."""
+    """Labels and two principal coordinates per row (null for a row with a
+    null feature); centroids back in original units (``expm1`` of log
+    features, rounded)."""
     a = assemble(df, cols)
     km = KMeans(k=k, seed=seed).fit(a)
     pca = PCA(k=2, inputCol="features", outputCol="pc").fit(a)
+    names = [c for c in df.columns]
+    rest = df.where(" OR ".join(f"`{c}` IS NULL" for c in cols)).select(
+        *names, F.lit(None).cast("int").alias("cluster"), *[F.lit(None).cast("double").alias(f"pc{i}") for i in (1, 2)])
     out = pca.transform(km.transform(a)).select("*", vector_to_array("pc")[0].alias("pc1"),
                                                   vector_to_array("pc")[1].alias("pc2")).drop("features", "pc")
     cent = [(i, *[float(v) for v in c]) for i, c in enumerate(km.clusterCenters())]
     cdf = df.sparkSession.createDataFrame(cent, ["cluster"] + list(cols))
     if log_cols:
         cdf = cdf.select("cluster", *[F.round(F.expm1(c), 0).alias(c) if c in log_cols else F.col(c) for c in cols])
-    return out.withColumnRenamed("prediction", "cluster"), cdf
+    labelled = out.withColumnRenamed("prediction", "cluster").select(*names, "cluster", "pc1", "pc2")
+    return labelled.unionByName(rest), cdf
 
 
 # ---- M11 / M12 / M13 ----------------------------------------------------------------
@@ -244,5 +261,3 @@ def knn1(train: DataFrame, test: DataFrame, id_col: str, vec: str, label: str, b
     return best.groupBy("test_id").agg(F.min(F.struct("dist", "train_id", "pred")).alias("b")) \
         .select("test_id", F.col("b.train_id").alias("nn_id"), F.col("b.pred").alias("pred"), F.col("b.dist").alias("dist"))
 
-
-__all__ = ["array_to_vector"]

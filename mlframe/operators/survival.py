@@ -3,8 +3,8 @@
 Everything is computed from sufficient statistics per group: the data are
 first reduced to (group, lifetime, failed) counts by a partial aggregate, then
 every grid point needs only n_failed, sum(ln t) over failures and
-sum(t^beta) over all units. Grids are expanded with ``sequence`` on these
-small tables, so the work is groups x grid, never rows x grid x grid.
+sum(t^beta) over all units. Tasks sum those powers in numpy over their own
+rows, so what is shuffled is groups x grid points, never rows x grid.
 
 For a fixed shape beta the scale that maximises the censored likelihood is
 closed form: alpha^beta = sum(t^beta) / n_failed, so the MLE is a 1-D search
@@ -15,8 +15,14 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from mlframe.operators.ranking import _left, _same
+from mlframe.session import ensure_checkpoint_dir
 
 # ---- fixed values that must equal the reference's --------------------------
 # Bayesian grid: beta in linspace(0.3, 8.0, 400), alpha in linspace(10, 400, 400);
@@ -31,8 +37,13 @@ CI_LO, CI_HI = 0.05, 0.95
 # -----------------------------------------------------------------------------
 
 # MLE search grid (ours): coarse beta 0.05..10 step 0.05, then +-0.05 step 0.0005.
+# A best point at the coarse grid's end moves the grid on with a wider step, and
+# the fine grid is as wide as the step that found it.
 COARSE = (0.05, 0.05, 200)      # start, step, points
 FINE_HALF, FINE_STEP = 0.05, 0.0005
+FINE_POINTS = 201
+WIDER = 8.0
+WIDEST_BETA = 1e6               # equal lifetimes have no finite optimum: given up here
 
 
 def lifetime_counts(df: DataFrame, by, t: str = "t", failed: str = "failed") -> DataFrame:
@@ -42,108 +53,162 @@ def lifetime_counts(df: DataFrame, by, t: str = "t", failed: str = "failed") ->
         .agg(F.count(F.lit(1)).cast("double").alias("w"))
 
 
-def _beta_stats(cnt: DataFrame, by, beta_col) -> DataFrame:
-    """Per (group, beta): n_f, L = sum ln t over failures, S = sum t^beta."""
-    return cnt.groupBy(*by, beta_col.alias("beta")).agg(
-        F.sum(F.col("w") * F.col("f")).alias("nf"),
-        F.sum(F.col("w") * F.col("f") * F.log(F.col("t"))).alias("L"),
-        F.sum(F.col("w") * F.pow(F.col("t"), F.col("beta_x"))).alias("S"),
-        F.sum("w").alias("n"))
-
-
-def _profile_ll() -> F.Column:
-    nf, L, S, b = F.col("nf"), F.col("L"), F.col("S"), F.col("beta")
-    return nf * F.log(b) - nf * F.log(S / nf) + (b - 1) * L - nf
-
-
-def _grid_pass(cnt: DataFrame, by, start, step, points: int, alpha_max: float | None) -> DataFrame:
-    g = cnt.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("_i"))
-    g = g.withColumn("beta_x", start + F.col("_i") * F.lit(step)).where("beta_x > 0")
-    st = _beta_stats(g, by, F.col("beta_x"))
-    nf, S, b = F.col("nf"), F.col("S"), F.col("beta")
+def _power_sums(cnt: DataFrame, by, points: int) -> DataFrame:
+    """Per (group, grid point i): beta = start + i * step, S = sum w * (t / tm)^beta.
+
+    ``cnt`` has the columns _start, _step and _tm (the group's longest
+    lifetime, so that no power overflows). Tasks sum their rows in numpy and
+    hand on groups x points numbers, so the grid never multiplies rows.
+    """
+    keys = cnt.select(*by).schema
+    order = [f"_k{i}" for i in range(len(by))]
+    d = cnt.select(*[F.col(k).alias(o) for k, o in zip(by, order)], "t", "w", "_start", "_step", "_tm")
+    schema = T.StructType([*[T.StructField(o, f.dataType) for o, f in zip(order, keys)], T.StructField("i", T.IntegerType()),
+                           T.StructField("beta", T.DoubleType()), T.StructField("S", T.DoubleType())])
+
+    def run(batches):
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            code, _ = pd.factorize(pd.MultiIndex.from_frame(pdf[order].astype(object).where(pdf[order].notna(), None)), use_na_sentinel=False)
+            first = pd.Series(np.arange(len(pdf))).groupby(code).first().to_numpy()
+            start, step = pdf["_start"].to_numpy(), pdf["_step"].to_numpy()
+            w, log_u = pdf["w"].to_numpy(), np.log(pdf["t"].to_numpy() / pdf["_tm"].to_numpy())
+            for i in range(points):
+                beta = start + i * step
+                part = pdf.iloc[first][order].copy()
+                part["i"] = np.int32(i)
+                part["beta"] = beta[first]
+                part["S"] = np.bincount(code, weights=w * np.exp(beta * log_u), minlength=len(first))
+                yield part
+
+    sums = d.where("t > 0").mapInPandas(run, schema).groupBy(*order, "i").agg(F.first("beta").alias("beta"), F.sum("S").alias("S"))
+    return sums.select(*[F.col(o).alias(k) for k, o in zip(by, order)], "i", "beta", "S")
+
+
+def _group_stats(cnt: DataFrame, by) -> DataFrame:
+    """Per group: n, failures nf, L = sum ln t over failures, longest lifetime _tm."""
+    return cnt.groupBy(*by).agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("f")).alias("nf"),
+                                F.sum(F.when(F.col("f") == 1, F.col("w") * F.log("t"))).alias("L"), F.max("t").alias("_tm"))
+
+
+def _grid_pass(cnt: DataFrame, by, state: DataFrame, points: int, alpha_max: float | None) -> DataFrame:
+    """Log likelihood ``ll`` and ``alpha`` at every grid point of the groups in ``state`` (stats, _start, _step)."""
+    st = _left(_power_sums(_same(cnt, state, by), by, points), state, by).where("beta > 0")
+    nf, S, b, tm = F.col("nf"), F.col("S"), F.col("beta"), F.col("_tm")
+    a_hat = tm * F.pow(F.try_divide(S, nf), 1.0 / b)
     if alpha_max is None:
-        st = st.withColumn("ll", _profile_ll())
-        st = st.withColumn("alpha", F.pow(S / nf, 1.0 / b))
-    else:
-        a_hat = F.pow(S / nf, 1.0 / b)
-        a = F.least(a_hat, F.lit(alpha_max))
-        st = st.withColumn("alpha", a).withColumn("alpha_hat", a_hat)
-        st = st.withColumn("ll", nf * F.log(b) - nf * b * F.log(F.col("alpha")) + (b - 1) * F.col("L")
-                           - S / F.pow(F.col("alpha"), b))
-    return st
+        ll = nf * F.log(b) - nf * (F.log(F.try_divide(S, nf)) + b * F.log(tm)) + (b - 1) * F.col("L") - nf
+        return st.withColumn("alpha", a_hat).withColumn("ll", ll)
+    a = F.least(a_hat, F.lit(alpha_max))
+    ll = nf * F.log(b) - nf * b * F.log(a) + (b - 1) * F.col("L") - S * F.exp(b * (F.log(tm) - F.log(a)))
+    return st.withColumn("alpha", a).withColumn("ll", ll)
 
 
 def weibull_mle(df: DataFrame, by, t: str = "t", failed: str = "failed", alpha_max: float | None = None,
                 min_failures: int = 1) -> DataFrame:
     """Per group beta, alpha, median life (alpha * ln2^(1/beta)),
-    n and failures; null estimates when failures < ``min_failures``.
+    n and failures; null estimates when failures < ``min_failures`` (a group
+    without failures included) or when the likelihood has no finite optimum
+    (all failures at the longest lifetime).
     With ``alpha_max`` the scale is capped (for a fixed beta the likelihood is
     unimodal in alpha, so the capped optimum is min(alpha_hat, cap)) and
     ``on_cap`` flags a fit pinned to the bound."""
     by = [by] if isinstance(by, str) else list(by)
-    cnt = lifetime_counts(df, by, t, failed)
-    coarse = _grid_pass(cnt, by, F.lit(COARSE[0]), COARSE[1], COARSE[2], alpha_max)
-    best = coarse.groupBy(*by).agg(F.max_by("beta", "ll").alias("_b0"))
-    fine_in = cnt.join(best, by)
-    fine = _grid_pass(fine_in, by, F.col("_b0") - FINE_HALF, FINE_STEP, int(2 * FINE_HALF / FINE_STEP) + 1, alpha_max)
-    pick = ["beta", "alpha", "nf", "n"] + (["alpha_hat"] if alpha_max else [])
-    res = fine.groupBy(*by).agg(F.max_by(F.struct(*pick), "ll").alias("m"))
-    ok = F.col("m.nf") >= min_failures
+    ensure_checkpoint_dir(df.sparkSession)
+    cnt = lifetime_counts(df, by, t, failed).checkpoint(eager=True)  # read by every pass
+    stats = _group_stats(cnt, by).checkpoint(eager=True)
+    start, step, points = COARSE
+    state = stats.where("nf > 0").select("*", F.lit(start).alias("_start"), F.lit(step).alias("_step"))
+    found = []
+    while True:
+        coarse = _grid_pass(cnt, by, state, points, alpha_max)
+        best = coarse.groupBy(*by, "_step").agg(F.max_by(F.struct("beta", "i"), "ll").alias("b")).checkpoint(eager=True)
+        inside = (F.col("b.i") < points - 1) if alpha_max is None else (F.col("b.i") < points - 1) | (F.col("b.beta") >= WIDEST_BETA)
+        found.append(best.where(inside).select(*by, "_step", F.col("b.beta").alias("_b0")))
+        on = best.where(~inside & (F.col("b.beta") < WIDEST_BETA)).select(*by, F.col("_step").alias("_old"), F.col("b.beta").alias("_edge"))
+        if on.isEmpty():
+            break
+        state = _same(stats, on, by).select(*stats.columns, (F.col("_edge") - F.col("_old")).alias("_start"),
+                                            (F.col("_old") * WIDER).alias("_step"))
+    peak = found[0]
+    for more in found[1:]:
+        peak = peak.unionByName(more)
+    fine_in = _same(stats, peak, by).select(*stats.columns, (F.col("_b0") - F.col("_step")).alias("_start"),
+                                            (F.col("_step") / 100).alias("_step"))
+    fine = _grid_pass(cnt, by, fine_in, FINE_POINTS, alpha_max)
+    res = fine.groupBy(*by).agg(F.max_by(F.struct("beta", "alpha"), "ll").alias("m"))
+    res = _left(stats, res, by)
+    ok = (F.col("nf") >= min_failures) & F.col("m").isNotNull()
     out = res.select(*by,
                      F.when(ok, F.round("m.beta", 4)).alias("beta"),
                      F.when(ok, F.round("m.alpha", 2)).alias("alpha"),
                      F.when(ok, F.round(F.col("m.alpha") * F.pow(F.lit(math.log(2)), 1.0 / F.col("m.beta")), 2)).alias("median_life"),
-                     F.col("m.n").cast("long").alias("n"), F.col("m.nf").cast("long").alias("n_failed"))
+                     F.col("n").cast("long").alias("n"), F.col("nf").cast("long").alias("n_failed"))
     if alpha_max:
-        out = out.withColumn("on_cap", F.when(F.col("n_failed") >= min_failures, F.col("alpha") >= alpha_max))
+        out = out.withColumn("on_cap", F.col("alpha") >= alpha_max)
     return out
 
 
-def _linspace(lo: float, hi: float, n: int, i):
-    return F.lit(lo) + i * F.lit((hi - lo) / (n - 1))
-
-
 def weibull_bayes(df: DataFrame, by, t: str = "t", failed: str = "failed") -> DataFrame:
     """Grid posterior over (beta, alpha); posterior means of beta and
-    alpha and the 90% interval of alpha's marginal. Log-sum-exp per group."""
+    alpha and the 90% interval of alpha's marginal. The power sums of the
+    beta points are all that is shuffled; the grid of a group lives in one
+    task's arrays (points x points, whatever the data)."""
     by = [by] if isinstance(by, str) else list(by)
-    cnt = lifetime_counts(df, by, t, failed)
+    ensure_checkpoint_dir(df.sparkSession)
+    cnt = lifetime_counts(df, by, t, failed).checkpoint(eager=True)
     bl, bh, bn = BAYES_BETA
     al, ah, an = BAYES_ALPHA
-    g = cnt.select("*", F.explode(F.sequence(F.lit(0), F.lit(bn - 1))).alias("_i"))
-    g = g.withColumn("beta_x", _linspace(bl, bh, bn, F.col("_i")))
-    st = _beta_stats(g, by, F.col("beta_x"))
-    st = st.select("*", F.explode(F.sequence(F.lit(0), F.lit(an - 1))).alias("_j"))
-    b, a = F.col("beta"), _linspace(al, ah, an, F.col("_j"))
-    st = st.withColumn("alpha", a)
-    a = F.col("alpha")
-    ll = F.col("nf") * F.log(b / a) + (b - 1) * (F.col("L") - F.col("nf") * F.log(a)) - F.col("S") / F.pow(a, b)
-    lp_beta = ((PRIOR_BETA_SHAPE - 1) * F.log(b) - b / PRIOR_BETA_SCALE
-               - math.lgamma(PRIOR_BETA_SHAPE) - PRIOR_BETA_SHAPE * math.log(PRIOR_BETA_SCALE))
-    z = (F.log(a) - PRIOR_LN_ALPHA_MU) / PRIOR_LN_ALPHA_SD
-    lp_alpha = -0.5 * z * z - math.log(PRIOR_LN_ALPHA_SD) - 0.5 * math.log(2 * math.pi)
-    st = st.withColumn("lp", ll + lp_beta + lp_alpha)
-    mx = st.groupBy(*by).agg(F.max("lp").alias("_mx"))
-    st = st.join(mx, by).withColumn("u", F.exp(F.col("lp") - F.col("_mx")))
-    z_ = st.groupBy(*by).agg(F.sum("u").alias("_z"), F.sum(F.col("u") * b).alias("_b"),
-                            F.sum(F.col("u") * a).alias("_a"))
-    marg = st.groupBy(*by, "_j", "alpha").agg(F.sum("u").alias("m"))
-    wcum = Window.partitionBy(*by).orderBy("_j").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marg = marg.join(z_.select(*by, "_z"), by).withColumn("cdf", F.sum("m").over(wcum) / F.col("_z"))
-    ci = marg.groupBy(*by).agg(F.min_by("alpha", F.when(F.col("cdf") >= CI_LO, F.col("_j"))).alias("alpha_lo"),
-                               F.min_by("alpha", F.when(F.col("cdf") >= CI_HI, F.col("_j"))).alias("alpha_hi"))
-    return z_.join(ci, by).select(*by, F.round(F.col("_b") / F.col("_z"), 3).alias("beta_mean"),
-                                  F.round(F.col("_a") / F.col("_z"), 2).alias("alpha_mean"),
-                                  F.round("alpha_lo", 2).alias("alpha_lo"), F.round("alpha_hi", 2).alias("alpha_hi"))
-
-
-def censor_sweep(df: DataFrame, by, times, t: str = "t", failed: str = "failed") -> DataFrame:
+    stats = _group_stats(cnt, by).select("*", F.lit(bl).alias("_start"), F.lit((bh - bl) / (bn - 1)).alias("_step"))
+    grid = _left(_power_sums(_same(cnt, stats, by), by, bn), stats, by)
+    names = [f"_k{i}" for i in range(len(by))]
+    grid = grid.select(*[F.col(k).alias(n) for k, n in zip(by, names)], "i", "beta", "S", "nf", F.coalesce("L", F.lit(0.0)).alias("L"), "_tm")
+    const_b = math.lgamma(PRIOR_BETA_SHAPE) + PRIOR_BETA_SHAPE * math.log(PRIOR_BETA_SCALE)
+    const_a = math.log(PRIOR_LN_ALPHA_SD) + 0.5 * math.log(2 * math.pi)
+
+    def posterior(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("i")  # one group: the grid's beta points
+        b = pdf["beta"].to_numpy()[:, None]
+        a = (al + np.arange(an) * ((ah - al) / (an - 1)))[None, :]
+        nf, L, tm, S = pdf["nf"].iloc[0], pdf["L"].iloc[0], pdf["_tm"].iloc[0], pdf["S"].to_numpy()[:, None]
+        lp = nf * np.log(b / a) + (b - 1) * (L - nf * np.log(a)) - S * np.exp(b * (math.log(tm) - np.log(a)))
+        lp = lp + (PRIOR_BETA_SHAPE - 1) * np.log(b) - b / PRIOR_BETA_SCALE - const_b
+        lp = lp - 0.5 * ((np.log(a) - PRIOR_LN_ALPHA_MU) / PRIOR_LN_ALPHA_SD) ** 2 - const_a
+        u = np.exp(lp - lp.max())
+        cdf = np.cumsum(u.sum(axis=0)) / u.sum()
+        at = lambda q: float(a[0, min(int(np.searchsorted(cdf, q)), an - 1)])
+        out = pdf[names].iloc[:1].copy()
+        out["beta_mean"], out["alpha_mean"] = float((u * b).sum() / u.sum()), float((u * a).sum() / u.sum())
+        out["alpha_lo"], out["alpha_hi"] = at(CI_LO), at(CI_HI)
+        return out
+
+    kinds = df.select(*by).schema
+    schema = T.StructType([*[T.StructField(n, f.dataType) for n, f in zip(names, kinds)],
+                           *[T.StructField(c, T.DoubleType()) for c in ("beta_mean", "alpha_mean", "alpha_lo", "alpha_hi")]])
+    post = grid.groupBy(*names).applyInPandas(posterior, schema)
+    return post.select(*[F.col(n).alias(k) for n, k in zip(names, by)], F.round("beta_mean", 3).alias("beta_mean"),
+                       *[F.round(c, 2).alias(c) for c in ("alpha_mean", "alpha_lo", "alpha_hi")])
+
+
+def censor_sweep(df: DataFrame, by, times, t: str = "t", failed: str = "failed", alpha_max: float | None = None,
+                 min_failures: int = 2) -> DataFrame:
     """Cap lifetimes at each inspection time (units alive then are
-    censored) and refit; the inspection list is exploded per row, so every
-    (group, time) is one more group of the same grid search."""
+    censored) and refit; the inspection list is exploded per distinct
+    lifetime, so every (group, time) is one more group of the same search.
+
+    Per inspection time the maximum-likelihood estimate (null below
+    ``min_failures``), the bounded one if ``alpha_max`` is given
+    (beta_bounded, alpha_bounded, on_cap), and the Bayes means with the
+    scale's interval, which are defined without any failure, too."""
     by = [by] if isinstance(by, str) else list(by)
     x = df.select(*by, F.col(t).cast("double").alias("_t"), F.col(failed).cast("int").alias("_f"),
                   F.explode(F.array(*[F.lit(float(v)) for v in times])).alias("inspect_t"))
     x = x.select(*by, "inspect_t", F.least("_t", "inspect_t").alias("t"),
                  (F.col("_f").cast("boolean") & (F.col("_t") <= F.col("inspect_t"))).cast("int").alias("failed"))
-    return weibull_mle(x, [*by, "inspect_t"], min_failures=2)
+    keys = [*by, "inspect_t"]
+    out = weibull_mle(x, keys, min_failures=min_failures)
+    if alpha_max:
+        bounded = weibull_mle(x, keys, alpha_max=alpha_max, min_failures=min_failures)
+        out = _left(out, bounded.select(*keys, F.col("beta").alias("beta_bounded"), F.col("alpha").alias("alpha_bounded"), "on_cap"), keys)
+    return _left(out, weibull_bayes(x, keys), keys)

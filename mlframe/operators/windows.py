@@ -78,11 +78,12 @@ def detect(df: DataFrame, low_side: bool = False, z_limit: float = 3.0, skip_bad
 
 
 def lag_features(df: DataFrame, keys, ts: str, y: str, lags=(1, 2, 3, 12), drop_incomplete: bool = True) -> DataFrame:
-    """Lags of ``y`` per series plus the month; rows without every lag dropped."""
+    """Lags of ``y`` per series plus the month; rows without every lag
+    dropped. Lags count rows: fill the gaps of the series first (:func:`densify`)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     w = Window.partitionBy(*keys).orderBy(ts)
-    out = df.select("*", *[F.lag(y, k).over(w).alias(f"lag{k}") for k in lags], F.month(ts).alias("month"))
-    return out.na.drop(subset=[f"lag{k}" for k in lags]) if drop_incomplete else out
+    out = df.select("*", *[F.lag(y, k).over(w).alias(f"lag_{k}") for k in lags], F.month(ts).alias("month"))
+    return out.na.drop(subset=[f"lag_{k}" for k in lags]) if drop_incomplete else out
 
 
 def lagged_rolling(df: DataFrame, keys, ts: str, y: str, lags=(1, 2, 3, 7, 14, 30, 360)) -> DataFrame:
@@ -154,12 +155,22 @@ def densify(df: DataFrame, keys, ts: str, y: str, step: str = "1 MONTH") -> Data
 
 
 def sequence_windows(df: DataFrame, keys, ts: str, y: str, enc: int = 10, pred: int = 3,
-                     min_enc: int = 5, min_pred: int = 2) -> DataFrame:
+                     min_enc: int = 5, min_pred: int = 2, cutoff=None) -> DataFrame:
     """Per row, the last ``enc`` values (current included) as the
-    encoder input and the next ``pred`` values as the target."""
+    encoder input and the next ``pred`` values as the target.
+
+    With ``cutoff`` (a time) rows get a split: ``train`` if the whole target
+    lies at or before it, ``validation`` if the whole target lies after it;
+    windows across the cutoff are left out, so no training target leaks."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     w_enc = Window.partitionBy(*keys).orderBy(ts).rowsBetween(-(enc - 1), 0)
     w_pred = Window.partitionBy(*keys).orderBy(ts).rowsBetween(1, pred)
     out = df.select(*keys, ts, F.collect_list(y).over(w_enc).alias("encoder"),
                     F.collect_list(y).over(w_pred).alias("target"))
-    return out.where((F.size("encoder") >= min_enc) & (F.size("target") >= min_pred))
+    keep = (F.size("encoder") >= min_enc) & (F.size("target") >= min_pred)
+    if cutoff is None:
+        return out.where(keep)
+    end = F.lit(cutoff).cast(dict(df.dtypes)[ts])
+    spans = df.select(*keys, ts, F.lead(ts).over(Window.partitionBy(*keys).orderBy(ts)).alias("_lo"), F.max(ts).over(w_pred).alias("_hi"))
+    split = F.when(F.col("_hi") <= end, "train").when(F.col("_lo") > end, "validation")
+    return (out.where(keep).join(spans.select(*keys, ts, split.alias("split")), [*keys, ts]).where("split IS NOT NULL"))

@@ -253,15 +253,33 @@ def weibull_bayes(spark, d):
 SWEEP_TIMES = [10.0, 20.0, 30.0, 40.0]
 
 
-@query("censor_sweep", sql=B.cte(lt=B.LIFETIMES_SQL) + """,
+SWEEP_CAP = 30.0
+_KEYS = "grp, inspect_t"
+
+
+def _part(ctes: str, select: str) -> str:
+    return "(WITH " + ctes.strip().removeprefix(",") + select + ")"
+
+
+def _sweep_sql() -> str:
+    bounded = _mle_select(by=_KEYS, cap=SWEEP_CAP, min_failures=2).replace("AS beta,", "AS beta_bounded,").replace("AS alpha,", "AS alpha_bounded,")
+    return B.cte(lt=B.LIFETIMES_SQL) + """,
 x AS (SELECT grp, inspect_t, least(CAST(t AS DOUBLE), inspect_t) AS t,
              CAST(failed = 1 AND t <= inspect_t AS INTEGER) AS failed
-      FROM lt, (SELECT unnest([""" + ", ".join(f"{v!r}::DOUBLE" for v in SWEEP_TIMES) + """]) AS inspect_t)),
-cnt AS (SELECT grp, inspect_t, t, failed AS f, CAST(count(*) AS DOUBLE) AS w FROM x GROUP BY ALL)"""
-       + _mle_sql(by="grp, inspect_t") + _mle_select(by="grp, inspect_t", min_failures=2))
+      FROM lt, (SELECT unnest([""" + ", ".join(f"{v!r}::DOUBLE" for v in SWEEP_TIMES) + f"""]) AS inspect_t)),
+cnt AS (SELECT grp, inspect_t, t, failed AS f, CAST(count(*) AS DOUBLE) AS w FROM x GROUP BY ALL)
+SELECT m.*, c.beta_bounded, c.alpha_bounded, c.on_cap, y.beta_mean, y.alpha_mean, y.alpha_lo, y.alpha_hi
+FROM {_part(_mle_sql(by=_KEYS), _mle_select(by=_KEYS, min_failures=2))} m
+JOIN {_part(_mle_sql(by=_KEYS, cap=SWEEP_CAP), bounded)} c USING ({_KEYS})
+JOIN {_part(_bayes_sql().replace("grp", _KEYS), "")} y USING ({_KEYS})
+"""
+
+
+@query("censor_sweep", sql=_sweep_sql())
 def censor_sweep(spark, d):
-    """Refit at each inspection time with the lifetimes censored there."""
-    return SV.censor_sweep(B.lifetimes(spark, d), "grp", SWEEP_TIMES)
+    """Refit at each inspection time with the lifetimes censored there:
+    maximum likelihood, scale bounded at 30, and Bayes with its interval."""
+    return SV.censor_sweep(B.lifetimes(spark, d), "grp", SWEEP_TIMES, alpha_max=SWEEP_CAP)
 
 
 # ------------------------------------------------------------------ forecasts
@@ -330,14 +348,14 @@ def forecast_leaderboard(spark, d):
 
 @query("graph_rollup", sql="WITH RECURSIVE " + B.GRAPH_SQL.strip() + """,
 paths(src, dst, depth) AS (SELECT src, dst, 1 FROM edges
-                           UNION ALL SELECT p.src, e.dst, p.depth + 1 FROM paths p JOIN edges e ON p.dst = e.src WHERE p.depth < 10)
+                           UNION ALL SELECT p.src, e.dst, p.depth + 1 FROM paths p JOIN edges e ON p.dst = e.src)
 SELECT v.id, """ + R("coalesce(v.reading, 0) + coalesce(sum(coalesce(s.reading, 0)), 0)", 4) + """ AS total
 FROM vertices v LEFT JOIN paths p ON p.dst = v.id LEFT JOIN vertices s ON s.id = p.src
 GROUP BY v.id, v.reading
 """)
 def graph_rollup(spark, d):
     """Readings pushed from customers and suppliers up through nations
-    to regions (every path, max 10 rounds)."""
+    to regions (every path)."""
     v, e = B.graph(spark, d)
-    out = rollup(v, e, max_iter=10)
+    out = rollup(v, e)
     return out.select("id", F.round("total", 4).alias("total"))

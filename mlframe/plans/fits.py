@@ -22,6 +22,7 @@ from mlframe.plans.aggregates import ENTITY_SQL, monthly_demand_df
 from mlframe.plans.relational import GENRE_TERMS
 from mlframe.plans.sql import R
 from mlframe.session import scratch_dir
+from mlframe.plans.windowed import filled_demand
 from mlframe.sources.tables import read
 
 
@@ -75,9 +76,10 @@ def _propensity(spark, d, trees: int = 200, depth: int = 12):
     pipe = ML.propensity_pipeline(["o_orderstatus", "c_mktsegment"], ["o_totalprice", "c_acctbal", "month"], "label",
                                   trees=trees, depth=depth)
     train = f.where("split = 'train'").persist()  # iterative fit: read the input once
-    model = pipe.fit(train)
-    train.unpersist()
-    return f, model
+    try:
+        return f, pipe.fit(train)
+    finally:
+        train.unpersist()
 
 
 @query("propensity_model")
@@ -118,18 +120,21 @@ def lookup_and_score(spark, d):
 def _sensor_train_test(spark, d):
     ws = pos_weight(B.wide_sensors(spark, d), "is_failure")
     a = ML.assemble(ws, B.SENSOR_COLS).select("features", "is_failure", "weight", "u_split").persist()
-    return a.where("u_split < 0.8"), a.where("u_split >= 0.8")
+    return a, a.where("u_split < 0.8"), a.where("u_split >= 0.8")
 
 
 @query("weighted_classifier")
 def weighted_classifier(spark, d):
     """Three boosted-tree configs (shallow; deep + class weight;
     regularised), ranked by held-out average precision."""
-    tr, te = _sensor_train_test(spark, d)
+    held, tr, te = _sensor_train_test(spark, d)
     configs = {"shallow": {"maxDepth": 3, "maxIter": 10},
                "deep_weighted": {"maxDepth": 6, "maxIter": 10, "weighted": True},
                "regularised": {"maxDepth": 4, "maxIter": 10, "stepSize": 0.05, "subsamplingRate": 0.8}}
-    return ML.fit_compare(tr, te, "is_failure", configs, weight="weight")
+    try:
+        return ML.fit_compare(tr, te, "is_failure", configs, weight="weight")
+    finally:
+        held.unpersist()
 
 
 def _rating_features(spark, d):
@@ -163,9 +168,10 @@ def rating_regressor(spark, d):
     cols = ["user_id_avg", "user_id_cnt", "user_id_std", "item_id_avg", "item_id_cnt", "item_id_std",
             "hour", "dow", "month"] + [f"g_{t}" for t in GENRE_TERMS]
     a = ML.assemble(f, cols).select("features", "rating", "u").persist()
-    out = ML.fit_rating(a.where("u < 0.8"), a.where("u >= 0.8"), "rating", iters=10)
-    a.unpersist()
-    return out
+    try:
+        return ML.fit_rating(a.where("u < 0.8"), a.where("u >= 0.8"), "rating", iters=10)
+    finally:
+        a.unpersist()
 
 
 @query("isolation_forest")
@@ -177,28 +183,31 @@ def isolation_forest(spark, d):
     t = B.dim_tag(spark, d).select("tag_id", "normal_low", "normal_high")
     feats = z.join(t, "tag_id").select("reading_id", "tag_id",
                                        S.band_pos("value", "normal_low", "normal_high").alias("band_pos"),
-                                       F.col("z").alias("roll_z")).na.drop(subset=["band_pos", "roll_z"])
-    forest = IF.fit_iforest(feats, ["band_pos", "roll_z"], trees=150, sample_size=256)
+                                       F.col("z").alias("roll_z"))
+    forest = IF.fit_iforest(feats, ["band_pos", "roll_z"], trees=150, sample_size=256, row_key="reading_id")
     return IF.flag_top(IF.score_iforest(feats, ["band_pos", "roll_z"], forest), contamination=0.02)
 
 
 @query("param_search")
 def param_search(spark, d):
     """Parallel trials over a small boosted-tree grid."""
-    tr, _ = _sensor_train_test(spark, d)
-    return ML.search(tr, "is_failure", {"maxDepth": [2, 4], "stepSize": [0.1, 0.3]}, parallelism=4)
+    held, tr, _ = _sensor_train_test(spark, d)
+    try:
+        return ML.search(tr, "is_failure", {"maxDepth": [2, 4], "stepSize": [0.1, 0.3]}, parallelism=4)
+    finally:
+        held.unpersist()
 
 
 @query("group_forecast")
 def group_forecast(spark, d):
     """A forecast with interval for every (brand, region) series."""
-    return FC.group_forecast(monthly_demand_df(spark, d))
+    return FC.group_forecast(filled_demand(spark, d))
 
 
 @query("holt_winters_backtest")
 def holt_winters_backtest(spark, d):
     """6-period holdout MAPE per series (additive, season 12)."""
-    return FC.backtest(monthly_demand_df(spark, d))
+    return FC.backtest(filled_demand(spark, d))
 
 
 @query("lag_forecaster")
@@ -206,9 +215,9 @@ def lag_forecaster(spark, d):
     """Lag features -> one global boosted-tree regressor; holdout MAPE."""
     from pyspark.ml.regression import GBTRegressor
     from mlframe.operators.sampling import holdout
-    f = holdout(W.lag_features(monthly_demand_df(spark, d), ["brand", "region"], "ds", "y"),
+    f = holdout(W.lag_features(filled_demand(spark, d), ["brand", "region"], "ds", "y"),
                 ["brand", "region"], "ds", 6)
-    a = ML.assemble(f, ["lag1", "lag2", "lag3", "lag12", "month"])
+    a = ML.assemble(f, ["lag_1", "lag_2", "lag_3", "lag_12", "month"])
     m = GBTRegressor(labelCol="y", featuresCol="features", maxIter=20, maxDepth=4, seed=42).fit(a.where("split = 'train'"))
     p = m.transform(a.where("split = 'holdout'"))
     return p.groupBy("brand", "region").agg(
@@ -220,8 +229,11 @@ def lag_forecaster(spark, d):
 def baseline_classifiers(spark, d):
     """Logistic regression and a 100-tree forest on three numerics."""
     f = _orders_features(spark, d)
-    a = ML.assemble(f, ["o_totalprice", "c_acctbal", "month"])
-    return ML.fit_baselines(a.where("split = 'train'"), a.where("split = 'test'"), "label")
+    a = ML.assemble(f, ["o_totalprice", "c_acctbal", "month"]).select("features", "label", "split").persist()
+    try:
+        return ML.fit_baselines(a.where("split = 'train'"), a.where("split = 'test'"), "label")
+    finally:
+        a.unpersist()
 
 
 KNN_SQL = f"""
@@ -244,5 +256,3 @@ def knn1(spark, d):
     out = ML.knn1(e.where("u < 0.8"), e.where("u >= 0.8"), "vec_id", "embedding", "label", block_rows=256)
     return out.select("test_id", "nn_id", "pred", F.round("dist", 4).alias("dist"))
 
-
-__all__ = ["AsOfLookup", "asof_join"]

@@ -16,15 +16,27 @@ DEMAND = SALES + ", demand AS (" + MONTHLY_DEMAND_SQL.replace(
     "date_trunc('month', s.week) AS ds", "CAST(date_trunc('month', s.week) AS DATE) AS ds") + ")"
 
 
-@query("lag_features", sql=DEMAND + """
+FILLED = DEMAND + """,
+bounds AS (SELECT brand, region, min(ds) AS lo, max(ds) AS hi FROM demand GROUP BY ALL),
+grid AS (SELECT brand, region, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS ds FROM bounds),
+filled AS (SELECT grid.brand, grid.region, grid.ds, coalesce(demand.y, 0) AS y FROM grid LEFT JOIN demand USING (brand, region, ds))
+"""
+
+
+def filled_demand(spark, d):
+    """Monthly demand per series with the months without sales as 0: lags and seasons count months."""
+    return W.densify(monthly_demand_df(spark, d), ["brand", "region"], "ds", "y")
+
+
+@query("lag_features", sql=FILLED + """
 SELECT * FROM (
-  SELECT brand, region, ds, y, lag(y, 1) OVER w AS lag1, lag(y, 2) OVER w AS lag2, lag(y, 3) OVER w AS lag3,
-         lag(y, 12) OVER w AS lag12, CAST(month(ds) AS INTEGER) AS month
-  FROM demand WINDOW w AS (PARTITION BY brand, region ORDER BY ds))
-WHERE lag1 IS NOT NULL AND lag2 IS NOT NULL AND lag3 IS NOT NULL AND lag12 IS NOT NULL
+  SELECT brand, region, ds, y, lag(y, 1) OVER w AS lag_1, lag(y, 2) OVER w AS lag_2, lag(y, 3) OVER w AS lag_3,
+         lag(y, 12) OVER w AS lag_12, CAST(month(ds) AS INTEGER) AS month
+  FROM filled WINDOW w AS (PARTITION BY brand, region ORDER BY ds))
+WHERE lag_1 IS NOT NULL AND lag_2 IS NOT NULL AND lag_3 IS NOT NULL AND lag_12 IS NOT NULL
 """)
 def lag_features(spark, d):
-    return W.lag_features(monthly_demand_df(spark, d), ["brand", "region"], "ds", "y")
+    return W.lag_features(filled_demand(spark, d), ["brand", "region"], "ds", "y")
 
 
 DAILY_QTY_SQL = """
