@@ -42,10 +42,12 @@ def parquet_exchange(spark, d):
     return tr.unionByName(te)
 
 
-@query("source_file")
+@query("source_file", sql="SELECT l_orderkey, l_linenumber, 'lineitem.parquet' AS source_name FROM lineitem")
 def source_file(spark, d):
-    """The source path of every row (rows-only: the path differs per machine)."""
-    return TB.with_source_file(TB.read(spark, d, "region"))
+    """The source of every row; the table's name in the path is the part
+    that does not depend on the machine (a table may be a folder of files)."""
+    li = TB.with_source_file(TB.read(spark, d, "lineitem")).select("l_orderkey", "l_linenumber", "source_file")
+    return li.select("l_orderkey", "l_linenumber", F.regexp_extract("source_file", r"([^/]+\.parquet)(?:/[^/]*)?$", 1).alias("source_name"))
 
 
 @query("overwrite_table", sql="""
@@ -111,7 +113,17 @@ def ctas(spark, d):
                         path=f"{root}/ctas_account_cases")
 
 
-@query("list_files")
+LISTED = ("orders", "lineitem", "events", "documents")
+
+
+@query("list_files", sql=" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows, TRUE AS sized, TRUE AS dated FROM {t}" for t in LISTED))
 def list_files(spark, d):
-    """Landed files with size and ISO modification time (metadata only)."""
-    return TB.landed_files(spark, d, "*.parquet")
+    """Landed files with size, ISO modification time and the rows read
+    from each, summed per table (paths and times differ per machine)."""
+    parts = [TB.file_rows(TB.read(spark, d, t)).withColumn("table_name", F.lit(t)) for t in LISTED]
+    files = parts[0]
+    for p in parts[1:]:
+        files = files.unionByName(p)
+    return files.groupBy("table_name").agg(F.sum("n_rows").alias("n_rows"), F.every(F.col("length") > 0).alias("sized"),
+                                           F.every(F.col("modified_iso").rlike(r"^\d{4}-\d\d-\d\dT")).alias("dated"))

@@ -10,6 +10,7 @@ from mlframe.operators.metrics import threshold_metrics
 from mlframe.operators.models import stamp
 from mlframe.plans import query
 from mlframe.plans.sql import R
+from mlframe.session import scratch_dir
 from mlframe.sources.tables import read
 
 PAY = B.cte(payments=B.PAYMENTS_SQL)
@@ -48,41 +49,43 @@ UNION ALL SELECT 'no_rows_before_launch', v = 0, CAST(v AS DOUBLE) FROM (SELECT
 UNION ALL SELECT 'positive_cases', v = 0, CAST(v AS DOUBLE) FROM (SELECT count(*) v FROM sales WHERE cases <= 0)
 """)
 def invariants(spark, d):
-    """Q2: table-level checks as one (name, ok, value) frame."""
-    s = B.sales(spark, d)
-    a = B.dim_account(spark, d)
-    orphans = s.join(a, "account_id", "left_anti")
-    checks = [
-        ("row_count_in_range", s.agg(F.count(F.lit(1)).alias("value")), "value BETWEEN 1000 AND 100000000"),
-        ("weeks_span_at_least_52", s.agg((F.datediff(F.max("week"), F.min("week")) / 7).alias("value")), "value >= 52"),
-        ("promo_fraction_between_20_80", s.agg(F.round(F.avg("promo_flag"), 6).alias("value")), "value BETWEEN 0.2 AND 0.8"),
-        ("keys_complete", s.agg(F.count_if(F.col("account_id").isNull() | F.col("sku_id").isNull()).alias("value")), "value = 0"),
-        ("no_orphan_accounts", orphans.agg(F.count(F.lit(1)).alias("value")), "value = 0"),
-        ("no_rows_before_launch", s.agg(F.count_if(F.col("week") < F.lit("1994-12-26").cast("date")).alias("value")), "value = 0"),
-        ("positive_cases", s.agg(F.count_if(F.col("cases") <= 0).alias("value")), "value = 0"),
+    """Q2: table-level checks as one (name, ok, value) frame; the fact is
+    built and read once, with the accounts it may refer to joined on."""
+    known = B.dim_account(spark, d).select("account_id", F.lit(True).alias("known"))
+    s = B.sales(spark, d).join(known, "account_id", "left")
+    rules = [
+        ("row_count_in_range", F.count(F.lit(1)), "value BETWEEN 1000 AND 100000000"),
+        ("weeks_span_at_least_52", F.datediff(F.max("week"), F.min("week")) / 7, "value >= 52"),
+        ("promo_fraction_between_20_80", F.round(F.avg("promo_flag"), 6), "value BETWEEN 0.2 AND 0.8"),
+        ("keys_complete", F.count_if(F.col("account_id").isNull() | F.col("sku_id").isNull()), "value = 0"),
+        ("no_orphan_accounts", F.count_if(F.col("known").isNull()), "value = 0"),
+        ("no_rows_before_launch", F.count_if(F.col("week") < F.lit("1994-12-26").cast("date")), "value = 0"),
+        ("positive_cases", F.count_if(F.col("cases") <= 0), "value = 0"),
     ]
-    return Q.invariants(checks)
+    return Q.invariants(s, rules)
 
 
 @query("profile_metrics", sql=PAY + f""",
 long AS (SELECT CAST(date_trunc('day', event_ts) AS TIMESTAMP) AS window_start, channel AS slice, 'amount' AS "column", CAST(amount AS DOUBLE) AS v FROM payments
          UNION ALL SELECT CAST(date_trunc('day', event_ts) AS TIMESTAMP), channel, 'blocked', CAST(blocked AS DOUBLE) FROM payments)
 SELECT window_start, slice, "column", count(*) AS n, count(*) FILTER (WHERE v IS NULL) AS nulls,
-       {R('avg(CAST(v IS NULL AS DOUBLE)) * 100', 4)} AS pct_null, round(sum(v), 2) / count(v) AS mean, count(DISTINCT v) AS distinct
+       {R('avg(CAST(v IS NULL AS DOUBLE)) * 100', 4)} AS pct_null, {R('avg(v)', 10)} AS mean, count(DISTINCT v) AS distinct
 FROM long GROUP BY ALL
 UNION ALL
 SELECT window_start, '*', "column", count(*), count(*) FILTER (WHERE v IS NULL),
-       {R('avg(CAST(v IS NULL AS DOUBLE)) * 100', 4)}, round(sum(v), 2) / count(v), count(DISTINCT v)
+       {R('avg(CAST(v IS NULL AS DOUBLE)) * 100', 4)}, {R('avg(v)', 10)}, count(DISTINCT v)
 FROM long GROUP BY window_start, "column"
 """)
 def profile_metrics(spark, d):
     p = B.payments(spark, d)
-    return Q.profile(p, ["amount", "blocked"], "channel", "event_ts", "day")
+    m = Q.profile(p, ["amount", "blocked"], "channel", "event_ts", "day")
+    return m.withColumn("mean", F.round("mean", 10))
 
 
 @query("drift_metrics", sql=PAY + f""",
 h AS (SELECT date_trunc('day', event_ts) AS w,
-             CAST(least(greatest(floor((amount - 0.0) / (100.0 - 0.0) * 20), 0), 19) AS INTEGER) AS bin, count(*) AS c
+             CASE WHEN amount IS NULL THEN -2 WHEN amount < 0 THEN -1 WHEN amount > 100 THEN 20
+                  ELSE CAST(least(greatest(floor((amount - 0.0) / (100.0 - 0.0) * 20), 0), 19) AS INTEGER) END AS bin, count(*) AS c
       FROM payments GROUP BY ALL),
 tot AS (SELECT w, sum(c) AS tot FROM h GROUP BY w),
 pairs AS (SELECT w, lag(w) OVER (ORDER BY w) AS pw FROM tot),
@@ -102,9 +105,9 @@ def drift_metrics(spark, d):
 
 PRED_SQL = """
 preds AS (
-  SELECT 'order_value' AS model_name, '1' AS model_version, o_orderdate AS scored_at FROM orders
-  UNION ALL SELECT 'order_value', '2', o_orderdate FROM orders WHERE o_orderstatus = 'F'
-  UNION ALL SELECT 'line_risk', '1', l_shipdate FROM lineitem WHERE l_returnflag = 'R')
+  SELECT 'order_value' AS model_name, '1' AS model_version, 'r1' AS run_id, o_orderdate AS scored_at FROM orders
+  UNION ALL SELECT 'order_value', '2', 'r2', o_orderdate FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL SELECT 'line_risk', '1', 'r3', l_shipdate FROM lineitem WHERE l_returnflag = 'R')
 """
 
 
@@ -120,19 +123,29 @@ def _prediction_tables(spark, d):
 
 
 @query("provenance_summary", sql="WITH " + PRED_SQL + """
-SELECT model_name, model_version, count(*) AS n_rows, max(scored_at) AS last_scored_at FROM preds GROUP BY ALL
+SELECT model_name, model_version, run_id, count(*) AS n_rows, max(scored_at) AS last_scored_at FROM preds GROUP BY ALL
 """)
 def provenance_summary(spark, d):
-    """Q5: rows and newest score time per model version across three
+    """Q5: rows and newest score time per model version and run across three
     prediction tables (their scored_at comes from the scored rows' dates so
     the check is exact)."""
     return Q.provenance(_prediction_tables(spark, d))
 
 
-@query("lineage_sweep")
+@query("lineage_sweep", sql="""
+SELECT 'training_set' AS target, 'daily_cache' AS source, 1 AS depth, (SELECT count(DISTINCT (user_id, CAST(ts AS DATE))) FROM events) AS n_rows
+UNION ALL SELECT 'training_set', 'customer', 1, (SELECT count(*) FROM customer)
+UNION ALL SELECT 'training_set', 'events', 2, (SELECT count(*) FROM events)
+""")
 def lineage_sweep(spark, d):
-    """Q6: upstream files of the training set with last modification time."""
-    return Q.lineage({"events": read(spark, d, "events"), "customer": read(spark, d, "customer")}, "training_set")
+    """Q6: two jobs log where their inputs came from; the sweep finds every
+    table behind the training set, also those behind its inputs."""
+    root = scratch_dir(spark, "lineage")
+    events, customer = read(spark, d, "events"), read(spark, d, "customer")
+    Q.log_lineage({"events": events}, "daily_cache", f"{root}/log")
+    events.select("user_id", F.col("ts").cast("date").alias("day")).distinct().write.parquet(f"{root}/daily_cache")
+    log = Q.log_lineage({"daily_cache": spark.read.parquet(f"{root}/daily_cache"), "customer": customer}, "training_set", f"{root}/log")
+    return Q.upstream(log, "training_set").select("target", "source", "depth", "n_rows")
 
 
 @query("quality_by_window", sql=PAY + f"""
@@ -148,8 +161,48 @@ FROM payments GROUP BY 1
 def quality_by_window(spark, d):
     """Q7: label-based quality of a rule (amount > 50 flags a failure) and the
     mean input per 1-hour window."""
+    return _by_window(spark, d, "1 hour")
+
+
+def _by_window(spark, d, grain):
     p = B.payments(spark, d).withColumn("label", (F.col("outcome") == "hard_fail").cast("int"))
-    p = p.withColumn("window_start", F.window("event_ts", "1 hour").start.cast("timestamp_ntz"))
+    p = p.withColumn("window_start", F.window("event_ts", grain).start.cast("timestamp_ntz"))
     m = threshold_metrics(p, "label", F.col("amount") > 50, by="window_start")
     mean = p.groupBy("window_start").agg(F.round(F.avg("amount"), 6).alias("mean_amount"))
     return m.drop("f1").join(mean, "window_start")
+
+
+@query("quality_by_5_minutes", sql=PAY + f"""
+SELECT time_bucket(INTERVAL 5 MINUTE, event_ts) AS window_start,
+  count(*) FILTER (WHERE outcome = 'hard_fail' AND amount > 50) AS tp,
+  count(*) FILTER (WHERE outcome <> 'hard_fail' AND amount > 50) AS fp,
+  count(*) FILTER (WHERE outcome = 'hard_fail' AND NOT amount > 50) AS fn, count(*) AS n,
+  {R("CASE WHEN count(*) FILTER (WHERE amount > 50) > 0 THEN count(*) FILTER (WHERE outcome = 'hard_fail' AND amount > 50) / count(*) FILTER (WHERE amount > 50) ELSE 0 END")} AS precision,
+  {R("CASE WHEN count(*) FILTER (WHERE outcome = 'hard_fail') > 0 THEN count(*) FILTER (WHERE outcome = 'hard_fail' AND amount > 50) / count(*) FILTER (WHERE outcome = 'hard_fail') ELSE 0 END")} AS recall,
+  {R("count(*) FILTER (WHERE amount > 50) / count(*)")} AS alert_rate, {R('avg(amount)', 6)} AS mean_amount
+FROM payments GROUP BY 1
+""")
+def quality_by_5_minutes(spark, d):
+    """Q7 at the finer grain."""
+    return _by_window(spark, d, "5 minutes")
+
+
+@query("drift_by_hour", sql=PAY + f""",
+h AS (SELECT time_bucket(INTERVAL 1 HOUR, event_ts) AS w,
+             CASE WHEN amount IS NULL THEN -2 WHEN amount < 0 THEN -1 WHEN amount > 100 THEN 20
+                  ELSE CAST(least(greatest(floor((amount - 0.0) / (100.0 - 0.0) * 20), 0), 19) AS INTEGER) END AS bin, count(*) AS c
+      FROM payments GROUP BY ALL),
+tot AS (SELECT w, sum(c) AS tot FROM h GROUP BY w),
+pairs AS (SELECT w, lag(w) OVER (ORDER BY w) AS pw FROM tot),
+p AS (SELECT h.w, bin, c / tot AS p FROM h JOIN tot USING (w)),
+cur AS (SELECT p.w, pairs.pw, bin, p FROM p JOIN pairs ON p.w = pairs.w WHERE pairs.pw IS NOT NULL),
+prv AS (SELECT pairs.w, pairs.pw, bin, p AS q FROM p JOIN pairs ON p.w = pairs.pw),
+j AS (SELECT coalesce(cur.w, prv.w) AS w, coalesce(cur.pw, prv.pw) AS pw, coalesce(p, 0) AS p, coalesce(q, 0) AS q
+      FROM cur FULL JOIN prv ON cur.w = prv.w AND cur.pw = prv.pw AND cur.bin = prv.bin),
+js AS (SELECT w, pw, 0.5 * sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END)
+                   + 0.5 * sum(CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) AS jsd FROM j GROUP BY ALL)
+SELECT w AS window_start, pw AS prev_window, {R('sqrt(greatest(jsd, 0))', 6)} AS js_distance FROM js
+""")
+def drift_by_hour(spark, d):
+    """Q7: drift of the input between consecutive 1-hour windows that have rows."""
+    return Q.js_drift(B.payments(spark, d), "amount", "event_ts", 0.0, 100.0, 20, "1 hour")

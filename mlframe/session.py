@@ -44,8 +44,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the submitter sets it to shared storage and we only read it.
-    When unset (local tests) a fresh folder under the system temp dir is used.
+    On a cluster the submitter sets it to shared storage and we only read it;
+    unset, it is an error there, as executors cannot see each other's or the
+    driver's folders. A local session gets a fresh temporary folder.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
@@ -53,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return cur
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf = tempfile.mkdtemp(prefix="mlframe-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

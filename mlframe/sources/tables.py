@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mlframe.session import scratch_dir
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -66,38 +69,66 @@ def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> Da
 
 def write_partitioned(df: DataFrame, path: str, ts_col: str, date_col: str = "event_date") -> str:
     """Derive a date and write one folder per date; dynamic overwrite
-    only replaces the dates present in ``df``."""
+    (a writer option, the session stays as it is) only replaces the dates
+    present in ``df``."""
     out = df.withColumn(date_col, F.to_date(ts_col))
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out.write.mode("overwrite").partitionBy(date_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path)
     return path
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys) -> DataFrame:
-    """Matched rows replaced, new rows inserted, the rest kept.
+def upsert(target: DataFrame, updates: DataFrame, keys, check_unique: bool = True) -> DataFrame:
+    """Matched rows replaced, new rows inserted, the rest kept. Null keys
+    match null keys, so a replay changes nothing.
 
     Expressed as anti-join + union so it runs on any file table (built-in
-    parquet tables have no MERGE). Updates must be unique per key; the caller
-    writes the result to a new path and swaps (single writer).
+    parquet tables have no MERGE). Updates must be unique per key, or a
+    ``ValueError`` is raised; the caller writes the result to a new path and
+    swaps (single writer).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    kept = target.join(updates.select(*keys), on=keys, how="left_anti")
-    return kept.unionByName(updates.select(*target.columns))
+    if check_unique and not updates.groupBy(*keys).count().where("count > 1").isEmpty():
+        raise ValueError(f"updates are not unique on {keys}")
+    u = updates.select(*[F.col(k).alias(f"_u{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & target[k].eqNullSafe(u[f"_u{i}"])
+    return target.join(u, same, "left_anti").unionByName(updates.select(*target.columns))
 
 
 def create_as(spark: SparkSession, name: str, sql: str, path: str | None = None) -> DataFrame:
-    """Create-or-replace a table from a SELECT (CTAS)."""
-    loc = f" LOCATION '{path}'" if path else ""
+    """Create-or-replace a table from a SELECT (CTAS).
+
+    The rows are written to a new folder first; only then does the name move
+    to it, so a failing query leaves the old table as it is, and readers that
+    opened the old one keep its files."""
+    root = path or f"{scratch_dir(spark, name)}/t"
+    target = f"{root}/v={time.time_ns()}"
+    df = spark.sql(sql)
+    df.write.parquet(target)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet{loc} AS {sql}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{target}'")
     return spark.table(name)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path`` in any file system that Spark reads; none if it does not exist."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(hadoop) if st.isDirectory())
+
+
+def file_rows(df: DataFrame) -> DataFrame:
+    """Every data file behind ``df`` with its size, ISO modification time and the rows read from it."""
+    meta = F.col("_metadata")
+    return (df.select(meta["file_path"].alias("path"), meta["file_size"].alias("length"), meta["file_modification_time"].alias("m"))
+            .groupBy("path", "length").agg(F.count(F.lit(1)).alias("n_rows"), F.max("m").alias("m"))
+            .select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length",
+                    F.date_format("m", "yyyy-MM-dd'T'HH:mm:ss").alias("modified_iso"), "n_rows"))
+
+
 def landed_files(spark: SparkSession, d: str, glob: str = "*") -> DataFrame:
     """List landed files with size and ISO modification time.
 
