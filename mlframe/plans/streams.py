@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from mlframe import bindings as B
 from mlframe.operators import windows as W
-from mlframe.operators.features import rolling_counters
 from mlframe.operators.quality import Rule
 from mlframe.plans import query
 from mlframe.plans.feature_store import COUNTERS_SQL, PAY
@@ -63,11 +62,20 @@ EVENTS_SQL = "SELECT event_id, ts, user_id, event_type, value, props FROM events
 SELECT event_id, ts, user_id, event_type, value, props,
        CASE WHEN event_type = 'signup' THEN '{"k":"' || json_extract_string(props, '$.k') || '"}' END AS _rescued_data
 FROM events
+UNION ALL
+SELECT CASE WHEN event_id % 2 = 0 THEN -event_id - 1 END, NULL, NULL, NULL, NULL, NULL,
+       CASE WHEN event_id % 2 = 0 THEN '{"value":"n/a"}' ELSE '{"_corrupt_record":"broken ' || event_id || '"}' END
+FROM events WHERE event_type = 'click'
 """)
 def json_file_stream(spark, d):
-    """Bronze ingest of newline JSON with a rescue column."""
+    """Bronze ingest of newline JSON with a rescue column: an unknown field,
+    a value of the wrong type and a line that is no JSON, none of them lost."""
     root = _land_events(spark, d, "json", extra_rescue=True)
-    s = SS.bronze_json_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=1)
+    e = read(spark, d, "events", ["event_id", "event_type"]).where("event_type = 'click'")
+    odd = F.when(F.col("event_id") % 2 == 0, F.format_string('{"event_id":%d,"value":"n/a"}', -F.col("event_id") - 1)).otherwise(
+        F.format_string("broken %d", "event_id"))
+    e.select(odd.alias("value")).write.mode("append").text(f"{root}/landing")
+    s = SS.bronze_json_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=SS.FILES)
     SK.drain(SK.start_append(s, f"{root}/out", f"{root}/ckpt"))
     return spark.read.parquet(f"{root}/out").drop("_source_file", "_ingested_at")
 
@@ -76,7 +84,7 @@ def json_file_stream(spark, d):
 def table_stream(spark, d):
     """A landing table read as a stream, appended to a scored table."""
     root = _land_events(spark, d, "parquet")
-    s = SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=1)
+    s = SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=SS.FILES)
     SK.drain(SK.start_append(s, f"{root}/out", f"{root}/ckpt"))
     return spark.read.parquet(f"{root}/out")
 
@@ -85,7 +93,7 @@ def table_stream(spark, d):
 def csv_file_stream(spark, d):
     """Headered CSV files ingested incrementally."""
     root = _land_events(spark, d, "csv")
-    s = SS.csv_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=1)
+    s = SS.csv_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=SS.FILES)
     SK.drain(SK.start_append(s, f"{root}/out", f"{root}/ckpt"))
     return spark.read.parquet(f"{root}/out")
 
@@ -97,7 +105,7 @@ def stream_to_table(spark, d):
     root = scratch_dir(spark, "stream")
     e, parts = _parts(read(spark, d, "events"), "event_id")
     SS.land(e, f"{root}/landing", "_part", parts[:-1])
-    src = lambda: SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=1)
+    src = lambda: SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=SS.FILES)
     SK.drain(SK.start_append(src(), f"{root}/out", f"{root}/ckpt"))
     SS.land(e, f"{root}/landing", "_part", parts[-1:])
     SK.drain(SK.start_append(src(), f"{root}/out", f"{root}/ckpt"))  # restart: same checkpoint
@@ -108,7 +116,7 @@ def stream_to_table(spark, d):
 def drain_available(spark, d):
     """Process everything pending, then stop (availableNow)."""
     root = _land_events(spark, d, "parquet")
-    s = SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=1)
+    s = SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=SS.FILES)
     SK.drain(SK.start_append(s, f"{root}/out", f"{root}/ckpt", trigger="available_now"))
     out = spark.read.parquet(f"{root}/out")
     return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
@@ -119,49 +127,70 @@ def micro_batch(spark, d):
     """Fixed-interval trigger with a bounded run time; stops once the
     landed files are processed (rows-only check: timing-dependent batches)."""
     root = _land_events(spark, d, "parquet")
-    s = SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=1)
+    s = SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=SS.FILES)
     q = SK.start_append(s, f"{root}/out", f"{root}/ckpt", trigger="1 second")
     q.processAllAvailable()
     SK.run_for(q, 0.1)
     return spark.read.parquet(f"{root}/out")
 
 
-SCORE_SQL = f"""
-SELECT event_id, {R('1.0 / (1.0 + exp(-(value - 50.0) / 10.0))')} AS score,
-       CAST(1.0 / (1.0 + exp(-(value - 50.0) / 10.0)) >= 0.5 AS INTEGER) AS alert FROM events
-"""
+def _nb_sql(source: str, x: str, label: str) -> str:
+    """Gaussian naive Bayes of one feature from the moments of both classes: the posterior of class 1."""
+    return f"""
+m AS (SELECT ln(count(*) FILTER (WHERE {label} = 1) / count(*)) AS p1, ln(count(*) FILTER (WHERE {label} = 0) / count(*)) AS p0,
+             avg({x}) FILTER (WHERE {label} = 1) AS m1, avg({x}) FILTER (WHERE {label} = 0) AS m0,
+             var_pop({x}) FILTER (WHERE {label} = 1) AS v1, var_pop({x}) FILTER (WHERE {label} = 0) AS v0 FROM {source}),
+s AS (SELECT t.*, 1.0 / (1.0 + exp((p0 - 0.5 * ln(v0) - ({x} - m0) * ({x} - m0) / (2 * v0))
+                                   - (p1 - 0.5 * ln(v1) - ({x} - m1) * ({x} - m1) / (2 * v1)))) AS score FROM {source} t, m)"""
+
+
+def fit_gaussian(df, x: str, label: str):
+    """A fitted ``pyspark.ml`` pipeline: Gaussian naive Bayes of one numeric feature (null feature rows do not train)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import VectorAssembler
+
+    stages = [VectorAssembler(inputCols=[x], outputCol="features", handleInvalid="keep"),
+              NaiveBayes(modelType="gaussian", labelCol=label, featuresCol="features")]
+    return Pipeline(stages=stages).fit(df.dropna(subset=[x, label]))
 
 
-@query("stream_score", sql=SCORE_SQL)
+@query("stream_score", sql=f"""
+WITH e AS (SELECT event_id, value, CAST(event_type = 'purchase' AS INTEGER) AS label FROM events), {_nb_sql("e", "value", "label")}
+SELECT event_id, {R('score')} AS score, CAST(score >= 0.2 AS INTEGER) AS alert FROM s
+""")
 def stream_score(spark, d):
-    """Stateless scoring of a stream with the batch scorer."""
+    """Stateless scoring of a stream with a fitted model (is the event a
+    purchase, by its value)."""
     root = _land_events(spark, d, "parquet")
-    s = SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=1)
-    scored = SO.score_stream(s, amount="value").select("event_id", "score", "alert")
+    e = read(spark, d, "events", ["value", "event_type"])
+    model = fit_gaussian(e.select("value", (F.col("event_type") == "purchase").cast("double").alias("label")), "value", "label")
+    s = SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=SS.FILES)
+    scored = SO.score_stream(s, model, threshold=0.2).select("event_id", "score", "alert")
     SK.drain(SK.start_append(scored, f"{root}/out", f"{root}/ckpt"))
     return spark.read.parquet(f"{root}/out").withColumn("score", F.round("score", 6))
 
 
-@query("score_and_produce", sql=PAY + f"""
+@query("score_and_produce", sql=PAY + ", p AS (SELECT *, CAST(outcome = 'hard_fail' AS INTEGER) AS label FROM payments), "
+       + _nb_sql("p", "amount", "label") + f"""
 SELECT CAST(account_id AS VARCHAR) AS key, event_id, account_id,
-       CASE WHEN 1.0 / (1.0 + exp(-(amount - 50.0) / 10.0)) >= 0.5 THEN 'decline' ELSE 'approve' END AS decision,
-       {R('1.0 / (1.0 + exp(-(amount - 50.0) / 10.0))')} AS model_output
-FROM payments
+       CASE WHEN score >= 0.05 THEN 'blocked' ELSE 'pass' END AS decision, {R('score')} AS model_output, TRUE AS stamped
+FROM s
 """)
 def score_and_produce(spark, d):
-    """T4: per micro-batch score, decide and write keyed JSON messages by
-    epoch; read back and decoded."""
+    """T4: per micro-batch score with a fitted model, decide and write keyed
+    JSON messages by epoch; read back and decoded."""
     root = scratch_dir(spark, "stream")
-    p, parts = _parts(B.payments(spark, d).select("event_id", "account_id", "amount", "event_ts"), "event_id")
+    pay = B.payments(spark, d)
+    model = fit_gaussian(pay.select("amount", (F.col("outcome") == "hard_fail").cast("double").alias("label")), "amount", "label")
+    p, parts = _parts(pay.select("event_id", "account_id", "amount", "event_ts"), "event_id")
     SS.land(p, f"{root}/landing", "_part", parts)
     schema = "event_id long, account_id long, amount double, event_ts timestamp_ntz"
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
-    SK.drain(SK.for_each_batch(s, SO.produce_decisions(f"{root}/out"), f"{root}/ckpt"))
-    msgs = spark.read.parquet(f"{root}/out").drop("epoch")
-    dec = SS.decode(msgs.select(F.col("value").cast("binary").alias("value")),
-                    T.StructType.fromDDL("event_id long, account_id long, decision string, model_output double"))
-    keys = msgs.select("key", F.get_json_object("value", "$.event_id").cast("long").alias("event_id"))
-    return keys.join(dec, "event_id")
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", SS.FILES).parquet(f"{root}/landing")
+    SK.drain(SK.for_each_batch(s, SO.produce_decisions(f"{root}/out", model, threshold=0.05), f"{root}/ckpt"))
+    msgs = spark.read.parquet(f"{root}/out").select("key", F.col("value").cast("binary").alias("value"))
+    dec = SS.decode(msgs, T.StructType.fromDDL("event_id long, account_id long, decision string, model_output double, scored_at timestamp"))
+    return dec.select("key", "event_id", "account_id", "decision", "model_output", F.col("scored_at").isNotNull().alias("stamped"))
 
 
 def _silver(spark, d, bronze):
@@ -177,7 +206,7 @@ FROM readings r LEFT JOIN dim_tag t ON r.tag_id = t.tag_id LEFT JOIN dim_asset a
 def stream_static_enrich(spark, d):
     """Bronze stream left-joined to two static dimensions."""
     root = _land_readings(spark, d)
-    bronze = SS.bronze_json_stream(spark, f"{root}/landing", READING_SCHEMA, max_files=1, rescue=False)
+    bronze = SS.bronze_json_stream(spark, f"{root}/landing", READING_SCHEMA, max_files=SS.FILES, rescue=False)
     silver = _silver(spark, d, bronze).select("reading_id", "tag_id", "asset_id", "value", "crit_threshold",
                                                "normal_low", "normal_high", "area", "work_center")
     SK.drain(SK.start_append(silver, f"{root}/out", f"{root}/ckpt"))
@@ -187,20 +216,20 @@ def stream_static_enrich(spark, d):
 def _gold_batch(silver):
     z = W.rolling_z(silver, "tag_id", "reading_ts", "value", 12)
     g = W.detect(z)
-    return g.select("reading_id", "tag_id", "reading_ts", "value", "z_score", "reason")
+    return g.select("reading_id", "tag_id", "reading_ts", "value", "z_score", "reason", "_old")
 
 
 @query("medallion_stream", sql=GOLD_SQL.format(low_reason="", low_cond=""))
 def medallion_stream(spark, d):
-    """T5: bronze -> silver (appended per epoch) -> gold recomputed in full
-    each trigger so the rolling windows see all history."""
+    """T5: bronze -> silver -> gold, appended per epoch: each batch reads the
+    last 12 readings of each tag before it, which its rolling windows need."""
     root = _land_readings(spark, d)
-    bronze = SS.bronze_json_stream(spark, f"{root}/landing", READING_SCHEMA, max_files=1, rescue=False) \
+    bronze = SS.bronze_json_stream(spark, f"{root}/landing", READING_SCHEMA, max_files=SS.FILES, rescue=False) \
         .drop("_source_file", "_ingested_at")
     tags = B.dim_tag(spark, d).select("tag_id", "crit_threshold", "normal_low")
     assets = B.dim_asset(spark, d)
     SK.drain(SO.medallion(spark, bronze, tags, assets, f"{root}/silver", f"{root}/gold", f"{root}/ckpt", _gold_batch))
-    return spark.read.parquet(f"{root}/gold")
+    return spark.read.parquet(f"{root}/gold").drop("epoch")
 
 
 @query("stream_rolling_z", sql=SENSOR_CTE + ROLLING_SQL + f"""
@@ -209,7 +238,7 @@ SELECT reading_id, tag_id, {R('roll_mean')} AS roll_mean, {R('roll_std')} AS rol
 def stream_rolling_z(spark, d):
     """Rolling z-score kept incrementally in per-tag state."""
     root = _land_readings(spark, d, fmt="parquet")
-    s = spark.readStream.schema(READING_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
+    s = spark.readStream.schema(READING_SCHEMA).option("maxFilesPerTrigger", SS.FILES).parquet(f"{root}/landing")
     z = SO.stream_rolling_z(s)
     SK.drain(SK.start_append(z, f"{root}/out", f"{root}/ckpt"))
     out = spark.read.parquet(f"{root}/out")
@@ -239,11 +268,11 @@ def declared_window_feature(spark, d):
     """Declared 1-hour / 5-minute sliding count, mean, sum and population
     stddev per user; update mode into an epoch log, newest version per key."""
     root = _land_events(spark, d, "parquet")
-    s = SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=1)
+    s = SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=SS.FILES)
     spec = SO.WindowFeature(key="user_id", ts="ts", col="value")
     agg = SO.window_feature(s, spec)
-    SK.drain(SK.for_each_batch(agg, SO.update_log_writer(f"{root}/out"), f"{root}/ckpt", output_mode="update"))
-    return _window_round(SO.latest_versions(spark.read.parquet(f"{root}/out"), ["window_start", "user_id"]))
+    SK.drain(SK.for_each_batch(agg, SO.update_log_writer(f"{root}/out", ["window_start", "user_id"]), f"{root}/ckpt", output_mode="update"))
+    return _window_round(SO.read_update_log(spark, f"{root}/out", ["window_start", "user_id"]))
 
 
 @query("declared_window_batch", sql=WINDOW_SQL)
@@ -257,10 +286,10 @@ def declared_window_batch(spark, d):
 def running_counts(spark, d):
     """Running count and newest event time per key across micro-batches."""
     root = _land_events(spark, d, "parquet")
-    s = SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=1)
+    s = SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=SS.FILES)
     agg = SO.running_counts(s, "user_id", "ts")
-    SK.drain(SK.for_each_batch(agg, SO.update_log_writer(f"{root}/out"), f"{root}/ckpt", output_mode="update"))
-    return SO.latest_versions(spark.read.parquet(f"{root}/out"), "user_id")
+    SK.drain(SK.for_each_batch(agg, SO.update_log_writer(f"{root}/out", "user_id", compact_every=2), f"{root}/ckpt", output_mode="update"))
+    return SO.read_update_log(spark, f"{root}/out", "user_id")
 
 
 @query("counter_refresh", sql=PAY + f""",
@@ -272,9 +301,10 @@ SELECT u.instrument_id, coalesce(inst_txn_cnt, 0) AS inst_txn_cnt, coalesce(inst
 FROM (SELECT DISTINCT instrument_id FROM payments) u LEFT JOIN agg USING (instrument_id)
 """)
 def counter_refresh(spark, d):
-    """Two refresh ticks; the second upserts over the first's table."""
+    """Two refresh ticks, then a second start that goes on from the last version."""
     root = scratch_dir(spark, "counters")
-    paths = SO.refresh_loop(spark, lambda: B.payments(spark, d), f"{root}/counters", every_s=0.0, max_ticks=2)
+    SO.refresh_loop(spark, lambda: B.payments(spark, d), f"{root}/counters", every_s=0.0, max_ticks=2)
+    paths = SO.refresh_loop(spark, lambda: B.payments(spark, d), f"{root}/counters", every_s=0.0, max_ticks=1)
     return spark.read.parquet(paths[-1])
 
 
@@ -284,14 +314,14 @@ def freshness_kpi(spark, d):
     rows-only check)."""
     from mlframe.operators.aggs import latency_summary
     root = _land_events(spark, d, "parquet")
-    s = SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=1)
+    s = SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=SS.FILES)
     SK.drain(SK.for_each_batch(s, SO.freshness_logger(f"{root}/log", "ts"), f"{root}/ckpt"))
     log = spark.read.parquet(f"{root}/log").withColumn(
         "freshness_s", F.unix_micros("available_at") / 1e6 - F.unix_micros("newest_event") / 1e6)
     return latency_summary(log, "freshness_s")
 
 
-STREAM_RULES = [Rule("positive_value", "value > 0", "warn"), Rule("known_type", "event_type IS NOT NULL", "drop"),
+STREAM_RULES = [Rule("has_id", "event_id IS NOT NULL", "fail"), Rule("positive_value", "value > 0", "warn"), Rule("known_type", "event_type IS NOT NULL", "drop"),
                 Rule("value_below_99", "value < 99", "drop")]
 
 
@@ -299,7 +329,7 @@ STREAM_RULES = [Rule("positive_value", "value > 0", "warn"), Rule("known_type",
 def stream_expectations(spark, d):
     """Expectation rules on a stream (counts in the progress metrics)."""
     root = _land_events(spark, d, "parquet")
-    s = SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=1)
+    s = SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=SS.FILES)
     kept = SO.expect_stream(s, STREAM_RULES)
     SK.drain(SK.start_append(kept, f"{root}/out", f"{root}/ckpt"))
     return spark.read.parquet(f"{root}/out")
@@ -311,8 +341,4 @@ def bus_envelope(spark, d):
     p = B.payments(spark, d)
     env = SS.encode(p, "account_id", ["event_id", "account_id", "category_code", "amount"])
     schema = T.StructType.fromDDL("event_id long, account_id long, category_code string, amount double")
-    dec = SS.decode(env.select("key", F.col("value").cast("binary").alias("value")), schema)
-    return env.select("key", F.get_json_object("value", "$.event_id").cast("long").alias("event_id")).join(dec, "event_id")
-
-
-__all__ = ["rolling_counters"]
+    return SS.decode(env.select(F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value")), schema)

@@ -120,6 +120,11 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(hadoop) if st.isDirectory())
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def file_rows(df: DataFrame) -> DataFrame:
     """Every data file behind ``df`` with its size, ISO modification time and the rows read from it."""
     meta = F.col("_metadata")
