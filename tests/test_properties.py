@@ -162,7 +162,7 @@ def test_exact_quantile_equals_percentile(spark, sf_dir, q):
     from mlframe.operators.ranking import exact_quantile
     li = read(spark, sf_dir, "lineitem", ["l_extendedprice"])
     ref = li.agg(F.percentile("l_extendedprice", q)).first()[0]
-    assert exact_quantile(li, "l_extendedprice", q, buckets=64) == pytest.approx(ref, rel=1e-12)
+    assert exact_quantile(li, "l_extendedprice", q, rows_each=100) == pytest.approx(ref, rel=1e-12)
 
 
 @pytest.mark.parametrize("bucket", ["hour", "day"])
@@ -177,7 +177,7 @@ def test_pit_counters_time_halo_equals_plain(spark, sf_dir, bucket):
 
 def test_episodes_match_plain_gaps_and_islands(spark, sf_dir):
     r = B.readings(spark, sf_dir).withColumn("flag", (F.col("value") > 60).cast("int"))
-    got = W.episodes(r, "tag_id", "reading_ts", "flag", bucket="hour")
+    got = W.episodes(r, "tag_id", "reading_ts", "flag", block_rows=7)
     wa = Window.partitionBy("tag_id").orderBy("reading_ts")
     wf = Window.partitionBy("tag_id", "flag").orderBy("reading_ts")
     g = r.select("tag_id", "reading_ts", "flag", (F.row_number().over(wa) - F.row_number().over(wf)).alias("g"))

@@ -57,7 +57,7 @@ def test_watermark_bounds_state(spark, tmp_dir):
     spark.createDataFrame(later, PS.EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/in")
     s = SS.table_stream(spark, f"{tmp_dir}/in", PS.EVENT_SCHEMA, max_files=1)
     agg = SO.window_feature(s, SO.WindowFeature(key="user_id", ts="ts", col="value"))
-    q = SK.for_each_batch(agg, SO.update_log_writer(f"{tmp_dir}/out"), f"{tmp_dir}/ck", output_mode="update")
+    q = SK.for_each_batch(agg, SO.update_log_writer(f"{tmp_dir}/out", ["window_start", "user_id"]), f"{tmp_dir}/ck", output_mode="update")
     SK.drain(q)
     wm = [p["eventTime"].get("watermark") for p in q.recentProgress if p.get("eventTime")]
     assert wm[-1].startswith("2024-01-01T14:00:00")  # newest event (15:00) minus the 1-hour delay
