@@ -85,9 +85,10 @@ def corr_matrix(df: DataFrame, cols, digits: int = 6) -> DataFrame:
 
 
 def bin_index(x, lo: float, hi: float, n: int) -> Column:
-    """Fixed-width bin 0..n-1, values outside clamped to the end bins."""
+    """Fixed-width bin 0..n-1 of [lo, hi]; values below have bin -1, values above bin n, so nothing outside hides in an end bin."""
     col = F.col(x) if isinstance(x, str) else x
-    return F.least(F.greatest(F.floor((col - lo) / (hi - lo) * n), F.lit(0)), F.lit(n - 1)).cast("int")
+    inner = F.least(F.floor((col - lo) / (hi - lo) * n), F.lit(n - 1))
+    return F.when(col < lo, -1).when(col > hi, n).otherwise(inner).cast("int")
 
 
 def histogram(df: DataFrame, col, lo: float, hi: float, n: int, by=()) -> DataFrame:

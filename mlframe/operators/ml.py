@@ -149,8 +149,8 @@ def score(df: DataFrame, model, threshold: float = 0.5, keep=None) -> DataFrame:
 
 
 def save_with_lookup(spark, model: PipelineModel, path: str, lookup_spec: dict) -> str:
-    """Persist the model together with its feature lookup spec, so
-    scoring needs only keys."""
+    """Persist the model together with its feature lookup spec
+    (:func:`lookup_features`), so scoring needs only keys."""
     model.write().overwrite().save(f"{path}/model")
     spark.createDataFrame([(json.dumps(lookup_spec),)], "spec string").coalesce(1).write.mode("overwrite").json(f"{path}/spec")
     return path
@@ -161,6 +161,25 @@ def load_with_lookup(spark, path: str):
     return PipelineModel.load(f"{path}/model"), spec
 
 
+def lookup_features(keys: DataFrame, spec: dict, read_table) -> DataFrame:
+    """``keys`` with the features that the spec names, read from the tables it names.
+
+    ``spec["sources"]`` are joined in order, each a dict of ``table``, ``on``
+    (column so far -> column of the table) and ``columns`` (feature -> SQL
+    expression over the table). Later sources may join on earlier features.
+    ``read_table(name)`` opens a table. A missing row gives nulls."""
+    out = keys
+    for src in spec["sources"]:
+        names = {theirs: f"_k{i}" for i, theirs in enumerate(src["on"].values())}
+        table = read_table(src["table"]).select(*[F.col(c).alias(n) for c, n in names.items()],
+                                                *[F.expr(e).alias(f) for f, e in src["columns"].items()])
+        on = F.lit(True)
+        for ours, theirs in src["on"].items():
+            on = on & (F.col(ours) == F.col(names[theirs]))
+        out = out.join(table, on, "left").drop(*names.values())
+    return out
+
+
 # ---- M14 / M15 / M17 / M31 -----------------------------------------------------------
 
 def fit_compare(train: DataFrame, test: DataFrame, label: str, configs: dict, weight: str | None = None) -> DataFrame:
@@ -238,7 +257,8 @@ def knn1(train: DataFrame, test: DataFrame, id_col: str, vec: str, label: str, b
           .withColumn("qblk", F.pmod(F.xxhash64("qid"), F.lit(nq)))
           .groupBy("qblk").agg(F.collect_list(F.struct("qid", "qv")).alias("qrows"))
           .select("qrows", F.explode(F.sequence(F.lit(0), F.lit(nb - 1)).cast("array<long>")).alias("blk")))
-    j = qb.join(tb, "blk")
+    # a few pairs of blocks per task: an Arrow batch never holds more than one task's rows
+    j = qb.join(tb, "blk").repartition(max(1, nb * nq // 4))
 
     def solve(it):
         for pdf in it:

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from mlframe.operators.aggs import bin_index
+
 
 
 @dataclass(frozen=True)
@@ -105,9 +107,7 @@ def js_drift(df: DataFrame, col: str, ts: str, lo: float, hi: float, bins: int =
     Histogram per window is a partial aggregate; consecutive windows are
     paired by a lag over the (small) list of windows, and bins are aligned
     by a full outer join on (pair, bin)."""
-    c = F.col(col)
-    inner = F.least(F.greatest(F.floor((c - lo) / (hi - lo) * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
-    bin_ = F.when(c.isNull(), -2).when(c < lo, -1).when(c > hi, bins).otherwise(inner)
+    bin_ = F.coalesce(bin_index(col, lo, hi, bins), F.lit(-2))
     w = F.window(ts, window).start if " " in window else F.date_trunc(window, ts)
     h = df.groupBy(w.alias("w"), bin_.alias("bin")).agg(F.count(F.lit(1)).alias("c"))
     tot = h.groupBy("w").agg(F.sum("c").alias("tot"))

@@ -21,7 +21,7 @@ REGISTRY: dict[str, Query] = {}
 
 _MODULES = (
     "feature_store", "relational", "aggregates", "windowed", "sensors", "quality",
-    "analytics", "fits", "text", "io", "streams",
+    "analytics", "fits", "text", "io", "streams", "properties",
 )
 
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from mlframe import bindings as B
@@ -31,9 +28,14 @@ FROM ratings r JOIN u USING (user_id) JOIN i USING (item_id)
 """
 
 
+def joined_once(df):
+    """A derived table that several aggregates read: written once in the shared folder instead of joined for each."""
+    return df.checkpoint(eager=True)
+
+
 @query("entity_stats", sql=ENTITY_SQL)
 def entity_stats(spark, d):
-    return A.entity_stats(B.ratings(spark, d), ["user_id", "item_id"], "rating")
+    return A.entity_stats(joined_once(B.ratings(spark, d)), ["user_id", "item_id"], "rating")
 
 
 LOO_SQL = RATINGS + f""",
@@ -50,7 +52,7 @@ FROM ratings r JOIN u USING (user_id) JOIN i USING (item_id)
 
 @query("loo_entity_stats", sql=LOO_SQL)
 def loo_entity_stats(spark, d):
-    return A.entity_stats(B.ratings(spark, d), ["user_id", "item_id"], "rating", leave_one_out=True, digits=4)
+    return A.entity_stats(joined_once(B.ratings(spark, d)), ["user_id", "item_id"], "rating", leave_one_out=True, digits=4)
 
 
 MONTHLY_DEMAND_SQL = f"""
@@ -194,7 +196,7 @@ def corr_matrix(spark, d):
 
 
 @query("histogram", sql=B.cte(ws=B.WIDE_SENSORS_SQL) + """
-SELECT is_failure, CAST(least(greatest(floor((log10(s_price) - 2.0) / (6.0 - 2.0) * 20), 0), 19) AS INTEGER) AS bin,
+SELECT is_failure, CAST(CASE WHEN log10(s_price) < 2.0 THEN -1 WHEN log10(s_price) > 6.0 THEN 20 ELSE least(floor((log10(s_price) - 2.0) / (6.0 - 2.0) * 20), 19) END AS INTEGER) AS bin,
        count(*) AS n
 FROM ws GROUP BY ALL
 """)

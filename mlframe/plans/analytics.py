@@ -16,7 +16,7 @@ from mlframe.operators.graph import rollup
 from mlframe.operators.models import fit_scaler
 from mlframe.operators.sampling import holdout
 from mlframe.plans import query
-from mlframe.plans.aggregates import MONTHLY_DEMAND_SQL, SALES, monthly_demand_df
+from mlframe.plans.aggregates import joined_once, monthly_demand_df, MONTHLY_DEMAND_SQL, SALES
 from mlframe.plans.sql import R
 
 WS = B.cte(ws=B.WIDE_SENSORS_SQL) + ", scores AS (" + B.SENSOR_SCORES_SQL + ")"
@@ -303,7 +303,7 @@ SELECT brand, region, forecast_month, {R('forecast_cases', 4)} AS forecast_cases
 """)
 def seasonal_naive(spark, d):
     """Last year's same-month mean, +-20% band, 9 months."""
-    fc = FC.seasonal_naive(monthly_demand_df(spark, d), ["brand", "region"])
+    fc = FC.seasonal_naive(joined_once(monthly_demand_df(spark, d)), ["brand", "region"])
     return fc.select("brand", "region", "forecast_month", *[F.round(c, 4).alias(c) for c in
                                                             ("forecast_cases", "forecast_p10", "forecast_p90")], "method")
 
@@ -317,7 +317,7 @@ def tvf_forecast_demand(spark, d):
     """The forecast behind a SQL table function with optional filters
     (null = all) and a horizon; called with region = EUROPE, 6 months."""
     from mlframe.functions.sql_functions import register_forecast_tvf
-    fc = FC.seasonal_naive(monthly_demand_df(spark, d), ["brand", "region"])
+    fc = FC.seasonal_naive(joined_once(monthly_demand_df(spark, d)), ["brand", "region"])
     fc = fc.select("brand", "region", "forecast_month", *[F.round(c, 4).alias(c) for c in
                                                           ("forecast_cases", "forecast_p10", "forecast_p90")])
     register_forecast_tvf(spark, fc)

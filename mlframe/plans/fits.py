@@ -15,14 +15,13 @@ from mlframe.operators import iforest as IF
 from mlframe.operators import ml as ML
 from mlframe.operators import windows as W
 from mlframe.operators.aggs import entity_stats, pos_weight
-from mlframe.operators.joins import AsOfLookup, asof_join, lookup
 from mlframe.operators.models import stamp
 from mlframe.plans import query
-from mlframe.plans.aggregates import ENTITY_SQL, monthly_demand_df
+from mlframe.plans.aggregates import ENTITY_SQL, joined_once
 from mlframe.plans.relational import GENRE_TERMS
 from mlframe.plans.sql import R
-from mlframe.session import scratch_dir
 from mlframe.plans.windowed import filled_demand
+from mlframe.session import scratch_dir
 from mlframe.sources.tables import read
 
 
@@ -103,18 +102,22 @@ def batch_score(spark, d):
     return spark.read.parquet(root).drop("scored_at", "run_id")
 
 
+LOOKUP_SPEC = {"key": "o_orderkey", "sources": [
+    {"table": "orders", "on": {"o_orderkey": "o_orderkey"},
+     "columns": {"o_orderstatus": "o_orderstatus", "o_totalprice": "o_totalprice", "month": "CAST(month(o_orderdate) AS DOUBLE)", "_cust": "o_custkey"}},
+    {"table": "customer", "on": {"_cust": "c_custkey"}, "columns": {"c_mktsegment": "c_mktsegment", "c_acctbal": "c_acctbal"}}]}
+
+
 @query("lookup_and_score")
 def lookup_and_score(spark, d):
     """The model is saved with its lookup spec; scoring gets keys only
-    and joins the features the spec names."""
-    f, model = _propensity(spark, d, trees=20, depth=6)
+    and reads the tables and columns that the loaded spec names."""
+    _, model = _propensity(spark, d, trees=20, depth=6)
     root = scratch_dir(spark, "model")
-    spec = {"key": "o_orderkey", "features": ["o_orderstatus", "c_mktsegment", "o_totalprice", "c_acctbal", "month"]}
-    ML.save_with_lookup(spark, model, root, spec)
-    m2, spec2 = ML.load_with_lookup(spark, root)
-    keys = read(spark, d, "orders", ["o_orderkey"])
-    feats = f.select(spec2["key"], *spec2["features"])
-    return ML.score(lookup(keys, feats, spec2["key"]), m2, 0.5, keep=["o_orderkey"])
+    ML.save_with_lookup(spark, model, root, LOOKUP_SPEC)
+    loaded, spec = ML.load_with_lookup(spark, root)
+    keys = read(spark, d, "orders", [spec["key"]])
+    return ML.score(ML.lookup_features(keys, spec, lambda t: read(spark, d, t)), loaded, 0.5, keep=[spec["key"]])
 
 
 def _sensor_train_test(spark, d):
@@ -138,7 +141,7 @@ def weighted_classifier(spark, d):
 
 
 def _rating_features(spark, d):
-    r = entity_stats(B.ratings(spark, d), ["user_id", "item_id"], "rating")
+    r = entity_stats(joined_once(B.ratings(spark, d)), ["user_id", "item_id"], "rating")
     p = read(spark, d, "part", ["p_partkey", "p_name"]).withColumnRenamed("p_partkey", "item_id")
     r = S.multi_hot(r.join(p, "item_id", "left"), "p_name", GENRE_TERMS).drop("p_name")
     ts = F.timestamp_micros("ts_micros")
@@ -256,3 +259,12 @@ def knn1(spark, d):
     out = ML.knn1(e.where("u < 0.8"), e.where("u >= 0.8"), "vec_id", "embedding", "label", block_rows=256)
     return out.select("test_id", "nn_id", "pred", F.round("dist", 4).alias("dist"))
 
+
+@query("knn1_accuracy", sql="WITH k AS (" + KNN_SQL.strip().replace("WITH e AS", "WITH e AS", 1) + f""")
+SELECT count(*) AS n, {R('avg(CAST(k.pred = e.label AS DOUBLE))')} AS accuracy FROM k JOIN embeddings e ON e.vec_id = k.test_id
+""")
+def knn1_accuracy(spark, d):
+    """Share of the test embeddings whose neighbour has their label."""
+    e = read(spark, d, "embeddings", ["vec_id", "label"]).withColumnRenamed("vec_id", "test_id")
+    return knn1(spark, d).join(e, "test_id").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col("pred") == F.col("label")).cast("double")), 6).alias("accuracy"))

@@ -6,7 +6,6 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from mlframe import bindings as B
 from mlframe.functions import scalar as S
@@ -139,15 +138,9 @@ def calendar_parts(spark, d):
                       S.epoch_to_ts(ms, "ms").cast("timestamp_ntz").alias("from_ms"))
 
 
-@query("holiday_factor", sql="""
-SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE) AS ship_day,
-  CASE WHEN dayofyear(l_shipdate) BETWEEN 144 AND 152 THEN 1.25
-       WHEN dayofyear(l_shipdate) BETWEEN 181 AND 190 THEN 1.35
-       WHEN dayofyear(l_shipdate) BETWEEN 240 AND 250 THEN 1.20
-       WHEN dayofyear(l_shipdate) BETWEEN 326 AND 334 THEN 1.15
-       WHEN dayofyear(l_shipdate) BETWEEN 354 AND 366 THEN 1.18 ELSE 1.0 END::DOUBLE AS holiday_mult
-FROM lineitem
-""")
+@query("holiday_factor", sql="SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE) AS ship_day, (CASE "
+       + " ".join(f"WHEN dayofyear(l_shipdate) BETWEEN {lo} AND {hi} THEN {f}" for lo, hi, f in S.HOLIDAY_BANDS)
+       + " ELSE 1.0 END)::DOUBLE AS holiday_mult FROM lineitem")
 def holiday_factor(spark, d):
     li = read(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"])
     return li.select("l_orderkey", "l_linenumber", "l_partkey", F.to_date("l_shipdate").alias("ship_day"),
@@ -195,28 +188,45 @@ def hash_normal_q(spark, d):
                     lognormal_count(F.lit(20.0), z).cast("long").alias("cnt"))
 
 
+# ---- fixed values that must equal the reference's: temperature of the summer
+# region (mean, amplitude, noise in deg F), promo lift, price at a promo, rate floor
+TEMP_MEAN, TEMP_AMP, TEMP_NOISE = 62, 18, 2.5
+PROMO_LIFT, RATE_FLOOR = 1.45, 0.05
+# -----------------------------------------------------------------------------
+SEASON_AMP, TREND, ELASTICITY, TEMP_COEF = 0.3, 0.05, 1.2, 0.2
+
+_SEASON = f"(1 + {SEASON_AMP} * cos(2 * pi() * (dayofyear(s.week) - 200) / 365.0))"
+_TREND = f"(1 + {TREND} * (date_diff('day', DATE '1995-01-02', s.week) / 7) / 52.0)"
+_PRICE = f"pow((s.net_revenue / s.cases) / p.base_price, -{ELASTICITY})"
+_TEMP = f"({TEMP_MEAN} + {TEMP_AMP} * cos(2 * pi() * (dayofyear(s.week) - 200) / 365.0) + {TEMP_NOISE} * {hash_normal_sql('s.account_id, s.sku_id, s.week', 'temp')})"
+_PROMO = f"(CASE WHEN s.promo_flag = 1 THEN {PROMO_LIFT}::DOUBLE ELSE 1.0::DOUBLE END)"
+_HOLIDAY = "(CASE " + " ".join(f"WHEN dayofyear(s.week) BETWEEN {lo} AND {hi} THEN {f}" for lo, hi, f in S.HOLIDAY_BANDS) + " ELSE 1.0 END)::DOUBLE"
 SEASON_SQL = f"""
-SELECT s.account_id, s.sku_id, s.week, s.cases,
-  {R('1 + 0.3 * cos(2 * pi() * (dayofyear(s.week) - 200) / 365.0)')} AS season_mult,
-  {R("1 + 0.05 * (date_diff('day', DATE '1995-01-02', s.week) / 7) / 52.0")} AS trend_mult,
-  {R('pow((s.net_revenue / s.cases) / p.base_price, -1.2)')} AS price_mult,
-  {R('greatest(0.05, 1 + 0.3 * cos(2 * pi() * (dayofyear(s.week) - 200) / 365.0))')} AS season_floor
+SELECT s.account_id, s.sku_id, s.week, s.cases, {R(_SEASON)} AS season_mult, {R(_TREND)} AS trend_mult, {R(_PRICE)} AS price_mult,
+  {R(f'greatest({RATE_FLOOR}, {_SEASON})')} AS season_floor, {R(_TEMP, 4)} AS avg_temp_f, {_PROMO} AS promo_mult, {_HOLIDAY} AS holiday_mult,
+  {R(f'greatest({RATE_FLOOR}, greatest({RATE_FLOOR}, {_SEASON}) * {_TREND} * {_PROMO} * {_PRICE} * (1 + {TEMP_COEF} * (({_TEMP} - 65) / 30.0)) * {_HOLIDAY})', 5)} AS rate
 FROM sales s JOIN product p ON s.sku_id = p.sku_id
 """
 
 
 @query("season_trend_terms", sql=B.cte(sales=B.SALES_SQL, product=B.DIM_PRODUCT_SQL) + SEASON_SQL)
 def season_trend_terms(spark, d):
+    """The demand model's terms and their product, floored, per unit of base demand."""
     s = B.sales(spark, d)
     p = B.dim_product(spark, d).select("sku_id", "base_price")
-    season = 1 + 0.3 * F.cos(2 * math.pi * (F.dayofyear("week") - 200) / 365.0)
-    weeks = F.datediff("week", F.lit("1995-01-02").cast("date")) / 7
+    wave = F.cos(2 * math.pi * (F.dayofyear("week") - 200) / 365.0)
+    season = 1 + SEASON_AMP * wave
+    trend = 1 + TREND * (F.datediff("week", F.lit("1995-01-02").cast("date")) / 7) / 52.0
+    price = F.pow((F.col("net_revenue") / F.col("cases")) / F.col("base_price"), -ELASTICITY)
+    temp = TEMP_MEAN + TEMP_AMP * wave + TEMP_NOISE * hash_normal("account_id", "sku_id", "week", lane="temp")
+    promo = F.when(F.col("promo_flag") == 1, F.lit(PROMO_LIFT)).otherwise(F.lit(1.0))
+    holiday = S.holiday_factor(F.col("week"))
+    floor = F.greatest(F.lit(RATE_FLOOR), season)
+    rate = F.greatest(F.lit(RATE_FLOOR), floor * trend * promo * price * (1 + TEMP_COEF * ((temp - 65) / 30.0)) * holiday)
     return s.join(p, "sku_id").select(
-        "account_id", "sku_id", "week", "cases",
-        F.round(season, 6).alias("season_mult"),
-        F.round(1 + 0.05 * weeks / 52.0, 6).alias("trend_mult"),
-        F.round(F.pow((F.col("net_revenue") / F.col("cases")) / F.col("base_price"), -1.2), 6).alias("price_mult"),
-        F.round(F.greatest(F.lit(0.05), season), 6).alias("season_floor"))
+        "account_id", "sku_id", "week", "cases", F.round(season, 6).alias("season_mult"), F.round(trend, 6).alias("trend_mult"),
+        F.round(price, 6).alias("price_mult"), F.round(floor, 6).alias("season_floor"), F.round(temp, 4).alias("avg_temp_f"),
+        promo.alias("promo_mult"), holiday.alias("holiday_mult"), F.round(rate, 5).alias("rate"))
 
 
 @query("fill_drop_null", sql="""

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from mlframe import bindings as B
 from mlframe.operators import windows as W
-from mlframe.operators.joins import match_intervals
 from mlframe.plans import query
 from mlframe.plans.sql import R
 
@@ -131,6 +130,22 @@ def monitor_newest(spark, d):
     return gold(spark, d).orderBy(F.col("reading_ts").desc(), "reading_id").limit(20)
 
 
+@query("monitor_series", sql=SENSOR_CTE + ROLLING_SQL + f"""
+SELECT reading_id, reading_ts, value, {R('roll_mean')} AS roll_mean, normal_low, normal_high, crit_threshold,
+       coalesce(value > crit_threshold, false) OR abs(z) > 3 AS is_anomaly
+FROM z JOIN dim_tag t USING (tag_id) WHERE z.tag_id = 'click_1'
+""")
+def monitor_series(spark, d, tag="click_1"):
+    """One tag's series with its bands and anomalies; the tag filter is
+    applied before the rolling window, so only that tag is windowed."""
+    r = B.readings(spark, d).where(F.col("tag_id") == tag)
+    z = W.rolling_z(r, "tag_id", "reading_ts", "value", 12, block_rows=BLOCK_ROWS)
+    t = B.dim_tag(spark, d).select("tag_id", "normal_low", "normal_high", "crit_threshold")
+    hit = F.coalesce(F.col("value") > F.col("crit_threshold"), F.lit(False)) | (F.abs("z") > 3)
+    return z.join(t, "tag_id").select("reading_id", "reading_ts", "value", F.round("roll_mean", 6).alias("roll_mean"),
+                                      "normal_low", "normal_high", "crit_threshold", hit.alias("is_anomaly"))
+
+
 RECALL_SQL = B.cte(intervals=B.INTERVALS_SQL) + """,
 det AS (SELECT e.event_id, e.user_id, e.ts FROM events e WHERE e.value > 90),
 hit AS (SELECT i.user_id, i.start_ts, i.anomaly_type, count(det.event_id) AS n_hits

@@ -123,3 +123,21 @@ WHERE len(encoder) >= 5 AND len(target) >= 2
 """)
 def sequence_windows(spark, d):
     return W.sequence_windows(monthly_demand_df(spark, d), ["brand", "region"], "ds", "y")
+
+
+SPLIT_CUTOFF = "1997-06-01"
+
+
+@query("sequence_windows_split", sql=DEMAND + f"""
+SELECT brand, region, ds, encoder, target, CASE WHEN hi <= DATE '{SPLIT_CUTOFF}' THEN 'train' ELSE 'validation' END AS split FROM (
+  SELECT brand, region, ds,
+         list(y ORDER BY ds) OVER (PARTITION BY brand, region ORDER BY ds ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS encoder,
+         list(y ORDER BY ds) OVER (PARTITION BY brand, region ORDER BY ds ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING) AS target,
+         lead(ds) OVER (PARTITION BY brand, region ORDER BY ds) AS lo,
+         max(ds) OVER (PARTITION BY brand, region ORDER BY ds ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING) AS hi
+  FROM demand)
+WHERE len(encoder) >= 5 AND len(target) >= 2 AND (hi <= DATE '{SPLIT_CUTOFF}' OR lo > DATE '{SPLIT_CUTOFF}')
+""")
+def sequence_windows_split(spark, d):
+    """W14 split at a time: no training target lies after the cutoff."""
+    return W.sequence_windows(monthly_demand_df(spark, d), ["brand", "region"], "ds", "y", cutoff=SPLIT_CUTOFF)
