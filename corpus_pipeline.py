@@ -6,7 +6,6 @@ the columns of documents (doc_id, text, lang, source, n_chars).
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,18 +53,10 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     nothing but white space is left goes; one that loses nothing stays
     unchanged, null and empty ones too.
     """
-    cut = remove_repeats(docs.select(*COLUMNS), length=100)
-    others = [c for c in (*COLUMNS, "n_removed") if c != "text"]
-
-    def decode(batches):
-        for batch in batches:
-            texts = [None if b is None else b.decode("utf-8", "ignore") for b in batch.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(texts, pa.string())], names=[*others, "text"])
-
-    left = cut.select(*others, "kept").mapInArrow(decode, cut.select(*others, F.lit(None).cast("string").alias("text")).schema)
+    cut = remove_repeats(docs.select(*COLUMNS), length=100, as_text=True).withColumnRenamed("kept", "text")
     changed = F.col("n_removed") > 0
     n_chars = F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
-    return left.filter(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "text", "lang", "source", n_chars)
+    return cut.filter(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "text", "lang", "source", n_chars)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Byte-level text kernels shared by the operators of this package.
 
 Everything works on Arrow string columns inside a task: texts are taken in
-slices of a few MB, so the temporary arrays stay small whatever the batch size
+slices of a MB, so the temporary arrays stay small whatever the batch size
 is (one text longer than a slice is a slice of its own and is never cut).
 """
 
@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 SPACE = 32
 
 #: [\x20\x09-\x0D]
@@ -36,6 +36,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
     for a, b in zip([0, *cuts], [*cuts, n]):
         if b > a:
             yield batch.slice(int(a), int(b - a))
+    pa.default_memory_pool().release_unused()
 
 
 def padded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

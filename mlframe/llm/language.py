@@ -182,7 +182,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep
                        F.coalesce(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
     passed = [text_col] if keep_text else []
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    limit = max(1 << 16, (16 << 20) // max(1, len(model.languages)))
+    limit = max(1 << 16, (4 << 20) // max(4, len(model.languages)))
 
     def run(batches):
         m = shared.value

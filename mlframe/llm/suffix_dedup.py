@@ -29,8 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mlframe.llm._text import SpanHash, mix, plain, slices
@@ -42,8 +41,6 @@ _HIGH = np.uint64(0xFFFFFFFF00000000)
 _LOW = np.uint64(0xFFFFFFFF)
 #: Parts of a trigger with very many surroundings.
 _PARTS = 64
-#: Bytes of text parsed at once: the arrays of a slice take about a hundred times that.
-_SLICE = 1 << 20
 
 
 def phrases(buf: np.ndarray, off: np.ndarray, length: int, trigger: int):
@@ -107,7 +104,7 @@ class _Parser:
         """All phrases of a task: group, phrase, doc, packed place."""
         out = [[np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)] * 2]
         for batch in batches:
-            for part in slices(batch, "_text", _SLICE):
+            for part in slices(batch, "_text"):
                 buf, off = plain(part.column("_text"))
                 t, p, text, lo, back, windows = phrases(buf, off, self.length, self.trigger)
                 doc = part.column("_doc").to_numpy()
@@ -200,28 +197,25 @@ def _meet(parsed: DataFrame, parser: _Parser) -> DataFrame:
     return parsed.repartition("grp").sortWithinPartitions("grp", "phrase", "doc", "place").mapInArrow(run, _MARK)
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: inside it is a lambda's variable, which nothing inlines."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _bytes_of(docs: DataFrame, reps: DataFrame, parser: _Parser) -> DataFrame:
     """(grp, doc, lo, back, phrase bytes) of the given dictionary phrases."""
     wanted = reps.groupBy("doc").agg(F.collect_list(F.struct("grp", "place")).alias("want"))
-    joined = docs.join(wanted, docs["_doc"] == wanted["doc"], "left").filter("want IS NOT NULL").select("_doc", "_text", "want")
+    texts = docs.join(wanted, docs["_doc"] == wanted["doc"]).select("doc", "want", F.col("_text").cast("binary").alias("_bytes"))
+    low = F.lit((1 << parser.bits) - 1)
 
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, "_text", _SLICE):
-                buf, off = plain(part.column("_text"))
-                want = part.column("want")
-                text = pc.list_parent_indices(want).to_numpy()
-                flat = pc.list_flatten(want)
-                grp = pc.struct_field(flat, "grp")
-                lo, back, windows = parser.unpack(pc.struct_field(flat, "place").to_numpy())
-                size = windows - 1 + parser.length
-                data = buf[_ranges(off[text] + lo, size)]
-                ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-                cut = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(data)])
-                yield pa.RecordBatch.from_arrays([grp, part.column("_doc").take(pa.array(text)), pa.array(lo), pa.array(back), cut],
-                                                 names=["grp", "doc", "lo", "back", "bytes"])
+    def cell(w, data):
+        lo = F.shiftright(w["place"], 2 * parser.bits)
+        size = w["place"].bitwiseAND(low) + F.lit(parser.length - 1)
+        return F.struct(w["grp"].alias("grp"), lo.alias("lo"), F.shiftright(w["place"], parser.bits).bitwiseAND(low).alias("back"),
+                        F.substring(data, (lo + 1).cast("int"), size.cast("int")).alias("bytes"))
 
-    return joined.mapInArrow(run, "grp long, doc long, lo long, back long, bytes binary")
+    cells = _let(F.col("_bytes"), lambda data: F.transform("want", lambda w: cell(w, data)))
+    return texts.select("doc", F.explode(cells).alias("c")).select("c.grp", "doc", "c.lo", "c.back", "c.bytes")
 
 
 def _suffix_order(cells: DataFrame, parser: _Parser, chunk: int = 20_000) -> DataFrame:
@@ -305,16 +299,50 @@ def repeated_spans(docs: DataFrame, length: int = 100, hot_contexts: int = 100_0
     return spans.groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
 
-def _merged(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(a, kind="stable")
-    a, reach = a[order], np.maximum.accumulate(b[order])
-    new = np.concatenate([[True], a[1:] > reach[:-1]])
-    return a[new], reach[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(a) - 1]])]
+def _cut(texts: DataFrame, as_text: bool) -> DataFrame:
+    """Adds kept, n_bytes, n_removed, n_spans and the merged spans to rows with _text and spans.
+
+    Of one document, spans that start later end later, so sorted neighbours
+    tell where a run of overlapping spans begins and ends.
+    """
+    none = F.array().cast("array<struct<a:long,b:long>>")
+
+    def joined(found):
+        first = F.filter(found, lambda x, i: F.coalesce(x["a"] > F.get(found, i - 1)["b"], F.lit(True)))
+        last = F.filter(found, lambda x, i: F.coalesce(F.get(found, i + 1)["a"] > x["b"], F.lit(True)))
+        return F.zip_with(first, last, lambda x, y: F.struct(x["a"].alias("a"), y["b"].alias("b")))
+
+    d = texts.withColumn("spans", _let(F.sort_array(F.coalesce("spans", none)), joined))
+
+    def cut(data, runs):
+        size = F.octet_length(data).cast("long")
+        inside = lambda p: F.hex(F.substring(data, (p + 1).cast("int"), F.lit(1))).between("80", "BF")
+
+        def down(p):  # to the start of the character that holds byte p
+            return F.when(~inside(p), p).when(~inside(p - 1), p - 1).when(~inside(p - 2), p - 2).otherwise(p - 3)
+
+        def up(p):  # to the start of the next character
+            return F.when(~inside(p), p).when(~inside(p + 1), p + 1).when(~inside(p + 2), p + 2).otherwise(p + 3)
+
+        def piece(i):
+            a = F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get(runs, i - 1)["b"])
+            b = F.coalesce(F.get(runs, i)["a"], size)
+            if as_text:
+                a, b = F.when(i == 0, a).otherwise(up(a)), F.when(i == F.size(runs), b).otherwise(down(b))
+            return F.substring(data, (a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int")).cast("string")
+
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.size(runs)), piece), "")
+
+    kept = _let(F.col("_text").cast("binary"), lambda data: _let(F.col("spans"), lambda runs: cut(data, runs)))
+    kept = F.when(F.size("spans") == 0, F.col("_text")).otherwise(kept)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["b"] - x["a"])
+    return d.withColumns({"kept": kept if as_text else kept.cast("binary"), "n_bytes": F.coalesce(F.octet_length("_text").cast("long"), F.lit(0)),
+                          "n_removed": removed, "n_spans": F.size("spans").cast("long")})
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text",
-                   hot_contexts: int = 100_000, hot_in_task: int = 32) -> DataFrame:
-    """``docs`` without the text, with kept (binary), n_bytes, n_removed, n_spans (long) and spans (merged, sorted byte ranges).
+                   hot_contexts: int = 100_000, hot_in_task: int = 32, as_text: bool = False) -> DataFrame:
+    """``docs`` without the text, with kept (binary, or a string without cut characters with ``as_text``), n_bytes, n_removed, n_spans (long) and spans (merged, sorted byte ranges).
 
     Null and empty texts have no bytes (kept is null or empty); texts shorter than ``length`` lose
     none. Corpus order is id order; rows with equal or null ids come in the
@@ -324,38 +352,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     """
     new = ("kept", "n_bytes", "n_removed", "n_spans", "spans")
     own = [c for c in docs.columns if c not in (text_col, *new)]
-    numbered, by_id = in_corpus_order(docs.select(*[F.col(f"`{c}`") for c in own], F.col(f"`{text_col}`").alias("_text")), id_col, "_text")
-    base = numbered.select("_doc", "_text")
+    numbered, _ = in_corpus_order(docs.select(*[F.col(f"`{c}`") for c in own], F.col(f"`{text_col}`").alias("_text")), id_col, "_text")
+    base = numbered.select("_doc", "_text", F.struct(*[F.col(f"`{c}`") for c in own]).alias("_own"))
     spans = repeated_spans(base, length, hot_contexts, hot_in_task)
-    cut_in = base.join(spans, base["_doc"] == spans["doc"], "left").select("_doc", "_text", "spans")
-    kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
-
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, "_text", _SLICE):
-                buf, off = plain(part.column("_text"))
-                keep, removed, n_spans, merged = np.ones(len(buf), bool), [], [], []
-                for i, found in enumerate(part.column("spans")):
-                    if not found.is_valid or not len(found):
-                        removed.append(0)
-                        n_spans.append(0)
-                        merged.append([])
-                        continue
-                    a, b = _merged(*(pc.struct_field(found.values, f).to_numpy() for f in ("a", "b")))
-                    for x, y in zip(a.tolist(), b.tolist()):
-                        keep[off[i] + x:off[i] + y] = False
-                    removed.append(int((b - a).sum()))
-                    n_spans.append(len(a))
-                    merged.append([{"a": x, "b": y} for x, y in zip(a.tolist(), b.tolist())])
-                sizes = np.diff(off)
-                ends = np.concatenate([[0], np.cumsum(sizes - np.array(removed, np.int64))]).astype(np.int32)
-                kept = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(buf[keep])])
-                kept = pc.if_else(pc.is_null(part.column("_text")), pa.scalar(None, pa.binary()), kept)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("_doc"), kept, pa.array(sizes), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(merged, kind)],
-                    names=["_doc", *new])
-
-    cut = cut_in.mapInArrow(run, "_doc long, kept binary, n_bytes long, n_removed long, n_spans long, spans array<struct<a:long,b:long>>")
-    if own == [id_col] and by_id:
-        return cut.select(F.col("_doc").cast(docs.schema[id_col].dataType).alias(id_col), *new)
-    return numbered.drop("_text").join(cut, "_doc").select(*[F.col(f"`{c}`") for c in own], *new)
+    cut_in = base.join(spans, base["_doc"] == spans["doc"], "left").drop("doc")
+    return _cut(cut_in, as_text).select("_own.*", *new)
