@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mlframe.llm import html_content, language, toxicity
+from mlframe.llm import html_content, language, oracles, toxicity
 from mlframe.llm.decontamination import contamination, is_contaminated
 from mlframe.llm.packing import pack_documents
 from mlframe.llm.paragraph_dedup import paragraph_classes
@@ -99,66 +99,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (~BASE.keeps()).alias("base_failed"), FULL.keeps().alias("kept"), "failed_bits")
 
 
-OP9_SQL = r"""
-WITH doc AS (
-  SELECT row_number() OVER () AS r, doc_id,
-         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-  FROM documents),
-item AS (
-  SELECT CAST(item_id AS VARCHAR) AS item_id,
-         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-  FROM benchmark WHERE item_id IS NOT NULL),
-places AS (
-  SELECT item_id, w, least(len(w), 13) AS m, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM item WHERE len(w) > 0),
-win AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS win FROM places),
-sizes AS (SELECT DISTINCT m FROM win),
-docwin AS (
-  SELECT r, m, i, array_to_string(w[i:i + m - 1], ' ') AS win
-  FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM doc, sizes WHERE len(w) >= m)),
-found AS (SELECT r, docwin.m, i, item_id FROM docwin JOIN win ON docwin.m = win.m AND docwin.win = win.win),
-hit AS (
-  SELECT r, count(DISTINCT p) AS n_hit
-  FROM (SELECT r, unnest(range(i, i + m)) AS p FROM (SELECT DISTINCT r, m, i FROM found)) GROUP BY r),
-ids AS (
-  SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
-  FROM (SELECT DISTINCT r, item_id FROM found) GROUP BY r)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
-       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM doc LEFT JOIN hit USING (r) LEFT JOIN ids USING (r)
-"""
-
-OP10_SQL = r"""
-WITH doc AS (
-  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
-         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
-  FROM documents),
-tri AS (
-  SELECT r, i, array_to_string(w[i:i + 2], ' ') AS s
-  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM doc WHERE len(w) >= 3)),
-rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM tri) WHERE n > 1),
-cov AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 3)) AS p FROM rep) GROUP BY r),
-m AS (
-  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
-         CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
-         CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
-         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
-         CAST(len(lines) AS BIGINT) AS n_lines,
-         CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words
-  FROM doc LEFT JOIN cov USING (r)),
-b AS (
-  SELECT *, CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
-         + CASE WHEN n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
-         + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END AS bits
-  FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       bits & 3 <> 0 AS base_failed, bits = 0 AS kept, CAST(bits AS BIGINT) AS failed_bits
-FROM b
-"""
-
 QUERIES = {
     "op1_language": op1_language,
     "op2_toxicity": op2_toxicity,
@@ -171,4 +111,10 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
 }
-ORACLES: dict[str, str] = {"op9_decontamination": OP9_SQL, "op10_quality": OP10_SQL}
+ORACLES: dict[str, str] = {
+    "op5_html": oracles.OP5_SQL,
+    "op6_paragraph_dedup": oracles.OP6_SQL,
+    "op7_suffix_dedup": oracles.OP7_SQL,
+    "op9_decontamination": oracles.OP9_SQL,
+    "op10_quality": oracles.OP10_SQL,
+}
