@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def stamp(df: DataFrame, model_name: str, version: str, run_id: str) -> DataFrame:
     """P20: provenance on every prediction row."""
     return df.select("*", F.lit(model_name).alias("model_name"), F.lit(version).alias("model_version"),
-                     F.lit(run_id).alias("run_id"), F.current_timestamp().alias("scored_at"))
+                     F.lit(run_id).alias("model_run_id"), F.current_timestamp().alias("scored_at"))
 
 
 def fit_scaler(df: DataFrame, cols, where: str | None = None) -> DataFrame:

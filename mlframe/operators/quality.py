@@ -130,7 +130,7 @@ def js_drift(df: DataFrame, col: str, ts: str, lo: float, hi: float, bins: int =
 def provenance(tables) -> DataFrame:
     """Q5: rows and newest score time per (model, version, run) across prediction
     tables (a union of partial aggregates)."""
-    keys = ("model_name", "model_version", "run_id")
+    keys = ("model_name", "model_version", "model_run_id")
     parts = [t.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.max("scored_at").alias("last_scored_at")) for t in tables]
     out = parts[0]
     for p in parts[1:]:

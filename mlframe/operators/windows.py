@@ -74,7 +74,7 @@ def detect(df: DataFrame, low_side: bool = False, z_limit: float = 3.0, skip_bad
     if low_side:
         reason = reason.when(low, "below_band")
         cond = cond | low
-    return d.where(cond).select("*", F.round(z, 2).alias("z_score"), reason.alias("reason"))
+    return d.where(cond).select("*", F.round(z, 2).alias("zscore"), reason.alias("detect_reason"))
 
 
 def lag_features(df: DataFrame, keys, ts: str, y: str, lags=(1, 2, 3, 12), drop_incomplete: bool = True) -> DataFrame:

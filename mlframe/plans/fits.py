@@ -99,7 +99,7 @@ def batch_score(spark, d):
     root = scratch_dir(spark, "scores")
     scored = stamp(ML.score(f, model, 0.5, keep=["o_orderkey"]), "propensity", "1", "run")
     scored.write.mode("overwrite").parquet(root)
-    return spark.read.parquet(root).drop("scored_at", "run_id")
+    return spark.read.parquet(root).drop("scored_at", "model_run_id")
 
 
 LOOKUP_SPEC = {"key": "o_orderkey", "sources": [

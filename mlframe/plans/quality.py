@@ -105,7 +105,7 @@ def drift_metrics(spark, d):
 
 PRED_SQL = """
 preds AS (
-  SELECT 'order_value' AS model_name, '1' AS model_version, 'r1' AS run_id, o_orderdate AS scored_at FROM orders
+  SELECT 'order_value' AS model_name, '1' AS model_version, 'r1' AS model_run_id, o_orderdate AS scored_at FROM orders
   UNION ALL SELECT 'order_value', '2', 'r2', o_orderdate FROM orders WHERE o_orderstatus = 'F'
   UNION ALL SELECT 'line_risk', '1', 'r3', l_shipdate FROM lineitem WHERE l_returnflag = 'R')
 """
@@ -123,7 +123,7 @@ def _prediction_tables(spark, d):
 
 
 @query("provenance_summary", sql="WITH " + PRED_SQL + """
-SELECT model_name, model_version, run_id, count(*) AS n_rows, max(scored_at) AS last_scored_at FROM preds GROUP BY ALL
+SELECT model_name, model_version, model_run_id, count(*) AS n_rows, max(scored_at) AS last_scored_at FROM preds GROUP BY ALL
 """)
 def provenance_summary(spark, d):
     """Q5: rows and newest score time per model version and run across three

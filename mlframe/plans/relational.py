@@ -253,7 +253,7 @@ def band_position(spark, d):
 
 @query("stamp_provenance", sql=f"""
 SELECT o_orderkey, {R('o_totalprice / 500000')} AS score, 'order_value' AS model_name, '1' AS model_version,
-       'run-0' AS run_id FROM orders
+       'run-0' AS model_run_id FROM orders
 """)
 def stamp_provenance(spark, d):
     """P20: model name, version, run id and scoring time on every row (the

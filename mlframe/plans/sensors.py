@@ -41,9 +41,9 @@ def rolling_zscore(spark, d):
 
 GOLD_SQL = SENSOR_CTE + ROLLING_SQL + """,
 j AS (SELECT z.*, t.crit_threshold, t.normal_low FROM z JOIN dim_tag t USING (tag_id))
-SELECT reading_id, tag_id, reading_ts, value, round(z, 2) AS z_score,
+SELECT reading_id, tag_id, reading_ts, value, round(z, 2) AS zscore,
   CASE WHEN coalesce(value > crit_threshold, false) THEN 'crit_threshold'
-       WHEN abs(z) > 3 THEN 'zscore>3' {low_reason} END AS reason
+       WHEN abs(z) > 3 THEN 'zscore>3' {low_reason} END AS detect_reason
 FROM j WHERE coalesce(value > crit_threshold, false) OR abs(z) > 3 {low_cond}
 """
 
@@ -52,7 +52,7 @@ def gold(spark, d, low_side=False):
     z = scored(spark, d)
     t = B.dim_tag(spark, d).select("tag_id", "crit_threshold", "normal_low")
     g = W.detect(z.join(t, "tag_id"), low_side=low_side)
-    return g.select("reading_id", "tag_id", "reading_ts", "value", "z_score", "reason")
+    return g.select("reading_id", "tag_id", "reading_ts", "value", "zscore", "detect_reason")
 
 
 @query("gold_anomalies", sql=GOLD_SQL.format(low_reason="", low_cond=""))
@@ -103,11 +103,11 @@ def episodes(spark, d):
 
 
 @query("monitor_slices", sql=GOLD_SQL.format(low_reason="", low_cond="").replace(
-    "SELECT reading_id, tag_id, reading_ts, value, round(z, 2) AS z_score,", ", gold AS (SELECT reading_id, tag_id, reading_ts, value, round(z, 2) AS z_score,", 1)
+    "SELECT reading_id, tag_id, reading_ts, value, round(z, 2) AS zscore,", ", gold AS (SELECT reading_id, tag_id, reading_ts, value, round(z, 2) AS zscore,", 1)
     .rstrip() + """)
 SELECT 'hour' AS slice, strftime(date_trunc('hour', reading_ts), '%Y-%m-%d %H:00') AS k, count(*) AS n FROM gold GROUP BY 2
 UNION ALL SELECT 'area', 'area_' || CAST(CAST(regexp_extract(tag_id, '(\\d+)$', 1) AS INTEGER) % 3 AS VARCHAR), count(*) FROM gold GROUP BY 2
-UNION ALL SELECT 'reason', reason, count(*) FROM gold GROUP BY 2
+UNION ALL SELECT 'reason', detect_reason, count(*) FROM gold GROUP BY 2
 UNION ALL SELECT 'tag', tag_id, count(*) FROM gold GROUP BY 2
 """)
 def monitor_slices(spark, d):
@@ -118,7 +118,7 @@ def monitor_slices(spark, d):
     pairs = F.array(
         F.struct(F.lit("hour").alias("slice"), F.date_format(F.date_trunc("hour", "reading_ts"), "yyyy-MM-dd HH:00").alias("k")),
         F.struct(F.lit("area").alias("slice"), area.alias("k")),
-        F.struct(F.lit("reason").alias("slice"), F.col("reason").alias("k")),
+        F.struct(F.lit("reason").alias("slice"), F.col("detect_reason").alias("k")),
         F.struct(F.lit("tag").alias("slice"), F.col("tag_id").alias("k")))
     return (g.select(F.explode(pairs).alias("p")).groupBy("p.slice", "p.k")
             .agg(F.count(F.lit(1)).alias("n")))

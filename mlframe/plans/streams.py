@@ -216,7 +216,7 @@ def stream_static_enrich(spark, d):
 def _gold_batch(silver):
     z = W.rolling_z(silver, "tag_id", "reading_ts", "value", 12)
     g = W.detect(z)
-    return g.select("reading_id", "tag_id", "reading_ts", "value", "z_score", "reason", "_old")
+    return g.select("reading_id", "tag_id", "reading_ts", "value", "zscore", "detect_reason", "_old")
 
 
 @query("medallion_stream", sql=GOLD_SQL.format(low_reason="", low_cond=""))

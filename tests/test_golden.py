@@ -131,7 +131,7 @@ def test_rolling_z_start_and_reason_order(spark):
                    .withColumn("crit_threshold", F.lit(50.0)).withColumn("normal_low", F.lit(0.0))
                    .withColumn("quality_code", F.lit("Good"))).collect()
     assert z_df is not None
-    assert [r["reason"] for r in det] == ["crit_threshold"]
+    assert [r["detect_reason"] for r in det] == ["crit_threshold"]
 
 
 def test_interval_edges_closed(spark):

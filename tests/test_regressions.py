@@ -110,7 +110,7 @@ def test_equal_values_have_no_z_and_null_keys_are_a_series(spark):
 def test_limit_holds_for_the_unrounded_z(spark):
     df = spark.createDataFrame([(3.001, 1.0), (3.0, 1.0), (-3.004, 1.0)], "z double, value double").withColumn(
         "crit_threshold", F.lit(None).cast("double"))
-    assert sorted(r["z_score"] for r in W.detect(df).collect()) == [-3.0, 3.0]
+    assert sorted(r["zscore"] for r in W.detect(df).collect()) == [-3.0, 3.0]
 
 
 def test_null_keys_labels_and_times_stay(spark):
