@@ -21,7 +21,8 @@ def _unit(c):
     return F.every(F.col(c).between(0.0, 1.0))
 
 
-N = F.count(F.lit(1)).alias("n")
+def _n():
+    return F.count(F.lit(1)).alias("n")
 
 
 @query("daily_event_summary_properties", sql="""
@@ -33,9 +34,9 @@ def daily_event_summary_properties(spark, d):
     count is within four standard errors of the sketch (5 %)."""
     e = read(spark, d, "events", ["ts", "event_type", "user_id"])
     exact = e.groupBy(F.to_date("ts").alias("event_date"), "event_type", (F.col("user_id") % 4).alias("region")).agg(
-        N.alias("exact_n"), F.count_distinct("user_id").alias("exact"))
+        F.count(F.lit(1)).alias("exact_n"), F.count_distinct("user_id").alias("exact"))
     j = _of("daily_event_summary", spark, d).join(exact, ["event_date", "event_type", "region"], "full")
-    return j.agg(N, F.every(F.col("n_events").eqNullSafe(F.col("exact_n"))).alias("counts_agree"),
+    return j.agg(_n(), F.every(F.col("n_events").eqNullSafe(F.col("exact_n"))).alias("counts_agree"),
                  F.every(F.abs(F.col("approx_users") - F.col("exact")) <= 0.2 * F.col("exact") + 1).alias("within_bound"))
 
 
@@ -48,7 +49,7 @@ def pca_recon_score_properties(spark, d):
     z = _scaled_sensors(spark, d)
     cols = [c for c in z.columns if c.startswith("z_")]
     whole = z.agg(F.sum(sum(F.col(c) * F.col(c) for c in cols)).alias("whole"))
-    got = p.agg(N, F.every(F.col("recon_error") >= -1e-9).alias("nonnegative"), _unit("explained_variance").alias("share_is_unit"),
+    got = p.agg(_n(), F.every(F.col("recon_error") >= -1e-9).alias("nonnegative"), _unit("explained_variance").alias("share_is_unit"),
                 F.sum(F.col("pc1") ** 2 + F.col("pc2") ** 2 + len(cols) * F.col("recon_error")).alias("parts"))
     one = F.lit(1).alias("_one")
     both = got.select("*", one).join(whole.select("*", one), "_one")
@@ -59,7 +60,7 @@ def pca_recon_score_properties(spark, d):
 def kmeans_sweep_properties(spark, d):
     """M9: k = 2..10 once each; more clusters leave less inertia; silhouettes are in [-1, 1]."""
     s = _of("kmeans_sweep", spark, d)
-    return s.agg(N, (F.array_sort(F.collect_set("k")) == F.array(*[F.lit(k) for k in range(2, 11)])).alias("all_k"),
+    return s.agg(_n(), (F.array_sort(F.collect_set("k")) == F.array(*[F.lit(k) for k in range(2, 11)])).alias("all_k"),
                  (F.max_by("inertia", "k") < F.min_by("inertia", "k")).alias("inertia_falls"),
                  F.every(F.col("silhouette").between(-1.0, 1.0)).alias("silhouette_in_range"))
 
@@ -78,7 +79,7 @@ def cluster_table_properties(spark, d):
     for c in cols:  # k-means stops within its tolerance
         near = near & (F.abs(F.col(c) - F.col(f"m_{c}")) <= 0.05 * F.abs(F.col(f"m_{c}")) + 1)
     c = cents.join(means, "cluster").agg(F.count(F.lit(1)).alias("n_centroids"), F.every(near).alias("centroids_are_means"))
-    r = rows.agg(N, F.count_distinct("cluster").alias("n_clusters"))
+    r = rows.agg(_n(), F.count_distinct("cluster").alias("n_clusters"))
     one = F.lit(1).alias("_one")
     return r.select("*", one).join(c.select("*", one), "_one").drop("_one")
 
@@ -95,7 +96,7 @@ _SCORED = "SELECT count(*) AS n, count(DISTINCT o_orderkey) AS n_keys, TRUE AS s
 
 
 def _scored(df):
-    return df.agg(N, F.count_distinct("o_orderkey").alias("n_keys"), _unit("score").alias("scores"),
+    return df.agg(_n(), F.count_distinct("o_orderkey").alias("n_keys"), _unit("score").alias("scores"),
                   F.every(F.col("prediction") == (F.col("score") >= 0.5).cast("int")).alias("thresholded"))
 
 
@@ -114,13 +115,13 @@ def lookup_and_score_properties(spark, d):
 @query("weighted_classifier_properties", sql="SELECT CAST(3 AS BIGINT) AS n, TRUE AS in_range FROM lineitem LIMIT 1")
 def weighted_classifier_properties(spark, d):
     """Three configurations with metrics in range."""
-    return _of("weighted_classifier", spark, d).agg(N, (_unit("roc_auc") & _unit("avg_precision")).alias("in_range"))
+    return _of("weighted_classifier", spark, d).agg(_n(), (_unit("roc_auc") & _unit("avg_precision")).alias("in_range"))
 
 
 @query("rating_regressor_properties", sql="SELECT CAST(1 AS BIGINT) AS n, TRUE AS ordered, TRUE AS beats_the_range FROM lineitem LIMIT 1")
 def rating_regressor_properties(spark, d):
     """RMSE is at least MAE, and both are below the ratings' range."""
-    return _of("rating_regressor", spark, d).agg(N, F.every(F.col("rmse") >= F.col("mae")).alias("ordered"),
+    return _of("rating_regressor", spark, d).agg(_n(), F.every(F.col("rmse") >= F.col("mae")).alias("ordered"),
                                                  F.every((F.col("mae") > 0) & (F.col("rmse") < 5)).alias("beats_the_range"))
 
 
@@ -131,14 +132,14 @@ def isolation_forest_properties(spark, d):
     high = F.min(F.when(F.col("is_anomaly") == 1, F.col("anomaly_score")))
     low = F.max(F.when(F.col("is_anomaly") == 0, F.col("anomaly_score")))
     share = F.count_if(F.col("is_anomaly") == 1) / F.count("anomaly_score")
-    return f.agg(N, F.every(F.col("anomaly_score").isNull() | F.col("anomaly_score").between(0.0, 1.0)).alias("scores"),
+    return f.agg(_n(), F.every(F.col("anomaly_score").isNull() | F.col("anomaly_score").between(0.0, 1.0)).alias("scores"),
                  share.between(0.02, 0.05).alias("top_share"), (high > low).alias("flags_are_top"))
 
 
 @query("param_search_properties", sql="SELECT CAST(4 AS BIGINT) AS n, CAST(4 AS BIGINT) AS n_params, TRUE AS in_range FROM lineitem LIMIT 1")
 def param_search_properties(spark, d):
     """Every grid point once with a metric in range."""
-    return _of("param_search", spark, d).agg(N, F.count_distinct("params").alias("n_params"), _unit("area_under_pr").alias("in_range"))
+    return _of("param_search", spark, d).agg(_n(), F.count_distinct("params").alias("n_params"), _unit("area_under_pr").alias("in_range"))
 
 
 _SERIES = DEMAND + """,
@@ -178,7 +179,7 @@ def lag_forecaster_properties(spark, d):
 @query("baseline_classifiers_properties", sql="SELECT CAST(2 AS BIGINT) AS n, TRUE AS in_range FROM orders LIMIT 1")
 def baseline_classifiers_properties(spark, d):
     """Two models with an AUC."""
-    return _of("baseline_classifiers", spark, d).agg(N, _unit("roc_auc").alias("in_range"))
+    return _of("baseline_classifiers", spark, d).agg(_n(), _unit("roc_auc").alias("in_range"))
 
 
 @query("freshness_kpi_properties", sql="SELECT CAST(3 AS BIGINT) AS n, TRUE AS ordered, TRUE AS after_events FROM events LIMIT 1")
