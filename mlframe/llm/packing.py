@@ -10,6 +10,7 @@ their place by joining their rank within their length with the patterns.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_right
 
@@ -27,6 +28,16 @@ _PROBE = "A probe: don't we'll \t\n  naïve Ωμέγα 日本語 12345 x_y #$% 
 #: GPT-style split before the merges; the same as the tokenizer file's byte-level pre-tokenizer
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: White-space runs of this length go to ``tokenizers``: the pattern's look-ahead keeps a way back for each character of a
+#: run, and tiktoken panics when it has a million of them.
+_LONG_RUN = 100_000
+_RUN = re.compile(r"\s+")
+
+
+def _has_long_run(text: str) -> bool:
+    """Whether ``text`` holds a white-space run of at least ``_LONG_RUN`` characters; linear in the text."""
+    return len(text) >= _LONG_RUN and any(m.end() - m.start() >= _LONG_RUN for m in _RUN.finditer(text))
+
 
 def _byte_names() -> dict[str, int]:
     """The printable characters that stand for bytes in byte-level vocabularies."""
@@ -40,7 +51,8 @@ def encoder(path: str):
 
     The file's vocabulary is also its merge order, which tiktoken encodes
     several times faster; if that gives other ids for a probe text, the
-    ``tokenizers`` library itself is used.
+    ``tokenizers`` library itself is used, as it is for every text with a
+    very long white-space run.
     """
     if path not in _ENCODERS:
         from tokenizers import Tokenizer
@@ -62,7 +74,7 @@ def encoder(path: str):
             ranks = {bytes(names[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
             fast = tiktoken.Encoding("file", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
             if np.array_equal(fast.encode_ordinary(_PROBE), slow(_PROBE)):
-                _ENCODERS[path] = lambda text: np.array(fast.encode_ordinary(text), np.uint32)
+                _ENCODERS[path] = lambda text: slow(text) if _has_long_run(text) else np.array(fast.encode_ordinary(text), np.uint32)
         except (ImportError, KeyError):  # no tiktoken here, or not a byte-level vocabulary
             pass
     return _ENCODERS[path]

@@ -48,6 +48,20 @@ def test_encoder_equals_tokenizers():
         assert encode(text).tolist() == exact.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("run", [" " * 2_000_000, "\u3000\n" * 1_000_000])
+def test_very_long_white_space(run):
+    exact = Tokenizer.from_file(tokenizer_path())
+    exact.encode_special_tokens = True
+    text = f"before{run}after it's 12"
+    assert encoder(tokenizer_path())(text).tolist() == exact.encode(text, add_special_tokens=False).ids
+
+
+def test_very_long_white_space_in_a_table(spark):
+    texts = {1: "a" + " " * 2_000_000 + "b", 2: "c"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    check(pack_documents(docs, tokenizer_path(), 1024).collect(), texts, 1024)
+
+
 def check(rows, texts, capacity):
     encode = encoder(tokenizer_path())
     by_sequence, by_doc = defaultdict(list), defaultdict(list)
