@@ -54,6 +54,39 @@ def test_layouts(model, page, text):
     assert H.extract(page, model) == text
 
 
+HEADS = "<!DOCTYPE html><html><head><meta charset=utf-8><title>t</title><link rel=x href=y>"
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"{HEADS}<body><nav>a b</nav><p>{BODY}</p></body></html>", BODY),
+    (f"{HEADS}<p>{BODY}</p>", BODY),
+    (f"{HEADS}{BODY}", BODY),
+    (f"{HEADS}<nav>a b</nav><div><article><p>{BODY}</p></article></div>", BODY),
+    (f"<body><form id='aspnetForm'><input name=v><nav>a b</nav><div><p>{BODY}</p></div><label>c d</label></form></body>", BODY),
+    (f"<form><div><p>{BODY}</p></div><form>go</form></form><footer>f g</footer>", BODY),
+    (f"<div class='site-content no-sidebar'><article><p>{BODY}</p></article></div>", BODY),
+    (f"<div class='has-sidebar'><div><p>{BODY}</p></div><div class='sidebar'><p>side bar</p></div></div><footer>f g</footer>", BODY),
+    (f"<div id='page-with-banner'><form><main><p>{BODY}</p></main><div class='widget'>w x</div></form></div>", BODY),
+    (f"<nav><a>a b</a><article><p>{BODY}</p></article>", BODY),
+    # boilerplate that holds much stays out where the content is outside
+    (f"<div><p>{BODY}</p></div><div class='comments'><p>{BODY}</p><p>x y z</p></div>", BODY),
+    (f"<div><p>{BODY}</p><div class='ad'>buy it</div><p>tail of it</p></div>", f"{BODY}\n\ntail of it"),
+    (f"<article><p>{BODY}</p></article><aside class='related'><article><p>{BODY} {BODY}</p></article></aside>", BODY),
+    ("<p>x</p><footer>f g h i j</footer>", "x"),
+])
+def test_content_inside_boilerplate_elements(model, page, text):
+    assert H.extract(page, model) == text
+
+
+def test_hint_words_are_learned(spark):
+    """Where a hint word names the elements around the content, it costs nothing elsewhere in the same pages."""
+    wrapped = [(i, f"<div class='social'><nav>a b</nav><article><p>{BODY}</p></article></div><div class='widget'>w</div>") for i in range(40)]
+    fitted = H.fit(spark.createDataFrame(wrapped, "page_id long, html string"))
+    assert fitted.hint("social") > 0.9 > 0.1 > fitted.hint("widget")
+    page = f"<div><p>{BODY}</p><div class='social'><p>more of it</p></div><div class='widget'>no</div></div>"
+    assert H.extract(page, fitted) == f"{BODY}\n\nmore of it"
+
+
 @pytest.mark.parametrize("piece", ["<", "<a ", "<a b='", "<p>", "</p>", "<!--", "<script>", "&amp;", "<div class=\"", "x "])
 def test_long_broken_pages_end_soon(model, piece):
     H.extract(piece * (200_000 // len(piece)), model)
