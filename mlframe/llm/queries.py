@@ -13,6 +13,7 @@ from mlframe.llm.quality import BASE, FULL, ledger
 from mlframe.llm.sharding import shard_records
 from mlframe.llm.simhash import simhash_components
 from mlframe.llm.suffix_dedup import remove_repeats
+from mlframe.llm.token_files import read_token_files, write_token_files
 
 SEQUENCE = 1024
 SHARDS = 16
@@ -99,6 +100,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (~BASE.keeps()).alias("base_failed"), FULL.keeps().alias("kept"), "failed_bits")
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as files of patched frame-of-reference blocks and read back."""
+    path = write_token_files(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
+    return read_token_files(spark, path)
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_toxicity": op2_toxicity,
@@ -110,6 +117,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
+    "op11_token_files": op11_token_files,
 }
 ORACLES: dict[str, str] = {
     "op5_html": oracles.OP5_SQL,
