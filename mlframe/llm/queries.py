@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mlframe.llm import html_content, language, oracles, toxicity
+from mlframe.llm.conversation_trie import prefix_trie, sequences
 from mlframe.llm.decontamination import contamination, is_contaminated
 from mlframe.llm.packing import pack_documents
 from mlframe.llm.paragraph_dedup import paragraph_classes
@@ -106,6 +107,17 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, each rebuilt to begin with up to five turns of its hundred's first conversation."""
+    own = sequences(_table(spark, sf_dir, "conversations"))
+    base = own.filter("conv_id % 100 = 0").select(F.col("conv_id").alias("_base"), F.slice("turns", 1, 5).alias("_first"))
+    none = F.array().cast("array<struct<h:binary,n:bigint>>")
+    taken = (F.crc32(F.encode(F.col("conv_id").cast("string"), "UTF-8")) % 6).cast("int")
+    rebuilt = F.concat(F.slice(F.coalesce("_first", none), F.lit(1), taken), F.slice("turns", taken + 1, F.greatest(F.size("turns"), F.lit(1))))
+    joined = own.join(base, F.col("conv_id") - F.col("conv_id") % 100 == F.col("_base"), "left")
+    return prefix_trie(joined.select("conv_id", rebuilt.alias("turns")))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_toxicity": op2_toxicity,
@@ -118,6 +130,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
     "op11_token_files": op11_token_files,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 ORACLES: dict[str, str] = {
     "op5_html": oracles.OP5_SQL,
