@@ -10,6 +10,7 @@ from mlframe.llm.conversation_trie import prefix_trie, sequences
 from mlframe.llm.decontamination import contamination, is_contaminated
 from mlframe.llm.packing import pack_documents
 from mlframe.llm.paragraph_dedup import paragraph_classes
+from mlframe.llm.periodic_runs import periodic_runs
 from mlframe.llm.quality import BASE, FULL, ledger
 from mlframe.llm.sharding import shard_records
 from mlframe.llm.simhash import simhash_components
@@ -118,6 +119,27 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(joined.select("conv_id", rebuilt.alias("turns")))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of all documents; a tenth of them repeat a stretch of their own words from some word on."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    parts = docs.withColumns({"h": h, "w": F.when(h % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != ""))})
+    n, g = F.size("w"), F.floor(F.col("h") / 10)
+    a = F.when(n > 0, g % n).cast("int")
+    p = F.when(n > 0, 1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    repeated = parts.withColumns({"a": a, "p": p}).withColumn(
+        "again", F.transform(F.slice("w", F.col("a") + 1, F.size("w")), lambda x, i: F.get("w", F.col("a") + i % F.col("p"))))
+    text = F.when(F.size("w") > 0, F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), "again"), " ")).otherwise(F.col("text"))
+    found = periodic_runs(repeated.select("doc_id", text.alias("text")))
+    best = F.aggregate("runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"), lambda acc, x: F.when(
+        acc.isNull() | (x["length"] * acc["period"] > acc["length"] * x["period"]), x).otherwise(acc))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.encode(F.array_join(lines, ""), "UTF-8"), 256).alias("runs_sha256"), F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_toxicity": op2_toxicity,
@@ -131,6 +153,7 @@ QUERIES = {
     "op10_quality": op10_quality,
     "op11_token_files": op11_token_files,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLES: dict[str, str] = {
     "op5_html": oracles.OP5_SQL,
