@@ -92,32 +92,38 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 class SpanHash:
-    """64-bit hashes of any spans of a byte buffer from one running sum: h(s, e) = sum(v[b_i] * B^i) * B^-s."""
+    """64-bit hashes of any spans of a byte buffer from one running sum: h(s, e) = sum(v[b_i] * B^i) * B^-s.
+
+    All instances share the base and its tables of powers; each has its own
+    random values for the bytes.
+    """
+
+    _BASE = 0x9FB21C651E98DF25
+    _powers = _inverses = np.ones(1, np.uint64)
 
     def __init__(self, seed: int):
         rng = np.random.Generator(np.random.PCG64(seed))
         self.value = rng.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-        b = (int(rng.integers(1, 1 << 62)) << 1) | 5
-        self.base, self.inverse = np.uint64(b & _MASK), np.uint64(pow(b, -1, 1 << 64))
-        self.powers = self.inverses = np.ones(1, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self.powers) < n:
-            n = max(n, 1 << 20)
-            up, down = np.full(n, self.base), np.full(n, self.inverse)
+
+    @classmethod
+    def _grow(cls, n: int) -> None:
+        if len(cls._powers) < n:
+            n = max(n, 1 << 18)
+            up, down = np.full(n, np.uint64(cls._BASE)), np.full(n, np.uint64(pow(cls._BASE, -1, 1 << 64)))
             up[0] = down[0] = 1
-            self.powers, self.inverses = np.multiply.accumulate(up), np.multiply.accumulate(down)
+            SpanHash._powers, SpanHash._inverses = np.multiply.accumulate(up), np.multiply.accumulate(down)
 
     def sums(self, buf: np.ndarray) -> np.ndarray:
         """Running sums (n + 1 values) that :meth:`spans` takes."""
         self._grow(len(buf) + 1)
         out = np.empty(len(buf) + 1, np.uint64)
         out[0] = 0
-        np.cumsum(self.value[buf] * self.powers[:len(buf)], out=out[1:])
+        np.multiply(self.value[buf], self._powers[:len(buf)], out=out[1:])
+        np.cumsum(out[1:], out=out[1:])
         return out
 
     def spans(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((sums[end] - sums[start]) * self.inverses[start])
+        return mix((sums[end] - sums[start]) * self._inverses[start])
 
 
 _P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (

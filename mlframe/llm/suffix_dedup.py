@@ -19,8 +19,8 @@ earlier in the corpus (documents in id order, matches inside documents only).
    result, so fingerprints replace byte order.
 4. *Cut.* Removed spans meet their documents.
 
-Tasks keep one row per different phrase and mark their other copies
-themselves. A trigger with very many different surroundings is split by
+Tasks keep one row per different phrase (of each part of their input) and
+mark the other copies themselves. A trigger with very many different surroundings is split by
 phrase, each part sorts its own suffixes, and one more round by fingerprint
 joins the parts.
 """
@@ -39,6 +39,8 @@ _TRIGGER, _PHRASE, _SUFFIX, _SUFFIX2 = (SpanHash(s) for s in (71, 72, 73, 74))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 _LOW = np.uint64(0xFFFFFFFF)
+#: Bytes of text hashed at once, and phrases that a task keeps before it sorts and hands them on.
+_SLICE, _HELD = 1 << 19, 1 << 18
 #: Parts of a trigger with very many surroundings.
 _PARTS = 64
 
@@ -101,15 +103,20 @@ class _Parser:
         return packed >> 2 * self.bits, (packed >> self.bits) & low, packed & low
 
     def read(self, batches):
-        """All phrases of a task: group, phrase, doc, packed place."""
-        out = [[np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)] * 2]
+        """The phrases of a task in parts of about ``_HELD``: group, phrase, doc, packed place."""
+        out, n = [], 0
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", _SLICE):
                 buf, off = plain(part.column("_text"))
                 t, p, text, lo, back, windows = phrases(buf, off, self.length, self.trigger)
                 doc = part.column("_doc").to_numpy()
                 out.append([self.dealt(t, p), p, doc[text], self.pack(lo, back, windows)])
-        return [np.concatenate(x) for x in zip(*out)]
+                n += len(t)
+                if n >= _HELD:
+                    yield [np.concatenate(x) for x in zip(*out)]
+                    out, n = [], 0
+        if n:
+            yield [np.concatenate(x) for x in zip(*out)]
 
 
 def _changes(*cols: np.ndarray) -> np.ndarray:
@@ -122,20 +129,20 @@ def _changes(*cols: np.ndarray) -> np.ndarray:
 
 
 def _hot_triggers(docs: DataFrame, length: int, trigger: int, least: int, each: int, most: int = 10_000) -> np.ndarray:
-    """Triggers with at least ``least`` different phrases in the tasks that have ``each``: only a hint for dealing them out.
+    """Triggers with at least ``least`` different phrases in the parts of tasks that have ``each``: only a hint for dealing them out.
 
     Any choice gives the same result, so the list may be cut at ``most``.
     """
     parser = _Parser(length, trigger, np.zeros(0, np.uint64))
 
     def run(batches):
-        t, p, _, _ = parser.read(batches)
-        order = np.lexsort((p, t))
-        t, p = t[order], p[order]
-        t = t[_changes(t, p)]
-        value, n = np.unique(t, return_counts=True)
-        own = n >= each
-        yield pa.RecordBatch.from_arrays([pa.array(value[own].view(np.int64)), pa.array(n[own])], names=["t", "n"])
+        for t, p, _, _ in parser.read(batches):
+            order = np.lexsort((p, t))
+            t, p = t[order], p[order]
+            t = t[_changes(t, p)]
+            value, n = np.unique(t, return_counts=True)
+            own = n >= each
+            yield pa.RecordBatch.from_arrays([pa.array(value[own].view(np.int64)), pa.array(n[own])], names=["t", "n"])
 
     found = docs.mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     rows = found.orderBy(F.desc("n"), "t").limit(most).collect()
@@ -146,18 +153,18 @@ _MARK = "repeat boolean, grp long, doc long, place long"
 
 
 def _parse(docs: DataFrame, parser: _Parser) -> DataFrame:
-    """(grp, phrase, doc, place): one row per different phrase of a task; its other copies have place < 0 and a random group."""
+    """(grp, phrase, doc, place): one row per different phrase of a task's part; its other copies have place < 0 and a random group."""
 
     def run(batches):
-        g, p, doc, place = parser.read(batches)
-        order = np.lexsort((place, doc, p, g))
-        g, p, doc, place = (x[order] for x in (g, p, doc, place))
-        again = ~_changes(g, p)
-        g[again] = mix(doc[again].view(np.uint64) * _ODD + place[again].view(np.uint64))
-        place[again] = ~place[again]
-        for a in range(0, len(g), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[a:a + 100_000].view(np.int64)) for x in (g, p, doc, place)],
-                                             names=["grp", "phrase", "doc", "place"])
+        for g, p, doc, place in parser.read(batches):
+            order = np.lexsort((place, doc, p, g))
+            g, p, doc, place = (x[order] for x in (g, p, doc, place))
+            again = ~_changes(g, p)
+            g[again] = mix(doc[again].view(np.uint64) * _ODD + place[again].view(np.uint64))
+            place[again] = ~place[again]
+            for a in range(0, len(g), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[a:a + 100_000].view(np.int64)) for x in (g, p, doc, place)],
+                                                 names=["grp", "phrase", "doc", "place"])
 
     return docs.mapInArrow(run, "grp long, phrase long, doc long, place long")
 
