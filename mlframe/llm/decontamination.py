@@ -10,7 +10,6 @@ bound) and end (length bound); the words there are then compared exactly.
 
 from __future__ import annotations
 
-import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mlframe.llm._text import SpanHash, mix, slices, squeezed
-from mlframe.llm.tables import materialize
+from mlframe.llm.tables import boxed, materialize, unboxed
 
 #: [\x00-\x2F\x3A-\x60\x7B-\x7F] after A-Z became a-z
 NOT_WORD = np.zeros(256, bool)
@@ -181,7 +180,7 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 13, shingle: int =
     """
     new = ("n_words", "n_hit", "n_items", "item_ids", "spans")
     keep = [c for c in docs.columns if c not in (*new, text_col)]
-    work = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("_text"), F.array().cast(_SPANS).alias("_spans"),
+    work = docs.select(boxed(keep), F.col(f"`{text_col}`").alias("_text"), F.array().cast(_SPANS).alias("_spans"),
                        F.array().cast("array<string>").alias("_items"), F.lit(0).cast("long").alias("_n_words"))
     windows = materialize(item_windows(items, n, item_id, item_text), "windows")
     blocks = max(1, -(-windows.count() // block_windows))
@@ -201,15 +200,12 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 13, shingle: int =
     hit = F.aggregate(F.array_sort("_spans"), start, lambda s, x: F.struct(
         (s["n"] + F.greatest(F.lit(0), x["b"] - F.greatest(x["a"], s["reach"]))).alias("n"), F.greatest(s["reach"], x["b"]).alias("reach")),
         lambda s: s["n"].cast("long"))
-    text = [F.col("_text").alias(text_col)] if keep_text else []
-    return work.select(*[F.col(f"`{c}`") for c in keep], *text, F.col("_n_words").alias("n_words"), hit.alias("n_hit"),
-                       F.size("_items").cast("long").alias("n_items"), F.col("_items").alias("item_ids"), F.col("_spans").alias("spans"))
+    found = work.select("_own", "_text", F.col("_n_words").alias("n_words"), hit.alias("n_hit"), F.size("_items").cast("long").alias("n_items"),
+                        F.col("_items").alias("item_ids"), F.col("_spans").alias("spans"))
+    return found.select(*unboxed(keep), *([F.col("_text").alias(text_col)] if keep_text else []), *new)
+
 
 
 def is_contaminated(n_hit: str = "n_hit", n_words: str = "n_words"):
     """At least a twentieth of the words is hit."""
     return (F.col(n_hit) > 0) & (F.col(n_hit) * 20 >= F.col(n_words))
-
-
-def digest(ids: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mlframe.llm._text import slices
+from mlframe.llm.tables import boxed, unboxed
 
 #: A comment, a raw-text element with its content, a tag, or other markup; '<' before anything else is text.
 _TOKEN = re.compile(
@@ -359,15 +360,15 @@ def main_text(pages: DataFrame, model: ContentModel, html_col: str = "html") ->
     region but dropped elements. Columns named text or n_chars are replaced.
     """
     own = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
-    columns = [F.col(f"`{c}`") for c in own]
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "_html"):
                 texts = [extract(page, shared.value) for page in part.column("_html").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), pa.array(texts, pa.string()),
-                                                  pa.array(np.array([len(t) for t in texts], np.int64))], names=[*own, "text", "n_chars"])
+                yield pa.RecordBatch.from_arrays([part.column("_own"), pa.array(texts, pa.string()),
+                                                  pa.array(np.array([len(t) for t in texts], np.int64))], names=["_own", "text", "n_chars"])
 
-    schema = pages.select(*columns, F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars")).schema
-    return pages.select(*columns, F.col(f"`{html_col}`").alias("_html")).mapInArrow(run, schema)
+    work = pages.select(boxed(own), F.col(f"`{html_col}`").alias("_html"))
+    schema = work.select("_own", F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars")).schema
+    return work.mapInArrow(run, schema).select(*unboxed(own), "text", "n_chars")

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mlframe.llm._text import SPACE, slices, squeezed
+from mlframe.llm.tables import boxed, unboxed
 
 UNKNOWN = "und"
 
@@ -178,9 +179,9 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep
     """
     new = ("lang_pred", "score", "lang_shares")
     own = [c for c in docs.columns if c not in (text_col, *new)]
-    work = docs.select(*[F.col(f"`{c}`") for c in own], F.col(f"`{text_col}`").alias("_text"),
+    work = docs.select(boxed(own), F.col(f"`{text_col}`").alias("_text"),
                        F.coalesce(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
-    passed = [text_col] if keep_text else []
+    passed = ["_text"] if keep_text else []
     shared = docs.sparkSession.sparkContext.broadcast(model)
     limit = max(1 << 16, (4 << 20) // max(4, len(model.languages)))
 
@@ -198,12 +199,12 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep
                 shares = [[(m.languages[j], float(row[j])) for j in np.flatnonzero(row)] if k else [] for row, k in zip(share, known)]
                 text = [part.column("_text")] if keep_text else []
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in own), *text, pa.array(pred, pa.string()), pa.array(np.clip(score, 0.0, 1.0)),
-                     pa.array(shares, pa.map_(pa.string(), pa.float64()))], names=[*own, *passed, *new])
+                    [part.column("_own"), *text, pa.array(pred, pa.string()), pa.array(np.clip(score, 0.0, 1.0)),
+                     pa.array(shares, pa.map_(pa.string(), pa.float64()))], names=["_own", *passed, *new])
 
-    schema = docs.select(*[F.col(f"`{c}`") for c in (*own, *passed)], F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"),
+    schema = work.select("_own", *passed, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"),
                          F.create_map(F.lit(""), F.lit(0.0)).alias("lang_shares")).schema
-    return work.mapInArrow(run, schema)
+    return work.mapInArrow(run, schema).select(*unboxed(own), *[F.col("_text").alias(text_col) for _ in passed], *new)
 
 
 def fold(id_col: str, folds: int):

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mlframe.llm.tables import boxed, unboxed
+
 WHITE = r"[\x20\x09-\x0D]+"
 NOT_WHITE = r"[^\x20\x09-\x0D]"
 NOT_SYMBOL = r"[^#*$%&|<>]+"
@@ -56,12 +58,11 @@ def measurements(docs: DataFrame, text_col: str = "text") -> DataFrame:
     or more. Input columns with a measurement's name are replaced.
     """
     new = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
-    keep = [F.col(f"`{c}`") for c in docs.columns if c not in (text_col, *new)]
     names = [c for c in docs.columns if c not in (text_col, *new)]
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    own = [F.col(f"`{c}`") for c in names]
+    own = [F.col("_own")]
     # each array is a column of its own, so that no lambda computes it again per element
-    d = docs.select(*keep, text.alias("_text"))
+    d = docs.select(boxed(names), text.alias("_text"))
     d = d.select(
         *own,
         F.array_remove(F.split("_text", WHITE), "").alias("_words"),
@@ -87,7 +88,8 @@ def measurements(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.filter("_placed", lambda x, j: same(x, j - 1) | same(x, j + 1)), lambda x: x["i"])).alias("_at"))
     covered = F.aggregate(F.transform("_at", lambda p, j: F.least(F.lit(3), F.coalesce(F.get("_at", j + 1) - p, F.lit(3)))),
                           F.lit(0).cast("long"), lambda s, x: s + x)
-    return d.select(*[F.col(f"`{c}`") for c in names], *new[:-1], F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"))
+    d = d.select("_own", *new[:-1], F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"))
+    return d.select(*unboxed(names), *new)
 
 
 def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mlframe.llm.tables import boxed, unboxed
 from mlframe.session import scratch_dir
 
 
@@ -42,7 +43,6 @@ def shuffled(docs: DataFrame, starts: np.ndarray, shards: int, key: str = "doc_i
     """
     buckets, total = len(starts) - 1, int(starts[-1])
     cols = [c for c in docs.columns if c not in ("shard", "slot")]
-    schema = T.StructType([docs.schema[c] for c in cols] + [T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
     firsts = np.array([s * total // shards for s in range(shards + 1)], np.int64)
 
     def finish(held: list[pa.RecordBatch], bucket: int):
@@ -72,11 +72,12 @@ def shuffled(docs: DataFrame, starts: np.ndarray, shards: int, key: str = "doc_i
             yield from finish(held, now)
 
     kinds = (T.MapType, T.VariantType)
-    ties = [F.col(f"`{c}`") for c in cols if not isinstance(docs.schema[c].dataType, kinds)]
-    scattered = docs.select(*[F.col(f"`{c}`") for c in cols], _bucket(key, seed, buckets).alias("_bucket"))
+    ties = [F.col(f"_own.`{c}`") for c in cols if not isinstance(docs.schema[c].dataType, kinds)]
+    scattered = docs.select(boxed(cols), _bucket(key, seed, buckets).alias("_bucket"))
+    schema = T.StructType([scattered.schema["_own"], T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
     return (scattered.repartition(buckets, "_bucket")
-            .sortWithinPartitions("_bucket", F.xxhash64(F.lit(seed + 1), F.col(f"`{key}`")), *ties)
-            .mapInArrow(run, schema))
+            .sortWithinPartitions("_bucket", F.xxhash64(F.lit(seed + 1), F.col(f"_own.`{key}`")), *ties)
+            .mapInArrow(run, schema).select(*unboxed(cols), "shard", "slot"))
 
 
 def shard_records(docs: DataFrame, shards: int, seed: int = 0, key: str = "doc_id", text_col: str = "text",

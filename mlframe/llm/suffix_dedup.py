@@ -33,14 +33,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mlframe.llm._text import SpanHash, mix, plain, slices
-from mlframe.llm.tables import in_corpus_order, materialize
+from mlframe.llm.tables import boxed, in_corpus_order, materialize
 
 _TRIGGER, _PHRASE, _SUFFIX, _SUFFIX2 = (SpanHash(s) for s in (71, 72, 73, 74))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 _LOW = np.uint64(0xFFFFFFFF)
 #: Bytes of text hashed at once, and phrases that a task keeps before it sorts and hands them on.
-_SLICE, _HELD = 1 << 19, 1 << 18
+_SLICE, _HELD = 1 << 19, 1 << 19
 #: Parts of a trigger with very many surroundings.
 _PARTS = 64
 
@@ -359,8 +359,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     """
     new = ("kept", "n_bytes", "n_removed", "n_spans", "spans")
     own = [c for c in docs.columns if c not in (text_col, *new)]
-    numbered, _ = in_corpus_order(docs.select(*[F.col(f"`{c}`") for c in own], F.col(f"`{text_col}`").alias("_text")), id_col, "_text")
-    base = numbered.select("_doc", "_text", F.struct(*[F.col(f"`{c}`") for c in own]).alias("_own"))
+    base, _ = in_corpus_order(docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"), boxed(own)), "_id", "_text")
+    base = base.select("_doc", "_text", "_own")
     spans = repeated_spans(base, length, hot_contexts, hot_in_task)
     cut_in = base.join(spans, base["_doc"] == spans["doc"], "left").drop("doc")
     return _cut(cut_in, as_text).select("_own.*", *new)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def boxed(columns: list[str]) -> Column:
+    """The caller's columns as one struct ``_own``, so that none of their names meets one of ours; ``_own.*`` gives them back."""
+    return F.struct(*([F.col(f"`{c}`") for c in columns] or [F.lit(True).alias("_none")])).alias("_own")
+
+
+def unboxed(columns: list[str]) -> list[str]:
+    return ["_own.*"] if columns else []
+
+
 def in_corpus_order(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
     """``docs`` with a unique long _doc in corpus order: the id itself (True), or a number written with the table (False)."""
     if isinstance(docs.schema[id_col].dataType, (T.LongType, T.IntegerType)):

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from mlframe.llm._text import SPACE, slices, squeezed
 from mlframe.llm.language import NOT_LETTER
-from mlframe.llm.tables import materialize
+from mlframe.llm.tables import boxed, materialize, unboxed
 
 _BITS = 22
 BUCKETS = 1 << _BITS
@@ -193,8 +193,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> Data
                 for w, b in zip(m.weights, m.bias):
                     f = np.bincount(row, weights=w[number], minlength=part.num_rows) + b
                     total += _sigmoid(f)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), pa.array(total / len(m.bias))], names=[*own, "score"])
+                yield pa.RecordBatch.from_arrays([part.column("_own"), pa.array(total / len(m.bias))], names=["_own", "score"])
 
-    columns = [F.col(f"`{c}`") for c in own]
-    schema = docs.select(*columns, F.lit(0.0).alias("score")).schema
-    return docs.select(*columns, F.col(f"`{text_col}`").alias("_text")).mapInArrow(run, schema)
+    work = docs.select(boxed(own), F.col(f"`{text_col}`").alias("_text"))
+    return work.mapInArrow(run, work.select("_own", F.lit(0.0).alias("score")).schema).select(*unboxed(own), "score")
