@@ -15,6 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mlframe.operators.ranking import _left
+
 
 @dataclass
 class AsOfLookup:
@@ -158,6 +160,8 @@ def match_intervals(windows: DataFrame, points: DataFrame, key: str, ts: str,
 
 
 def full_universe(keys: DataFrame, agg: DataFrame, on) -> DataFrame:
-    """Distinct key universe left-joined to a recent aggregate, nulls -> 0."""
+    """Distinct key universe left-joined to a recent aggregate, nulls -> 0.
+
+    A null key is a key like any other, and stays null."""
     on = [on] if isinstance(on, str) else list(on)
-    return keys.select(*on).distinct().join(agg, on=on, how="left").na.fill(0)
+    return _left(keys.select(*on).distinct(), agg, on).na.fill(0, subset=[c for c in agg.columns if c not in on])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from mlframe.operators.aggs import bin_index
-
+from mlframe.operators.drift import js_distance
 
 
 @dataclass(frozen=True)
@@ -104,27 +104,16 @@ def js_drift(df: DataFrame, col: str, ts: str, lo: float, hi: float, bins: int =
     Values below ``lo`` and from ``hi`` on have bins of their own (-1 and
     ``bins``), so a drift out of the range shows; a null value has bin -2.
 
-    Histogram per window is a partial aggregate; consecutive windows are
-    paired by a lag over the (small) list of windows, and bins are aligned
-    by a full outer join on (pair, bin)."""
+    The histogram is built once; each window's is one small map, and a lag
+    over the windows pairs them."""
     bin_ = F.coalesce(bin_index(col, lo, hi, bins), F.lit(-2))
     w = F.window(ts, window).start if " " in window else F.date_trunc(window, ts)
-    h = df.groupBy(w.alias("w"), bin_.alias("bin")).agg(F.count(F.lit(1)).alias("c"))
-    tot = h.groupBy("w").agg(F.sum("c").alias("tot"))
-    prev = tot.select("w", F.lag("w").over(Window.orderBy("w")).alias("pw"))
-    p = h.join(tot, "w").select("w", "bin", (F.col("c") / F.col("tot")).alias("p"))
-    cur = p.join(prev.where("pw IS NOT NULL"), "w")
-    q = p.select(F.col("w").alias("pw"), "bin", F.col("p").alias("q"))
-    pairs = prev.where("pw IS NOT NULL")
-    j = (cur.select("w", "pw", "bin", "p")
-         .join(q.join(pairs, "pw").select("w", "pw", "bin", "q"), ["w", "pw", "bin"], "full")
-         .na.fill(0.0, ["p", "q"]))
-    m = (F.col("p") + F.col("q")) / 2
-    kl = lambda a: F.when(F.col(a) > 0, F.col(a) * F.log2(F.col(a) / m)).otherwise(0.0)
-    js = j.groupBy("w", "pw").agg((0.5 * F.sum(kl("p")) + 0.5 * F.sum(kl("q"))).alias("jsd"))
-    return js.select(F.col("w").cast("timestamp_ntz").alias("window_start"),
-                     F.col("pw").cast("timestamp_ntz").alias("prev_window"),
-                     F.round(F.sqrt(F.greatest(F.col("jsd"), F.lit(0.0))), digits).alias("js_distance"))
+    counts = df.groupBy(w.cast("timestamp_ntz").alias("window_start"), bin_.alias("bin")).agg(F.count(F.lit(1)).alias("c"))
+    hist = counts.groupBy("window_start").agg(F.map_from_entries(F.collect_list(F.struct("bin", "c"))).alias("h"), F.sum("c").alias("total"))
+    before = F.lag(F.struct(F.col("window_start").alias("at"), "h", "total")).over(Window.orderBy("window_start"))
+    pairs = hist.withColumn("o", before).where("o IS NOT NULL")
+    distance = js_distance(F.col("h"), F.col("total"), F.col("o.h"), F.col("o.total"), bins)
+    return pairs.select("window_start", F.col("o.at").alias("prev_window"), F.round(distance, digits).alias("js_distance"))
 
 
 def provenance(tables) -> DataFrame:

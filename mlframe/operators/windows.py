@@ -146,12 +146,25 @@ def time_idx(df: DataFrame, keys, ts: str, step: str = "month", name: str = "tim
 
 def densify(df: DataFrame, keys, ts: str, y: str, step: str = "1 MONTH") -> DataFrame:
     """Each series on a regular grid from its first to its last period,
-    missing periods inserted with 0. The grid is generated per series by
-    ``sequence`` (no calendar join) and joined back on (keys, period)."""
+    missing periods inserted with 0. ``step`` is a number of units (DAY, WEEK,
+    MONTH, ...): times are truncated to the unit, the grid starts at the
+    series' first period, and a period's values are summed (null: 0). A null
+    key is a series of its own. One pass: every period generates the empty
+    ones up to the next."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    bounds = df.groupBy(*keys).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-    grid = bounds.select(*keys, F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {step}"))).alias(ts))
-    return grid.join(df.select(*keys, ts, y), on=[*keys, ts], how="left").na.fill(0, subset=[y])
+    each, unit = int(step.split()[0]), step.split()[1].rstrip("sS").upper()
+    kind = df.schema[ts].dataType
+    d = df.select(*keys, F.date_trunc(unit, ts).alias("_p"), F.col(y).alias("_y"))
+    if each > 1:
+        first = F.min("_p").over(Window.partitionBy(*keys))
+        whole = F.floor(F.timestamp_diff(unit, first, F.col("_p")) / each) * each
+        d = d.withColumn("_p", F.timestamp_add(unit, whole.cast("int"), first))
+    d = d.where("_p IS NOT NULL").groupBy(*keys, "_p").agg(F.coalesce(F.sum("_y"), F.lit(0)).cast(df.schema[y].dataType).alias("_y"))
+    after = F.lead("_p").over(Window.partitionBy(*keys).orderBy("_p"))
+    gap = F.coalesce(F.floor(F.timestamp_diff(unit, F.col("_p"), after) / each).cast("int"), F.lit(1))
+    steps = d.withColumn("_n", gap).select(*keys, "_p", "_y", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_k"))
+    return steps.select(*keys, F.timestamp_add(unit, F.col("_k") * each, F.col("_p")).cast(kind).alias(ts),
+                        F.when(F.col("_k") == 0, F.col("_y")).otherwise(0).cast(df.schema[y].dataType).alias(y))
 
 
 def sequence_windows(df: DataFrame, keys, ts: str, y: str, enc: int = 10, pred: int = 3,
@@ -165,12 +178,12 @@ def sequence_windows(df: DataFrame, keys, ts: str, y: str, enc: int = 10, pred:
     keys = [keys] if isinstance(keys, str) else list(keys)
     w_enc = Window.partitionBy(*keys).orderBy(ts).rowsBetween(-(enc - 1), 0)
     w_pred = Window.partitionBy(*keys).orderBy(ts).rowsBetween(1, pred)
-    out = df.select(*keys, ts, F.collect_list(y).over(w_enc).alias("encoder"),
-                    F.collect_list(y).over(w_pred).alias("target"))
-    keep = (F.size("encoder") >= min_enc) & (F.size("target") >= min_pred)
+    w_next = Window.partitionBy(*keys).orderBy(ts)
+    out = df.select(*keys, ts, F.collect_list(y).over(w_enc).alias("encoder"), F.collect_list(y).over(w_pred).alias("target"),
+                    F.lead(ts).over(w_next).alias("_lo"), F.max(ts).over(w_pred).alias("_hi"))
+    out = out.where((F.size("encoder") >= min_enc) & (F.size("target") >= min_pred))
     if cutoff is None:
-        return out.where(keep)
+        return out.drop("_lo", "_hi")
     end = F.lit(cutoff).cast(dict(df.dtypes)[ts])
-    spans = df.select(*keys, ts, F.lead(ts).over(Window.partitionBy(*keys).orderBy(ts)).alias("_lo"), F.max(ts).over(w_pred).alias("_hi"))
     split = F.when(F.col("_hi") <= end, "train").when(F.col("_lo") > end, "validation")
-    return (out.where(keep).join(spans.select(*keys, ts, split.alias("split")), [*keys, ts]).where("split IS NOT NULL"))
+    return out.withColumn("split", split).drop("_lo", "_hi").where("split IS NOT NULL")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mlframe import bindings as B
+from mlframe.operators import drift as DR
 from mlframe.operators import quality as Q
 from mlframe.operators.metrics import threshold_metrics
 from mlframe.operators.models import stamp
@@ -103,6 +104,50 @@ def drift_metrics(spark, d):
     return Q.js_drift(p, "amount", "event_ts", 0.0, 100.0, 20, "day")
 
 
+_STEP, _FAR = DR._scale(DR.ACCURACY)
+DRIFT_COLUMNS = ["amount", "blocked"]
+DRIFT_REPORT_SQL = PAY + f""",
+long AS (SELECT CAST(date_trunc('day', event_ts) AS TIMESTAMP) AS w, 'amount' AS col, CAST(amount AS DOUBLE) AS v FROM payments
+         UNION ALL SELECT CAST(date_trunc('day', event_ts) AS TIMESTAMP), 'blocked', CAST(blocked AS DOUBLE) FROM payments),
+sk AS (SELECT w, col, CASE WHEN v IS NULL THEN NULL WHEN v = 0 THEN 0
+                           ELSE CAST(sign(v) AS BIGINT) * (CAST(ceil(ln(abs(v)) / {_STEP!r}) AS BIGINT) + {_FAR}) END AS key, count(*) AS n FROM long GROUP BY ALL),
+bk AS (SELECT col, key, sum(n) AS n FROM sk WHERE w < (SELECT min(w) + INTERVAL 7 DAY FROM sk) GROUP BY ALL),
+cum AS (SELECT col, key, sum(n) OVER (PARTITION BY col ORDER BY key) - n AS before, sum(n) OVER (PARTITION BY col) AS total FROM bk WHERE key IS NOT NULL),
+edges AS (SELECT col, list(low ORDER BY low) AS lows, max(high) AS top
+          FROM (SELECT col, (before * 20) // total AS b, min(key) AS low, max(key) AS high FROM cum GROUP BY ALL) GROUP BY col),
+b0 AS (SELECT 'own' AS kind, w, col, key, n FROM sk UNION ALL SELECT 'base', NULL, col, key, n FROM bk),
+b1 AS (SELECT kind, w, b0.col, n, CASE WHEN key IS NULL THEN -2 WHEN key < lows[1] THEN -1 WHEN key > top THEN 20
+                                      ELSE len(list_filter(lows, lambda x: x <= key)) - 1 END AS bin FROM b0 JOIN edges USING (col)),
+h AS (SELECT kind, w, col, bin, sum(n) / sum(sum(n)) OVER (PARTITION BY kind, w, col) AS p FROM b1 GROUP BY kind, w, col, bin),
+own AS (SELECT DISTINCT w, col FROM h WHERE kind = 'own'),
+pairs AS (SELECT w, col, 'consecutive' AS drift_type, lag(w) OVER (PARTITION BY col ORDER BY w) AS other FROM own
+          UNION ALL SELECT w, col, 'baseline', NULL FROM own),
+good AS (SELECT * FROM pairs WHERE drift_type = 'baseline' OR other IS NOT NULL),
+grid AS (SELECT good.*, bin FROM good, range(-2, 21) r(bin)),
+j AS (SELECT g.w, g.col, g.drift_type, g.other, coalesce(a.p, 0) AS p, coalesce(b.p, c.p, 0) AS q
+      FROM grid g LEFT JOIN h a ON a.kind = 'own' AND a.w = g.w AND a.col = g.col AND a.bin = g.bin
+      LEFT JOIN h b ON g.drift_type = 'consecutive' AND b.kind = 'own' AND b.w = g.other AND b.col = g.col AND b.bin = g.bin
+      LEFT JOIN h c ON g.drift_type = 'baseline' AND c.kind = 'base' AND c.col = g.col AND c.bin = g.bin),
+js AS (SELECT w, col, drift_type, other, 0.5 * sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END)
+                                        + 0.5 * sum(CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) AS jsd FROM j GROUP BY ALL)
+SELECT w AS window_start, col AS "column", drift_type, other AS compared_to, {R('sqrt(greatest(jsd, 0))', 6)} AS js_distance FROM js
+"""
+
+
+@query("drift_report", sql=DRIFT_REPORT_SQL)
+def drift_report(spark, d):
+    """Q4: the drift table of a monitored table: every day against the day
+    before and against the stored profile of the first week, for a numeric
+    column and a flag, in equal-mass bins of that profile."""
+    root = scratch_dir(spark, "drift")
+    sketches = DR.column_sketches(B.payments(spark, d), DRIFT_COLUMNS, "event_ts", "day")
+    sketches.write.parquet(f"{root}/sketches")
+    sketches = spark.read.parquet(f"{root}/sketches")
+    week = sketches.agg((F.min("window_start") + F.expr("INTERVAL 7 DAYS")).alias("t"))
+    DR.merge_sketches(sketches.where(F.col("window_start") < week.scalar())).write.parquet(f"{root}/baseline")
+    return DR.drift_report(sketches, spark.read.parquet(f"{root}/baseline"), 20)
+
+
 PRED_SQL = """
 preds AS (
   SELECT 'order_value' AS model_name, '1' AS model_version, 'r1' AS model_run_id, o_orderdate AS scored_at FROM orders

@@ -18,6 +18,7 @@ from mlframe.plans.sql import R
 from mlframe.session import scratch_dir
 from mlframe.sources.tables import read
 from mlframe.streaming import operators as SO
+from mlframe.streaming import progress as SP
 from mlframe.streaming import sinks as SK
 from mlframe.streaming import sources as SS
 
@@ -239,8 +240,9 @@ def stream_rolling_z(spark, d):
     """Rolling z-score kept incrementally in per-tag state."""
     root = _land_readings(spark, d, fmt="parquet")
     s = spark.readStream.schema(READING_SCHEMA).option("maxFilesPerTrigger", SS.FILES).parquet(f"{root}/landing")
-    z = SO.stream_rolling_z(s)
-    SK.drain(SK.start_append(z, f"{root}/out", f"{root}/ckpt"))
+    with SK.rocksdb_state(spark):
+        query = SK.start_append(SO.stream_rolling_z(s), f"{root}/out", f"{root}/ckpt")
+    SK.drain(query)
     out = spark.read.parquet(f"{root}/out")
     return out.select("reading_id", "tag_id", F.round("roll_mean", 6).alias("roll_mean"),
                       F.round("roll_std", 6).alias("roll_std"), F.round("z", 6).alias("z"))
@@ -321,6 +323,27 @@ def freshness_kpi(spark, d):
     return latency_summary(log, "freshness_s")
 
 
+@query("stream_progress", sql=f"""
+WITH parts AS (SELECT user_id, ts, CAST(floor(event_id * {N_PARTS} / (SELECT max(event_id) + 1 FROM events)) AS BIGINT) AS part FROM events),
+batches AS (SELECT part AS batch_id, count(*) AS n_input_rows, max(ts) AS newest FROM parts GROUP BY part)
+SELECT batch_id, n_input_rows,
+       coalesce(date_trunc('millisecond', max(newest) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) - INTERVAL 1 HOUR,
+                TIMESTAMP '1970-01-01') AS watermark,
+       (SELECT count(DISTINCT user_id) FROM parts WHERE part <= batch_id) AS state_rows
+FROM batches
+""")
+def stream_progress(spark, d):
+    """What a listener wrote about a running count, per micro-batch: its
+    input rows, the watermark it ran with and the keys in its state."""
+    root = _land_events(spark, d, "parquet")
+    s = SS.table_stream(spark, f"{root}/landing", EVENT_SCHEMA, max_files=SS.FILES)
+    agg = SO.running_counts(s.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 hour"), "user_id", "ts")
+    SP.logged(spark, f"{root}/progress", lambda: SK.drain(
+        SK.for_each_batch(agg, SO.update_log_writer(f"{root}/out", "user_id"), f"{root}/ckpt", output_mode="update")))
+    p = SP.read_progress(spark, f"{root}/progress").where("n_input_rows > 0")
+    return p.select("batch_id", "n_input_rows", F.col("watermark").cast("timestamp_ntz").alias("watermark"), "state_rows")
+
+
 STREAM_RULES = [Rule("has_id", "event_id IS NOT NULL", "fail"), Rule("positive_value", "value > 0", "warn"), Rule("known_type", "event_type IS NOT NULL", "drop"),
                 Rule("value_below_99", "value < 99", "drop")]
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import time
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -64,3 +65,22 @@ def epoch_writer(path: str, fmt: str = "parquet"):
     def write(batch: DataFrame, epoch_id: int):
         batch.write.mode("overwrite").format(fmt).save(f"{path}/epoch={epoch_id:08d}")
     return write
+
+
+#: State in RocksDB, and no batches without data: processing-time state would ask for one after the other, and a drain never end.
+KEYED_STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+               "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB (on the executors' disks, checkpointed to the shared folder);
+    keyed state with time to live needs it. The session's settings come back afterwards; a started query keeps its own."""
+    before = {k: spark.conf.get(k, None) for k in KEYED_STATE}
+    for k, v in KEYED_STATE.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -332,7 +332,9 @@ def test_late_rows_do_not_use_the_wrong_history(spark, tmp_dir):
     time.sleep(1.2)
     rows([(4, 5), (5, 13)], 2.0).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/in")
     s = spark.readStream.schema(PS.READING_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/in")
-    SK.drain(SK.start_append(SO.stream_rolling_z(s), f"{tmp_dir}/out", f"{tmp_dir}/ck"))
+    with SK.rocksdb_state(spark):
+        query = SK.start_append(SO.stream_rolling_z(s), f"{tmp_dir}/out", f"{tmp_dir}/ck")
+    SK.drain(query)
     got = {r["reading_id"]: r for r in spark.read.parquet(f"{tmp_dir}/out").collect()}
     assert got[4]["roll_mean"] is None and got[4]["z"] is None
     assert got[5]["roll_mean"] == 1.0 and got[5]["roll_std"] == 0.0
