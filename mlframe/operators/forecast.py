@@ -40,16 +40,18 @@ def seasonal_naive(df: DataFrame, keys, ts: str = "ds", y: str = "y", horizon: i
                       F.lit("seasonal_naive").alias("method"))
 
 
-SMOOTHING = tuple((a, b, g) for a in (0.1, 0.3, 0.5, 0.8) for b in (0.0, 0.05, 0.2) for g in (0.05, 0.2, 0.5))
+#: Where the search for the smoothing (level, trend, season) begins: all pairs of steps of a tenth, the trend closer to 0.
+_STARTS = np.stack(np.meshgrid(np.linspace(0, 1, 11), np.array([0, 0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.75, 1.0]), np.linspace(0, 1, 11),
+                               indexing="ij")).reshape(3, -1)
+_CORNERS = np.stack(np.meshgrid(*[np.array([-1.0, -0.5, 0.0, 0.5, 1.0])] * 3, indexing="ij")).reshape(3, -1)
 
 
-def _holt_winters(y: np.ndarray, season: int, horizon: int, smoothing=None):
-    """Additive Holt-Winters; returns forecast, residual sd and the smoothing.
+def smoothing_errors(y: np.ndarray, season: int, abc: np.ndarray):
+    """One pass of additive Holt-Winters over many smoothings at once.
 
-    ``smoothing`` (level, trend, season) is fitted to the series if it is not
-    given: the triple with the smallest squared one-step errors after the
-    first season, all triples run together as one array."""
-    abc = np.array([smoothing] if smoothing is not None else SMOOTHING, dtype=float).T
+    ``abc`` is (3, m): level, trend, season. Returns the squared one-step
+    errors after the first season (m), and the last level, trend, seasonal
+    values and errors, with a column per smoothing."""
     a, b, g = abc
     m = abc.shape[1]
     level = np.full(m, y[:season].mean())
@@ -63,10 +65,50 @@ def _holt_winters(y: np.ndarray, season: int, horizon: int, smoothing=None):
         level = a * (now - s) + (1 - a) * (level + trend)
         trend = b * (level - prev) + (1 - b) * trend
         seas[t % season] = g * (now - level) + (1 - g) * s
-    best = int((err[season:] ** 2).sum(axis=0).argmin())
-    sd = float(np.std(err[season:, best], ddof=1)) if len(y) > season + 1 else 0.0
-    fc = np.array([level[best] + (h + 1) * trend[best] + seas[(len(y) + h) % season, best] for h in range(horizon)])
-    return fc, sd, tuple(abc[:, best])
+    return (err[season:] ** 2).sum(axis=0), level, trend, seas, err
+
+
+def fit_smoothing(y: np.ndarray, season: int, keep: int = 8, rounds: int = 14) -> np.ndarray:
+    """The smoothing in [0, 1]^3 with the smallest squared one-step errors.
+
+    A bounded search that runs many points as one array: from a coarse grid
+    the ``keep`` best points that are not neighbours of a better one, around
+    each a box of 5^3 points that moves to its best point and halves when
+    that is its centre. The best point seen is returned, so it is never
+    worse than the grid. About 1,089 + rounds * keep * 125 evaluations."""
+    sse = smoothing_errors(y, season, _STARTS)[0]
+    sse = np.where(np.isfinite(sse), sse, np.inf)
+    order, centres = np.argsort(sse, kind="stable"), []
+    for i in order:
+        p = _STARTS[:, i]
+        if all(np.abs(p - c).max() > 0.11 for c in centres):
+            centres.append(p)
+        if len(centres) == keep:
+            break
+    centres = np.stack(centres, axis=1)
+    size = np.tile(np.array([[0.1], [0.1], [0.1]]), centres.shape[1])
+    for _ in range(rounds):
+        trial = np.clip(centres[:, :, None] + size[:, :, None] * _CORNERS[:, None, :], 0.0, 1.0)
+        value = smoothing_errors(y, season, trial.reshape(3, -1))[0].reshape(trial.shape[1:])
+        value = np.where(np.isfinite(value), value, np.inf)
+        at = value.argmin(axis=1)
+        moved = trial[:, np.arange(len(at)), at]
+        stays = np.abs(moved - centres).max(axis=0) < 0.75 * size.max(axis=0)  # inside the box: look closer
+        centres, size = moved, np.where(stays, size / 2, size)
+    every = np.concatenate([centres, _STARTS[:, order[:1]]], axis=1)
+    return every[:, int(np.nan_to_num(smoothing_errors(y, season, every)[0], nan=np.inf).argmin())]
+
+
+def _holt_winters(y: np.ndarray, season: int, horizon: int, smoothing=None):
+    """Additive Holt-Winters; returns forecast, residual sd and the smoothing.
+
+    ``smoothing`` (level, trend, season) is fitted to the series by
+    :func:`fit_smoothing` if it is not given."""
+    abc = np.array(smoothing if smoothing is not None else fit_smoothing(y, season), dtype=float)[:, None]
+    _, level, trend, seas, err = smoothing_errors(y, season, abc)
+    sd = float(np.std(err[season:, 0], ddof=1)) if len(y) > season + 1 else 0.0
+    fc = np.array([level[0] + (h + 1) * trend[0] + seas[(len(y) + h) % season, 0] for h in range(horizon)])
+    return fc, sd, tuple(abc[:, 0])
 
 
 def _seasonal_repeat(y: np.ndarray, season: int, horizon: int, smoothing=None):
@@ -84,9 +126,11 @@ def _key_fields(df: DataFrame, keys) -> list[T.StructField]:
 
 
 def group_forecast(df: DataFrame, keys=("brand", "region"), ts: str = "ds", y: str = "y", horizon: int = 9, season: int = 12,
-                   level: float = 0.95, method: str = "holt_winters", smoothing=None) -> DataFrame:
+                   level: float = 0.95, method: str = "holt_winters", smoothing=None, grain: str = "MONTH") -> DataFrame:
     """A forecast with interval for every series in one call, for any keys.
 
+    ``grain`` is the step of ``ts`` (DAY, WEEK, MONTH, QUARTER or YEAR).
+
     ``method`` is the same for all series; one that is too short for it (two
     seasons for Holt-Winters, one for ``seasonal_repeat``) comes back as one
     row with null forecasts and a reason. Series must be regular: fill gaps
@@ -95,6 +139,7 @@ def group_forecast(df: DataFrame, keys=("brand", "region"), ts: str = "ds", y: s
     of the horizon."""
     keys = list(keys)
     run, seasons = METHODS[method]
+    step = {"DAY": {"days": 1}, "WEEK": {"weeks": 1}, "MONTH": {"months": 1}, "QUARTER": {"months": 3}, "YEAR": {"years": 1}}[grain.upper()]
     z = NormalDist().inv_cdf(0.5 + level / 2)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -107,7 +152,7 @@ def group_forecast(df: DataFrame, keys=("brand", "region"), ts: str = "ds", y: s
         last = pd.Timestamp(pdf[ts].iloc[-1])
         fc, sd, _ = run(vals, season, horizon, smoothing)
         width = z * sd * np.sqrt(np.arange(1, horizon + 1))
-        return pd.DataFrame({**own, "forecast_month": [(last + pd.DateOffset(months=h + 1)).date() for h in range(horizon)],
+        return pd.DataFrame({**own, "forecast_month": [(last + pd.DateOffset(**{k: v * (h + 1) for k, v in step.items()})).date() for h in range(horizon)],
                              "forecast_cases": fc, "forecast_lo": fc - width, "forecast_hi": fc + width, "method": method, "reason": None})
 
     schema = T.StructType([*_key_fields(df, keys), T.StructField("forecast_month", T.DateType()),

@@ -5,9 +5,11 @@ only fitted parameters (never data rows) reach the driver."""
 from __future__ import annotations
 
 import json
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -223,6 +225,67 @@ def search(df: DataFrame, label: str, grid: dict, parallelism: int = 4, ratio: f
     return df.sparkSession.createDataFrame(rows, "params string, area_under_pr double")
 
 
+# ---- distributions of a random search, and their draws --------------------------------
+
+
+def randint(low: int, high: int):
+    """A whole number from low to high - 1."""
+    return lambda rng: int(rng.integers(low, high))
+
+
+def choice(values):
+    """One of the values, each as likely."""
+    return lambda rng: values[int(rng.integers(len(values)))]
+
+
+def uniform(low: float, high: float):
+    return lambda rng: float(rng.uniform(low, high))
+
+
+def loguniform(low: float, high: float):
+    """A number whose logarithm is uniform."""
+    return lambda rng: float(np.exp(rng.uniform(np.log(low), np.log(high))))
+
+
+def draw_trials(space: dict, n: int, seed: int) -> list[dict]:
+    """``n`` points of a space (name -> distribution); a trial's draw depends on the seed and its number alone."""
+    return [{k: space[k](np.random.Generator(np.random.PCG64([seed, i, j]))) for j, k in enumerate(sorted(space))} for i in range(n)]
+
+
+def random_search(train: DataFrame, valid: DataFrame, label: str, space: dict, trials: int = 10, seed: int = 0, budgets=(4, 8, 16),
+                  keep: float = 0.5, parallelism: int = 4) -> DataFrame:
+    """Random search with successive halving over boosted-tree parameters.
+
+    All trials are fitted with the first budget (number of trees), the best
+    ``keep`` of them (at least one) with the next one, and so on, the trials
+    of a rung in parallel jobs of one session. One row per fit: rung, budget,
+    trial, params (JSON), area_under_pr on ``valid``, and whether the trial
+    went on; of the last rung the best is marked. Equal metrics go by trial
+    number, so a seed gives the same rows again.
+    """
+    drawn = draw_trials(space, trials, seed)
+    alive, rows = list(range(trials)), []
+    ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR")
+    held = [d.persist() for d in (train, valid)]
+
+    def fit(trial: int, budget: int) -> float:
+        gbt = GBTClassifier(labelCol=label, featuresCol="features", seed=42, maxIter=budget, **drawn[trial])
+        return float(ev.evaluate(gbt.fit(held[0]).transform(held[1])))
+
+    try:
+        for rung, budget in enumerate(budgets):
+            with ThreadPool(parallelism) as pool:
+                got = dict(zip(alive, pool.map(inheritable_thread_target(lambda t, b=budget: fit(t, b)), alive)))
+            best = sorted(alive, key=lambda t: (-got[t], t))
+            stay = best[:max(1, int(np.ceil(len(best) * keep)))] if rung + 1 < len(budgets) else best[:1]
+            rows += [(rung, budget, t, json.dumps(drawn[t], sort_keys=True), got[t], t in stay) for t in alive]
+            alive = sorted(stay)
+    finally:
+        for d in held:
+            d.unpersist()
+    return train.sparkSession.createDataFrame(rows, "rung int, budget int, trial int, params string, area_under_pr double, stays boolean")
+
+
 def fit_baselines(train: DataFrame, test: DataFrame, label: str) -> DataFrame:
     """Logistic regression and a plain forest (100 trees, depth 6)."""
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC")

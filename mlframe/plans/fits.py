@@ -201,6 +201,23 @@ def param_search(spark, d):
         held.unpersist()
 
 
+# ---- fixed values that must equal the reference's: the search space and its trials
+SEARCH_SPACE = {"maxDepth": ML.randint(1, 9), "minInstancesPerNode": ML.choice([1, 2, 3]), "subsamplingRate": ML.uniform(0.5, 1.0),
+                "stepSize": ML.loguniform(1e-4, 1e-1)}
+SEARCH_TRIALS = 10
+# -----------------------------------------------------------------------------
+
+
+@query("random_search")
+def random_search(spark, d):
+    """Ten random trials, halved twice while the number of trees doubles."""
+    held, tr, te = _sensor_train_test(spark, d)
+    try:
+        return ML.random_search(tr, te, "is_failure", SEARCH_SPACE, SEARCH_TRIALS, seed=17)
+    finally:
+        held.unpersist()
+
+
 @query("group_forecast")
 def group_forecast(spark, d):
     """A forecast with interval for every (brand, region) series."""

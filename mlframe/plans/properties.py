@@ -142,6 +142,29 @@ def param_search_properties(spark, d):
     return _of("param_search", spark, d).agg(_n(), F.count_distinct("params").alias("n_params"), _unit("area_under_pr").alias("in_range"))
 
 
+@query("random_search_properties", sql="""
+SELECT CAST(18 AS BIGINT) AS n, CAST(10 AS BIGINT) AS n_trials, TRUE AS drawn_from_the_seed, TRUE AS best_go_on, TRUE AS beats_chance FROM lineitem LIMIT 1
+""")
+def random_search_properties(spark, d):
+    """Ten trials, then five, then three; parameters are the seed's; nobody who goes on is worse than one who
+    does not; the winner's average precision is above the share of positives (what chance would give)."""
+    import json
+
+    from mlframe.plans import fits
+    r = _of("random_search", spark, d)
+    want = [json.dumps(p, sort_keys=True) for p in ML.draw_trials(fits.SEARCH_SPACE, fits.SEARCH_TRIALS, 17)]
+    drawn = F.every(F.col("params") == F.get(F.array(*[F.lit(w) for w in want]), F.col("trial")))
+    rungs = r.groupBy("rung").agg(F.min(F.when(F.col("stays"), F.col("area_under_pr"))).alias("low"), F.max(F.when(~F.col("stays"), F.col("area_under_pr"))).alias("high"))
+    held, _, te = fits._sensor_train_test(spark, d)
+    share = te.agg(F.avg("is_failure").alias("share"))
+    won = F.max(F.when((F.col("rung") == 2) & F.col("stays"), F.col("area_under_pr"))).alias("won")
+    one = F.lit(1).alias("_one")
+    out = (r.agg(_n(), F.count_distinct("trial").alias("n_trials"), drawn.alias("drawn_from_the_seed"), won).select("*", one)
+           .join(rungs.agg(F.every(F.col("low") >= F.coalesce("high", F.lit(0.0))).alias("best_go_on")).select("*", one), "_one")
+           .join(share.select("*", one), "_one"))
+    return out.select("n", "n_trials", "drawn_from_the_seed", "best_go_on", (F.col("won") > F.col("share")).alias("beats_chance"))
+
+
 _SERIES = DEMAND + """,
 len AS (SELECT brand, region, CAST(date_diff('month', min(ds), max(ds)) + 1 AS BIGINT) AS n FROM demand GROUP BY ALL)
 """
@@ -169,6 +192,30 @@ def holt_winters_backtest_properties(spark, d):
                     F.coalesce(F.col("mape") >= 0, F.lit(True)).alias("nonnegative"))
 
 
+@query("smoothing_fit_properties", sql=_SERIES + "SELECT brand, region, TRUE AS in_the_cube, TRUE AS at_most_the_grid FROM len WHERE n >= 24")
+def smoothing_fit_properties(spark, d):
+    """Each series' fitted smoothing lies in the unit cube, and its squared error is at most that of the best of 21^3 points."""
+    import numpy as np
+    import pandas as pd
+
+    from mlframe.operators import forecast as FC
+    from mlframe.plans.windowed import filled_demand
+
+    def judge(pdf):
+        y = pdf.sort_values("ds")["y"].to_numpy(dtype=float)
+        if len(y) < 24:
+            return pd.DataFrame({"brand": [], "region": [], "in_the_cube": [], "at_most_the_grid": []}).astype({"in_the_cube": bool, "at_most_the_grid": bool})
+        own = FC.fit_smoothing(y, 12)
+        grid = np.stack(np.meshgrid(*[np.linspace(0, 1, 21)] * 3, indexing="ij")).reshape(3, -1)
+        least = FC.smoothing_errors(y, 12, grid)[0].min()
+        return pd.DataFrame({"brand": pdf["brand"].iloc[:1], "region": pdf["region"].iloc[:1], "in_the_cube": [bool(((own >= 0) & (own <= 1)).all())],
+                             "at_most_the_grid": [bool(FC.smoothing_errors(y, 12, own[:, None])[0][0] <= least * (1 + 1e-9))]})
+
+    f = filled_demand(spark, d)
+    kind = {c: f.schema[c].dataType.simpleString() for c in ("brand", "region")}
+    return f.groupBy("brand", "region").applyInPandas(judge, f"brand {kind['brand']}, region {kind['region']}, in_the_cube boolean, at_most_the_grid boolean")
+
+
 @query("lag_forecaster_properties", sql=_SERIES + "SELECT brand, region, least(n - 12, 6) AS n, TRUE AS nonnegative FROM len WHERE n > 12")
 def lag_forecaster_properties(spark, d):
     """The last six months with whole lags of each series are scored."""
