@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mlframe.operators.ranking import _left
@@ -134,25 +134,69 @@ def enrich(df: DataFrame, dim: DataFrame, on, cols=None) -> DataFrame:
     return df.join(dim.select(*on, *cols).dropDuplicates(on), on=on, how="left")
 
 
+LEVELS = 40  # blocks of 2^39 units: longer than any time span
+
+
+def dyadic_blocks(lo: Column, hi: Column) -> Column:
+    """The units lo .. hi (whole numbers) as few aligned blocks: array of (level, block), block * 2^level units from block << level on.
+
+    At most two blocks of each level, so 2 log2(hi - lo + 1) in all. Each
+    level gives the block that sticks out at the left and at the right, and
+    the rest goes up a level.
+    """
+    none = F.array().cast("array<struct<level:int,block:bigint>>")
+    one = lambda level, block: F.array(F.struct(level.cast("int").alias("level"), block.cast("bigint").alias("block")))
+
+    def step(s, level):
+        open_ = s["lo"] <= s["hi"]
+        left = open_ & (F.pmod(s["lo"], F.lit(2)) == 1)
+        right = open_ & (F.pmod(s["hi"], F.lit(2)) == 0) & (~left | (s["hi"] > s["lo"]))
+        out = F.concat(s["out"], F.when(left, one(level, s["lo"])).otherwise(none), F.when(right, one(level, s["hi"])).otherwise(none))
+        up = lambda x: F.shiftright(x, 1)
+        return F.struct(F.when(open_, up(s["lo"] + left.cast("bigint"))).otherwise(F.lit(1).cast("bigint")).alias("lo"),
+                        F.when(open_, up(s["hi"] - right.cast("bigint") + 0)).otherwise(F.lit(0).cast("bigint")).alias("hi"), out.alias("out"))
+
+    def guarded(s, level):
+        # the pair may cross while a level is taken off; from then on nothing is open
+        t = step(s, level)
+        lo = s["lo"] + ((s["lo"] <= s["hi"]) & (F.pmod(s["lo"], F.lit(2)) == 1)).cast("bigint")
+        right = (s["lo"] <= s["hi"]) & (F.pmod(s["hi"], F.lit(2)) == 0)
+        crossed = lo > s["hi"] - right.cast("bigint")
+        return F.struct(F.when(crossed, F.lit(1).cast("bigint")).otherwise(t["lo"]).alias("lo"),
+                        F.when(crossed, F.lit(0).cast("bigint")).otherwise(t["hi"]).alias("hi"), t["out"].alias("out"))
+
+    start = F.struct(lo.cast("bigint").alias("lo"), hi.cast("bigint").alias("hi"), none.alias("out"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS - 1)), start, guarded, lambda s: s["out"])
+
+
 def match_intervals(windows: DataFrame, points: DataFrame, key: str, ts: str,
                     start: str = "start_ts", end: str = "end_ts", closed: str = "both", bucket: str = "day") -> DataFrame:
     """Each window left-joined to the points with the same key and
     ``start <= ts <= end`` (closed both ends by default; ``closed="left"``
     gives the half-open form used when labels are injected).
 
-    Windows are copied to every time ``bucket`` they touch, points lie in one,
-    so the equi-join on (key, bucket) spreads a hot key over its buckets and
-    pairs only what is near in time; never a cartesian product. A window
-    without points (or with a null key or bound) comes back once, with a null p. Columns come back as the structs ``w`` and ``p``.
+    Time is cut into units of a ``bucket`` (hour or day) and those into
+    aligned blocks of 1, 2, 4, ... units. A window is copied to the few blocks
+    that cover it (two of a level at most: some 20 for ten years of days), a
+    point to its block of each level that any window uses (one, if all windows
+    are short), so the equi-join on (key, level, block) spreads a hot key and
+    meets every pair once; never a cartesian product. A window without points
+    (or with a null key or bound) comes back once, with a null p. Columns come
+    back as the structs ``w`` and ``p``.
     """
-    touched = F.sequence(F.date_trunc(bucket, start), F.date_trunc(bucket, end), F.expr(f"INTERVAL 1 {bucket}"))
+    unit = {"hour": 3600, "day": 86400}[bucket]
+    number = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) / F.lit(unit * 1_000_000)).cast("bigint")
     sane = windows.where((F.col(start) <= F.col(end)) & F.col(key).isNotNull())
-    copies = sane.select(F.struct("*").alias("w"), F.col(key).alias("_k"), F.explode(touched).alias("_bk"))
-    near = points.select(F.struct("*").alias("p"), F.col(key).alias("_pk"), F.date_trunc(bucket, ts).alias("_pb"))
+    copies = sane.select(F.struct("*").alias("w"), F.col(key).alias("_k"), F.explode(dyadic_blocks(number(start), number(end))).alias("_b")) \
+        .select("w", "_k", F.col("_b.level").alias("_l"), F.col("_b.block").alias("_n"))
+    used = sorted(r["_l"] for r in copies.select("_l").distinct().collect())  # at most LEVELS numbers
+    near = points.select(F.struct("*").alias("p"), F.col(key).alias("_pk"), number(ts).alias("_u"))
+    near = near.select("p", "_pk", "_u", F.explode(F.array(*[F.lit(v) for v in used]).cast("array<int>")).alias("_pl")) \
+        .withColumn("_pn", F.expr("shiftright(_u, _pl)"))
     a, b, t = F.col(f"w.{start}"), F.col(f"w.{end}"), F.col(f"p.{ts}")
     lo = (a <= t) if closed in ("both", "left") else (a < t)
     hi = (t <= b) if closed in ("both", "right") else (t < b)
-    pairs = copies.join(near, (F.col("_k") == F.col("_pk")) & (F.col("_bk") == F.col("_pb")) & lo & hi).select("w", "p")
+    pairs = copies.join(near, (F.col("_k") == F.col("_pk")) & (F.col("_l") == F.col("_pl")) & (F.col("_n") == F.col("_pn")) & lo & hi).select("w", "p")
     # equal windows match the same points, so their key and bounds tell which had none
     had = pairs.select(F.col(f"w.{key}").alias("_hk"), a.alias("_ha"), b.alias("_hb")).distinct()
     none = windows.join(had, (F.col(key) == F.col("_hk")) & (F.col(start) == F.col("_ha")) & (F.col(end) == F.col("_hb")), "left_anti")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 
 ROWS_EACH = 200_000  # rows that a bucket of values should hold
-MOST_BUCKETS = 4096
+MOST_BUCKETS = 32_768  # 6.5 billion rows at ROWS_EACH; buckets of a larger table grow
 
 
 def _same(left: DataFrame, right: DataFrame, keys) -> DataFrame:
@@ -54,15 +54,20 @@ def value_buckets(df: DataFrame, col: str, rows_each: int = ROWS_EACH) -> Column
     bounds = value_bounds(df, col, rows_each)
     c = F.col(col)
     c = F.unix_micros(c.cast("timestamp")) if dict(df.dtypes)[col].startswith("timestamp") else c.cast("double")
-    return F.when(c.isNull(), -1).otherwise(_search(c, bounds, 0, len(bounds))).cast("int")
-
-
-def _search(c: Column, bounds: list, lo: int, hi: int) -> Column:
-    """How many of the sorted bounds are below ``c``, as nested comparisons (binary search, whole-stage codegen)."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(c <= F.lit(bounds[mid]), _search(c, bounds, lo, mid)).otherwise(_search(c, bounds, mid + 1, hi))
+    return F.when(c.isNull(), -1).otherwise(_search(c, bounds)).cast("int")
+
+
+def _search(c: Column, bounds: list) -> Column:
+    """How many of the sorted bounds are below ``c``: a binary search in one constant array, the same small expression for any number of bounds."""
+    if not bounds:
+        return F.lit(0)
+    kind = "bigint" if isinstance(bounds[0], int) else "double"
+    # one text for the whole array, which the optimizer turns into a constant; NaN and infinities are spelled as SQL casts them
+    text = ",".join(str(b) if kind == "bigint" else {"inf": "Infinity", "-inf": "-Infinity", "nan": "NaN"}.get(repr(b), repr(b)) for b in bounds)
+    array = F.split(F.lit(text), ",").cast(f"array<{kind}>")
+    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0),
+                       lambda at, s: at + F.when(F.coalesce(F.get(array, at + s - 1) < c, F.lit(False)), s).otherwise(F.lit(0)))
 
 
 def positions(df: DataFrame, order: list, bucket: Column, partition=(), name: str = "pos") -> DataFrame:
