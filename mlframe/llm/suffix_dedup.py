@@ -183,6 +183,7 @@ def _meet(parsed: DataFrame, parser: _Parser) -> DataFrame:
         repeat = decided | ~new
         keep = np.flatnonzero(repeat | many)
         place = np.where(decided, ~place, place)
+        g = np.where(repeat, 0, g)  # a repeat is only cut; its group is not needed any more
         yield pa.RecordBatch.from_arrays([pa.array(repeat[keep]), *(pa.array(x[keep]) for x in (g, doc, place))],
                                          names=["repeat", "grp", "doc", "place"])
 
