@@ -186,7 +186,8 @@ def lookup_features(keys: DataFrame, spec: dict, read_table) -> DataFrame:
 
 def fit_compare(train: DataFrame, test: DataFrame, label: str, configs: dict, weight: str | None = None) -> DataFrame:
     """One GBT per config (optionally class-weighted), ranked by
-    average precision on held-out rows."""
+    average precision on held-out rows (rank 1 is the champion; equal ones
+    go by name)."""
     spark = train.sparkSession
     out = []
     for name, params in configs.items():
@@ -199,7 +200,8 @@ def fit_compare(train: DataFrame, test: DataFrame, label: str, configs: dict, we
         scored = probability(m.transform(test))
         r = ranking_metrics(scored, label, "score").first()
         out.append((name, float(r["roc_auc"]), float(r["avg_precision"])))
-    return spark.createDataFrame(out, "config string, roc_auc double, avg_precision double")
+    best = sorted(out, key=lambda r: (-r[2], r[0]))
+    return spark.createDataFrame([(i, i == 1, *r) for i, r in enumerate(best, 1)], "rank int, champion boolean, config string, roc_auc double, avg_precision double")
 
 
 def fit_rating(train: DataFrame, test: DataFrame, label: str, iters: int = 20, depth: int = 5) -> DataFrame:

@@ -112,10 +112,12 @@ def lookup_and_score_properties(spark, d):
     return _scored(_of("lookup_and_score", spark, d))
 
 
-@query("weighted_classifier_properties", sql="SELECT CAST(3 AS BIGINT) AS n, TRUE AS in_range FROM lineitem LIMIT 1")
+@query("weighted_classifier_properties", sql="SELECT CAST(3 AS BIGINT) AS n, TRUE AS in_range, TRUE AS champion_is_best FROM lineitem LIMIT 1")
 def weighted_classifier_properties(spark, d):
-    """Three configurations with metrics in range."""
-    return _of("weighted_classifier", spark, d).agg(_n(), (_unit("roc_auc") & _unit("avg_precision")).alias("in_range"))
+    """Three configurations with metrics in range; the one champion has the largest average precision and rank 1."""
+    won = F.max(F.when(F.col("champion") & (F.col("rank") == 1), F.col("avg_precision")))
+    return _of("weighted_classifier", spark, d).agg(_n(), (_unit("roc_auc") & _unit("avg_precision")).alias("in_range"),
+                                                    ((won == F.max("avg_precision")) & (F.count_if("champion") == 1)).alias("champion_is_best"))
 
 
 @query("rating_regressor_properties", sql="SELECT CAST(1 AS BIGINT) AS n, TRUE AS ordered, TRUE AS beats_the_range FROM lineitem LIMIT 1")
