@@ -1,6 +1,5 @@
-"""Model fitting and scoring on ``pyspark.ml``
-and exact 1-nearest-neighbour (J14). Fits are distributed estimators;
-only fitted parameters (never data rows) reach the driver."""
+"""Model fitting and scoring on ``pyspark.ml``.
+Fits are distributed estimators; only fitted parameters (never data rows) reach the driver."""
 
 from __future__ import annotations
 
@@ -8,7 +7,6 @@ import json
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -20,9 +18,9 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from mlframe.operators.metrics import ranking_metrics
+from mlframe.operators.neighbours import knn1, knn1_work  # noqa: F401
 
 
 def assemble(df: DataFrame, cols, out: str = "features", keep_invalid: bool = False) -> DataFrame:
@@ -295,54 +293,3 @@ def fit_baselines(train: DataFrame, test: DataFrame, label: str) -> DataFrame:
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=100, maxDepth=6, seed=42).fit(train)
     rows = [("logistic_regression", ev.evaluate(lr.transform(test))), ("random_forest", ev.evaluate(rf.transform(test)))]
     return train.sparkSession.createDataFrame(rows, "model string, roc_auc double")
-
-
-# ---- J14: exact 1-nearest neighbour ---------------------------------------------------
-
-KNN_OUT = T.StructType([T.StructField("test_id", T.LongType()), T.StructField("dist", T.DoubleType()),
-                        T.StructField("train_id", T.LongType()), T.StructField("pred", T.IntegerType())])
-
-
-def knn1(train: DataFrame, test: DataFrame, id_col: str, vec: str, label: str, block_rows: int = 2048) -> DataFrame:
-    """Nearest training row by squared distance; ties go to the lowest
-    training id (exact 1-NN is all-pairs work by nature).
-
-    Block nested loop: training and test rows are packed into blocks of about
-    ``block_rows`` (bounded payloads); every (test block, train block) pair
-    meets once through an equi-join on the train block id and is solved in
-    numpy. Per test row only the best candidate of each block is emitted,
-    then a min over blocks - no row pairs are ever materialised."""
-    def blocks(df, n):
-        return max(1, -(-df.count() // block_rows))
-    nb, nq = blocks(train, block_rows), blocks(test, block_rows)
-    tb = (train.select(F.col(id_col).alias("tid"), F.col(vec).cast("array<double>").alias("tv"), F.col(label).alias("tl"))
-          .withColumn("blk", F.pmod(F.xxhash64("tid"), F.lit(nb)))
-          .groupBy("blk").agg(F.collect_list(F.struct("tid", "tv", "tl")).alias("rows")))
-    qb = (test.select(F.col(id_col).alias("qid"), F.col(vec).cast("array<double>").alias("qv"))
-          .withColumn("qblk", F.pmod(F.xxhash64("qid"), F.lit(nq)))
-          .groupBy("qblk").agg(F.collect_list(F.struct("qid", "qv")).alias("qrows"))
-          .select("qrows", F.explode(F.sequence(F.lit(0), F.lit(nb - 1)).cast("array<long>")).alias("blk")))
-    # a few pairs of blocks per task: an Arrow batch never holds more than one task's rows
-    j = qb.join(tb, "blk").repartition(max(1, nb * nq // 4))
-
-    def solve(it):
-        for pdf in it:
-            out = []
-            for qrows, rows in zip(pdf["qrows"], pdf["rows"]):
-                ids = np.array([r["tid"] for r in rows], dtype=np.int64)
-                X = np.vstack([np.asarray(r["tv"], dtype=float) for r in rows])
-                labs = np.array([r["tl"] for r in rows])
-                qids = np.array([r["qid"] for r in qrows], dtype=np.int64)
-                Q = np.vstack([np.asarray(r["qv"], dtype=float) for r in qrows])
-                step = max(1, 8_000_000 // max(1, X.shape[0] * X.shape[1]))
-                exact = np.vstack([((Q[i:i + step, None, :] - X[None, :, :]) ** 2).sum(axis=2)
-                                   for i in range(0, len(Q), step)])
-                order = np.lexsort((np.broadcast_to(ids, exact.shape), exact), axis=1)[:, 0]
-                out.append(pd.DataFrame({"test_id": qids, "dist": exact[np.arange(len(Q)), order],
-                                         "train_id": ids[order], "pred": labs[order].astype("int32")}))
-            yield pd.concat(out) if out else pd.DataFrame({c: [] for c in ["test_id", "dist", "train_id", "pred"]})
-
-    best = j.mapInPandas(solve, KNN_OUT)
-    return best.groupBy("test_id").agg(F.min(F.struct("dist", "train_id", "pred")).alias("b")) \
-        .select("test_id", F.col("b.train_id").alias("nn_id"), F.col("b.pred").alias("pred"), F.col("b.dist").alias("dist"))
-

@@ -273,7 +273,7 @@ FROM d GROUP BY test_id
 def knn1(spark, d):
     """Exact 1-NN label for the 20% test embeddings (ties: lowest id)."""
     e = read(spark, d, "embeddings").withColumn("u", hash_uniform("vec_id", lane="knn"))
-    out = ML.knn1(e.where("u < 0.8"), e.where("u >= 0.8"), "vec_id", "embedding", "label", block_rows=256)
+    out = ML.knn1(e.where("u < 0.8"), e.where("u >= 0.8"), "vec_id", "embedding", "label")
     return out.select("test_id", "nn_id", "pred", F.round("dist", 4).alias("dist"))
 
 
@@ -285,3 +285,31 @@ def knn1_accuracy(spark, d):
     e = read(spark, d, "embeddings", ["vec_id", "label"]).withColumnRenamed("vec_id", "test_id")
     return knn1(spark, d).join(e, "test_id").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col("pred") == F.col("label")).cast("double")), 6).alias("accuracy"))
+
+
+PART_KNN_SQL = f"""
+WITH e AS (SELECT p_partkey, 2.0 * p_size AS x, p_retailprice AS y, p_size, {hash_uniform_sql('p_partkey', 'knn')} < 0.8 AS is_train FROM part),
+d AS (SELECT te.p_partkey AS test_id, tr.p_partkey AS nn_id, tr.p_size AS pred,
+             (te.x - tr.x) * (te.x - tr.x) + (te.y - tr.y) * (te.y - tr.y) AS dist
+      FROM (SELECT * FROM e WHERE NOT is_train) te, (SELECT * FROM e WHERE is_train) tr)
+"""
+
+
+def _parts(spark, d):
+    e = read(spark, d, "part", ["p_partkey", "p_size", "p_retailprice"]).withColumn("u", hash_uniform("p_partkey", lane="knn"))
+    e = e.withColumn("v", F.array(2.0 * F.col("p_size"), F.col("p_retailprice")))
+    return e.where("u < 0.8"), e.where("u >= 0.8"), "p_partkey", "v", "p_size", 64
+
+
+@query("knn1_parts", sql=PART_KNN_SQL + f"""
+SELECT test_id, arg_min(nn_id, (dist, nn_id)) AS nn_id, arg_min(pred, (dist, nn_id)) AS pred, {R('min(dist)', 4)} AS dist FROM d GROUP BY test_id
+""")
+def knn1_parts(spark, d):
+    """J14 on two columns: the part of the nearest size and price, where most blocks of training rows are ruled out."""
+    return ML.knn1(*_parts(spark, d)).select("test_id", "nn_id", "pred", F.round("dist", 4).alias("dist"))
+
+
+@query("knn1_work", sql=PART_KNN_SQL + "SELECT count(*) AS pairs, TRUE AS most_skipped FROM d")
+def knn1_work(spark, d):
+    """Pairs of ``knn1_parts``; fewer than half of them are compared."""
+    return ML.knn1_work(*_parts(spark, d)).select("pairs", (F.col("skipped_share") > 0.5).alias("most_skipped"))
