@@ -79,12 +79,15 @@ def partitioned_write(spark, d):
     return back.select("event_id", "user_id", "value", "event_date")
 
 
-@query("upsert_by_key", sql=PAY + f""",
+UPSERT_SQL = PAY + f""",
 old AS ({COUNTERS_SQL.replace('FROM payments', "FROM payments WHERE event_ts < TIMESTAMP '2024-01-20 00:00:00'")}),
 upd AS ({COUNTERS_SQL.replace('FROM payments', "FROM payments WHERE event_ts >= TIMESTAMP '2024-01-20 00:00:00'").replace('SELECT instrument_id', 'SELECT instrument_id', 1)})
 SELECT * FROM old WHERE instrument_id NOT IN (SELECT instrument_id FROM upd)
 UNION ALL SELECT * FROM upd
-""")
+"""
+
+
+@query("upsert_by_key", sql=UPSERT_SQL)
 def upsert_by_key(spark, d):
     """Counters from the first 19 days upserted with counters computed
     on the rest (matched keys replaced, new keys inserted, others kept);
@@ -101,6 +104,17 @@ def upsert_by_key(spark, d):
     return spark.read.parquet(f"{root}/v2")
 
 
+@query("upsert_parts", sql=UPSERT_SQL)
+def upsert_parts(spark, d):
+    """S11 in place: the same counters in a table laid out by key hash, whose touched parts alone are rewritten."""
+    p = B.payments(spark, d)
+    cut = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    path = f"{scratch_dir(spark, 'keyed')}/counters"
+    TB.write_keyed(entity_counters(p.where(F.col("event_ts") < cut)), path, "instrument_id", parts=16)
+    TB.upsert_keyed(spark, path, entity_counters(p.where(F.col("event_ts") >= cut)), "instrument_id")
+    return TB.read_keyed(spark, path)
+
+
 @query("ctas", sql=B.cte(sales=B.SALES_SQL) + """
 SELECT account_id, count(*) AS n_lines, sum(cases) AS total_cases FROM sales GROUP BY account_id
 """)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,6 +96,57 @@ def upsert(target: DataFrame, updates: DataFrame, keys, check_unique: bool = Tru
     return target.join(u, same, "left_anti").unionByName(updates.select(*target.columns))
 
 
+def write_keyed(df: DataFrame, path: str, keys, parts: int = 64) -> str:
+    """A table laid out for ``upsert_keyed``: one folder per hash part of the key. Choose ``parts`` so that
+    a part is a few hundred MB; the table keeps its number (it is in the folders' names)."""
+    name = f"_of{parts}"
+    _in_parts(df, keys, name).repartition(name).write.mode("overwrite").partitionBy(name).parquet(path)
+    return path
+
+
+def _in_parts(df: DataFrame, keys, name: str) -> DataFrame:
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return df.withColumn(name, F.pmod(F.xxhash64(*keys), F.lit(int(name[3:]))).cast("int"))
+
+
+def read_keyed(spark: SparkSession, path: str) -> DataFrame:
+    df = spark.read.parquet(path)
+    return df.drop(_part_column(df))
+
+
+def _part_column(df: DataFrame) -> str:
+    return next(c for c in reversed(df.columns) if re.fullmatch(r"_of\d+", c))
+
+
+def upsert_keyed(spark: SparkSession, path: str, updates: DataFrame, keys) -> list[int]:
+    """S11 on a table of ``write_keyed``, in place: only the parts that the updates' keys fall into are read and
+    rewritten; all other files stay as they are. Returns the parts that were written (single writer).
+
+    The new parts are written to ``_pending`` first, a folder that readers of the table skip, and moved in by a dynamic
+    partition overwrite only when they are whole. A call that finds whole pending parts of a writer that was lost
+    moves them in before its own; repeating a lost call changes nothing more."""
+    pending = f"{path}/_pending"
+
+    def move_in():
+        name = _part_column(spark.read.parquet(pending))
+        (spark.read.parquet(pending).repartition(name).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(name).parquet(path))
+        _remove(spark, pending)
+
+    if exists(spark, f"{pending}/_SUCCESS"):
+        move_in()
+    current = spark.read.parquet(path)
+    name = _part_column(current)
+    updates = _in_parts(updates.select(*[c for c in current.columns if c != name]), keys, name)
+    touched = sorted(r[0] for r in updates.select(name).distinct().collect())  # at most the number of parts
+    if not touched:
+        return touched
+    merged = upsert(current.where(F.col(name).isin(touched)), updates, keys)
+    merged.repartition(name).write.mode("overwrite").partitionBy(name).parquet(pending)
+    move_in()
+    return touched
+
+
 def create_as(spark: SparkSession, name: str, sql: str, path: str | None = None) -> DataFrame:
     """Create-or-replace a table from a SELECT (CTAS).
 
@@ -120,6 +172,11 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(hadoop) if st.isDirectory())
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
