@@ -134,3 +134,19 @@ def pos_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Negatives / positives ratio as the positive-class weight (no row needs it without positives)."""
     ratio = df.agg(F.try_divide(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1)).alias("r")).scalar()
     return df.withColumn(name, F.when(F.col(label) == 1, ratio).otherwise(F.lit(1.0)))
+
+
+# ---- A20: stored distinct sketches ----------------------------------------------------
+
+SKETCH_LG = 12  # standard error of a merged estimate: below 1.04 / sqrt(2 ** 12), about 1.6 %
+
+
+def distinct_sketches(df: DataFrame, by, col: str, lg: int = SKETCH_LG) -> DataFrame:
+    """Per group the row count and a HyperLogLog sketch of ``col`` (at most ``2 ** lg`` bytes and a little; nulls do not count)."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.hll_sketch_agg(col, F.lit(lg)).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, by, n: str = "n_events", users: str = "approx_users") -> DataFrame:
+    """Counts and distinct estimates of coarser groups from stored sketches; no row of the source is read again.
+    Sketches merge without loss: the estimate is that of one sketch over all rows of the group."""
+    return sketches.groupBy(*by).agg(F.sum("n").alias(n), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(users))

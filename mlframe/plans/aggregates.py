@@ -8,6 +8,7 @@ from mlframe import bindings as B
 from mlframe.operators import aggs as A
 from mlframe.plans import query
 from mlframe.plans.sql import R
+from mlframe.session import scratch_dir
 from mlframe.sources.tables import read
 
 RATINGS = B.cte(ratings=B.RATINGS_SQL)
@@ -248,6 +249,23 @@ def daily_event_summary(spark, d):
         F.count(F.lit(1)).alias("n_events"), F.approx_count_distinct("user_id", 0.05).alias("approx_users"))
 
 
+def stored_user_sketches(spark, d):
+    """Daily sketches of the users per type and region, written one folder per date."""
+    e = read(spark, d, "events", ["ts", "event_type", "user_id"])
+    daily = A.distinct_sketches(e.select(F.to_date("ts").alias("event_date"), "event_type", (F.col("user_id") % 4).alias("region"), "user_id"),
+                                ["event_date", "event_type", "region"], "user_id")
+    path = f"{scratch_dir(spark, 'sketches')}/daily"
+    daily.repartition("event_date").write.partitionBy("event_date").parquet(path)
+    return spark.read.parquet(path).withColumn("event_date", F.col("event_date").cast("date"))
+
+
+@query("weekly_users")
+def weekly_users(spark, d):
+    """Events and approximate distinct users per week, type and region, merged from the daily sketches."""
+    s = stored_user_sketches(spark, d)
+    return A.merge_sketches(s.withColumn("week", F.to_date(F.date_trunc("week", "event_date"))), ["week", "event_type", "region"])
+
+
 @query("revenue_rollup", sql=SALES + f"""
 SELECT a.region, s.week, count(*) AS n, {R('sum(s.net_revenue)', 4)} AS revenue,
        round(sum(s.net_revenue), 4) / count(s.net_revenue) AS avg_revenue

@@ -53,10 +53,19 @@ def kmeans_sweep(spark, d):
 @query("cluster_table")
 def cluster_table(spark, d):
     """Cluster labels + 2 principal coordinates on log sensor features."""
-    ws = S.log_columns(B.wide_sensors(spark, d), B.SENSOR_COLS)
+    return clustered_sensors(spark, d)[0].select("l_orderkey", "l_linenumber", "cluster", "pc1", "pc2")
+
+
+@query("cluster_centroids")
+def cluster_centroids(spark, d):
+    """The centroids of ``cluster_table`` in original units."""
+    return clustered_sensors(spark, d)[1]
+
+
+def clustered_sensors(spark, d):
+    """(labelled rows, centroids) of the log sensor features."""
     cols = [f"log_{c}" for c in B.SENSOR_COLS]
-    rows, cents = ML.cluster_table(ws, cols, k=4, log_cols=cols)
-    return rows.select("l_orderkey", "l_linenumber", "cluster", "pc1", "pc2")
+    return ML.cluster_table(S.log_columns(B.wide_sensors(spark, d), B.SENSOR_COLS), cols, k=4, log_cols=cols)
 
 
 def _orders_features(spark, d):

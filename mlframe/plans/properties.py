@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from mlframe.operators import aggs as A
 from mlframe.operators import ml as ML
 from mlframe.plans import REGISTRY, query
 from mlframe.plans.aggregates import monthly_demand_df
@@ -40,6 +41,22 @@ def daily_event_summary_properties(spark, d):
                  F.every(F.abs(F.col("approx_users") - F.col("exact")) <= 0.2 * F.col("exact") + 1).alias("within_bound"))
 
 
+@query("weekly_users_properties", sql="""
+SELECT CAST(date_trunc('week', ts) AS DATE) AS week, event_type, user_id % 4 AS region, count(*) AS n_events,
+       count(DISTINCT user_id) AS exact_users, TRUE AS within_bound
+FROM events GROUP BY ALL
+""")
+def weekly_users_properties(spark, d):
+    """The merged counts of every week, and distinct users within four standard errors of the exact number."""
+    e = read(spark, d, "events", ["ts", "event_type", "user_id"])
+    exact = e.groupBy(F.to_date(F.date_trunc("week", "ts")).alias("week"), "event_type", (F.col("user_id") % 4).alias("region")).agg(
+        F.count_distinct("user_id").alias("exact_users"))
+    j = _of("weekly_users", spark, d).join(exact, ["week", "event_type", "region"], "full")
+    error = 4 * 1.04 / 2 ** (A.SKETCH_LG / 2)
+    near = F.abs(F.col("approx_users") - F.col("exact_users")) <= error * F.col("exact_users") + 1
+    return j.select("week", "event_type", "region", "n_events", "exact_users", near.alias("within_bound"))
+
+
 @query("pca_recon_score_properties", sql="SELECT count(*) AS n, TRUE AS nonnegative, TRUE AS share_is_unit, TRUE AS parts_add_up FROM lineitem")
 def pca_recon_score_properties(spark, d):
     """M2: errors are squares, the kept share is a share, and the two
@@ -84,6 +101,20 @@ def cluster_table_properties(spark, d):
     return r.select("*", one).join(c.select("*", one), "_one").drop("_one")
 
 
+@query("cluster_centroids_properties", sql="SELECT CAST(4 AS BIGINT) AS n, TRUE AS whole_numbers, TRUE AS within_data FROM lineitem LIMIT 1")
+def cluster_centroids_properties(spark, d):
+    """Four centroids, rounded to whole numbers, each between the least and the greatest value of its column."""
+    from mlframe import bindings as B
+    c = _of("cluster_centroids", spark, d)
+    span = B.wide_sensors(spark, d).agg(*[f(x).alias(f"{x}_{f.__name__}") for x in B.SENSOR_COLS for f in (F.min, F.max)])
+    one = F.lit(1).alias("_one")
+    j = c.select("*", one).join(span.select("*", one), "_one")
+    cols = [f"log_{x}" for x in B.SENSOR_COLS]
+    within = [F.col(f"log_{x}").between(F.col(f"{x}_min") - 1, F.col(f"{x}_max") + 1) for x in B.SENSOR_COLS]
+    return j.agg(_n(), F.every(F.array_max(F.array(*[F.abs(F.col(x) - F.round(x, 0)) for x in cols])) == 0).alias("whole_numbers"),
+                 F.every(F.forall(F.array(*within), lambda b: b)).alias("within_data"))
+
+
 @query("propensity_model_properties", sql="SELECT TRUE AS has_features, TRUE AS shares, TRUE AS auc_in_range FROM orders LIMIT 1")
 def propensity_model_properties(spark, d):
     """At most 15 features with importances that are shares, and an AUC."""

@@ -48,10 +48,16 @@ UNION ALL SELECT 'keys_complete', v = 0, CAST(v AS DOUBLE) FROM (SELECT count(*)
 UNION ALL SELECT 'no_orphan_accounts', v = 0, CAST(v AS DOUBLE) FROM (SELECT count(*) v FROM sales s WHERE NOT EXISTS (SELECT 1 FROM account a WHERE a.account_id = s.account_id))
 UNION ALL SELECT 'no_rows_before_launch', v = 0, CAST(v AS DOUBLE) FROM (SELECT count(*) v FROM sales WHERE week < DATE '1994-12-26')
 UNION ALL SELECT 'positive_cases', v = 0, CAST(v AS DOUBLE) FROM (SELECT count(*) v FROM sales WHERE cases <= 0)
+UNION ALL SELECT 'promo_price_below_regular', v < 1, v
+FROM (SELECT round(sum(net_revenue) FILTER (WHERE promo_flag = 1) / sum(cases) FILTER (WHERE promo_flag = 1)
+                   / (sum(net_revenue) FILTER (WHERE promo_flag = 0) / sum(cases) FILTER (WHERE promo_flag = 0)), 6) v FROM sales)
 """)
 def invariants(spark, d):
     """Q2: table-level checks as one (name, ok, value) frame; the fact is
     built and read once, with the accounts it may refer to joined on."""
+    def price(flag):
+        of = F.col("promo_flag") == flag
+        return F.sum(F.when(of, F.col("net_revenue"))) / F.sum(F.when(of, F.col("cases")))
     known = B.dim_account(spark, d).select("account_id", F.lit(True).alias("known"))
     s = B.sales(spark, d).join(known, "account_id", "left")
     rules = [
@@ -62,6 +68,7 @@ def invariants(spark, d):
         ("no_orphan_accounts", F.count_if(F.col("known").isNull()), "value = 0"),
         ("no_rows_before_launch", F.count_if(F.col("week") < F.lit("1994-12-26").cast("date")), "value = 0"),
         ("positive_cases", F.count_if(F.col("cases") <= 0), "value = 0"),
+        ("promo_price_below_regular", F.round(price(1) / price(0), 6), "value < 1"),
     ]
     return Q.invariants(s, rules)
 

@@ -199,3 +199,19 @@ def test_approx_distinct_within_bound(spark, sf_dir):
     assert j.where("n_events <> n").count() == 0
     # HyperLogLog++ at 5% relative standard deviation: every group within 4 sigma
     assert j.where("abs(approx_users - exact) > 0.2 * exact + 1").count() == 0
+
+
+def test_merged_sketches_equal_one_sketch(spark, sf_dir):
+    """Sketches merged from days, null users and an empty group among them, estimate as one sketch over all rows does."""
+    from mlframe.operators.aggs import distinct_sketches, merge_sketches
+    e = read(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), "event_type", F.when(F.col("user_id") % 9 > 0, F.col("user_id")).alias("u"))
+    e = e.unionByName(spark.createDataFrame([(None, "silent", None)], e.schema))
+    merged = merge_sketches(distinct_sketches(e, ["day", "event_type"], "u"), ["event_type"])
+    whole = merge_sketches(distinct_sketches(e, ["event_type"], "u"), ["event_type"])
+    exact = {r[0]: r[1] for r in e.groupBy("event_type").agg(F.count_distinct("u")).collect()}
+    got = {r["event_type"]: (r["n_events"], r["approx_users"]) for r in merged.collect()}
+    assert set(got) == set(exact) and got["silent"] == (1, 0)
+    for r in whole.collect():
+        n, users = got[r["event_type"]]
+        assert n == r["n_events"] and abs(users - exact[r["event_type"]]) <= 0.065 * exact[r["event_type"]] + 1
+        assert abs(users - r["approx_users"]) <= 0.02 * r["approx_users"] + 1
