@@ -14,9 +14,11 @@ over beta (coarse grid, then a fine grid around the best coarse point).
 from __future__ import annotations
 
 import math
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +45,7 @@ COARSE = (0.05, 0.05, 200)      # start, step, points
 FINE_HALF, FINE_STEP = 0.05, 0.0005
 FINE_POINTS = 201
 WIDER = 8.0
+FRAME_ROWS = 200_000            # rows that a task hands on at once
 WIDEST_BETA = 1e6               # equal lifetimes have no finite optimum: given up here
 
 
@@ -74,12 +77,13 @@ def _power_sums(cnt: DataFrame, by, points: int) -> DataFrame:
             first = pd.Series(np.arange(len(pdf))).groupby(code).first().to_numpy()
             start, step = pdf["_start"].to_numpy(), pdf["_step"].to_numpy()
             w, log_u = pdf["w"].to_numpy(), np.log(pdf["t"].to_numpy() / pdf["_tm"].to_numpy())
-            for i in range(points):
-                beta = start + i * step
-                part = pdf.iloc[first][order].copy()
-                part["i"] = np.int32(i)
-                part["beta"] = beta[first]
-                part["S"] = np.bincount(code, weights=w * np.exp(beta * log_u), minlength=len(first))
+            keys, n = pdf.iloc[first][order], len(first)
+            for lo in range(0, points, max(1, FRAME_ROWS // n)):  # many points a frame, few where a batch holds many groups
+                at = range(lo, min(points, lo + max(1, FRAME_ROWS // n)))
+                part = keys.take(np.tile(np.arange(n), len(at)))
+                part["i"] = np.repeat(np.array(at, dtype="int32"), n)
+                part["beta"] = np.concatenate([start[first] + i * step[first] for i in at])
+                part["S"] = np.concatenate([np.bincount(code, weights=w * np.exp((start + i * step) * log_u), minlength=n) for i in at])
                 yield part
 
     sums = d.where("t > 0").mapInPandas(run, schema).groupBy(*order, "i").agg(F.first("beta").alias("beta"), F.sum("S").alias("S"))
@@ -105,19 +109,26 @@ def _grid_pass(cnt: DataFrame, by, state: DataFrame, points: int, alpha_max: flo
     return st.withColumn("alpha", a).withColumn("ll", ll)
 
 
+def reduce_lifetimes(df: DataFrame, by, t: str = "t", failed: str = "failed") -> tuple[DataFrame, DataFrame]:
+    """(counts, statistics) that any number of fits of the same groups can share."""
+    by = [by] if isinstance(by, str) else list(by)
+    ensure_checkpoint_dir(df.sparkSession)
+    cnt = lifetime_counts(df, by, t, failed).checkpoint(eager=True)  # read by every pass
+    return cnt, _group_stats(cnt, by).checkpoint(eager=True)
+
+
 def weibull_mle(df: DataFrame, by, t: str = "t", failed: str = "failed", alpha_max: float | None = None,
-                min_failures: int = 1) -> DataFrame:
+                min_failures: int = 1, reduced: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Per group beta, alpha, median life (alpha * ln2^(1/beta)),
     n and failures; null estimates when failures < ``min_failures`` (a group
     without failures included) or when the likelihood has no finite optimum
     (all failures at the longest lifetime).
     With ``alpha_max`` the scale is capped (for a fixed beta the likelihood is
     unimodal in alpha, so the capped optimum is min(alpha_hat, cap)) and
-    ``on_cap`` flags a fit pinned to the bound."""
+    ``on_cap`` flags a fit pinned to the bound. ``reduced`` is the result of
+    ``reduce_lifetimes`` on the same arguments, if there is one."""
     by = [by] if isinstance(by, str) else list(by)
-    ensure_checkpoint_dir(df.sparkSession)
-    cnt = lifetime_counts(df, by, t, failed).checkpoint(eager=True)  # read by every pass
-    stats = _group_stats(cnt, by).checkpoint(eager=True)
+    cnt, stats = reduced or reduce_lifetimes(df, by, t, failed)
     start, step, points = COARSE
     state = stats.where("nf > 0").select("*", F.lit(start).alias("_start"), F.lit(step).alias("_step"))
     found = []
@@ -150,17 +161,17 @@ def weibull_mle(df: DataFrame, by, t: str = "t", failed: str = "failed", alpha_m
     return out
 
 
-def weibull_bayes(df: DataFrame, by, t: str = "t", failed: str = "failed") -> DataFrame:
+def weibull_bayes(df: DataFrame, by, t: str = "t", failed: str = "failed",
+                  reduced: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Grid posterior over (beta, alpha); posterior means of beta and
     alpha and the 90% interval of alpha's marginal. The power sums of the
     beta points are all that is shuffled; the grid of a group lives in one
     task's arrays (points x points, whatever the data)."""
     by = [by] if isinstance(by, str) else list(by)
-    ensure_checkpoint_dir(df.sparkSession)
-    cnt = lifetime_counts(df, by, t, failed).checkpoint(eager=True)
+    cnt, stats = reduced or reduce_lifetimes(df, by, t, failed)
     bl, bh, bn = BAYES_BETA
     al, ah, an = BAYES_ALPHA
-    stats = _group_stats(cnt, by).select("*", F.lit(bl).alias("_start"), F.lit((bh - bl) / (bn - 1)).alias("_step"))
+    stats = stats.select("*", F.lit(bl).alias("_start"), F.lit((bh - bl) / (bn - 1)).alias("_step"))
     grid = _left(_power_sums(_same(cnt, stats, by), by, bn), stats, by)
     names = [f"_k{i}" for i in range(len(by))]
     grid = grid.select(*[F.col(k).alias(n) for k, n in zip(by, names)], "i", "beta", "S", "nf", F.coalesce("L", F.lit(0.0)).alias("L"), "_tm")
@@ -207,8 +218,11 @@ def censor_sweep(df: DataFrame, by, times, t: str = "t", failed: str = "failed",
     x = x.select(*by, "inspect_t", F.least("_t", "inspect_t").alias("t"),
                  (F.col("_f").cast("boolean") & (F.col("_t") <= F.col("inspect_t"))).cast("int").alias("failed"))
     keys = [*by, "inspect_t"]
-    out = weibull_mle(x, keys, min_failures=min_failures)
-    if alpha_max:
-        bounded = weibull_mle(x, keys, alpha_max=alpha_max, min_failures=min_failures)
-        out = _left(out, bounded.select(*keys, F.col("beta").alias("beta_bounded"), F.col("alpha").alias("alpha_bounded"), "on_cap"), keys)
-    return _left(out, weibull_bayes(x, keys), keys)
+    reduced = reduce_lifetimes(x, keys)
+    fits = [lambda: weibull_mle(x, keys, min_failures=min_failures, reduced=reduced),
+            lambda: weibull_mle(x, keys, alpha_max=alpha_max, min_failures=min_failures, reduced=reduced)]
+    with ThreadPool(2) as pool:  # the searches' rounds run side by side
+        out, *bounded = pool.map(inheritable_thread_target(df.sparkSession)(lambda fit: fit()), fits if alpha_max else fits[:1])
+    if bounded:
+        out = _left(out, bounded[0].select(*keys, F.col("beta").alias("beta_bounded"), F.col("alpha").alias("alpha_bounded"), "on_cap"), keys)
+    return _left(out, weibull_bayes(x, keys, reduced=reduced), keys)
