@@ -18,14 +18,35 @@ FROM b
 OP6_SQL = r"""
 WITH RECURSIVE lines AS (
   SELECT doc_id, unnest(range(0, len(l))) AS para, unnest(l) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+listed AS (
+  SELECT doc_id, para, list_filter(string_split_regex(""" + _LOWER.format("line") + r""", '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM lines),
+words AS (
+  SELECT doc_id, para, i, w, row_number() OVER (PARTITION BY doc_id ORDER BY para, i) - 1 AS pos, count(*) OVER (PARTITION BY doc_id) AS n
+  FROM (SELECT doc_id, para, unnest(w) AS w, unnest(range(0, len(w))) AS i FROM listed)),
+bytes AS (SELECT w, hex(encode(w)) AS h FROM (SELECT DISTINCT w FROM words)),
+own AS (
+  SELECT w, list_sum(list_transform(range(0, len(h) // 2), lambda k: (16 * (instr('0123456789ABCDEF', h[2 * k + 1]) - 1) + instr('0123456789ABCDEF', h[2 * k + 2]) - 1)
+    * (7919 * (k + 1) * (k + 1) % 65521))) % 2147483647 AS v FROM bytes),
+valued AS (
+  SELECT doc_id, para, i, pos, n, w,
+    CASE WHEN i = 0 THEN -1 ELSE (CASE WHEN right(lag(w) OVER d, 1) IN ('.', '!', '?', '。', '！', '？') THEN 1 ELSE 2 END) * 2147483648
+      + (v * 48271 + coalesce(lead(v) OVER d, 0) * 16807) % 2147483647 END AS v
+  FROM words JOIN own USING (w) WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+placed AS (
+  SELECT *, i = 0 OR (pos + 5 < n AND v < min(v) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)
+    AND v <= min(v) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING)) AS cut FROM valued),
+pieced AS (SELECT *, sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS piece FROM placed),
+pieces AS (SELECT doc_id, para, min(pos) AS start, list(w ORDER BY pos) AS w, count(*) OVER (PARTITION BY doc_id, para) AS of FROM pieced GROUP BY doc_id, para, piece),
 para AS (
-  SELECT doc_id, CAST(para AS INTEGER) AS para, w, array_to_string(w, ' ') AS k FROM (
-    SELECT doc_id, para, list_filter(string_split_regex(""" + _LOWER.format("line") + r""", '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM lines)
-  WHERE len(w) > 0),
-kinds AS (SELECT k, any_value(w) AS w, min((doc_id, para)) AS place, row_number() OVER (ORDER BY min((doc_id, para))) AS id FROM para GROUP BY k),
+  SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY start, len(w) DESC) - 1 AS INTEGER) AS unit, CAST(para AS INTEGER) AS para,
+    CAST(start AS BIGINT) AS start, w, whole, array_to_string(w, ' ') AS k
+  FROM (SELECT doc_id, para, start, w, of = 1 AS whole FROM pieces
+        UNION ALL SELECT doc_id, para, min(pos), list(w ORDER BY pos), true FROM pieced GROUP BY doc_id, para HAVING max(piece) > min(piece))),
+kinds AS (
+  SELECT k, any_value(w) AS w, min((doc_id, unit, para, whole)) AS place, row_number() OVER (ORDER BY min((doc_id, unit, para, whole))) AS id FROM para GROUP BY k),
 shingles AS (
   SELECT DISTINCT id, array_to_string(w[i:i + 4], ' ') AS s
-  FROM (SELECT id, w, unnest(range(1, len(w) - 3)) AS i FROM kinds WHERE len(w) >= 10)),
+  FROM (SELECT id, w, unnest(range(1, len(w) - 3)) AS i FROM kinds WHERE len(w) >= 5)),
 sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
 links AS (
   SELECT a.id AS a, b.id AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.id < b.id
@@ -34,10 +55,12 @@ links AS (
 sym AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach(id, other) AS (SELECT a, a FROM sym UNION SELECT reach.id, sym.b FROM reach JOIN sym ON reach.other = sym.a),
 class AS (SELECT id, min(other) AS c FROM reach GROUP BY id),
-head AS (SELECT kinds.k, first.place FROM kinds LEFT JOIN class USING (id) JOIN kinds first ON first.id = coalesce(class.c, kinds.id))
-SELECT doc_id, para.para, CAST(len(w) AS BIGINT) AS n_words, place[1] AS class_id, place[2] AS class_para,
-       len(w) >= 10 AND (doc_id, para.para) <> place AS removed
-FROM para JOIN head USING (k)
+head AS (SELECT kinds.k, first.place FROM kinds LEFT JOIN class USING (id) JOIN kinds first ON first.id = coalesce(class.c, kinds.id)),
+judged AS (
+  SELECT doc_id, unit, para, start, CAST(len(w) AS BIGINT) AS n_words, place[1] AS class_id, place[2] AS class_unit,
+         (doc_id, unit) <> (place[1], place[2]) AND NOT (place[4] AND doc_id = place[1] AND para = place[3]) AS removed
+  FROM para JOIN head USING (k))
+SELECT *, CASE WHEN removed THEN n_words ELSE CAST(0 AS BIGINT) END AS n_removed FROM judged
 """
 
 # Every 100-byte string by its hex text; the runs of repeated ones are cut out of the hex text.

@@ -72,7 +72,7 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near-duplicate classes of all paragraphs: five-word shingles, Jaccard of 0.8 or more."""
+    """Near-duplicate classes of all lines and their pieces: five-word shingles, Jaccard of 0.8 or more."""
     return paragraph_classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
