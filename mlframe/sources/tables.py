@@ -152,12 +152,16 @@ def create_as(spark: SparkSession, name: str, sql: str, path: str | None = None)
 
     The rows are written to a new folder first; only then does the name move
     to it, so a failing query leaves the old table as it is, and readers that
-    opened the old one keep its files."""
+    opened the old one keep its files. With equal columns the name moves in one
+    statement; other columns need a drop and a create, between which the name is gone."""
     root = path or f"{scratch_dir(spark, name)}/t"
     target = f"{root}/v={time.time_ns()}"
     df = spark.sql(sql)
     df.write.parquet(target)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    if spark.catalog.tableExists(name) and [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in df.schema]:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{target}'")
+        return spark.table(name)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{target}'")
     return spark.table(name)

@@ -275,6 +275,17 @@ def test_failing_ctas_keeps_the_old_table(spark, tmp_dir):
     spark.sql("DROP TABLE keep_me")
 
 
+def test_create_as_moves_the_name_in_one_statement(spark, tmp_dir, monkeypatch):
+    TB.create_as(spark, "moved", "SELECT 1 AS x, 'a' AS y", f"{tmp_dir}/m")
+    said = []
+    run = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **k: (said.append(q), run(self, q, *a, **k))[1])
+    assert [tuple(r) for r in TB.create_as(spark, "moved", "SELECT 2 AS x, 'b' AS y", f"{tmp_dir}/m").collect()] == [(2, "b")]
+    assert not any(q.startswith(("DROP", "CREATE")) for q in said)
+    assert [tuple(r) for r in TB.create_as(spark, "moved", "SELECT 3 AS x", f"{tmp_dir}/m").collect()] == [(3,)]
+    spark.sql("DROP TABLE moved")
+
+
 def test_partitioned_write_leaves_the_session_alone(spark, tmp_dir):
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     df = spark.createDataFrame([(1, T0), (2, T0 + dt.timedelta(days=1))], "v int, ts timestamp_ntz")
