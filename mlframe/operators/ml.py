@@ -11,11 +11,11 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
 from pyspark.ml.feature import OneHotEncoder, PCA, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +35,19 @@ def assemble(df: DataFrame, cols, out: str = "features", keep_invalid: bool = Fa
     return df.withColumn(out, F.when(whole, vec))
 
 
+FIT_ROWS = 10_000  # rows that are worth a task of their own in an iterative fit
+SIDE_BY_SIDE_ROWS = 1_000_000  # trials of a search run side by side below this; above it one fit fills the cores and its caches the memory
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over the cores if they lie in a few large partitions (a file of few row groups): each of a
+    fit's many passes takes as long as its largest partition. Small or even tables stay as they are. A fit sends
+    statistics per partition and tree node, so there are no more partitions than cores."""
+    sizes = [r[0] for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).select("n").collect()]
+    parts = min(-(-sum(sizes) // FIT_ROWS), df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(parts) if parts > 1 and max(sizes) * parts > 1.5 * sum(sizes) else df
+
+
 # ---- M2 ----------------------------------------------------------------------------
 
 def pca_score(df: DataFrame, cols, k: int = 2, name: str = "recon_error"):
@@ -115,11 +128,16 @@ def cluster_table(df: DataFrame, cols, k: int = 4, seed: int = 42, log_cols=None
 
 # ---- M11 / M12 / M13 ----------------------------------------------------------------
 
-def propensity_pipeline(cat_cols, num_cols, label: str, trees: int = 200, depth: int = 12, seed: int = 42):
+NODE_IDS = 500_000_000  # rows times trees up to which a forest remembers each row's node (4 bytes) instead of walking from the root at every level
+
+
+def propensity_pipeline(cat_cols, num_cols, label: str, trees: int = 200, depth: int = 12, seed: int = 42, rows: int | None = None):
+    """Indexed and one-hot categories, numerics, a forest. ``rows`` (of the fit) decides how it is grown, not what grows."""
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in cat_cols]
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in cat_cols], outputCols=[f"{c}_ohe" for c in cat_cols])
     va = VectorAssembler(inputCols=[f"{c}_ohe" for c in cat_cols] + list(num_cols), outputCol="features")
-    rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed)
+    rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed,
+                                cacheNodeIds=rows is not None and rows * trees <= NODE_IDS)
     return Pipeline(stages=[*idx, ohe, va, rf])
 
 
@@ -205,23 +223,30 @@ def fit_compare(train: DataFrame, test: DataFrame, label: str, configs: dict, we
 def fit_rating(train: DataFrame, test: DataFrame, label: str, iters: int = 20, depth: int = 5) -> DataFrame:
     """Boosted regression trees; RMSE and MAE on held-out rows."""
     m = GBTRegressor(labelCol=label, featuresCol="features", maxIter=iters, maxDepth=depth, seed=42).fit(train)
-    pred = m.transform(test)
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction")
-    return train.sparkSession.createDataFrame(
-        [(ev.setMetricName("rmse").evaluate(pred), ev.setMetricName("mae").evaluate(pred))], "rmse double, mae double")
+    err = F.col("prediction") - F.col(label)
+    row = m.transform(test).agg(F.sqrt(F.avg(err * err)), F.avg(F.abs(err))).first()  # both in one pass over the scored rows
+    return train.sparkSession.createDataFrame([tuple(row)], "rmse double, mae double")
 
 
 def search(df: DataFrame, label: str, grid: dict, parallelism: int = 4, ratio: float = 0.8) -> DataFrame:
-    """Parameter search; trials train in parallel (``parallelism``)."""
+    """Parameter search on a random split; trials train in parallel (``parallelism``) while the table is small, one
+    after the other on all cores once it is large. Only the metrics are asked for, so no last fit on all rows follows."""
     gbt = GBTClassifier(labelCol=label, featuresCol="features", seed=42)
     b = ParamGridBuilder()
     for k, vals in grid.items():
         b = b.addGrid(getattr(gbt, k), vals)
     maps = b.build()
-    tvs = TrainValidationSplit(estimator=gbt, estimatorParamMaps=maps, trainRatio=ratio, parallelism=parallelism,
-                               evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR"), seed=42)
-    m = tvs.fit(df)
-    rows = [(json.dumps({p.name: v for p, v in pm.items()}), float(metric)) for pm, metric in zip(maps, m.validationMetrics)]
+    split = df.withColumn("_u", F.rand(42))
+    held = [split.where("_u < %r" % ratio).select("features", label).persist(), split.where("_u >= %r" % ratio).select("features", label).persist()]
+    ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR")
+    try:
+        at_once = parallelism if held[0].count() <= SIDE_BY_SIDE_ROWS else 1
+        with ThreadPool(at_once) as pool:
+            metrics = pool.map(inheritable_thread_target(lambda pm: ev.evaluate(gbt.fit(held[0], pm).transform(held[1]))), maps)
+    finally:
+        for h in held:
+            h.unpersist()
+    rows = [(json.dumps({p.name: v for p, v in pm.items()}), float(metric)) for pm, metric in zip(maps, metrics)]
     return df.sparkSession.createDataFrame(rows, "params string, area_under_pr double")
 
 
@@ -258,7 +283,8 @@ def random_search(train: DataFrame, valid: DataFrame, label: str, space: dict, t
 
     All trials are fitted with the first budget (number of trees), the best
     ``keep`` of them (at least one) with the next one, and so on, the trials
-    of a rung in parallel jobs of one session. One row per fit: rung, budget,
+    of a rung in parallel jobs of one session while the table is small (each fit
+    caches the rows anew) and one after the other on all cores once it is large. One row per fit: rung, budget,
     trial, params (JSON), area_under_pr on ``valid``, and whether the trial
     went on; of the last rung the best is marked. Equal metrics go by trial
     number, so a seed gives the same rows again.
@@ -266,15 +292,16 @@ def random_search(train: DataFrame, valid: DataFrame, label: str, space: dict, t
     drawn = draw_trials(space, trials, seed)
     alive, rows = list(range(trials)), []
     ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR")
-    held = [d.persist() for d in (train, valid)]
+    held = [d.select("features", label).persist() for d in (train, valid)]
 
     def fit(trial: int, budget: int) -> float:
         gbt = GBTClassifier(labelCol=label, featuresCol="features", seed=42, maxIter=budget, **drawn[trial])
         return float(ev.evaluate(gbt.fit(held[0]).transform(held[1])))
 
     try:
+        at_once = parallelism if held[0].count() <= SIDE_BY_SIDE_ROWS else 1
         for rung, budget in enumerate(budgets):
-            with ThreadPool(parallelism) as pool:
+            with ThreadPool(at_once) as pool:
                 got = dict(zip(alive, pool.map(inheritable_thread_target(lambda t, b=budget: fit(t, b)), alive)))
             best = sorted(alive, key=lambda t: (-got[t], t))
             stay = best[:max(1, int(np.ceil(len(best) * keep)))] if rung + 1 < len(budgets) else best[:1]

@@ -80,11 +80,11 @@ def _orders_features(spark, d):
 
 
 def _propensity(spark, d, trees: int = 200, depth: int = 12):
-    f = _orders_features(spark, d)
-    pipe = ML.propensity_pipeline(["o_orderstatus", "c_mktsegment"], ["o_totalprice", "c_acctbal", "month"], "label",
-                                  trees=trees, depth=depth)
+    f = ML.spread(_orders_features(spark, d))
     train = f.where("split = 'train'").persist()  # iterative fit: read the input once
     try:
+        pipe = ML.propensity_pipeline(["o_orderstatus", "c_mktsegment"], ["o_totalprice", "c_acctbal", "month"], "label",
+                                      trees=trees, depth=depth, rows=train.count())
         return f, pipe.fit(train)
     finally:
         train.unpersist()
@@ -129,9 +129,10 @@ def lookup_and_score(spark, d):
     return ML.score(ML.lookup_features(keys, spec, lambda t: read(spark, d, t)), loaded, 0.5, keep=[spec["key"]])
 
 
-def _sensor_train_test(spark, d):
+def _sensor_train_test(spark, d, hold: bool = True):
     ws = pos_weight(B.wide_sensors(spark, d), "is_failure")
-    a = ML.assemble(ws, B.SENSOR_COLS).select("features", "is_failure", "weight", "u_split").persist()
+    a = ML.spread(ML.assemble(ws, B.SENSOR_COLS).select("features", "is_failure", "weight", "u_split"))
+    a = a.persist() if hold else a
     return a, a.where("u_split < 0.8"), a.where("u_split >= 0.8")
 
 
@@ -179,7 +180,7 @@ def rating_regressor(spark, d):
     f = _rating_features(spark, d).withColumn("u", hash_uniform("user_id", "item_id", "ts_micros", lane="split"))
     cols = ["user_id_avg", "user_id_cnt", "user_id_std", "item_id_avg", "item_id_cnt", "item_id_std",
             "hour", "dow", "month"] + [f"g_{t}" for t in GENRE_TERMS]
-    a = ML.assemble(f, cols).select("features", "rating", "u").persist()
+    a = ML.spread(ML.assemble(f, cols).select("features", "rating", "u")).persist()
     try:
         return ML.fit_rating(a.where("u < 0.8"), a.where("u >= 0.8"), "rating", iters=10)
     finally:
@@ -203,11 +204,8 @@ def isolation_forest(spark, d):
 @query("param_search")
 def param_search(spark, d):
     """Parallel trials over a small boosted-tree grid."""
-    held, tr, _ = _sensor_train_test(spark, d)
-    try:
-        return ML.search(tr, "is_failure", {"maxDepth": [2, 4], "stepSize": [0.1, 0.3]}, parallelism=4)
-    finally:
-        held.unpersist()
+    _, tr, _ = _sensor_train_test(spark, d, hold=False)  # the search holds its two parts itself
+    return ML.search(tr, "is_failure", {"maxDepth": [2, 4], "stepSize": [0.1, 0.3]}, parallelism=4)
 
 
 # ---- fixed values that must equal the reference's: the search space and its trials
@@ -220,11 +218,8 @@ SEARCH_TRIALS = 10
 @query("random_search")
 def random_search(spark, d):
     """Ten random trials, halved twice while the number of trees doubles."""
-    held, tr, te = _sensor_train_test(spark, d)
-    try:
-        return ML.random_search(tr, te, "is_failure", SEARCH_SPACE, SEARCH_TRIALS, seed=17)
-    finally:
-        held.unpersist()
+    _, tr, te = _sensor_train_test(spark, d, hold=False)  # the search holds its two parts itself
+    return ML.random_search(tr, te, "is_failure", SEARCH_SPACE, SEARCH_TRIALS, seed=17)
 
 
 @query("group_forecast")
@@ -246,7 +241,8 @@ def lag_forecaster(spark, d):
     from mlframe.operators.sampling import holdout
     f = holdout(W.lag_features(filled_demand(spark, d), ["brand", "region"], "ds", "y"),
                 ["brand", "region"], "ds", 6)
-    a = ML.assemble(f, ["lag_1", "lag_2", "lag_3", "lag_12", "month"])
+    # one row per series and month, made by joins and windows over all sales: written once, as the fit reads it many times
+    a = ML.assemble(f, ["lag_1", "lag_2", "lag_3", "lag_12", "month"]).checkpoint(eager=True)
     m = GBTRegressor(labelCol="y", featuresCol="features", maxIter=20, maxDepth=4, seed=42).fit(a.where("split = 'train'"))
     p = m.transform(a.where("split = 'holdout'"))
     return p.groupBy("brand", "region").agg(
