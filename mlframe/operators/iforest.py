@@ -92,41 +92,41 @@ def fit_iforest(df: DataFrame, cols, trees: int = 150, sample_size: int = 256, s
     return cand.groupBy("tree").applyInPandas(grow, TREE_SCHEMA).withColumn("sample_size", F.lit(sample_size))
 
 
+def _walkable(feature, split, left, right, size):
+    """A tree for rows that walk it together: per node its feature, split, two children (a leaf's are itself) and path
+    length (depth, and at a leaf the average length below it, which needs no look at the rows), and the tree's depth."""
+    feature, size, n = np.array(feature), np.array(size), len(feature)
+    leaf = feature < 0
+    child = np.stack([np.where(leaf, np.arange(n), left), np.where(leaf, np.arange(n), right)], axis=1)
+    depth = np.zeros(n)
+    for i in np.flatnonzero(~leaf):  # a node is numbered before its children
+        depth[child[i]] = depth[i] + 1
+    length = depth + np.array([_c(z) for z in size])
+    return np.where(leaf, 0, feature), np.array(split, dtype=float), child.ravel(), length, int(depth.max())
+
+
+def _path_lengths(x: np.ndarray, tree) -> np.ndarray:
+    feature, split, child, length, depth = tree
+    at, flat, start = np.zeros(len(x), dtype=np.int64), x.ravel(), np.arange(len(x)) * x.shape[1]
+    for _ in range(depth):
+        at = child[2 * at + ~(flat[start + feature[at]] < split[at])]
+    return length[at]
+
+
 def score_iforest(df: DataFrame, cols, forest: DataFrame, name: str = "anomaly_score") -> DataFrame:
     """Anomaly score 2^(-E[h(x)]/c(psi)) per row (higher = more anomalous); null for a row with a null feature."""
     rows = forest.orderBy("tree").collect()  # the fitted model: bounded by trees x nodes
     psi = rows[0]["sample_size"] if rows else 256
-    model = [(np.array(r["feature"]), np.array(r["split"]), np.array(r["left"]), np.array(r["right"]),
-              np.array(r["size"])) for r in rows]
-    bc = df.sparkSession.sparkContext.broadcast(model)
+    bc = df.sparkSession.sparkContext.broadcast([_walkable(r["feature"], r["split"], r["left"], r["right"], r["size"]) for r in rows])
     cpsi = _c(psi)
     out_schema = T.StructType(df.schema.fields + [T.StructField(name, T.DoubleType())])
 
-    c_of = np.vectorize(_c)
-
-    def depths(x, tree):
-        # all rows of the batch walk the tree together (vectorised over rows)
-        feat, split, left, right, size = tree
-        idx = np.zeros(len(x), dtype=int)
-        depth = np.zeros(len(x))
-        rows = np.arange(len(x))
-        while True:
-            f = feat[idx]
-            active = f >= 0
-            if not active.any():
-                break
-            xv = x[rows, np.where(active, f, 0)]
-            nxt = np.where(xv < split[idx], left[idx], right[idx])
-            idx = np.where(active, nxt, idx)
-            depth += active
-        return depth + c_of(size[idx])
-
     def run(it):
         forest_m = bc.value
         for pdf in it:
             x = pdf[cols].to_numpy(dtype=float)
             if len(x) and forest_m:
-                h = np.mean([depths(x, t) for t in forest_m], axis=0)
+                h = sum(_path_lengths(x, t) for t in forest_m) / len(forest_m)
                 pdf[name] = np.where(np.isnan(x).any(axis=1), np.nan, np.power(2.0, -h / cpsi) if cpsi > 0 else 0.0)
             else:
                 pdf[name] = 0.0
