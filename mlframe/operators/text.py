@@ -20,6 +20,9 @@ ENRICH_SCHEMA = T.StructType([
 ])
 
 
+PIECE_BYTES = 2 << 20  # text that the vectorised model takes at once; its tokens and masks are several times as large
+
+
 def infer_sentences(df: DataFrame, model_factory=lexicon_model) -> DataFrame:
     """U6 / M28 stage 2: iterator-of-frames map; the model is created once
     per partition and applied to every Arrow batch."""
@@ -84,9 +87,18 @@ def infer_sentences_arrow(df: DataFrame) -> DataFrame:
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        def pieces(batch):  # of about PIECE_BYTES of text, however long the documents of a batch are
+            sents = batch.column("sentences")
+            size = np.concatenate([[0], np.cumsum(np.asarray(pc.binary_length(sents.flatten()).fill_null(0), dtype=np.int64))])
+            ends = size[np.asarray(sents.offsets)[1:] - sents.offsets[0].as_py()]
+            at = np.flatnonzero(np.diff(ends // PIECE_BYTES, prepend=0)).tolist()
+            for i, j in zip([0, *at], [*at, len(batch)]):
+                if i < j:
+                    yield batch.slice(i, j - i)
+
         pos_set, neg_set = pa.array(POSITIVE_WORDS), pa.array(NEGATIVE_WORDS)
         ent_t = pa.struct([("text", pa.string()), ("type", pa.string())])
-        for b in batches:
+        for b in (p for batch in batches for p in pieces(batch)):
             sents = b.column("sentences")
             offs = np.asarray(sents.offsets) - sents.offsets[0].as_py()
             flat = sents.flatten()
