@@ -21,7 +21,12 @@ def sentences(text) -> Column:
     t = F.col(text) if isinstance(text, str) else text
     body = F.regexp_replace(F.coalesce(t, F.lit("")), r"^\s+|\s+$", "")
     parts = F.filter(F.split(body, SENTENCE_BOUNDARY), lambda s: F.length(s) > 0)
-    return F.when(F.size(parts) > 0, parts).otherwise(F.array(F.lit("")))
+    return _once(parts, lambda p: F.when(F.size(p) > 0, p).otherwise(F.array(F.lit(""))))
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
 
 
 # DuckDB twin (RE2 has no look-behind: mark the boundary, then split on the mark).
@@ -75,13 +80,13 @@ def _entity_type(w):
             .when(w.rlike("^[0-9]{3,}$"), F.lit("NUM")))
 
 
-def lexicon_arrays(sents) -> tuple[Column, Column]:
-    """The lexicon model as pure array expressions (no Python): entity types
-    of every sentence flattened, and the per-sentence cue balance."""
+def lexicon_array(sents) -> Column:
+    """The lexicon model as pure array expressions (no Python): per sentence
+    the entity types and the cue balance, as (types, bal)."""
     s = F.col(sents) if isinstance(sents, str) else sents
-    pos = F.array(*[F.lit(w) for w in POSITIVE_WORDS])
-    neg = F.array(*[F.lit(w) for w in NEGATIVE_WORDS])
-    types = F.flatten(F.transform(s, lambda x: F.filter(F.transform(_tokens(x), _entity_type), lambda t: t.isNotNull())))
-    bal = F.transform(s, lambda x: F.size(F.filter(_tokens(x), lambda w: F.array_contains(pos, F.lower(w))))
-                      - F.size(F.filter(_tokens(x), lambda w: F.array_contains(neg, F.lower(w)))))
-    return types, bal
+    def sentence(x):  # tokens are cut once; few of them are cues
+        return _once(_tokens(x), lambda ts: F.struct(
+            F.filter(F.transform(ts, _entity_type), lambda t: t.isNotNull()).alias("types"),
+            F.aggregate(F.filter(F.transform(ts, lambda w: F.lower(w)), lambda w: w.isin(POSITIVE_WORDS + NEGATIVE_WORDS)), F.lit(0),
+                        lambda d, w: d + F.when(w.isin(POSITIVE_WORDS), 1).otherwise(-1)).alias("bal")))
+    return F.transform(s, sentence)

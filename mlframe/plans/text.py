@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from mlframe import bindings as B
-from mlframe.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS, SENTENCE_SQL, lexicon_arrays, sentences
+from mlframe.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS, SENTENCE_SQL, lexicon_array, sentences
 from mlframe.operators import text as TX
 from mlframe.plans import query
 from mlframe.plans.sql import R
@@ -48,12 +48,12 @@ def doc_summary(spark, d):
     """The same summary with the sentence model written as array
     expressions (JVM only), rolled up with size / filter / aggregate."""
     docs = read(spark, d, "documents", ["doc_id", "text"]).select("doc_id", sentences("text").alias("s"))
-    types, bal = lexicon_arrays("s")
-    arr = docs.select(
+    found = docs.select("doc_id", lexicon_array("s").alias("m")).select("doc_id", F.flatten("m.types").alias("types"), F.col("m.bal").alias("bal"))
+    arr = found.select(
         "doc_id",
-        F.transform(types, lambda t: F.struct(F.lit("").alias("text"), t.alias("type"))).alias("entities"),
-        F.transform(bal, lambda v: F.when(v > 0, "POSITIVE").otherwise("NEGATIVE")).alias("labels"),
-        F.transform(bal, lambda v: F.least(F.lit(0.99), F.greatest(F.lit(0.01), F.lit(0.5) + F.lit(0.1) * v))).alias("scores"))
+        F.transform("types", lambda t: F.struct(F.lit("").alias("text"), t.alias("type"))).alias("entities"),
+        F.transform("bal", lambda v: F.when(v > 0, "POSITIVE").otherwise("NEGATIVE")).alias("labels"),
+        F.transform("bal", lambda v: F.least(F.lit(0.99), F.greatest(F.lit(0.01), F.lit(0.5) + F.lit(0.1) * v))).alias("scores"))
     return TX.doc_summary(arr)
 
 
