@@ -117,8 +117,9 @@ def group_quantiles(df: DataFrame, by, col: str, qs: list[float], kind: str = "l
     ``linear`` interpolates (``percentile`` / ``quantile_cont``), ``nearest``
     takes the first value whose cumulative share reaches q
     (``percentile_disc``). Counts per (group, value bucket) tell which buckets
-    hold the wanted order statistics; only their rows are numbered, each
-    bucket in a task of its own. No task holds or sorts a whole group. A group
+    hold the wanted order statistics; only their different values are sorted,
+    with their counts, each bucket in a task of its own: no task holds or
+    sorts a whole group, nor the rows of one value that is repeated often. A group
     without a value has nulls.
     """
     by = [by] if isinstance(by, str) else list(by)
@@ -141,8 +142,9 @@ def group_quantiles(df: DataFrame, by, col: str, qs: list[float], kind: str = "l
         (F.col("_s.r") > F.col("_off")) & (F.col("_s.r") <= F.col("_off") + F.col("_n")))
     need = ranks.groupBy(*by, "_bk").agg(F.first("_off").alias("_off"), F.collect_list("_s").alias("_wanted"))
     wr = Window.partitionBy(*by, "_bk").orderBy("_v")
-    rows = _same(d.where("_v IS NOT NULL"), need, [*by, "_bk"]).withColumn("_r", F.row_number().over(wr) + F.col("_off"))
-    hit = rows.select(*by, "_v", F.explode(F.filter("_wanted", lambda s: s["r"] == F.col("_r"))).alias("_s"))
+    rows = (_same(d.where("_v IS NOT NULL"), need, [*by, "_bk"]).groupBy(*by, "_bk", "_v", "_off", "_wanted").agg(F.count(F.lit(1)).alias("_c"))
+            .withColumn("_r", F.sum("_c").over(wr.rowsBetween(Window.unboundedPreceding, Window.currentRow)) + F.col("_off")))  # its last place
+    hit = rows.select(*by, "_v", F.explode(F.filter("_wanted", lambda s: (s["r"] <= F.col("_r")) & (s["r"] > F.col("_r") - F.col("_c")))).alias("_s"))
     value = F.when(F.col("_s.whole"), F.col("_v")).when(F.col("_s.w") > 0, F.col("_s.w") * F.col("_v"))
     parts = hit.groupBy(*by).agg(*[F.sum(F.when(F.col("_s.i") == i, value)).alias(f"_q{i}") for i in range(len(qs))])
     found = parts.select(*by, F.array(*[F.col(f"_q{i}") for i in range(len(qs))]).alias("q"))
