@@ -35,6 +35,7 @@ def assemble(df: DataFrame, cols, out: str = "features", keep_invalid: bool = Fa
     return df.withColumn(out, F.when(whole, vec))
 
 
+SPREAD_FROM = 100_000  # rows above which the partitions of a fit are looked at
 FIT_ROWS = 10_000  # rows that are worth a task of their own in an iterative fit
 SIDE_BY_SIDE_ROWS = 1_000_000  # trials of a search run side by side below this; above it one fit fills the cores and its caches the memory
 
@@ -44,6 +45,8 @@ def spread(df: DataFrame) -> DataFrame:
     fit's many passes takes as long as its largest partition. Small or even tables stay as they are. A fit sends
     statistics per partition and tree node, so there are no more partitions than cores."""
     sizes = [r[0] for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).select("n").collect()]
+    if sum(sizes) <= SPREAD_FROM:
+        return df
     parts = min(-(-sum(sizes) // FIT_ROWS), df.sparkSession.sparkContext.defaultParallelism)
     return df.repartition(parts) if parts > 1 and max(sizes) * parts > 1.5 * sum(sizes) else df
 

@@ -23,10 +23,10 @@ def _sizes(df):
 
 
 def test_a_fit_is_dealt_over_the_cores_and_a_small_table_stays(spark):
-    few = spark.range(4 * ML.FIT_ROWS, numPartitions=1)
+    few = spark.range(ML.SPREAD_FROM + 20_000, numPartitions=1)
     sizes = _sizes(ML.spread(few))
-    assert len(sizes) == 4 and max(sizes) < 1.5 * ML.FIT_ROWS and sum(sizes) == few.count()
-    small = spark.range(ML.FIT_ROWS, numPartitions=1)
+    assert len(sizes) == 4 and max(sizes) < 1.5 * sum(sizes) / 4 and sum(sizes) == few.count()
+    small = spark.range(ML.SPREAD_FROM, numPartitions=1)
     assert ML.spread(small) is small and ML.spread(small.limit(0)).count() == 0
 
 
