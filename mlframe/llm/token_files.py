@@ -37,7 +37,19 @@ CACHE_PIECES = 500_000
 _SLICE = 4 << 20
 _MANIFEST = "part int, seq int, file string, first long, n_ids long, n_docs long, n_bytes long"
 _ENCODERS: dict[str, PieceEncoder] = {}
-_SPACE, _LETTERS = regex.compile(r"\s"), regex.compile(r"\p{L}+")
+_SPACE = regex.compile(r"\s")
+
+
+class _Letters(dict):
+    """Whether a character is a letter to the tokenizer, whose Unicode tables are not those of ``regex``; each is asked once."""
+
+    def __init__(self, split):
+        super().__init__({c: c.isalpha() for c in map(chr, range(128))})
+        self.split = split
+
+    def __missing__(self, c: str) -> bool:
+        self[c] = len(self.split("a" + c)) == 1
+        return self[c]
 
 
 class PieceEncoder:
@@ -58,6 +70,7 @@ class PieceEncoder:
         self.exact.encode_special_tokens = True
         self.breaks_at_space = self._breaks()
         self._byte_names = {b: c for c, b in byte_names().items()}
+        self._letters = _Letters(self.exact.pre_tokenizer.pre_tokenize_str) if self.breaks_at_space else {}
         self.clear()
 
     def clear(self) -> None:
@@ -80,13 +93,13 @@ class PieceEncoder:
         names = self.exact.normalizer.normalize_str("\n".join(plain)).split(" ") if plain else []
         if len(names) != len(plain):
             plain, names = [], []
-        tokenize, bytes_of = self.exact.model.tokenize, self._byte_names
+        tokenize, bytes_of, letter = self.exact.model.tokenize, self._byte_names, self._letters.__getitem__
         learned, rest, flat, size = [], [] if plain else new, [], []
         if plain and len(plain) < len(new):
             own = set(plain)
             rest.extend(p for p in new if p not in own)
         for piece, name in zip(plain, names):
-            if not _LETTERS.fullmatch(name):
+            if not name or not all(map(letter, name)):
                 rest.append(piece)
                 continue
             tokens = tokenize(name if name.isascii() else name.encode().decode("latin-1").translate(bytes_of))

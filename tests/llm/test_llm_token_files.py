@@ -81,6 +81,15 @@ def test_encoder_equals_tokenizers(texts):
     assert count.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+def test_letters_are_the_tokenizers_own():
+    """Characters that newer Unicode tables count as letters and the tokenizer does not."""
+    encoder = piece_encoder(PATH)
+    texts = ["A\U0003d000", "a\u0558b \u058b", "x\U00011ddbz\U0003fc3f", "\U0001e6c0"]
+    ids, count = encoder.encode(pa.array(texts, pa.string()))
+    want = [encoder.exact.encode(t, add_special_tokens=False).ids for t in texts]
+    assert count.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_other_tokenizers_take_whole_texts():
     encoder = PieceEncoder(tokenizer_path("byte_bpe_50k.json"))
     assert not encoder.breaks_at_space
