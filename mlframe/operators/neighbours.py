@@ -5,6 +5,10 @@ blocks of bounded size. A test row first meets the ring around its own distance
 there rules out every ring that the triangle inequality or the border between two pivots puts further away, and the row
 meets only the rings that are left. Nothing is approximate: a ring is skipped only if no row of it can win or tie.
 
+Queries travel in chunks, training rows in blocks, both written once; every chunk is held against every block where they
+lie, by a product of their partitions, and only pairs with a ring that a query of the chunk still needs are compared. So what is
+shuffled and written grows with the tables, while the reading grows with partitions of the one times rows of the other.
+
 On the driver: the pivots (at most ``MAX_PIVOTS`` of ``PIVOT_SAMPLE`` sampled vectors) and the rings' bounds (at most
 ``MAX_PIVOTS * RINGS`` numbers), whatever the tables' sizes.
 """
@@ -20,7 +24,7 @@ from pyspark.sql import functions as F
 from mlframe.session import ensure_checkpoint_dir
 
 MAX_PIVOTS, PIVOT_SAMPLE, RINGS = 128, 4096, 64
-RING = ["cell", "ring"]
+PART_BYTES = 64 << 20  # of training rows that one task of the product holds
 BEST = "qid long, dist double, tid long, pred int"
 
 
@@ -71,18 +75,27 @@ def _matrix(rows: pa.StructArray, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(rows.field("v").to_pylist()), dtype=float).reshape(-1, dim)
 
 
-def _meet(queries: DataFrame, blocks: DataFrame, parts: DataFrame, dim: int) -> DataFrame:
-    """Best training row (least distance, then least id) of each query among the rows of the rings it names.
+def _chunks(queries: DataFrame) -> DataFrame:
+    """(chunk, qs, rings): the queries of each chunk and the rings that any of them needs; chunks are bounded."""
+    n = queries.sparkSession.sparkContext.defaultParallelism
+    return queries.repartition(n, "chunk").groupBy("chunk").agg(
+        F.collect_list(F.struct("qid", "v", "rings")).alias("qs"), F.array_distinct(F.flatten(F.collect_list("rings"))).alias("rings"))
+
+
+def _meet(queries: DataFrame, blocks: DataFrame, dim: int) -> DataFrame:
+    """Best training row (least distance, then least id) of each query in each block of the rings it names.
+
+    Neither chunks nor blocks are shuffled for it; a pair's payload is bounded."""
+    needs = F.filter("qs", lambda q: F.array_contains(q["rings"], F.col("at")))
+    pairs = _chunks(queries).join(blocks.hint("shuffle_replicate_nl"), F.array_contains("rings", F.col("at"))).select(
+        F.transform(needs, lambda q: F.struct(q["qid"].alias("qid"), q["v"].alias("v"))).alias("qs"), "ts")
 
-    Queries of one home ring name much the same rings, so they travel as chunks; a chunk meets each block of a ring
-    once. Both payloads are bounded, and one group is one (chunk, block) pair."""
-    chunks = (queries.groupBy(*RING, "chunk").agg(F.collect_list(F.struct("qid", "v")).alias("qs"))
-              .join(F.broadcast(parts), RING)
-              .select(*RING, "chunk", "qs", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")))
-    pairs = chunks.join(blocks, RING + ["part"]).repartition(*RING, "part", "chunk")
+    def solve(batches):
+        for batch in batches:
+            for qs, ts in zip(batch.column("qs"), batch.column("ts")):
+                yield nearest(qs.values, ts.values)
 
-    def solve(table: pa.Table) -> pa.Table:
-        qs, ts = (table[c].combine_chunks().flatten() for c in ("qs", "ts"))
+    def nearest(qs: pa.StructArray, ts: pa.StructArray) -> pa.RecordBatch:
         Q, X = _matrix(qs, dim), _matrix(ts, dim)
         ids = ts.field("tid").to_numpy()
         rough = (Q * Q).sum(1)[:, None] + (X * X).sum(1)[None, :] - 2.0 * (Q @ X.T)
@@ -91,13 +104,13 @@ def _meet(queries: DataFrame, blocks: DataFrame, parts: DataFrame, dim: int) ->
         exact = np.concatenate([((Q[row[i:i + 65536]] - X[col[i:i + 65536]]) ** 2).sum(1) for i in range(0, len(row), 65536)])
         order = np.lexsort((ids[col], exact, row))
         first = order[np.searchsorted(row[order], np.arange(len(Q)))]
-        return pa.table({"qid": qs.field("qid"), "dist": exact[first], "tid": ids[col[first]],
-                         "pred": ts.field("tl").take(pa.array(col[first]))})
-    return pairs.groupBy(*RING, "part", "chunk").applyInArrow(solve, BEST)
+        return pa.RecordBatch.from_pydict({"qid": qs.field("qid"), "dist": exact[first], "tid": ids[col[first]],
+                                           "pred": ts.field("tl").take(pa.array(col[first]))})
+    return pairs.mapInArrow(solve, BEST)
 
 
 def _search(train: DataFrame, test: DataFrame, id_col: str, vec: str, label: str, block_rows: int):
-    """(best rows per query and round, visits (qid, cell, ring), rows per ring, test rows without a vector, counts)."""
+    """(best rows per query and round, visits (qid, at: a ring), rows per ring, test rows without a vector, counts)."""
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
     v = F.col(vec).cast("array<double>").alias("v")
@@ -121,60 +134,62 @@ def _search(train: DataFrame, test: DataFrame, id_col: str, vec: str, label: str
         rings = min(RINGS, -(-c["n"] // block_rows))
         cuts = sorted({c["q"][RINGS * i // rings - 1] for i in range(1, rings)})
         bounds[c["cell"]] = ([b for b in cuts if b < c["hi"]], c["lo"], c["hi"])
-    cells = F.broadcast(spark.createDataFrame([(k, b[0]) for k, b in bounds.items()], "cell long, cuts array<double>"))
-    ringed = (placed.join(cells, "cell")
-              .withColumn("ring", F.size(F.filter("cuts", lambda b: b < F.col("r"))).cast("long")).drop("cuts", "r"))
-    parts = (ringed.groupBy(*RING).agg(F.count(F.lit(1)).alias("n"))
-             .withColumn("parts", F.ceil(F.col("n") / block_rows)))
-    parts = spark.createDataFrame([(0, 0, n_train, 1)], "cell long, ring long, n long, parts long") if single else parts.checkpoint()
-    blocks = (ringed.join(F.broadcast(parts.select(*RING, "parts")), RING)
-              .groupBy(*RING, F.pmod(F.xxhash64("tid"), F.col("parts")).alias("part"))
-              .agg(F.collect_list(F.struct("tid", "tl", "v")).alias("ts")))
-
-    of, number, low, high = [], [], [], []  # every ring: its cell, its number and the distances to its pivot
+    of, low, high, base = [], [], [], {}  # every ring: its cell and the distances to its pivot; the number of a cell's first ring
     for cell, (cuts, lo, hi) in sorted(bounds.items()):
+        base[cell] = len(of)
         edges = [lo, *cuts, hi]
         for i in range(len(cuts) + 1):
-            of.append(cell), number.append(i), low.append(edges[i]), high.append(edges[i + 1])
-    of, number, low, high = map(np.array, (of, number, low, high))
+            of.append(cell), low.append(edges[i]), high.append(edges[i + 1])
+    of, low, high = map(np.array, (of, low, high))
+
+    cells = F.broadcast(spark.createDataFrame([(k, base[k], b[0]) for k, b in bounds.items()], "cell long, base int, cuts array<double>"))
+    ringed = (placed.join(cells, "cell")
+              .select("tid", "tl", "v", (F.col("base") + F.size(F.filter("cuts", lambda b: b < F.col("r")))).alias("at")))
+    parts = (ringed.groupBy("at").agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("parts", F.ceil(F.col("n") / block_rows)))
+    parts = spark.createDataFrame([(0, n_train, 1)], "at int, n long, parts long") if single else parts.checkpoint()
+    blocks = (ringed.join(F.broadcast(parts.select("at", "parts")), "at")
+              .select("tid", "tl", "v", "at", F.pmod(F.xxhash64("tid"), F.col("parts")).alias("part"))
+              .repartition(-(-n_train * (8 * dim + 32) // PART_BYTES), "at", "part").groupBy("at", "part")
+              .agg(F.collect_list(F.struct("tid", "tl", "v")).alias("ts")))
+    blocks = blocks if single else blocks.checkpoint()
 
     def home(batches):
         for pdf in batches:
-            pdf["ring"] = [int(np.searchsorted(bounds[c][0], r)) for c, r in zip(pdf["cell"], pdf["r"])]
+            pdf["at"] = [base[c] + int(np.searchsorted(bounds[c][0], r)) for c, r in zip(pdf["cell"], pdf["r"])]
             yield pdf
 
     def others(batches):
         for pdf in batches:
-            at, ring = [], []
             Q = np.frombuffer(b"".join(pdf["v"]), dtype=float).reshape(-1, dim)
             D = _distances(Q, P)
             best = np.sqrt(pdf["dist"].to_numpy()) + 2 * _slack(Q, P)
             nearest = D.min(1)
+            rings = []
             for i, d in enumerate(D):
                 to = d[of]
                 least = np.maximum(np.maximum(low - to, to - high), (to - nearest[i]) / 2)
-                keep = (least <= best[i]) & ~((of == pdf["cell"].iat[i]) & (number == pdf["ring"].iat[i]))
-                at.append(np.full(keep.sum(), i))
-                ring.append(np.nonzero(keep)[0])
-            at, ring = np.concatenate(at or [np.zeros(0, int)]), np.concatenate(ring or [np.zeros(0, int)])
-            yield pd.DataFrame({"qid": pdf["qid"].to_numpy()[at], "v": pdf["v"].to_numpy()[at], "chunk": pdf["chunk"].to_numpy()[at],
-                                "cell": of[ring], "ring": number[ring]})
-
-    start = _place(q.where(whole), P, "qid long").mapInPandas(home, "qid long, v binary, cell long, r double, ring long").drop("r")
+                keep = least <= best[i]
+                keep[pdf["at"].iat[i]] = False
+                rings.append(np.flatnonzero(keep).astype(np.int32))
+            yield pd.DataFrame({"qid": pdf["qid"], "v": pdf["v"], "chunk": pdf["chunk"], "rings": rings})
+
+    start = _place(q.where(whole), P, "qid long").mapInPandas(home, "qid long, v binary, cell long, r double, at int").drop("cell", "r")
     start = start if single else start.checkpoint()
-    crowds = start.groupBy(*RING).agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("chunks"))  # at most one row per ring
+    crowds = start.groupBy("at").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("chunks"))  # at most one row per ring
     salt = F.pmod(F.xxhash64("qid"), F.col("chunks"))
-    start = start.join(F.broadcast(crowds), RING).select(
-        "qid", "v", *RING, ((F.col("cell") * RINGS + F.col("ring")) * F.lit(2 ** 40) + salt).alias("chunk"))
+    start = start.join(F.broadcast(crowds), "at").select(
+        "qid", "v", "at", (F.col("at") * F.lit(2 ** 40) + salt).alias("chunk"), F.array("at").alias("rings"))
     # a pivot's own row is in its cell and every bound is a row's distance, so no home ring is empty
-    first = _meet(start, blocks, parts, dim).groupBy("qid").agg(F.min(F.struct("dist", "tid", "pred")).alias("b"))
-    visits, best = start.select("qid", *RING), first
+    first = _meet(start, blocks, dim).groupBy("qid").agg(F.min(F.struct("dist", "tid", "pred")).alias("b"))
+    visits, best = start.select("qid", "at"), first
     if len(of) > 1:
         first = first.checkpoint()
-        rest = start.join(first.select("qid", F.col("b.dist").alias("dist")), "qid").mapInPandas(
-            others, "qid long, v binary, chunk long, cell long, ring long")
-        best = first.unionByName(_meet(rest, blocks, parts, dim).select("qid", F.struct("dist", "tid", "pred").alias("b")))
-        visits = visits.unionByName(rest.select("qid", *RING))
+        rest = start.drop("rings").join(first.select("qid", F.col("b.dist").alias("dist")), "qid").mapInPandas(
+            others, "qid long, v binary, chunk long, rings array<int>")
+        more = _meet(rest, blocks, dim).groupBy("qid").agg(F.min(F.struct("dist", "tid", "pred")).alias("b"))
+        best = first.unionByName(more)
+        visits = visits.unionByName(rest.select("qid", F.explode("rings").alias("at")))
     return best, visits, parts, q.where(~F.coalesce(whole, F.lit(False))).select("qid"), (n_train, n_test)
 
 
@@ -199,6 +214,6 @@ def knn1_work(train: DataFrame, test: DataFrame, id_col: str, vec: str, label: s
     pairs = F.lit(n_train * n_test).cast("long").alias("pairs")
     if visits is None:
         return train.sparkSession.range(1).select(pairs, F.lit(0).cast("long").alias("compared"), F.lit(0.0).alias("skipped_share"))
-    seen = visits.groupBy(*RING).agg(F.count(F.lit(1)).alias("visits")).join(F.broadcast(parts), RING)
+    seen = visits.groupBy("at").agg(F.count(F.lit(1)).alias("visits")).join(F.broadcast(parts), "at")
     return seen.agg(F.sum(F.col("visits") * F.col("n")).alias("compared")).select(
         pairs, "compared", (1 - F.col("compared") / F.lit(n_train * n_test)).alias("skipped_share"))

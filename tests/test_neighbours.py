@@ -53,3 +53,15 @@ def test_nulls_and_empty_tables(spark):
     assert _got(knn1(t, q, "id", "v", "label")) == {10: (1, None), 11: (None, None)}
     assert _got(knn1(t.limit(0), q, "id", "v", "label")) == {10: (None, None), 11: (None, None)}
     assert _got(knn1(t, q.limit(0), "id", "v", "label")) == {}
+
+
+def test_pairs_are_compared_where_they_lie(spark, capsys):
+    """No exchange carries a chunk of queries with a block of training rows: the bytes shuffled grow with the tables, not with their product."""
+    g = np.random.Generator(np.random.PCG64(8))
+    T, Q = np.vstack([g.normal(size=(300, 8)), np.zeros((100, 8))]), np.vstack([g.normal(size=(60, 8)), np.zeros((40, 8))])
+    found = knn1(_frame(spark, T), _frame(spark, Q, 1000), "id", "v", "label", block_rows=16)
+    found.explain()
+    lines = capsys.readouterr().out.split("\n")
+    solved = [i for i, x in enumerate(lines) if "MapInArrow" in x]
+    assert solved and all("CartesianProduct" in next(x for x in lines[i:] if "Exchange" in x or "Join" in x or "Cartesian" in x) for i in solved)
+    assert _got(found) == _brute(T, Q, 1000)
