@@ -45,17 +45,18 @@ def threshold_metrics(df: DataFrame, label: str, flag, by=(), digits: int = 6) -
                       F.round(rate, digits).alias("alert_rate"))
 
 
-def score_counts(df: DataFrame, label: str, score: str, by=()) -> DataFrame:
+def score_counts(df: DataFrame, label: str, score: str, by=(), rows: str | None = None) -> DataFrame:
     """Positives and negatives per distinct score (the sufficient statistic
     for every ranking metric); a partial aggregate, so ties collapse before
-    the shuffle."""
+    the shuffle. A row counts as many as its column ``rows`` says."""
     by = [by] if isinstance(by, str) else list(by)
+    n_if = F.count_if if rows is None else lambda c: F.sum(F.when(c, F.col(rows)).otherwise(0))
     return df.groupBy(*by, F.col(score).alias("s")).agg(
-        F.count_if(F.col(label) == 1).cast("double").alias("pos"),
-        F.count_if(F.col(label) != 1).cast("double").alias("neg"))
+        n_if(F.col(label) == 1).cast("double").alias("pos"),
+        n_if(F.col(label) != 1).cast("double").alias("neg"))
 
 
-def curve_points(df: DataFrame, label: str, score: str, by=(), rows_each: int = ROWS_EACH) -> DataFrame:
+def curve_points(df: DataFrame, label: str, score: str, by=(), rows_each: int = ROWS_EACH, rows: str | None = None) -> DataFrame:
     """M6: at each distinct score threshold (descending), cumulative TP and FP.
 
     Running sums go by buckets of about equal numbers of distinct scores, so
@@ -64,19 +65,19 @@ def curve_points(df: DataFrame, label: str, score: str, by=(), rows_each: int =
     # the distinct-score table feeds three passes (bounds, running sums,
     # totals): materialise it once in the shared checkpoint folder
     ensure_checkpoint_dir(df.sparkSession)
-    sc = score_counts(df, label, score, by).checkpoint(eager=True)
+    sc = score_counts(df, label, score, by, rows).checkpoint(eager=True)
     return running_sums(sc, "s", ["pos", "neg"], value_buckets(sc, "s", rows_each), partition=by, descending=True)
 
 
-def ranking_metrics(df: DataFrame, label: str, score: str, by=(), digits: int = 6) -> DataFrame:
+def ranking_metrics(df: DataFrame, label: str, score: str, by=(), digits: int = 6, rows: str | None = None) -> DataFrame:
     """M5: exact ROC-AUC (ties count one half) and average precision.
 
     AUC = sum over distinct scores of neg * (positives ranked above + pos/2),
     divided by P*N; AP = sum over thresholds of precision * delta recall.
     Null where it is not defined: AUC without positives or negatives, AP
-    without positives."""
+    without positives. A row counts as many as its column ``rows`` says."""
     by = [by] if isinstance(by, str) else list(by)
-    cp = curve_points(df, label, score, by)
+    cp = curve_points(df, label, score, by, rows=rows)
     tp_above = F.col("pos_cum") - F.col("pos")
     auc_term = F.col("neg") * (tp_above + F.col("pos") / 2.0)
     prec = F.col("pos_cum") / (F.col("pos_cum") + F.col("neg_cum"))

@@ -19,6 +19,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mlframe.operators.boosting import CELL_PARAMS, score_configs
 from mlframe.operators.metrics import ranking_metrics
 from mlframe.operators.neighbours import knn1, knn1_work  # noqa: F401
 
@@ -37,6 +38,7 @@ def assemble(df: DataFrame, cols, out: str = "features", keep_invalid: bool = Fa
 
 SPREAD_FROM = 100_000  # rows above which the partitions of a fit are looked at
 FIT_ROWS = 10_000  # rows that are worth a task of their own in an iterative fit
+CELLS_FROM = 100_000  # training rows above which boosted trees are fitted on counted cells; below, counting takes longer than it saves
 SIDE_BY_SIDE_ROWS = 1_000_000  # trials of a search run side by side below this; above it one fit fills the cores and its caches the memory
 
 
@@ -206,20 +208,24 @@ def lookup_features(keys: DataFrame, spec: dict, read_table) -> DataFrame:
 def fit_compare(train: DataFrame, test: DataFrame, label: str, configs: dict, weight: str | None = None) -> DataFrame:
     """One GBT per config (optionally class-weighted), ranked by
     average precision on held-out rows (rank 1 is the champion; equal ones
-    go by name)."""
+    go by name). The rows of a large table are counted into cells of equal bins
+    and the trees fitted on these (``boosting``); a small one, or a config with
+    other parameters than ``CELL_PARAMS`` (limits of rows in a leaf and the
+    like), is fitted on the rows."""
     spark = train.sparkSession
-    out = []
+    out, by_weight, rows = [], {}, train.count()
     for name, params in configs.items():
         p = dict(params)
-        use_w = p.pop("weighted", False)
+        w = weight if p.pop("weighted", False) and weight else None
+        if rows > CELLS_FROM and set(p) <= CELL_PARAMS:
+            by_weight.setdefault(w, {})[name] = p
+            continue
         gbt = GBTClassifier(labelCol=label, featuresCol="features", seed=42, **p)
-        if use_w and weight:
-            gbt = gbt.setWeightCol(weight)
-        m = gbt.fit(train)
-        scored = probability(m.transform(test))
-        r = ranking_metrics(scored, label, "score").first()
-        out.append((name, float(r["roc_auc"]), float(r["avg_precision"])))
-    best = sorted(out, key=lambda r: (-r[2], r[0]))
+        m = (gbt.setWeightCol(w) if w else gbt).fit(train)
+        out.append((name, ranking_metrics(probability(m.transform(test)), label, "score").first()))
+    for w, group in by_weight.items():
+        out += [(name, ranking_metrics(scored, label, "score", rows="n").first()) for name, scored in score_configs(train, test, label, group, rows, w)]
+    best = sorted(((name, float(r["roc_auc"]), float(r["avg_precision"])) for name, r in out), key=lambda r: (-r[2], r[0]))
     return spark.createDataFrame([(i, i == 1, *r) for i, r in enumerate(best, 1)], "rank int, champion boolean, config string, roc_auc double, avg_precision double")
 
 
