@@ -49,23 +49,23 @@ def _points(values: np.ndarray, weights: np.ndarray) -> list[float]:
     return points
 
 
-def count_cells(df: DataFrame, label: str, points, weight=None, draws=None) -> DataFrame:
+def count_cells(df: DataFrame, label: str, points, weight=None, draws=None, by=()) -> DataFrame:
     """Cells of the features between ``points`` and the label: the vector ``cell`` of bin numbers, ``n`` rows and the sum ``w``
     of their weights. ``draws`` (name -> (seed, rate)) are row samples: every row is drawn or not in each of them, and a
-    column holds the weights of the drawn ones."""
-    draws = draws or {}
+    column holds the weights of the drawn ones. Rows that differ in the columns ``by`` are counted apart."""
+    draws, keys = draws or {}, [label, *by]
     split = [i for i, p in enumerate(points) if p]
     bins = [f"_bin{i}" for i in split]
     w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
-    rows = df.select(label, w.alias("w"), vector_to_array("features").alias("_x"), *[F.when(F.rand(seed) < rate, w).otherwise(0.0).alias(d) for d, (seed, rate) in draws.items()])
-    rows = rows.select(label, "w", *draws, *[F.col("_x")[i].alias(f"_x{i}") for i in split])
+    rows = df.select(*keys, w.alias("w"), vector_to_array("features").alias("_x"), *[F.when(F.rand(seed) < rate, w).otherwise(0.0).alias(d) for d, (seed, rate) in draws.items()])
+    rows = rows.select(*keys, "w", *draws, *[F.col("_x")[i].alias(f"_x{i}") for i in split])
     if split:  # a tree's left side is closed, a bucket's open: the next number after a point is the bucket's border
         borders = [np.nextafter(points[i], np.inf) for i in split]
         rows = Bucketizer(splitsArray=[[-math.inf, *b[np.isfinite(b)].tolist(), math.inf] for b in borders],
                           inputCols=[f"_x{i}" for i in split], outputCols=bins).transform(rows)
     else:
         rows, bins = rows.withColumn("_bin", F.lit(0)), ["_bin"]
-    cells = rows.groupBy(label, *[F.col(b).cast("int").alias(b) for b in bins]).agg(
+    cells = rows.groupBy(*keys, *[F.col(b).cast("int").alias(b) for b in bins]).agg(
         F.count(F.lit(1)).alias("n"), F.sum("w").alias("w"), *[F.sum(d).alias(d) for d in draws])
     return VectorAssembler(inputCols=bins, outputCol="cell").transform(cells).drop(*bins)
 

@@ -19,7 +19,8 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mlframe.operators.boosting import CELL_PARAMS, score_configs
+from mlframe.operators.boosting import CELL_PARAMS, POINT_ROWS, SEED, score_configs, split_points
+from mlframe.operators.cell_trees import TREE_PARAMS, boost_all, collect_cells, fit_forest, knows_forest, representatives
 from mlframe.operators.metrics import ranking_metrics
 from mlframe.operators.neighbours import knn1, knn1_work  # noqa: F401
 
@@ -146,6 +147,32 @@ def propensity_pipeline(cat_cols, num_cols, label: str, trees: int = 200, depth:
     return Pipeline(stages=[*idx, ohe, va, rf])
 
 
+def fit_propensity(pipe: Pipeline, train: DataFrame, rows: int):
+    """The pipeline fitted on a table of ``rows`` rows, and the split points of its forest if that was grown on counted
+    cells, as for more than ``CELLS_FROM`` rows (unless nearly every row has a cell of its own)."""
+    forest = pipe.getStages()[-1]
+    if rows > CELLS_FROM and knows_forest(forest):
+        prepared = Pipeline(stages=pipe.getStages()[:-1]).fit(train)
+        x = prepared.transform(train).select(forest.getFeaturesCol(), forest.getLabelCol())
+        points = split_points(x, rows)
+        cells = collect_cells(x, forest.getLabelCol(), points)
+        if cells is not None:
+            return PipelineModel([*prepared.stages, fit_forest(train.sparkSession, forest, cells[True], points)]), points
+    return pipe.fit(train), None
+
+
+def held_out_auc(model: PipelineModel, test: DataFrame, label: str, points=None) -> float:
+    """ROC-AUC on held-out rows. With the forest's split ``points`` each cell of them is scored once and counts as many rows as it has."""
+    ev = BinaryClassificationEvaluator(labelCol=label)
+    if points is None:
+        return ev.evaluate(model.transform(test))
+    cells = representatives(PipelineModel(model.stages[:-1]).transform(test), label, points)
+    # scoring takes long and its input is small: dealt over the cores; only the column that is asked for, each would walk all trees again
+    forest = model.stages[-1].copy({model.stages[-1].probabilityCol: "", model.stages[-1].predictionCol: ""})
+    scored = forest.transform(cells.repartition(test.sparkSession.sparkContext.defaultParallelism))
+    return ev.setLabelCol("label").setWeightCol("n").evaluate(scored.select("rawPrediction", F.inline("rows")))
+
+
 def feature_names(model: PipelineModel, df: DataFrame) -> list[str]:
     """Names of the assembled vector slots (from the ML attribute metadata)."""
     meta = model.transform(df.limit(1)).schema["features"].metadata.get("ml_attr", {}).get("attrs", {})

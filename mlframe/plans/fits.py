@@ -83,9 +83,10 @@ def _propensity(spark, d, trees: int = 200, depth: int = 12):
     f = ML.spread(_orders_features(spark, d))
     train = f.where("split = 'train'").persist()  # iterative fit: read the input once
     try:
+        rows = train.count()
         pipe = ML.propensity_pipeline(["o_orderstatus", "c_mktsegment"], ["o_totalprice", "c_acctbal", "month"], "label",
-                                      trees=trees, depth=depth, rows=train.count())
-        return f, pipe.fit(train)
+                                      trees=trees, depth=depth, rows=rows)
+        return f, *ML.fit_propensity(pipe, train, rows)
     finally:
         train.unpersist()
 
@@ -94,9 +95,8 @@ def _propensity(spark, d, trees: int = 200, depth: int = 12):
 def propensity_model(spark, d):
     """One-hot + numerics -> random forest (200 trees, depth 12);
     held-out AUC and the top-15 importances."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    f, model = _propensity(spark, d)
-    auc = BinaryClassificationEvaluator(labelCol="label").evaluate(model.transform(f.where("split = 'test'")))
+    f, model, points = _propensity(spark, d)
+    auc = ML.held_out_auc(model, f.where("split = 'test'"), "label", points)
     return ML.importances(model, f).withColumn("test_auc", F.lit(auc))
 
 
@@ -104,7 +104,7 @@ def propensity_model(spark, d):
 def batch_score(spark, d):
     """Score every order with the fitted model, threshold, stamp, write
     and read back (stamp columns dropped)."""
-    f, model = _propensity(spark, d, trees=20, depth=6)
+    f, model, _ = _propensity(spark, d, trees=20, depth=6)
     root = scratch_dir(spark, "scores")
     scored = stamp(ML.score(f, model, 0.5, keep=["o_orderkey"]), "propensity", "1", "run")
     scored.write.mode("overwrite").parquet(root)
@@ -121,7 +121,7 @@ LOOKUP_SPEC = {"key": "o_orderkey", "sources": [
 def lookup_and_score(spark, d):
     """The model is saved with its lookup spec; scoring gets keys only
     and reads the tables and columns that the loaded spec names."""
-    _, model = _propensity(spark, d, trees=20, depth=6)
+    _, model, _ = _propensity(spark, d, trees=20, depth=6)
     root = scratch_dir(spark, "model")
     ML.save_with_lookup(spark, model, root, LOOKUP_SPEC)
     loaded, spec = ML.load_with_lookup(spark, root)
