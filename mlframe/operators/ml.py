@@ -264,26 +264,62 @@ def fit_rating(train: DataFrame, test: DataFrame, label: str, iters: int = 20, d
     return train.sparkSession.createDataFrame([tuple(row)], "rmse double, mae double")
 
 
-def search(df: DataFrame, label: str, grid: dict, parallelism: int = 4, ratio: float = 0.8) -> DataFrame:
-    """Parameter search on a random split; trials train in parallel (``parallelism``) while the table is small, one
-    after the other on all cores once it is large. Only the metrics are asked for, so no last fit on all rows follows."""
+def _cells_of(df: DataFrame, part: str, label: str, rows: int):
+    """Cells of the training rows of ``df`` (``part`` is true) and of the held-out ones, counted in one pass; split points
+    come from the training rows. ``rows`` is their number or more. None if the cells are too many, or there are none of one kind."""
+    # the draw comes before what makes ``part``, which drawn rows alone need; split_points takes its number from somewhat more
+    drawn = df.where(F.rand(SEED) < min(1.0, 2 * POINT_ROWS / rows)).where(part).select("features").persist()
+    try:
+        points = split_points(drawn, drawn.count())
+    finally:
+        drawn.unpersist()
+    cells = collect_cells(df, label, points, part)
+    return (cells[True], cells[False]) if cells is not None and len(cells) == 2 else None
+
+
+def _areas(spark, cells, trials: dict, parallelism: int) -> dict:
+    """Area under the precision-recall curve per trial (number -> parameters), all fitted at once on cells."""
+    ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", weightCol="n", metricName="areaUnderPR")
+    scored = boost_all(spark, *cells, trials).persist()
+    try:
+        scored.count()  # one job fits them all
+        with ThreadPool(parallelism) as pool:
+            return dict(zip(trials, pool.map(inheritable_thread_target(lambda t: float(ev.evaluate(scored.where(F.col("trial") == t)))), trials)))
+    finally:
+        scored.unpersist()
+
+
+def search(df: DataFrame, label: str, grid: dict, parallelism: int = 4, ratio: float = 0.8, rows: int | None = None) -> DataFrame:
+    """Parameter search on a random split. The trials of a large table are fitted on its counted cells (``cell_trees``),
+    each in a task; ``rows`` is its number of rows or more, if known. Trials on rows (a small table, other parameters than
+    ``TREE_PARAMS``) train in parallel (``parallelism``) while the table is small, one after the other on all cores once it
+    is large. Only the metrics are asked for, so no last fit on all rows follows."""
     gbt = GBTClassifier(labelCol=label, featuresCol="features", seed=42)
     b = ParamGridBuilder()
     for k, vals in grid.items():
         b = b.addGrid(getattr(gbt, k), vals)
     maps = b.build()
+    trials = {i: {p.name: v for p, v in pm.items()} for i, pm in enumerate(maps)}
     split = df.withColumn("_u", F.rand(42))
-    held = [split.where("_u < %r" % ratio).select("features", label).persist(), split.where("_u >= %r" % ratio).select("features", label).persist()]
-    ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR")
+    rows, cells, held = df.count() if rows is None else rows, None, []
+    if rows > CELLS_FROM and set(grid) <= TREE_PARAMS:
+        cells = _cells_of(split.withColumn("_part", F.expr("_u < %r" % ratio)), "_part", label, rows)
     try:
-        at_once = parallelism if held[0].count() <= SIDE_BY_SIDE_ROWS else 1
-        with ThreadPool(at_once) as pool:
-            metrics = pool.map(inheritable_thread_target(lambda pm: ev.evaluate(gbt.fit(held[0], pm).transform(held[1]))), maps)
+        if cells is None:
+            split = spread(df).withColumn("_u", F.rand(42))
+            held = [split.where("_u < %r" % ratio).select("features", label).persist(), split.where("_u >= %r" % ratio).select("features", label).persist()]
+            ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR")
+            at_once = parallelism if held[0].count() <= SIDE_BY_SIDE_ROWS else 1
+            with ThreadPool(at_once) as pool:
+                metrics = pool.map(inheritable_thread_target(lambda pm: ev.evaluate(gbt.fit(held[0], pm).transform(held[1]))), maps)
+        else:
+            areas = _areas(df.sparkSession, cells, trials, parallelism)
+            metrics = [areas[i] for i in trials]
     finally:
         for h in held:
             h.unpersist()
-    rows = [(json.dumps({p.name: v for p, v in pm.items()}), float(metric)) for pm, metric in zip(maps, metrics)]
-    return df.sparkSession.createDataFrame(rows, "params string, area_under_pr double")
+    got = [(json.dumps(trials[i]), float(metric)) for i, metric in enumerate(metrics)]
+    return df.sparkSession.createDataFrame(got, "params string, area_under_pr double")
 
 
 # ---- distributions of a random search, and their draws --------------------------------
@@ -314,31 +350,43 @@ def draw_trials(space: dict, n: int, seed: int) -> list[dict]:
 
 
 def random_search(train: DataFrame, valid: DataFrame, label: str, space: dict, trials: int = 10, seed: int = 0, budgets=(4, 8, 16),
-                  keep: float = 0.5, parallelism: int = 4) -> DataFrame:
+                  keep: float = 0.5, parallelism: int = 4, whole: DataFrame | None = None, part: str = "_part") -> DataFrame:
     """Random search with successive halving over boosted-tree parameters.
 
     All trials are fitted with the first budget (number of trees), the best
-    ``keep`` of them (at least one) with the next one, and so on, the trials
-    of a rung in parallel jobs of one session while the table is small (each fit
+    ``keep`` of them (at least one) with the next one, and so on. The trials of
+    a rung are fitted on the counted cells of a large table (``cell_trees``),
+    each in a task. On rows (a small table, other parameters than
+    ``TREE_PARAMS``) they are parallel jobs of one session while the table is small (each fit
     caches the rows anew) and one after the other on all cores once it is large. One row per fit: rung, budget,
     trial, params (JSON), area_under_pr on ``valid``, and whether the trial
     went on; of the last rung the best is marked. Equal metrics go by trial
-    number, so a seed gives the same rows again.
+    number, so a seed gives the same rows again. If ``train`` and ``valid`` are the rows of one frame where
+    ``part`` is true and false, ``whole`` is that frame, which is then read once for both.
     """
-    drawn = draw_trials(space, trials, seed)
+    spark, drawn = train.sparkSession, draw_trials(space, trials, seed)
     alive, rows = list(range(trials)), []
     ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR")
-    held = [d.select("features", label).persist() for d in (train, valid)]
+    if whole is None:
+        whole = train.select("features", label, F.lit(True).alias(part)).unionAll(valid.select("features", label, F.lit(False).alias(part)))
+    n, cells, held = whole.count(), None, []
+    if n > CELLS_FROM and set(space) <= TREE_PARAMS:
+        cells = _cells_of(whole, part, label, n)
+    if cells is None:
+        held = [spread(d.select("features", label)).persist() for d in (train, valid)]
 
     def fit(trial: int, budget: int) -> float:
         gbt = GBTClassifier(labelCol=label, featuresCol="features", seed=42, maxIter=budget, **drawn[trial])
         return float(ev.evaluate(gbt.fit(held[0]).transform(held[1])))
 
     try:
-        at_once = parallelism if held[0].count() <= SIDE_BY_SIDE_ROWS else 1
+        at_once = 1 if held and held[0].count() > SIDE_BY_SIDE_ROWS else parallelism
         for rung, budget in enumerate(budgets):
-            with ThreadPool(at_once) as pool:
-                got = dict(zip(alive, pool.map(inheritable_thread_target(lambda t, b=budget: fit(t, b)), alive)))
+            if cells is not None:
+                got = _areas(spark, cells, {t: drawn[t] | {"maxIter": budget} for t in alive}, parallelism)
+            else:
+                with ThreadPool(at_once) as pool:
+                    got = dict(zip(alive, pool.map(inheritable_thread_target(lambda t, b=budget: fit(t, b)), alive)))
             best = sorted(alive, key=lambda t: (-got[t], t))
             stay = best[:max(1, int(np.ceil(len(best) * keep)))] if rung + 1 < len(budgets) else best[:1]
             rows += [(rung, budget, t, json.dumps(drawn[t], sort_keys=True), got[t], t in stay) for t in alive]
@@ -346,7 +394,7 @@ def random_search(train: DataFrame, valid: DataFrame, label: str, space: dict, t
     finally:
         for d in held:
             d.unpersist()
-    return train.sparkSession.createDataFrame(rows, "rung int, budget int, trial int, params string, area_under_pr double, stays boolean")
+    return spark.createDataFrame(rows, "rung int, budget int, trial int, params string, area_under_pr double, stays boolean")
 
 
 def fit_baselines(train: DataFrame, test: DataFrame, label: str) -> DataFrame:

@@ -131,8 +131,8 @@ def lookup_and_score(spark, d):
 
 def _sensor_train_test(spark, d, hold: bool = True):
     ws = pos_weight(B.wide_sensors(spark, d), "is_failure")
-    a = ML.spread(ML.assemble(ws, B.SENSOR_COLS).select("features", "is_failure", "weight", "u_split"))
-    a = a.persist() if hold else a
+    a = ML.assemble(ws, B.SENSOR_COLS).select("features", "is_failure", "weight", "u_split")
+    a = ML.spread(a).persist() if hold else a
     return a, a.where("u_split < 0.8"), a.where("u_split >= 0.8")
 
 
@@ -204,8 +204,8 @@ def isolation_forest(spark, d):
 @query("param_search")
 def param_search(spark, d):
     """Parallel trials over a small boosted-tree grid."""
-    _, tr, _ = _sensor_train_test(spark, d, hold=False)  # the search holds its two parts itself
-    return ML.search(tr, "is_failure", {"maxDepth": [2, 4], "stepSize": [0.1, 0.3]}, parallelism=4)
+    a, tr, _ = _sensor_train_test(spark, d, hold=False)  # the search holds its two parts itself
+    return ML.search(tr, "is_failure", {"maxDepth": [2, 4], "stepSize": [0.1, 0.3]}, parallelism=4, rows=a.count())
 
 
 # ---- fixed values that must equal the reference's: the search space and its trials
@@ -218,8 +218,8 @@ SEARCH_TRIALS = 10
 @query("random_search")
 def random_search(spark, d):
     """Ten random trials, halved twice while the number of trees doubles."""
-    _, tr, te = _sensor_train_test(spark, d, hold=False)  # the search holds its two parts itself
-    return ML.random_search(tr, te, "is_failure", SEARCH_SPACE, SEARCH_TRIALS, seed=17)
+    a, tr, te = _sensor_train_test(spark, d, hold=False)  # the search holds its two parts itself
+    return ML.random_search(tr, te, "is_failure", SEARCH_SPACE, SEARCH_TRIALS, seed=17, whole=a.withColumn("_part", F.expr("u_split < 0.8")))
 
 
 @query("group_forecast")

@@ -113,3 +113,29 @@ def test_labels_that_are_no_classes_fail(spark):
     df = ML.assemble(spark.createDataFrame([(1.0, 0.5), (2.0, 1.0)], "x double, y double"), ["x"])
     with pytest.raises(ValueError):
         C.collect_cells(df, "y", [[1.5]])
+
+
+SPACE = {"maxDepth": ML.randint(1, 5), "stepSize": ML.loguniform(1e-2, 1.0), "subsamplingRate": ML.uniform(0.8, 1.0), "minInstancesPerNode": ML.choice([1, 5])}
+
+
+def test_searches_of_a_large_table_fit_no_trial_on_rows(table, monkeypatch):
+    """Without a row sample metrics are those of the rows, with it they are near."""
+    v = _vectors(table).withColumn("_part", F.col("id") % 5 != 0)
+    tr, te = v.where("_part"), v.where("not _part")
+    by_rows = ML.random_search(tr, te, "label", SPACE, 4, seed=3, budgets=(2, 4)).collect()
+    no_sample = {k: v for k, v in SPACE.items() if k != "subsamplingRate"}
+    exact = ML.random_search(tr, te, "label", no_sample, 4, seed=3, budgets=(2, 4)).collect()
+    grid = {"maxDepth": [1, 3], "maxIter": [3]}
+    grid_rows = {r["params"]: r["area_under_pr"] for r in ML.search(v, "label", grid).collect()}
+    monkeypatch.setattr(ML, "CELLS_FROM", 0)
+    monkeypatch.setattr(GBTClassifier, "fit", lambda *a: pytest.fail("a fit on rows"))
+    for whole in (None, v):
+        got = ML.random_search(tr, te, "label", SPACE, 4, seed=3, budgets=(2, 4), whole=whole).collect()
+        assert [r[:4] for r in got if r["rung"] == 0] == [r[:4] for r in by_rows if r["rung"] == 0] and len(got) == 6
+        assert sorted(r["area_under_pr"] for r in got) == pytest.approx(sorted(r["area_under_pr"] for r in by_rows), abs=0.03)
+        assert [tuple(r) for r in got] == [tuple(r) for r in ML.random_search(tr, te, "label", SPACE, 4, seed=3, budgets=(2, 4)).collect()]
+    got = ML.random_search(tr, te, "label", no_sample, 4, seed=3, budgets=(2, 4)).collect()
+    assert [(r["rung"], r["trial"], r["stays"]) for r in got] == [(r["rung"], r["trial"], r["stays"]) for r in exact]
+    assert [r["area_under_pr"] for r in got] == pytest.approx([r["area_under_pr"] for r in exact], abs=1e-6)
+    found = {r["params"]: r["area_under_pr"] for r in ML.search(v, "label", grid, rows=7000).collect()}
+    assert found == pytest.approx(grid_rows, abs=1e-6) and all(json.loads(k)["maxIter"] == 3 for k in found)
