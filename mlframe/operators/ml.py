@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from mlframe.operators.boosting import CELL_PARAMS, POINT_ROWS, SEED, score_configs, split_points
 from mlframe.operators.cell_trees import TREE_PARAMS, boost_all, collect_cells, fit_forest, knows_forest, representatives
 from mlframe.operators.metrics import ranking_metrics
+from mlframe.operators.packed_trees import fit_and_test
 from mlframe.operators.neighbours import knn1, knn1_work  # noqa: F401
 
 
@@ -257,7 +258,10 @@ def fit_compare(train: DataFrame, test: DataFrame, label: str, configs: dict, we
 
 
 def fit_rating(train: DataFrame, test: DataFrame, label: str, iters: int = 20, depth: int = 5) -> DataFrame:
-    """Boosted regression trees; RMSE and MAE on held-out rows."""
+    """Boosted regression trees; RMSE and MAE on held-out rows. The rows of a large table are packed for it (``packed_trees``)."""
+    rows = train.count()
+    if rows > CELLS_FROM:
+        return train.sparkSession.createDataFrame([fit_and_test(train, test, label, rows, iters, depth)], "rmse double, mae double")
     m = GBTRegressor(labelCol=label, featuresCol="features", maxIter=iters, maxDepth=depth, seed=42).fit(train)
     err = F.col("prediction") - F.col(label)
     row = m.transform(test).agg(F.sqrt(F.avg(err * err)), F.avg(F.abs(err))).first()  # both in one pass over the scored rows

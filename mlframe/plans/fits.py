@@ -180,11 +180,12 @@ def rating_regressor(spark, d):
     f = _rating_features(spark, d).withColumn("u", hash_uniform("user_id", "item_id", "ts_micros", lane="split"))
     cols = ["user_id_avg", "user_id_cnt", "user_id_std", "item_id_avg", "item_id_cnt", "item_id_std",
             "hour", "dow", "month"] + [f"g_{t}" for t in GENRE_TERMS]
-    a = ML.assemble(f, cols).select("features", "rating", "u").persist()
+    held = f.select(*cols, "rating", "u").persist()  # columns take less room than vectors
+    a = ML.assemble(held, cols).select("features", "rating", "u")
     try:
         return ML.fit_rating(a.where("u < 0.8"), a.where("u >= 0.8"), "rating", iters=10)
     finally:
-        a.unpersist()
+        held.unpersist()
 
 
 @query("isolation_forest")
