@@ -36,11 +36,11 @@ class Cells:
 
 
 def collect_cells(df: DataFrame, label: str, points, part=None) -> dict | None:
-    """The cells of ``df`` between ``points``, by the value of the boolean column ``part`` (one entry under True without it); None if there are
-    more than ``CELLS_MOST``. Labels are 0, 1, 2, ... as for Spark's classifiers. The rows are read once; the driver gets
+    """The cells of ``df`` between ``points``, by the value of the boolean column ``part`` (one entry under True without it; rows where it is null belong to
+    none); None if there are more than ``CELLS_MOST``. Labels are 0, 1, 2, ... as for Spark's classifiers. The rows are read once; the driver gets
     packed cells, never rows."""
     counted = count_cells(df, label, points, by=[] if part is None else [part]).select(
-        F.lit(True).alias("part") if part is None else F.col(part).alias("part"), F.col(label).cast("double").alias("label"), "n", "cell").persist()
+        F.lit(True).alias("part") if part is None else F.col(part).alias("part"), F.col(label).cast("double").alias("label"), "n", "cell").where("part IS NOT NULL").persist()
     try:
         cells, low, high, odd = counted.agg(F.count(F.lit(1)), F.min("label"), F.max("label"), F.count_if(
             F.col("label").isNull() | (F.col("label") != F.floor("label")))).first()

@@ -45,6 +45,8 @@ def test_every_row_is_in_its_cell(table):
     for label, n in enumerate(got[True].counts):
         for b, k in zip(got[True].bins[1], n):
             mine[float(b), label] = mine.get((float(b), label), 0) + int(k)
+    some = C.collect_cells(v.withColumn("train", F.when(F.col("id") % 2 == 0, F.col("train"))), "label", points, "train")
+    assert sum(c.counts.sum() for c in some.values()) == v.where("id % 2 = 0").count()
     assert mine == want  # b's values are 0 to 6, so are its bins
 
 
